@@ -9,14 +9,18 @@ unique, so even a heavily repeated leading column is split evenly),
 sorted within each range, and numbered in two passes over the same
 shuffle output:
 
-1. per range partition: row count and the first row id;
+1. per range partition: its row count;
 2. a running sum over that table - one row per partition, so its size is
    bounded by the partition count, not by the data - gives each partition
    its offset, which is broadcast back.
 
-Both passes read the same deterministic range partitioning (sampling is
-seeded, the sort key is unique), so the numbering is stable under task
-retries and executor loss.
+Both passes must see the same range partitioning. Spark samples the range
+bounds afresh for every exchange (the sampling seed depends on the RDD), so
+two branches of one plan can disagree. The partitioned, sorted and tagged
+rows are therefore materialized once with a reliable ``checkpoint()`` into
+the session's checkpoint directory, and both passes read that copy. The
+numbering is then fixed data: task retries and executor loss cannot change
+it.
 """
 
 from __future__ import annotations
@@ -47,19 +51,20 @@ def assign_surrogate_keys(df: DataFrame, natural_key: list[str], key_col: str,
     ``base`` is an int or a scalar column such as ``max_key(existing, key)``.
     The result is in key order within range partitions.
     """
+    from starmart.session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(df.sparkSession)
     n = _partitions(df, num_partitions)
-    by_range = df.repartitionByRange(n, *natural_key)
     ranged = (
-        by_range.sortWithinPartitions(*natural_key)
+        df.repartitionByRange(n, *natural_key)
+        .sortWithinPartitions(*natural_key)
         .withColumn(_PART, F.spark_partition_id())
         .withColumn(_ROW, F.monotonically_increasing_id())
+        .checkpoint(eager=True)
     )
     # One row per range partition: bounded by n, safe to broadcast, and the
-    # running sum over it runs in a single task by design. Counting needs no
-    # sort, so it reads the range partitions directly.
-    sizes = by_range.select(F.spark_partition_id().alias(_PART)).groupBy(_PART).agg(
-        F.count(F.lit(1)).alias("_k1_n")
-    )
+    # running sum over it runs in a single task by design.
+    sizes = ranged.groupBy(_PART).agg(F.count(F.lit(1)).alias("_k1_n"))
     before = Window.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(_PART, F.coalesce(F.sum("_k1_n").over(before), F.lit(0)).alias("_k1_before"))
     # monotonically_increasing_id puts the partition id in the upper 31 bits

@@ -1,0 +1,191 @@
+"""One ETL batch against the on-disk warehouse.
+
+``run_batch`` is the whole job: read the watermark, extract, clean, load the
+dimensions, load the facts, and commit by writing the batch's log rows.
+Every intermediate result is written under the batch's own partition and
+read back, which cuts the lineage (an executor lost late in the batch does
+not send Spark back to the sources) and gives each later step a stable
+snapshot even if the sources keep changing.
+"""
+
+from __future__ import annotations
+
+import datetime as dt
+import uuid
+from typing import NamedTuple
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from starmart import schemas
+from starmart.functions import sales_year
+from starmart.operators.clean import transform_users
+from starmart.operators.dims import apply_dim_date, scd1_upsert, scd2_split
+from starmart.operators.extract import extract, high_watermark
+from starmart.operators.facts import MATCH_KEYS, fact_candidates, load_facts
+from starmart.operators.keys import assign_surrogate_keys
+from starmart.operators.quality import duplicate_keys
+from starmart.plans.warehouse import FAILED, KEY_STATE, PART, RUN, SUCCESS, Warehouse
+
+# Phases logged per successful batch, by variant.
+PHASES = {
+    "split": ["EXTRACT", "TRANSFORM", "SCD_LOAD", "FACT_INCREMENTAL", RUN],
+    "combined": ["EXTRACT", "TRANSFORM", "LOAD", RUN],
+}
+MESSAGES = {
+    "EXTRACT": "Incremental extract completed",
+    "TRANSFORM": "Data cleansing and dedup completed",
+    "SCD_LOAD": "SCD Type 1 and Type 2 completed",
+    "FACT_INCREMENTAL": "Incremental fact load completed",
+    "LOAD": "Dimensions and fact load completed",
+    RUN: "ETL pipeline completed successfully",
+}
+FAILED_MESSAGE = "ETL failed and rolled back"
+ERROR_MESSAGE = "SQL exception occurred, transaction rolled back"
+
+
+class BatchError(RuntimeError):
+    pass
+
+
+class BatchResult(NamedTuple):
+    seq: int
+    batch_id: str
+    status: str
+    rows: dict
+    error: str | None = None
+
+
+def now_ts() -> dt.datetime:
+    return dt.datetime.now().replace(microsecond=0)
+
+
+def _lit_ts(ts: dt.datetime):
+    return F.lit(ts.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz")
+
+
+def check_staging(staged: dict[str, DataFrame]) -> None:
+    """Staged frames must be unique on their keys before they are joined
+    (parquet enforces no primary key; a duplicate would fan out the joins)."""
+    problems = []
+    for name, keys in schemas.PRIMARY_KEYS.items():
+        if name in staged and duplicate_keys(staged[name], keys).limit(1).count():
+            problems.append(f"{name}: duplicate {keys}")
+    if problems:
+        raise BatchError("staging validation failed: " + "; ".join(problems))
+
+
+def _log_rows(spark, wh: Warehouse, seq, batch_id, entries, run_ts, base_id: int) -> DataFrame:
+    rows = [(batch_id, phase, n, status, msg, i) for i, (phase, n, status, msg) in enumerate(entries)]
+    df = spark.createDataFrame(rows, "batch_id string, phase string, rows_affected long, status string, "
+                                     "message string, _pos int")
+    ts = _lit_ts(run_ts)
+    out = df.select(
+        (F.lit(base_id) + F.col("_pos") + 1).cast("long").alias("etl_id"), "batch_id", "phase",
+        ts.alias("last_loaded_time"), "rows_affected", "status", "message", ts.alias("created_at"),
+    )
+    return schemas.conform(out, schemas.ETL_LOG)
+
+
+def _max_id(df: DataFrame, col: str) -> int:
+    return df.agg(F.coalesce(F.max(col), F.lit(0))).first()[0]
+
+
+def run_staged(spark: SparkSession, wh: Warehouse, staged: dict[str, DataFrame], *, run_ts=None,
+               batch_id: str | None = None, variant: str = "split", match_on: str | None = None,
+               swallow: bool = False, fail_at: str | None = None, validate: bool = True,
+               case_insensitive_dedup: bool = False) -> BatchResult:
+    """Load already-staged frames (any of the five sources; missing ones are
+    empty) as one batch. ``fail_at`` ("transform", "dims", "fact") raises at
+    that point, for failure tests."""
+    snap = wh.snapshot()
+    seq = wh.next_seq()
+    run_ts = run_ts or now_ts()
+    batch_id = batch_id or str(uuid.uuid4())
+    match_on = match_on or ("split" if variant == "split" else "combined")
+    base_etl = _max_id(snap.etl_log, "etl_id")
+    try:
+        # --- stage: write and read back (the staging tables)
+        for name, schema in schemas.SOURCES.items():
+            df = staged.get(name)
+            df = schemas.empty(spark, schema) if df is None else schemas.conform(df, schema)
+            wh.write(df, f"staging/{name}", seq)
+        st = {n: wh.read(f"staging/{n}", s, [seq]).drop(PART) for n, s in schemas.SOURCES.items()}
+        if validate:
+            check_staging(st)
+        n_orders = st["orders"].count()
+
+        # --- transform
+        wh.write(transform_users(st["users"], case_insensitive_dedup), "staging/users_clean", seq)
+        users = wh.read("staging/users_clean", schemas.USERS, [seq]).drop(PART)
+        n_users = users.count()
+        if fail_at == "transform":
+            raise BatchError("injected failure after transform")
+
+        # --- dimensions (D1, D2, D3+D4)
+        base_c = int(snap.max_keys.get("dim_customer", 0))
+        base_p = int(snap.max_keys.get("dim_product", 0))
+        base_s = int(snap.max_keys.get("fact_sales", 0))
+        wh.write(apply_dim_date(snap.dim_date, st["orders"]), "dim_date", seq, files=1)
+        wh.write(scd1_upsert(snap.dim_product, st["products"], base_key=F.lit(base_p)), "dim_product", seq)
+        scd2 = scd2_split(snap.dim_customer_active, users, _lit_ts(run_ts), F.lit(base_c))
+        wh.write(scd2.active, "dim_customer_active", seq)
+        wh.write(scd2.closed, "dim_customer_closed", seq)
+        active = wh.read("dim_customer_active", schemas.DIM_CUSTOMER, [seq]).drop(PART)
+        products = wh.read("dim_product", schemas.DIM_PRODUCT, [seq]).drop(PART)
+        new_versions = active.where(F.col("customer_key") > base_c)
+        n_versions = new_versions.count()
+        if fail_at == "dims":
+            raise BatchError("injected failure after dimension load")
+
+        # --- fact (D5)
+        cands = fact_candidates(st["order_items"], st["orders"], active, products)
+        facts = load_facts(cands, snap.fact_sales, _lit_ts(run_ts), match_on, base_sale_id=F.lit(base_s))
+        wh.write(facts.withColumn("sales_year", sales_year("date_key")), "fact_sales", seq,
+                 partition_by=["sales_year"])
+        loaded = wh.read("fact_sales", schemas.FACT_SALES, [seq], (PART, "sales_year"))
+        n_facts = loaded.count()
+        if fail_at == "fact":
+            raise BatchError("injected failure after fact load")
+
+        # --- key state and commit
+        keys = spark.createDataFrame([
+            ("dim_customer", max(base_c, _max_id(new_versions, "customer_key"))),
+            ("dim_product", max(base_p, _max_id(products, "product_key"))),
+            ("fact_sales", max(base_s, _max_id(loaded, "sale_id"))),
+        ], KEY_STATE)
+        wh.write(keys, "key_state", seq, files=1)
+        counts = {"EXTRACT": n_orders, "TRANSFORM": n_users, "SCD_LOAD": n_versions,
+                  "FACT_INCREMENTAL": n_facts, "LOAD": n_facts, RUN: 1}
+        entries = [(p, counts[p], SUCCESS, MESSAGES[p]) for p in PHASES[variant]]
+        wh.write(_log_rows(spark, wh, seq, batch_id, entries, run_ts, base_etl), "etl_log", seq, files=1)
+        return BatchResult(seq, batch_id, SUCCESS, {p: counts[p] for p in PHASES[variant]})
+    except Exception as exc:  # C7: record the failure, publish nothing
+        base_err = _max_id(snap.etl_error_log, "error_id")
+        err = spark.createDataFrame(
+            [(base_err + 1, batch_id, "run_etl", f"{ERROR_MESSAGE}: {exc}")],
+            "error_id long, batch_id string, procedure_name string, error_message string",
+        ).withColumn("created_at", _lit_ts(run_ts))
+        wh.write(schemas.conform(err, schemas.ETL_ERROR_LOG), "etl_error_log", seq, files=1)
+        wh.write(_log_rows(spark, wh, seq, batch_id, [(RUN, 0, FAILED, FAILED_MESSAGE)], run_ts, base_etl),
+                 "etl_log", seq, files=1)
+        if not swallow:
+            raise
+        return BatchResult(seq, batch_id, FAILED, {}, str(exc))
+
+
+def run_batch(spark: SparkSession, sources: dict[str, DataFrame], root: str, **kwargs) -> BatchResult:
+    """One incremental batch from the source tables (``CALL run_etl()``).
+
+    The watermark is the latest SUCCESS stamp of a committed batch; every
+    log row of a batch carries its ``run_ts``, fixed before the extract, so
+    a row changed while the batch runs is picked up by the next one.
+    """
+    wh = Warehouse(spark, root)
+    watermark = high_watermark(wh.snapshot().etl_log).first()[0]
+    staged = extract(sources, watermark)
+    return run_staged(spark, wh, staged, **kwargs)
+
+
+__all__ = ["BatchError", "BatchResult", "MATCH_KEYS", "run_batch", "run_staged", "check_staging",
+           "assign_surrogate_keys"]

@@ -30,6 +30,7 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
     conf = dict(BASE_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.setdefault("spark.driver.memory", "8g")
+    conf.setdefault("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)

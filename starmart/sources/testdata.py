@@ -42,8 +42,17 @@ def as_of():
     return F.lit(AS_OF).cast("timestamp_ntz")
 
 
+_READS: dict = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    """Driver table ``name``; the (lazy) scan is reused per session and path
+    so its footer is read once."""
+    path = os.path.join(sf_dir, f"{name}.parquet")
+    key = (id(spark), path)
+    if key not in _READS:
+        _READS[key] = spark.read.parquet(path)
+    return _READS[key]
 
 
 def users(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -116,14 +125,30 @@ def payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return derive_payments(orders(spark, sf_dir))
 
 
-def sources(spark: SparkSession, sf_dir: str, with_item_ids: bool = True) -> dict[str, DataFrame]:
-    return {
-        "users": users(spark, sf_dir),
-        "products": products(spark, sf_dir),
-        "orders": orders(spark, sf_dir),
-        "order_items": order_items(spark, sf_dir, with_ids=with_item_ids),
-        "payments": payments(spark, sf_dir),
-    }
+class Sources(dict):
+    """The five source frames, each built on first access."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str, with_item_ids: bool = True):
+        super().__init__()
+        self._build = {
+            "users": lambda: users(spark, sf_dir),
+            "products": lambda: products(spark, sf_dir),
+            "orders": lambda: orders(spark, sf_dir),
+            "order_items": lambda: order_items(spark, sf_dir, with_ids=with_item_ids),
+            "payments": lambda: payments(spark, sf_dir),
+        }
+
+    def __missing__(self, name: str) -> DataFrame:
+        df = self._build[name]()
+        self[name] = df
+        return df
+
+    def materialize(self) -> dict[str, DataFrame]:
+        return {k: self[k] for k in self._build}
+
+
+def sources(spark: SparkSession, sf_dir: str, with_item_ids: bool = True) -> Sources:
+    return Sources(spark, sf_dir, with_item_ids)
 
 
 def purchase_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
