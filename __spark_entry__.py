@@ -19,8 +19,17 @@ from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from starmart.operators import analytics  # noqa: E402
-from starmart.plans.star import first_load  # noqa: E402
+import datetime as dt  # noqa: E402
+
+from starmart import schemas  # noqa: E402
+from starmart.functions import date_key, range_label, sales_year  # noqa: E402
+from starmart.operators import analytics, quality  # noqa: E402
+from starmart.operators.clean import fill_unknown, transform_users  # noqa: E402
+from starmart.operators.dims import initial_customers, initial_products, new_dates, scd1_upsert, scd2_apply  # noqa: E402
+from starmart.operators.extract import changed_since, extract, high_watermark  # noqa: E402
+from starmart.operators.facts import fact_candidates, fact_rejects, load_facts  # noqa: E402
+from starmart.operators.maintain import derive_payments, point_update, raise_price, refresh_order_totals  # noqa: E402
+from starmart.plans.star import first_batch_log, first_load  # noqa: E402
 from starmart.session import apply_conf, ensure_checkpoint_dir  # noqa: E402
 from starmart.sources import testdata as td  # noqa: E402
 
@@ -28,6 +37,24 @@ SMOKE_DIR = "/root/testdata/sf0.001"
 RUN_TS = td.AS_OF  # run stamp of the first batch
 
 
+def _shift(ts: str, **delta) -> str:
+    return (dt.datetime.fromisoformat(ts) + dt.timedelta(**delta)).strftime("%Y-%m-%d %H:%M:%S")
+
+
+# Scenario parameters of the registered queries (fixed values).
+RUN2_TS = _shift(RUN_TS, days=1)                 # second batch
+ORDERS_WATERMARK = "2000-07-01 00:00:00"         # incremental extract of orders
+USERS_WATERMARK = _shift(RUN_TS, days=-30)       # incremental extract of users
+LOADED_UNTIL = _shift(RUN_TS, days=-20)          # dims loaded from rows stamped <= this
+CHANGES_SINCE = _shift(RUN_TS, days=-35)         # next batch: rows stamped > this
+DIM_DATE_LOADED_BEFORE = "1998-01-01 00:00:00"   # dim_date already holds earlier dates
+DIM_DATE_STAGED_FROM = "1997-07-01 00:00:00"     # staged orders from this date on
+FACT_LOADED_BEFORE = 19990101                    # facts already loaded below this date key
+FACT_MOVED_FROM = 19980101                       # ... of which these were loaded one day early
+STREAM_RUN_TS = "2024-02-01 00:00:00"
+RELOCATED_REGION = "EUROPE"                      # users there change city in batch 2
+
+
 def _prepare(spark: SparkSession) -> None:
     apply_conf(spark)
     ensure_checkpoint_dir(spark)
@@ -64,6 +91,221 @@ def q_top_products(spark, sf_dir):
     return analytics.top_products(s.fact_sales, s.dim_product)
 
 
+# ------------------------------------------------------------- helpers
+def _src(spark, sf_dir, with_ids: bool = True):
+    _prepare(spark)
+    return td.sources(spark, sf_dir, with_item_ids=with_ids)
+
+
+def _ts(value: str):
+    return F.lit(value).cast("timestamp_ntz")
+
+
+def _empty_dim_date(spark):
+    return schemas.empty(spark, schemas.DIM_DATE)
+
+
+# --------------------------------------------------------- D1 calendar
+def q_dim_date_build(spark, sf_dir):
+    s = _src(spark, sf_dir, False)
+    return new_dates(s["orders"], _empty_dim_date(spark))
+
+
+def q_dim_date_incremental(spark, sf_dir):
+    s = _src(spark, sf_dir, False)
+    o = s["orders"]
+    existing = new_dates(o.where(F.col("order_date") < _ts(DIM_DATE_LOADED_BEFORE)), _empty_dim_date(spark))
+    return new_dates(o.where(F.col("order_date") >= _ts(DIM_DATE_STAGED_FROM)), existing)
+
+
+# ------------------------------------------------------------ C2 extract
+def q_extract_orders_incremental(spark, sf_dir):
+    return changed_since(_src(spark, sf_dir, False)["orders"], ORDERS_WATERMARK)
+
+
+def q_extract_users_incremental(spark, sf_dir):
+    return changed_since(_src(spark, sf_dir, False)["users"], USERS_WATERMARK)
+
+
+def q_extract_items_semi(spark, sf_dir):
+    return extract(_src(spark, sf_dir), ORDERS_WATERMARK)["order_items"]
+
+
+def q_extract_payments_semi(spark, sf_dir):
+    return extract(_src(spark, sf_dir, False), ORDERS_WATERMARK)["payments"]
+
+
+# ---------------------------------------------------------- C3 transform
+def q_clean_users(spark, sf_dir):
+    return fill_unknown(_src(spark, sf_dir, False)["users"])
+
+
+def q_dedup_users(spark, sf_dir):
+    return transform_users(_src(spark, sf_dir, False)["users"])
+
+
+# ----------------------------------------------------------- D2 / D3 / D4
+def _scd1(spark, sf_dir):
+    p = _src(spark, sf_dir, False)["products"]
+    old = initial_products(p.where(F.col("last_updated") <= _ts(LOADED_UNTIL)))
+    incoming = raise_price(changed_since(p, CHANGES_SINCE), F.lit(True), 100)
+    return scd1_upsert(old, incoming)
+
+
+def q_scd1_upsert(spark, sf_dir):
+    return _scd1(spark, sf_dir)
+
+
+def _scd2(spark, sf_dir):
+    u = fill_unknown(_src(spark, sf_dir, False)["users"])
+    old = initial_customers(u.where(F.col("last_updated") <= _ts(LOADED_UNTIL)), RUN_TS)
+    incoming = point_update(changed_since(u, CHANGES_SINCE), F.col("country") == RELOCATED_REGION,
+                            {"city": F.concat(F.col("city"), F.lit(" NCR"))})
+    return scd2_apply(old, incoming, RUN2_TS)
+
+
+def q_scd2_apply(spark, sf_dir):
+    return _scd2(spark, sf_dir)
+
+
+def q_scd2_active_unique(spark, sf_dir):
+    d = _scd2(spark, sf_dir)
+    active = F.col("is_active") == 1
+    return d.agg(
+        F.count(F.lit(1)).alias("versions"),
+        F.sum("is_active").cast("long").alias("active_rows"),
+        F.countDistinct(F.when(active, F.col("user_id"))).alias("active_users"),
+        F.countDistinct("user_id").alias("users"),
+    )
+
+
+def q_dim_customer_load(spark, sf_dir):
+    return _star(spark, sf_dir).dim_customer
+
+
+# ------------------------------------------------------------ D5 facts
+def q_fact_load(spark, sf_dir):
+    return _star(spark, sf_dir, with_ids=True).fact_sales
+
+
+def _reload(spark, sf_dir, match_on):
+    """Facts below FACT_LOADED_BEFORE were loaded by an earlier batch, those
+    from FACT_MOVED_FROM on under the previous day's date key (their order
+    date has since moved); the batch now offers every fact again."""
+    s = _src(spark, sf_dir)
+    star = first_load(s, RUN_TS, with_ids=True)
+    prev_day = date_key(F.date_sub(F.to_date(F.col("date_key").cast("string"), "yyyyMMdd"), 1))
+    existing = star.fact_sales.where(F.col("date_key") < FACT_LOADED_BEFORE).withColumn(
+        "date_key", F.when(F.col("date_key") >= FACT_MOVED_FROM, prev_day).otherwise(F.col("date_key")))
+    cands = fact_candidates(s["order_items"], s["orders"], star.dim_customer, star.dim_product)
+    return load_facts(cands, existing, RUN2_TS, match_on=match_on)
+
+
+def q_fact_load_idempotent(spark, sf_dir):
+    return _reload(spark, sf_dir, "split")
+
+
+def q_fact_match_item_only(spark, sf_dir):
+    return _reload(spark, sf_dir, "combined")
+
+
+def q_fact_range_label(spark, sf_dir):
+    f = _star(spark, sf_dir).fact_sales
+    return f.groupBy(sales_year("date_key").alias("sales_year"), range_label("date_key").alias("range_partition")).agg(
+        F.count(F.lit(1)).alias("rows_in_partition"),
+        F.round(F.sum("total_amount"), 2).cast("decimal(38,2)").alias("revenue"))
+
+
+def q_fact_rejects(spark, sf_dir):
+    s = _src(spark, sf_dir, False)
+    star = first_load(s, RUN_TS, dedup=True, with_ids=False)
+    return fact_rejects(s["order_items"], s["orders"], star.dim_customer, star.dim_product).select(
+        "order_id", "product_id", "quantity", "price", "user_id", "reason")
+
+
+# -------------------------------------------------------- D8-D10, K1
+def q_order_totals_refresh(spark, sf_dir):
+    s = _src(spark, sf_dir, False)
+    return refresh_order_totals(s["orders"], s["order_items"])
+
+
+def q_derive_payments(spark, sf_dir):
+    return derive_payments(_src(spark, sf_dir, False)["orders"])
+
+
+def q_point_update_price(spark, sf_dir):
+    return raise_price(_src(spark, sf_dir, False)["products"], F.col("product_id") == 20, 100)
+
+
+def q_point_update_user(spark, sf_dir):
+    return point_update(_src(spark, sf_dir, False)["users"], F.col("user_id") == 101,
+                        {"city": "Delhi NCR", "country": "India"})
+
+
+def q_surrogate_keys(spark, sf_dir):
+    return _src(spark, sf_dir)["order_items"]
+
+
+# ----------------------------------------------------------- Q1-Q6
+def q_check_unique(spark, sf_dir):
+    return quality.duplicate_keys(_src(spark, sf_dir, False)["users"], ["email"])
+
+
+def q_check_orphans(spark, sf_dir):
+    s = _src(spark, sf_dir, False)
+    return quality.orphan_summary(s, schemas.FOREIGN_KEYS)
+
+
+def q_check_not_null(spark, sf_dir):
+    return quality.null_counts(_src(spark, sf_dir, False)["users"])
+
+
+def q_check_lengths(spark, sf_dir):
+    return quality.length_violations(_src(spark, sf_dir, False)["users"], schemas.VARCHAR_LIMITS["users"])
+
+
+def q_row_count_audit(spark, sf_dir):
+    s = _src(spark, sf_dir, False)
+    star = first_load(s, RUN_TS, with_ids=False)
+    return quality.row_count_audit({
+        "users": s["users"], "products": s["products"], "orders": s["orders"],
+        "order_items": s["order_items"], "payments": s["payments"],
+        "dim_customer": star.dim_customer, "dim_product": star.dim_product,
+        "dim_date": star.dim_date, "fact_sales": star.fact_sales,
+    })
+
+
+def _log(spark, sf_dir):
+    return first_batch_log(_src(spark, sf_dir, False), RUN_TS)
+
+
+def q_etl_batch_log(spark, sf_dir):
+    return _log(spark, sf_dir)
+
+
+def q_watermark(spark, sf_dir):
+    log = _log(spark, sf_dir)
+    failed = log.where(F.col("phase") == "RUN").select(
+        (F.col("etl_id") + 1).alias("etl_id"), "batch_id", "phase",
+        (F.col("last_loaded_time") + F.expr("INTERVAL 1 HOUR")).alias("last_loaded_time"),
+        F.lit(0).cast("long").alias("rows_affected"), F.lit("FAILED").alias("status"),
+        F.lit("ETL failed and rolled back").alias("message"), "created_at")
+    return high_watermark(log.unionByName(failed))
+
+
+def q_log_tail(spark, sf_dir):
+    return quality.log_tail(_log(spark, sf_dir), 10, columns=["phase", "status", "rows_affected"])
+
+
+# ------------------------------------------------------------ C9 stream
+def q_stream_incremental_fact(spark, sf_dir):
+    """The stream's per-micro-batch logic over the whole purchase feed."""
+    star = _star(spark, sf_dir)
+    feed = td.purchase_feed(spark, sf_dir)
+    cands = fact_candidates(feed, feed, star.dim_customer, star.dim_product)
+    return load_facts(cands, schemas.empty(spark, schemas.FACT_SALES), STREAM_RUN_TS)
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: monthly revenue of a first load at sf0.001."""
     return q_revenue_by_month(spark, SMOKE_DIR)
@@ -76,6 +318,37 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "weekday_weekend_revenue": q_weekday_weekend_revenue,
         "top_customers": q_top_customers,
         "top_products": q_top_products,
+        "dim_date_build": q_dim_date_build,
+        "dim_date_incremental": q_dim_date_incremental,
+        "extract_orders_incremental": q_extract_orders_incremental,
+        "extract_users_incremental": q_extract_users_incremental,
+        "extract_items_semi": q_extract_items_semi,
+        "extract_payments_semi": q_extract_payments_semi,
+        "clean_users": q_clean_users,
+        "dedup_users": q_dedup_users,
+        "scd1_upsert": q_scd1_upsert,
+        "scd2_apply": q_scd2_apply,
+        "scd2_active_unique": q_scd2_active_unique,
+        "dim_customer_load": q_dim_customer_load,
+        "fact_load": q_fact_load,
+        "fact_load_idempotent": q_fact_load_idempotent,
+        "fact_match_item_only": q_fact_match_item_only,
+        "fact_range_label": q_fact_range_label,
+        "fact_rejects": q_fact_rejects,
+        "order_totals_refresh": q_order_totals_refresh,
+        "derive_payments": q_derive_payments,
+        "point_update_price": q_point_update_price,
+        "point_update_user": q_point_update_user,
+        "surrogate_keys": q_surrogate_keys,
+        "check_unique": q_check_unique,
+        "check_orphans": q_check_orphans,
+        "check_not_null": q_check_not_null,
+        "check_lengths": q_check_lengths,
+        "row_count_audit": q_row_count_audit,
+        "etl_batch_log": q_etl_batch_log,
+        "watermark": q_watermark,
+        "log_tail": q_log_tail,
+        "stream_incremental_fact": q_stream_incremental_fact,
     }
 
 
@@ -165,8 +438,122 @@ _STAR_WITH = _with(_SRC, _STAR)
 _REV = "CAST(ROUND(SUM({}), 2) AS DECIMAL(38,2))"
 
 
+def _ts_sql(value: str) -> str:
+    return f"TIMESTAMP '{value}'"
+
+
+_PAYMENTS = f"""
+src_payments AS (
+  SELECT row_number() OVER (ORDER BY order_id) AS payment_id, order_id,
+         ['CARD', 'UPI', 'NETBANKING', 'WALLET'][1 + order_id % 4] AS payment_method,
+         CASE WHEN status = 'CANCELLED' THEN 'FAILED' ELSE 'SUCCESS' END AS payment_status,
+         order_date + to_minutes(CAST(order_id % 180 AS INTEGER)) AS payment_date
+  FROM src_orders)"""
+
+# Users kept by the e-mail de-duplication, and the star built from them.
+_DEDUP = """
+dedup_users AS (
+  SELECT u1.* FROM clean_users u1
+  WHERE NOT EXISTS (SELECT 1 FROM clean_users u2 WHERE u2.email = u1.email AND u1.user_id > u2.user_id)),
+dd_customer AS (
+  SELECT row_number() OVER (ORDER BY user_id) AS customer_key, user_id FROM dedup_users),
+dd_facts AS (
+  SELECT i.order_item_id
+  FROM src_items i
+  JOIN src_orders o ON o.order_id = i.order_id
+  JOIN dd_customer c ON c.user_id = o.user_id
+  JOIN src_products p ON p.product_id = i.product_id
+  WHERE o.status <> 'CANCELLED')"""
+
+
+def _log_sql() -> str:
+    phases = [
+        ("EXTRACT", "(SELECT COUNT(*) FROM src_orders)", "Incremental extract completed"),
+        ("TRANSFORM", "(SELECT COUNT(*) FROM dedup_users)", "Data cleansing and dedup completed"),
+        ("SCD_LOAD", "(SELECT COUNT(*) FROM dedup_users)", "SCD Type 1 and Type 2 completed"),
+        ("FACT_INCREMENTAL", "(SELECT COUNT(*) FROM dd_facts)", "Incremental fact load completed"),
+        ("RUN", "1", "ETL pipeline completed successfully"),
+    ]
+    rows = [
+        f"SELECT CAST({i + 1} AS BIGINT) AS etl_id, 'first-load' AS batch_id, '{ph}' AS phase, "
+        f"{_AS_OF} AS last_loaded_time, CAST({n} AS BIGINT) AS rows_affected, 'SUCCESS' AS status, "
+        f"'{msg}' AS message, {_AS_OF} AS created_at"
+        for i, (ph, n, msg) in enumerate(phases)
+    ]
+    return "\netl_log AS (\n  " + "\n  UNION ALL ".join(rows) + ")"
+
+
+def _scd2_sql() -> str:
+    tracked = ["name", "email", "city", "country"]
+    diff = " OR ".join(f"coalesce(o.{c}, '') <> coalesce(i.{c}, '')" for c in tracked)
+    cols = "customer_key, user_id, name, email, city, country"
+    return f"""
+old AS (
+  SELECT row_number() OVER (ORDER BY user_id) AS customer_key, user_id, name, email, city, country,
+         {_AS_OF} AS start_date, CAST(NULL AS TIMESTAMP) AS end_date, 1 AS is_active,
+         last_updated AS source_last_updated
+  FROM clean_users WHERE last_updated <= {_ts_sql(LOADED_UNTIL)}),
+inc AS (
+  SELECT user_id, name, email,
+         CASE WHEN country = '{RELOCATED_REGION}' THEN city || ' NCR' ELSE city END AS city,
+         country, last_updated
+  FROM clean_users WHERE last_updated > {_ts_sql(CHANGES_SINCE)}),
+flagged AS (
+  SELECT o.*, (i.user_id IS NOT NULL AND ({diff})) AS changed
+  FROM old o LEFT JOIN inc i ON o.user_id = i.user_id AND o.is_active = 1),
+kept AS (SELECT {cols}, start_date, end_date, is_active, source_last_updated FROM flagged WHERE NOT changed),
+closed AS (
+  SELECT {cols}, start_date, {_ts_sql(RUN2_TS)} AS end_date, 0 AS is_active, source_last_updated
+  FROM flagged WHERE changed),
+inserted AS (
+  SELECT (SELECT COALESCE(MAX(customer_key), 0) FROM old) + row_number() OVER (ORDER BY user_id) AS customer_key,
+         user_id, name, email, city, country, {_ts_sql(RUN2_TS)} AS start_date,
+         CAST(NULL AS TIMESTAMP) AS end_date, 1 AS is_active, last_updated AS source_last_updated
+  FROM inc WHERE user_id NOT IN (SELECT user_id FROM kept WHERE is_active = 1)),
+scd2 AS (SELECT * FROM kept UNION ALL SELECT * FROM closed UNION ALL SELECT * FROM inserted)"""
+
+
+def _reload_sql(keys: list[str]) -> str:
+    on = " AND ".join(f"e.{k} = c.{k}" for k in keys)
+    return _STAR_WITH.replace("WITH ", "WITH ", 1) + f""",
+existing AS (
+  SELECT sale_id, source_order_item_id,
+         CASE WHEN date_key >= {FACT_MOVED_FROM}
+              THEN CAST(strftime(strptime(CAST(date_key AS VARCHAR), '%Y%m%d') - INTERVAL 1 DAY, '%Y%m%d') AS INTEGER)
+              ELSE date_key END AS date_key
+  FROM fact_sales WHERE date_key < {FACT_LOADED_BEFORE}),
+fresh AS (
+  SELECT c.* FROM fact_rows c WHERE NOT EXISTS (SELECT 1 FROM existing e WHERE {on}))
+SELECT (SELECT COALESCE(MAX(sale_id), 0) FROM existing)
+         + row_number() OVER (ORDER BY source_order_item_id, date_key) AS sale_id,
+       source_order_item_id, customer_key, product_key, date_key, order_id, quantity, unit_price, total_amount,
+       {_ts_sql(RUN2_TS)} AS load_dts
+FROM fresh"""
+
+
+def _union_counts(items) -> str:
+    return "\nUNION ALL ".join(items)
+
+
 def oracle_sql() -> dict[str, str]:
     rev = _REV.format("f.total_amount")
+    src = _with(_SRC)
+    src_pay = _with(_SRC, _PAYMENTS)
+    user_cols = ["user_id", "name", "email", "city", "country", "created_at", "last_updated"]
+    limits = schemas.VARCHAR_LIMITS["users"]
+    staged_orders = f"SELECT order_id FROM src_orders WHERE last_updated > {_ts_sql(ORDERS_WATERMARK)}"
+    log_with = _with(_SRC, _DEDUP, _log_sql())
+    fk_sql = {
+        ("orders", "user_id", "users", "user_id"): ("src_orders", "src_users"),
+        ("order_items", "order_id", "orders", "order_id"): ("src_items", "src_orders"),
+        ("order_items", "product_id", "products", "product_id"): ("src_items", "src_products"),
+        ("payments", "order_id", "orders", "order_id"): ("src_payments", "src_orders"),
+    }
+    orphan_parts = [
+        f"SELECT '{c}.{cc} -> {p}.{pc}' AS relation, COUNT(*) AS orphan_rows FROM {fk_sql[(c, cc, p, pc)][0]} x "
+        f"WHERE x.{cc} IS NOT NULL AND NOT EXISTS (SELECT 1 FROM {fk_sql[(c, cc, p, pc)][1]} y WHERE y.{pc} = x.{cc})"
+        for c, cc, p, pc in schemas.FOREIGN_KEYS
+    ]
     return {
         "revenue_by_month": _STAR_WITH + f"""
 SELECT d.year_num, d.month_num, d.month_name, {rev} AS revenue
@@ -197,4 +584,128 @@ GROUP BY p.product_id, p.product_name, p.category
 ORDER BY units_sold DESC, sales_amount DESC, p.product_id NULLS FIRST, p.product_name NULLS FIRST,
          p.category NULLS FIRST
 LIMIT 10""",
+        "dim_date_build": src + f"""
+SELECT {_calendar('d')}
+FROM (SELECT DISTINCT CAST(order_date AS DATE) AS d FROM src_orders WHERE order_date IS NOT NULL)""",
+        "dim_date_incremental": src + f"""
+SELECT {_calendar('d')}
+FROM (SELECT DISTINCT CAST(order_date AS DATE) AS d FROM src_orders
+      WHERE order_date >= {_ts_sql(DIM_DATE_STAGED_FROM)}) st
+WHERE d NOT IN (SELECT DISTINCT CAST(order_date AS DATE) FROM src_orders
+                WHERE order_date < {_ts_sql(DIM_DATE_LOADED_BEFORE)})""",
+        "extract_orders_incremental": src + f"""
+SELECT * FROM src_orders WHERE last_updated > {_ts_sql(ORDERS_WATERMARK)}""",
+        "extract_users_incremental": src + f"""
+SELECT * FROM src_users WHERE last_updated > {_ts_sql(USERS_WATERMARK)}""",
+        "extract_items_semi": src + f"""
+SELECT i.* FROM src_items i WHERE i.order_id IN ({staged_orders})""",
+        "extract_payments_semi": src_pay + f"""
+SELECT p.* FROM src_payments p WHERE p.order_id IN ({staged_orders})""",
+        "clean_users": src + "\nSELECT * FROM clean_users",
+        "dedup_users": _with(_SRC, _DEDUP) + "\nSELECT * FROM dedup_users",
+        "scd1_upsert": src + f""",
+old AS (
+  SELECT row_number() OVER (ORDER BY product_id) AS product_key, product_id, product_name, category, price,
+         last_updated AS source_last_updated
+  FROM src_products WHERE last_updated <= {_ts_sql(LOADED_UNTIL)}),
+inc AS (
+  SELECT product_id, product_name, category, CAST(price + 100 AS DECIMAL(12,2)) AS price,
+         last_updated AS source_last_updated
+  FROM src_products WHERE last_updated > {_ts_sql(CHANGES_SINCE)})
+SELECT o.product_key, o.product_id,
+       CASE WHEN i.product_id IS NOT NULL THEN i.product_name ELSE o.product_name END AS product_name,
+       CASE WHEN i.product_id IS NOT NULL THEN i.category ELSE o.category END AS category,
+       CASE WHEN i.product_id IS NOT NULL THEN i.price ELSE o.price END AS price,
+       CASE WHEN i.product_id IS NOT NULL THEN i.source_last_updated ELSE o.source_last_updated END
+         AS source_last_updated
+FROM old o LEFT JOIN inc i ON i.product_id = o.product_id
+UNION ALL
+SELECT (SELECT COALESCE(MAX(product_key), 0) FROM old) + row_number() OVER (ORDER BY product_id) AS product_key,
+       product_id, product_name, category, price, source_last_updated
+FROM inc WHERE product_id NOT IN (SELECT product_id FROM old)""",
+        "scd2_apply": _with(_SRC, _scd2_sql()) + "\nSELECT * FROM scd2",
+        "scd2_active_unique": _with(_SRC, _scd2_sql()) + """
+SELECT COUNT(*) AS versions, CAST(SUM(is_active) AS BIGINT) AS active_rows,
+       COUNT(DISTINCT CASE WHEN is_active = 1 THEN user_id END) AS active_users,
+       COUNT(DISTINCT user_id) AS users
+FROM scd2""",
+        "dim_customer_load": _STAR_WITH + "\nSELECT * FROM dim_customer",
+        "fact_load": _STAR_WITH + "\nSELECT * FROM fact_sales",
+        "fact_load_idempotent": _reload_sql(["source_order_item_id", "date_key"]),
+        "fact_match_item_only": _reload_sql(["source_order_item_id"]),
+        "fact_range_label": _STAR_WITH + """
+SELECT CAST(date_key // 10000 AS INTEGER) AS sales_year,
+       CASE WHEN date_key < 20250101 THEN 'p_before_2025' WHEN date_key < 20260101 THEN 'p_2025'
+            WHEN date_key < 20270101 THEN 'p_2026' WHEN date_key < 20280101 THEN 'p_2027'
+            ELSE 'p_max' END AS range_partition,
+       COUNT(*) AS rows_in_partition, CAST(ROUND(SUM(total_amount), 2) AS DECIMAL(38,2)) AS revenue
+FROM fact_sales GROUP BY 1, 2""",
+        "fact_rejects": _with(_SRC, _DEDUP) + """
+SELECT i.order_id, i.product_id, i.quantity, i.price, o.user_id,
+       CASE WHEN c.user_id IS NULL THEN 'no active customer' ELSE 'unknown product' END AS reason
+FROM src_items i
+JOIN src_orders o ON o.order_id = i.order_id AND o.status <> 'CANCELLED'
+LEFT JOIN dd_customer c ON c.user_id = o.user_id
+LEFT JOIN src_products p ON p.product_id = i.product_id
+WHERE c.user_id IS NULL OR p.product_id IS NULL""",
+        "order_totals_refresh": src + """
+SELECT o.order_id, o.user_id, o.order_date,
+       CASE WHEN t.amt IS NOT NULL THEN CAST(t.amt AS DECIMAL(12,2)) ELSE o.total_amount END AS total_amount,
+       o.status, o.last_updated
+FROM src_orders o
+LEFT JOIN (SELECT order_id, ROUND(SUM(quantity * price), 2) AS amt FROM src_items GROUP BY order_id) t
+  ON t.order_id = o.order_id""",
+        "derive_payments": src_pay + "\nSELECT * FROM src_payments",
+        "point_update_price": src + """
+SELECT product_id, product_name, category,
+       CASE WHEN product_id = 20 THEN CAST(price + 100 AS DECIMAL(12,2)) ELSE price END AS price, last_updated
+FROM src_products""",
+        "point_update_user": src + """
+SELECT user_id, name, email,
+       CASE WHEN user_id = 101 THEN 'Delhi NCR' ELSE city END AS city,
+       CASE WHEN user_id = 101 THEN 'India' ELSE country END AS country, created_at, last_updated
+FROM src_users""",
+        "surrogate_keys": src + "\nSELECT * FROM src_items",
+        "check_unique": src + """
+SELECT email, COUNT(*) AS n FROM src_users GROUP BY email HAVING COUNT(*) > 1""",
+        "check_orphans": src_pay + "\n" + _union_counts(orphan_parts),
+        "check_not_null": src + "\n" + _union_counts(
+            f"SELECT '{c}' AS column_name, CAST(SUM(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS null_count "
+            f"FROM src_users" for c in user_cols),
+        "check_lengths": src + "\n" + _union_counts(
+            f"SELECT '{c}' AS column_name, CAST(SUM(CASE WHEN length({c}) > {n} THEN 1 ELSE 0 END) AS BIGINT) "
+            f"AS violations FROM src_users" for c, n in limits.items()),
+        "row_count_audit": _with(_SRC, _PAYMENTS, _STAR) + "\n" + _union_counts(
+            f"SELECT '{name}' AS table_name, COUNT(*) AS row_count FROM {rel}" for name, rel in [
+                ("users", "src_users"), ("products", "src_products"), ("orders", "src_orders"),
+                ("order_items", "src_items"), ("payments", "src_payments"), ("dim_customer", "dim_customer"),
+                ("dim_product", "dim_product"), ("dim_date", "dim_date"), ("fact_sales", "fact_sales")]),
+        "etl_batch_log": log_with + "\nSELECT * FROM etl_log",
+        "watermark": log_with + """,
+with_failed AS (
+  SELECT * FROM etl_log
+  UNION ALL
+  SELECT etl_id + 1, batch_id, phase, last_loaded_time + INTERVAL 1 HOUR, 0, 'FAILED',
+         'ETL failed and rolled back', created_at
+  FROM etl_log WHERE phase = 'RUN')
+SELECT COALESCE(MAX(last_loaded_time), TIMESTAMP '1900-01-01 00:00:00') AS last_loaded_time
+FROM with_failed WHERE status = 'SUCCESS'""",
+        "log_tail": log_with + """
+SELECT phase, status, rows_affected FROM etl_log ORDER BY etl_id DESC LIMIT 10""",
+        "stream_incremental_fact": _STAR_WITH + f""",
+feed AS (
+  SELECT event_id AS order_item_id, event_id AS order_id, user_id,
+         CAST(json_extract_string(props, '$.k') AS BIGINT) AS product_id, ts AS order_date,
+         1 AS quantity, CAST(value AS DECIMAL(12,2)) AS price
+  FROM events WHERE event_type = 'purchase'),
+rows AS (
+  SELECT e.order_item_id AS source_order_item_id, c.customer_key, p.product_key,
+         CAST(strftime(e.order_date, '%Y%m%d') AS INTEGER) AS date_key, e.order_id, e.quantity,
+         e.price AS unit_price, CAST(ROUND(e.quantity * e.price, 2) AS DECIMAL(14,2)) AS total_amount
+  FROM feed e
+  JOIN dim_customer c ON c.user_id = e.user_id AND c.is_active = 1
+  JOIN dim_product p ON p.product_id = e.product_id)
+SELECT row_number() OVER (ORDER BY source_order_item_id, date_key) AS sale_id, *,
+       {_ts_sql(STREAM_RUN_TS)} AS load_dts
+FROM rows""",
     }

@@ -52,3 +52,53 @@ def first_load(sources: dict[str, DataFrame], run_ts, dedup: bool = False, with_
     else:
         fact = cands.withColumn("load_dts", ts)
     return Star(dim_customer, dim_product, dim_date, fact, users)
+
+
+def batch_log(counts: dict[str, DataFrame], batch_id: str, run_ts, variant: str = "split") -> DataFrame:
+    """``etl_log`` rows of one successful batch from lazily computed counts
+    (each a one-row DataFrame with column ``n``): one row per phase, ids in
+    phase order, every stamp = ``run_ts``. Nothing is collected."""
+    from functools import reduce
+
+    from starmart.plans.pipeline import MESSAGES, PHASES
+
+    ts = F.lit(run_ts).cast("timestamp_ntz")
+    parts = []
+    for pos, phase in enumerate(PHASES[variant]):
+        n = counts[phase] if phase in counts else None
+        base = n.select(F.col("n").cast("long").alias("rows_affected")) if n is not None else \
+            n_one(counts)
+        parts.append(base.select(
+            F.lit(pos + 1).cast("long").alias("etl_id"), F.lit(batch_id).alias("batch_id"),
+            F.lit(phase).alias("phase"), ts.alias("last_loaded_time"), "rows_affected",
+            F.lit("SUCCESS").alias("status"), F.lit(MESSAGES[phase]).alias("message"), ts.alias("created_at"),
+        ))
+    return schemas.conform(reduce(DataFrame.unionByName, parts), schemas.ETL_LOG)
+
+
+def n_one(counts: dict[str, DataFrame]) -> DataFrame:
+    """The RUN row's constant 1, shaped like a count frame."""
+    any_frame = next(iter(counts.values()))
+    return any_frame.select(F.lit(1).cast("long").alias("rows_affected"))
+
+
+def _count(df: DataFrame) -> DataFrame:
+    return df.agg(F.count(F.lit(1)).alias("n"))
+
+
+def first_batch_log(sources: dict[str, DataFrame], run_ts, batch_id: str = "first-load",
+                    variant: str = "split") -> DataFrame:
+    """Log of a first batch with e-mail de-duplication, as the pipeline
+    would write it: EXTRACT = staged orders, TRANSFORM = users after
+    cleaning, SCD_LOAD = new customer versions, FACT_INCREMENTAL / LOAD =
+    facts inserted, RUN = 1."""
+    star = first_load(sources, run_ts, dedup=True, with_ids=False)
+    facts = _count(star.fact_sales)
+    counts = {
+        "EXTRACT": _count(sources["orders"]),
+        "TRANSFORM": _count(star.users),
+        "SCD_LOAD": _count(star.users),
+        "FACT_INCREMENTAL": facts,
+        "LOAD": facts,
+    }
+    return batch_log(counts, batch_id, run_ts, variant)
