@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from starmart import schemas
 from starmart.functions import sales_year
 from starmart.operators.clean import transform_users
-from starmart.operators.dims import apply_dim_date, scd1_upsert, scd2_split
+from starmart.operators.dims import new_dates, scd1_upsert, scd2_split
 from starmart.operators.extract import extract, high_watermark
 from starmart.operators.facts import MATCH_KEYS, fact_candidates, load_facts
 from starmart.operators.keys import assign_surrogate_keys
@@ -126,15 +126,21 @@ def run_staged(spark: SparkSession, wh: Warehouse, staged: dict[str, DataFrame],
         base_c = int(snap.max_keys.get("dim_customer", 0))
         base_p = int(snap.max_keys.get("dim_product", 0))
         base_s = int(snap.max_keys.get("fact_sales", 0))
-        wh.write(apply_dim_date(snap.dim_date, st["orders"]), "dim_date", seq, files=1)
-        wh.write(scd1_upsert(snap.dim_product, st["products"], base_key=F.lit(base_p)), "dim_product", seq)
-        scd2 = scd2_split(snap.dim_customer_active, users, _lit_ts(run_ts), F.lit(base_c))
-        wh.write(scd2.active, "dim_customer_active", seq)
-        wh.write(scd2.closed, "dim_customer_closed", seq)
-        active = wh.read("dim_customer_active", schemas.DIM_CUSTOMER, [seq]).drop(PART)
-        products = wh.read("dim_product", schemas.DIM_PRODUCT, [seq]).drop(PART)
+        wh.write(new_dates(st["orders"], snap.dim_date), "dim_date", seq, files=1)
+        if st["products"].limit(1).count():
+            wh.write(scd1_upsert(snap.dim_product, st["products"], base_key=F.lit(base_p)), "dim_product", seq)
+            products = wh.read("dim_product", schemas.DIM_PRODUCT, [seq]).drop(PART)
+        else:
+            products = snap.dim_product
+        if n_users:
+            scd2 = scd2_split(snap.dim_customer_active, users, _lit_ts(run_ts), F.lit(base_c))
+            wh.write(scd2.active, "dim_customer_active", seq)
+            wh.write(scd2.closed, "dim_customer_closed", seq)
+            active = wh.read("dim_customer_active", schemas.DIM_CUSTOMER, [seq]).drop(PART)
+        else:
+            active = snap.dim_customer_active
         new_versions = active.where(F.col("customer_key") > base_c)
-        n_versions = new_versions.count()
+        n_versions = new_versions.count() if n_users else 0
         if fail_at == "dims":
             raise BatchError("injected failure after dimension load")
 
@@ -150,7 +156,7 @@ def run_staged(spark: SparkSession, wh: Warehouse, staged: dict[str, DataFrame],
 
         # --- key state and commit
         keys = spark.createDataFrame([
-            ("dim_customer", max(base_c, _max_id(new_versions, "customer_key"))),
+            ("dim_customer", max(base_c, _max_id(new_versions, "customer_key") if n_versions else 0)),
             ("dim_product", max(base_p, _max_id(products, "product_key"))),
             ("fact_sales", max(base_s, _max_id(loaded, "sale_id"))),
         ], KEY_STATE)

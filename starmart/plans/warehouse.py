@@ -3,9 +3,9 @@
 Layout under ``root`` (every table is parquet, partitioned by ``batch_seq``):
 
     staging/<source>/batch_seq=N          staged rows of batch N (lineage cut)
-    dim_date/batch_seq=N                  full snapshot after batch N
-    dim_product/batch_seq=N               full snapshot after batch N
-    dim_customer_active/batch_seq=N       active versions after batch N
+    dim_date/batch_seq=N                  dates first seen by batch N (append-only)
+    dim_product/batch_seq=N               full snapshot, when batch N staged products
+    dim_customer_active/batch_seq=N       active versions, when batch N staged users
     dim_customer_closed/batch_seq=N       versions closed by batch N (append-only)
     fact_sales/batch_seq=N/sales_year=Y   facts inserted by batch N
     key_state/batch_seq=N                 (table_name, max_key) after batch N
@@ -13,10 +13,12 @@ Layout under ``root`` (every table is parquet, partitioned by ``batch_seq``):
     etl_log/batch_seq=N                   log rows of batch N, written last
 
 A batch is committed when its ``etl_log`` partition holds the RUN/SUCCESS
-row; that single small write is the commit point. Readers see the latest
-committed snapshot of each dimension and the facts of committed batches
-only, so a failed or half-written batch is invisible and a retry never
-overwrites a path a reader may be using.
+row; that single small write is the commit point. Readers see, of each
+snapshot table, the partition of the latest committed batch that wrote one,
+and of each append-only table the partitions of all committed batches; a
+failed or half-written batch is invisible and a retry never overwrites a
+path a reader may be using. A batch with no staged users or products does
+not rewrite those dimensions.
 """
 
 from __future__ import annotations
@@ -119,13 +121,20 @@ class Warehouse:
             seen.update(self._batches(t))
         return max(seen, default=0) + 1
 
+    def latest(self, table: str, committed: list[int]) -> list[int]:
+        """The latest committed batch that wrote ``table`` (as a 0/1 list)."""
+        have = set(self._batches(table)) & set(committed)
+        return [max(have)] if have else []
+
     def snapshot(self) -> Snapshot:
         committed = self.committed_batches()
         seq = committed[-1] if committed else 0
         last = [seq] if seq else []
-        dim_date = self.read("dim_date", schemas.DIM_DATE, last).select(*schemas.DIM_DATE.fieldNames())
-        dim_product = self.read("dim_product", schemas.DIM_PRODUCT, last).select(*schemas.DIM_PRODUCT.fieldNames())
-        active = self.read("dim_customer_active", schemas.DIM_CUSTOMER, last).select(*schemas.DIM_CUSTOMER.fieldNames())
+        dim_date = self.read("dim_date", schemas.DIM_DATE, committed).select(*schemas.DIM_DATE.fieldNames())
+        dim_product = self.read("dim_product", schemas.DIM_PRODUCT, self.latest("dim_product", committed)
+                                ).select(*schemas.DIM_PRODUCT.fieldNames())
+        active = self.read("dim_customer_active", schemas.DIM_CUSTOMER, self.latest("dim_customer_active", committed)
+                           ).select(*schemas.DIM_CUSTOMER.fieldNames())
         closed = self.read("dim_customer_closed", schemas.DIM_CUSTOMER, committed).select(*schemas.DIM_CUSTOMER.fieldNames())
         fact = self.read("fact_sales", schemas.FACT_SALES, committed, (PART, "sales_year"))
         fact = fact.select(*schemas.FACT_SALES.fieldNames(), "sales_year")
