@@ -359,7 +359,8 @@ _AS_OF = f"TIMESTAMP '{td.AS_OF}'"
 _SRC = f"""
 src_users AS (
   SELECT c.c_custkey AS user_id, c.c_name AS name,
-         'user' || CAST(c.c_custkey % 1200 AS VARCHAR) || '@example.com' AS email,
+         'user' || CAST(CASE WHEN c.c_custkey % 10 = 9 THEN c.c_custkey - 1 ELSE c.c_custkey END AS VARCHAR)
+           || '@example.com' AS email,
          CASE WHEN c.c_custkey % 20 = 0 THEN '' ELSE g.n_name END AS city,
          CASE WHEN c.c_custkey % 25 = 0 THEN NULL ELSE g.r_name END AS country,
          {_AS_OF} - to_days(CAST(c.c_custkey % 365 AS INTEGER)) AS created_at,

@@ -41,7 +41,8 @@ def apply_dim_date(dim_date: DataFrame, staged_orders: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------- D2 SCD-1 product
-def scd1_upsert(dim_product: DataFrame, staged_products: DataFrame, base_key: Column | int | None = None) -> DataFrame:
+def scd1_upsert(dim_product: DataFrame, staged_products: DataFrame, base_key: Column | int | None = None,
+                row_bound: int | None = None) -> DataFrame:
     """``INSERT ... ON DUPLICATE KEY UPDATE`` on ``product_id``.
 
     Known products take every incoming attribute (no change detection, an
@@ -63,7 +64,7 @@ def scd1_upsert(dim_product: DataFrame, staged_products: DataFrame, base_key: Co
     base = max_key(dim_product, "product_key") if base_key is None else base_key
     known = merged.where(F.col("product_key").isNotNull())
     fresh = assign_surrogate_keys(merged.where(F.col("product_key").isNull()).drop("product_key"),
-                                  ["product_id"], "product_key", base=base)
+                                  ["product_id"], "product_key", base=base, row_bound=row_bound)
     return schemas.conform(known.unionByName(fresh), schemas.DIM_PRODUCT)
 
 
@@ -74,7 +75,8 @@ class Scd2Result(NamedTuple):
     inserted: DataFrame  # the new versions alone (also inside ``active``)
 
 
-def scd2_split(active: DataFrame, staged_users: DataFrame, run_ts, base_key: Column | int) -> Scd2Result:
+def scd2_split(active: DataFrame, staged_users: DataFrame, run_ts, base_key: Column | int,
+               row_bound: int | None = None) -> Scd2Result:
     """SCD-2 over the active rows only.
 
     D3: an active row whose tracked attributes differ from the staged user
@@ -109,7 +111,8 @@ def scd2_split(active: DataFrame, staged_users: DataFrame, run_ts, base_key: Col
         F.col("last_updated").alias("source_last_updated"),
     )
     inserted = schemas.conform(
-        assign_surrogate_keys(inserts, ["user_id"], "customer_key", base=base_key), schemas.DIM_CUSTOMER
+        assign_surrogate_keys(inserts, ["user_id"], "customer_key", base=base_key, row_bound=row_bound),
+        schemas.DIM_CUSTOMER
     )
     next_active = schemas.conform(still_active, schemas.DIM_CUSTOMER).unionByName(inserted)
     return Scd2Result(next_active, schemas.conform(closed, schemas.DIM_CUSTOMER), inserted)

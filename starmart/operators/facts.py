@@ -87,12 +87,13 @@ def not_yet_loaded(candidates: DataFrame, existing_fact: DataFrame, match_on: st
 
 
 def load_facts(candidates: DataFrame, existing_fact: DataFrame, run_ts, match_on: str = "split",
-               base_sale_id: Column | int | None = None) -> DataFrame:
+               base_sale_id: Column | int | None = None, row_bound: int | None = None) -> DataFrame:
     """New ``fact_sales`` rows: not-yet-loaded candidates with the next
     ``sale_id`` values (in natural-key order) and ``load_dts = run_ts``."""
     fresh = not_yet_loaded(candidates, existing_fact, match_on)
     base = max_key(existing_fact, "sale_id") if base_sale_id is None else base_sale_id
-    keyed = assign_surrogate_keys(fresh, ["source_order_item_id", "date_key"], "sale_id", base=base)
+    keyed = assign_surrogate_keys(fresh, ["source_order_item_id", "date_key"], "sale_id", base=base,
+                                  row_bound=row_bound)
     return schemas.conform(keyed.withColumn("load_dts", _ts(run_ts)), schemas.FACT_SALES)
 
 

@@ -17,10 +17,12 @@ shuffle output:
 Both passes must see the same range partitioning. Spark samples the range
 bounds afresh for every exchange (the sampling seed depends on the RDD), so
 two branches of one plan can disagree. The partitioned, sorted and tagged
-rows are therefore materialized once with a reliable ``checkpoint()`` into
-the session's checkpoint directory, and both passes read that copy. The
-numbering is then fixed data: task retries and executor loss cannot change
-it.
+rows are therefore written once as a parquet table under the session's
+checkpoint directory, and both passes read that copy. The numbering is then
+fixed data: task retries and executor loss cannot change it.
+
+A batch whose size is bounded (the pipeline knows its staged row counts)
+is numbered by one window in a single task instead: one pass, no write.
 """
 
 from __future__ import annotations
@@ -43,24 +45,40 @@ def max_key(df: DataFrame, key_col: str) -> Column:
     return df.agg(F.coalesce(F.max(key_col), F.lit(0)).cast("long")).scalar()
 
 
+# Largest row count numbered in a single task (a proven bound is required).
+SINGLE_TASK_ROWS = 2_000_000
+
+
 def assign_surrogate_keys(df: DataFrame, natural_key: list[str], key_col: str,
-                          base: Column | int = 0, num_partitions: int | None = None) -> DataFrame:
+                          base: Column | int = 0, num_partitions: int | None = None,
+                          row_bound: int | None = None) -> DataFrame:
     """Add ``key_col`` = ``base`` + dense 1-based rank of ``natural_key``.
 
     ``natural_key`` must be unique in ``df`` (staging is validated for it);
     ``base`` is an int or a scalar column such as ``max_key(existing, key)``.
     The result is in key order within range partitions.
+
+    ``row_bound`` is an upper bound on ``len(df)`` the caller has proven (e.g.
+    the row count of the staged batch the rows come from); without one the
+    rows are counted. At most ``SINGLE_TASK_ROWS`` rows are numbered by one
+    window in one task, in a single pass - the usual case for an hourly
+    batch. Above it the distributed two-pass numbering below is used.
     """
-    from starmart.session import ensure_checkpoint_dir
+    base_col = F.lit(base) if isinstance(base, int) else base
+    if row_bound is None:
+        row_bound = df.count()
+    if row_bound <= SINGLE_TASK_ROWS:
+        order = Window.orderBy(*natural_key)
+        return df.withColumn(key_col, (base_col + F.row_number().over(order)).cast("long"))
+
+    from starmart.session import materialize
 
-    ensure_checkpoint_dir(df.sparkSession)
     n = _partitions(df, num_partitions)
-    ranged = (
+    ranged = materialize(
         df.repartitionByRange(n, *natural_key)
         .sortWithinPartitions(*natural_key)
         .withColumn(_PART, F.spark_partition_id())
         .withColumn(_ROW, F.monotonically_increasing_id())
-        .checkpoint(eager=True)
     )
     # One row per range partition: bounded by n, safe to broadcast, and the
     # running sum over it runs in a single task by design.
@@ -70,7 +88,6 @@ def assign_surrogate_keys(df: DataFrame, natural_key: list[str], key_col: str,
     # monotonically_increasing_id puts the partition id in the upper 31 bits
     # and the row number within the partition in the lower 33 bits.
     local = F.col(_ROW) - F.shiftleft(F.col(_PART).cast("long"), 33)
-    base_col = F.lit(base) if isinstance(base, int) else base
     keyed = ranged.join(F.broadcast(offsets), _PART).withColumn(
         key_col, (base_col + F.col("_k1_before") + local + F.lit(1)).cast("long")
     )

@@ -12,6 +12,8 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
@@ -66,13 +68,24 @@ def _lit_ts(ts: dt.datetime):
 
 def check_staging(staged: dict[str, DataFrame]) -> None:
     """Staged frames must be unique on their keys before they are joined
-    (parquet enforces no primary key; a duplicate would fan out the joins)."""
-    problems = []
-    for name, keys in schemas.PRIMARY_KEYS.items():
-        if name in staged and duplicate_keys(staged[name], keys).limit(1).count():
-            problems.append(f"{name}: duplicate {keys}")
+    (parquet enforces no primary key; a duplicate would fan out the joins).
+    All tables are checked in one job."""
+    parts = [
+        duplicate_keys(staged[name], keys).limit(1).select(F.lit(f"{name}: duplicate {keys}").alias("problem"))
+        for name, keys in schemas.PRIMARY_KEYS.items() if name in staged
+    ]
+    problems = [r[0] for r in reduce(DataFrame.unionByName, parts).collect()]
     if problems:
-        raise BatchError("staging validation failed: " + "; ".join(problems))
+        raise BatchError("staging validation failed: " + "; ".join(sorted(problems)))
+
+
+def parallel(*jobs):
+    """Run independent Spark actions (writes) from concurrent driver threads,
+    so small jobs share the cluster instead of queueing; re-raise the first
+    failure."""
+    with ThreadPoolExecutor(max_workers=max(1, len(jobs))) as pool:
+        futures = [pool.submit(j) for j in jobs]
+        return [f.result() for f in futures]
 
 
 def _log_rows(spark, wh: Warehouse, seq, batch_id, entries, run_ts, base_id: int) -> DataFrame:
@@ -94,11 +107,11 @@ def _max_id(df: DataFrame, col: str) -> int:
 def run_staged(spark: SparkSession, wh: Warehouse, staged: dict[str, DataFrame], *, run_ts=None,
                batch_id: str | None = None, variant: str = "split", match_on: str | None = None,
                swallow: bool = False, fail_at: str | None = None, validate: bool = True,
-               case_insensitive_dedup: bool = False) -> BatchResult:
+               case_insensitive_dedup: bool = False, snapshot=None) -> BatchResult:
     """Load already-staged frames (any of the five sources; missing ones are
     empty) as one batch. ``fail_at`` ("transform", "dims", "fact") raises at
     that point, for failure tests."""
-    snap = wh.snapshot()
+    snap = snapshot or wh.snapshot()
     seq = wh.next_seq()
     run_ts = run_ts or now_ts()
     batch_id = batch_id or str(uuid.uuid4())
@@ -106,14 +119,19 @@ def run_staged(spark: SparkSession, wh: Warehouse, staged: dict[str, DataFrame],
     base_etl = _max_id(snap.etl_log, "etl_id")
     try:
         # --- stage: write and read back (the staging tables)
-        for name, schema in schemas.SOURCES.items():
+        def stage(name, schema):
             df = staged.get(name)
             df = schemas.empty(spark, schema) if df is None else schemas.conform(df, schema)
-            wh.write(df, f"staging/{name}", seq)
+            return lambda: wh.write(df, f"staging/{name}", seq)
+
+        parallel(*[stage(n, s) for n, s in schemas.SOURCES.items()])
         st = {n: wh.read(f"staging/{n}", s, [seq]).drop(PART) for n, s in schemas.SOURCES.items()}
         if validate:
             check_staging(st)
-        n_orders = st["orders"].count()
+        # Row counts of written parquet come from file footers; they bound
+        # every later step's output size.
+        n_orders, n_items, n_products = parallel(
+            st["orders"].count, st["order_items"].count, st["products"].count)
 
         # --- transform
         wh.write(transform_users(st["users"], case_insensitive_dedup), "staging/users_clean", seq)
@@ -126,19 +144,18 @@ def run_staged(spark: SparkSession, wh: Warehouse, staged: dict[str, DataFrame],
         base_c = int(snap.max_keys.get("dim_customer", 0))
         base_p = int(snap.max_keys.get("dim_product", 0))
         base_s = int(snap.max_keys.get("fact_sales", 0))
-        wh.write(new_dates(st["orders"], snap.dim_date), "dim_date", seq, files=1)
-        if st["products"].limit(1).count():
-            wh.write(scd1_upsert(snap.dim_product, st["products"], base_key=F.lit(base_p)), "dim_product", seq)
-            products = wh.read("dim_product", schemas.DIM_PRODUCT, [seq]).drop(PART)
-        else:
-            products = snap.dim_product
+        jobs = [lambda: wh.write(new_dates(st["orders"], snap.dim_date), "dim_date", seq, files=1)]
+        if n_products:
+            upsert = scd1_upsert(snap.dim_product, st["products"], base_key=F.lit(base_p), row_bound=n_products)
+            jobs.append(lambda: wh.write(upsert, "dim_product", seq))
         if n_users:
-            scd2 = scd2_split(snap.dim_customer_active, users, _lit_ts(run_ts), F.lit(base_c))
-            wh.write(scd2.active, "dim_customer_active", seq)
-            wh.write(scd2.closed, "dim_customer_closed", seq)
-            active = wh.read("dim_customer_active", schemas.DIM_CUSTOMER, [seq]).drop(PART)
-        else:
-            active = snap.dim_customer_active
+            scd2 = scd2_split(snap.dim_customer_active, users, _lit_ts(run_ts), F.lit(base_c), row_bound=n_users)
+            jobs.append(lambda: wh.write(scd2.active, "dim_customer_active", seq))
+            jobs.append(lambda: wh.write(scd2.closed, "dim_customer_closed", seq))
+        parallel(*jobs)
+        products = wh.read("dim_product", schemas.DIM_PRODUCT, [seq]).drop(PART) if n_products else snap.dim_product
+        active = (wh.read("dim_customer_active", schemas.DIM_CUSTOMER, [seq]).drop(PART) if n_users
+                  else snap.dim_customer_active)
         new_versions = active.where(F.col("customer_key") > base_c)
         n_versions = new_versions.count() if n_users else 0
         if fail_at == "dims":
@@ -146,7 +163,8 @@ def run_staged(spark: SparkSession, wh: Warehouse, staged: dict[str, DataFrame],
 
         # --- fact (D5)
         cands = fact_candidates(st["order_items"], st["orders"], active, products)
-        facts = load_facts(cands, snap.fact_sales, _lit_ts(run_ts), match_on, base_sale_id=F.lit(base_s))
+        facts = load_facts(cands, snap.fact_sales, _lit_ts(run_ts), match_on, base_sale_id=F.lit(base_s),
+                           row_bound=n_items)
         wh.write(facts.withColumn("sales_year", sales_year("date_key")), "fact_sales", seq,
                  partition_by=["sales_year"])
         loaded = wh.read("fact_sales", schemas.FACT_SALES, [seq], (PART, "sales_year"))
@@ -188,9 +206,10 @@ def run_batch(spark: SparkSession, sources: dict[str, DataFrame], root: str, **k
     a row changed while the batch runs is picked up by the next one.
     """
     wh = Warehouse(spark, root)
-    watermark = high_watermark(wh.snapshot().etl_log).first()[0]
+    snap = wh.snapshot()
+    watermark = high_watermark(snap.etl_log).first()[0]
     staged = extract(sources, watermark)
-    return run_staged(spark, wh, staged, **kwargs)
+    return run_staged(spark, wh, staged, snapshot=snap, **kwargs)
 
 
 __all__ = ["BatchError", "BatchResult", "MATCH_KEYS", "run_batch", "run_staged", "check_staging",

@@ -62,3 +62,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     local = tempfile.mkdtemp(prefix="starmart-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(local)
     return local
+
+
+def materialize(df):
+    """Write ``df`` as a parquet table under the session's checkpoint
+    directory (the shared folder on a cluster) and read it back: cuts the
+    lineage and freezes nondeterministic columns in one columnar write."""
+    import uuid
+
+    spark = df.sparkSession
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{base}/tables/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.parquet(path)

@@ -169,10 +169,21 @@ def test_moved_order_date_split_vs_combined(spark):
 
 def test_surrogate_keys_match_row_number(spark):
     df = spark.range(0, 5000).select((F.col("id") % 37).alias("a"), (F.col("id") * 7919 % 5000).alias("b"))
-    keyed = assign_surrogate_keys(df, ["a", "b"], "k", base=10, num_partitions=7)
     ref = df.withColumn("r", F.row_number().over(Window.orderBy("a", "b")) + 10)
-    assert keyed.join(ref, ["a", "b"]).where("k != r").count() == 0
-    assert keyed.select(F.countDistinct("k"), F.min("k"), F.max("k")).first() == (5000, 11, 5010)
+    for bound in (None, 10 ** 12):  # single-task window, distributed numbering
+        keyed = assign_surrogate_keys(df, ["a", "b"], "k", base=10, num_partitions=7, row_bound=bound)
+        assert keyed.join(ref, ["a", "b"]).where("k != r").count() == 0
+        assert keyed.select(F.countDistinct("k"), F.min("k"), F.max("k")).first() == (5000, 11, 5010)
+
+
+def test_surrogate_keys_distributed_over_join_input(spark):
+    # Input downstream of a shuffle: the numbering must still be dense.
+    left = spark.range(0, 4000).select(F.col("id").alias("a"), (F.col("id") % 50).alias("g"))
+    right = spark.range(0, 50).select(F.col("id").alias("g"), (F.col("id") * 3).alias("w"))
+    df = left.join(right.hint("shuffle_hash"), "g").select("a", "w")
+    keyed = assign_surrogate_keys(df, ["a"], "k", num_partitions=5, row_bound=10 ** 12)
+    assert keyed.select(F.countDistinct("k"), F.min("k"), F.max("k")).first() == (4000, 1, 4000)
+    assert keyed.where("k != a + 1").count() == 0
 
 
 def test_surrogate_keys_skewed_leading_column(spark):
@@ -180,8 +191,9 @@ def test_surrogate_keys_skewed_leading_column(spark):
     # full key still splits them.
     df = spark.range(0, 3000).select(F.when(F.col("id") < 1000, 0).otherwise(F.col("id")).alias("a"),
                                      F.col("id").alias("b"))
-    keyed = assign_surrogate_keys(df, ["a", "b"], "k", num_partitions=6)
-    sizes = keyed.groupBy(F.spark_partition_id()).count().collect()
+    keyed = assign_surrogate_keys(df, ["a", "b"], "k", num_partitions=6, row_bound=10 ** 12)
+    ranged = df.repartitionByRange(6, "a", "b")
+    sizes = ranged.groupBy(F.spark_partition_id()).count().collect()
     assert max(r["count"] for r in sizes) <= 1000
     assert keyed.select(F.countDistinct("k")).first()[0] == 3000
 
