@@ -9,6 +9,10 @@ from starmart import schemas
 from starmart.functions import date_key, line_amount, not_cancelled, range_label, sales_year
 from starmart.operators.keys import assign_surrogate_keys, max_key
 
+# Largest batch whose keys are broadcast (the bound must be proven, e.g. the
+# staged item count); above it the joins are left to Spark's own size checks.
+BROADCAST_ROWS = 2_000_000
+
 # Which columns identify an already-loaded fact.
 MATCH_KEYS = {
     "split": ["source_order_item_id", "date_key"],   # the declared unique key
@@ -66,31 +70,36 @@ def fact_rejects(staged_items: DataFrame, staged_orders: DataFrame, dim_customer
     return items.withColumn("reason", reason).where(F.col("reason").isNotNull()).drop("_has_c", "_has_p")
 
 
-def not_yet_loaded(candidates: DataFrame, existing_fact: DataFrame, match_on: str = "split") -> DataFrame:
+def not_yet_loaded(candidates: DataFrame, existing_fact: DataFrame, match_on: str = "split",
+                   row_bound: int | None = None) -> DataFrame:
     """Candidates whose match key is not in the fact table.
 
     The existing fact is first reduced to the keys it shares with the batch
-    (a semi join, which Spark runs as a broadcast of the batch keys when
-    they are measured small, scanning the fact once without shuffling it),
-    then the batch is anti-joined against that small remainder. When the
-    fact is partitioned by ``sales_year`` the semi join on the batch's years
-    lets dynamic partition pruning skip untouched years.
+    (a semi join against the batch keys, broadcast when ``row_bound`` proves
+    the batch small: the fact is scanned once and never shuffled), then the
+    batch is anti-joined against that remainder, which is no larger than the
+    batch. When the fact is partitioned by ``sales_year``, a semi join on
+    the batch's years - a broadcast, there are only as many rows as calendar
+    years - lets dynamic partition pruning skip the untouched years.
     """
     keys = MATCH_KEYS[match_on]
+    small = row_bound is not None and row_bound <= BROADCAST_ROWS
     batch_keys = candidates.select(*keys)
+    if small:
+        batch_keys = F.broadcast(batch_keys)
     existing = existing_fact
     if "sales_year" in existing_fact.columns and "date_key" in keys:
         years = candidates.select(sales_year("date_key").alias("sales_year")).distinct()
-        existing = existing.join(years, "sales_year", "left_semi")
+        existing = existing.join(F.broadcast(years), "sales_year", "left_semi")
     already = existing.select(*keys).join(batch_keys, keys, "left_semi")
-    return candidates.join(already, keys, "left_anti")
+    return candidates.join(F.broadcast(already) if small else already, keys, "left_anti")
 
 
 def load_facts(candidates: DataFrame, existing_fact: DataFrame, run_ts, match_on: str = "split",
                base_sale_id: Column | int | None = None, row_bound: int | None = None) -> DataFrame:
     """New ``fact_sales`` rows: not-yet-loaded candidates with the next
     ``sale_id`` values (in natural-key order) and ``load_dts = run_ts``."""
-    fresh = not_yet_loaded(candidates, existing_fact, match_on)
+    fresh = not_yet_loaded(candidates, existing_fact, match_on, row_bound=row_bound)
     base = max_key(existing_fact, "sale_id") if base_sale_id is None else base_sale_id
     keyed = assign_surrogate_keys(fresh, ["source_order_item_id", "date_key"], "sale_id", base=base,
                                   row_bound=row_bound)

@@ -43,6 +43,7 @@ MESSAGES = {
     RUN: "ETL pipeline completed successfully",
 }
 FAILED_MESSAGE = "ETL failed and rolled back"
+
 ERROR_MESSAGE = "SQL exception occurred, transaction rolled back"
 
 
@@ -162,7 +163,10 @@ def run_staged(spark: SparkSession, wh: Warehouse, staged: dict[str, DataFrame],
             raise BatchError("injected failure after dimension load")
 
         # --- fact (D5)
-        cands = fact_candidates(st["order_items"], st["orders"], active, products)
+        # Candidates are written once: the idempotency check reads them three
+        # times and must not re-scan the dimensions each time.
+        wh.write(fact_candidates(st["order_items"], st["orders"], active, products), "staging/fact_candidates", seq)
+        cands = wh.read("staging/fact_candidates", schemas.FACT_CANDIDATES, [seq]).drop(PART)
         facts = load_facts(cands, snap.fact_sales, _lit_ts(run_ts), match_on, base_sale_id=F.lit(base_s),
                            row_bound=n_items)
         wh.write(facts.withColumn("sales_year", sales_year("date_key")), "fact_sales", seq,

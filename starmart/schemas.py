@@ -137,6 +137,9 @@ FACT_SALES = T.StructType([
     _f("load_dts", TS, False),
 ])
 
+# Fact rows before they get a sale_id and load stamp.
+FACT_CANDIDATES = T.StructType([f for f in FACT_SALES.fields if f.name not in ("sale_id", "load_dts")])
+
 ETL_LOG = T.StructType([
     _f("etl_id", T.LongType(), False),
     _f("batch_id", T.StringType(), False),

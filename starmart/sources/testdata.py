@@ -109,11 +109,14 @@ _KEYED: dict = {}
 
 
 def _memo(spark: SparkSession, sf_dir: str, name: str, build):
-    """Keyed adapter tables are fixed functions of the driver tables; their
-    numbering is materialized (checkpointed) once per session and reused."""
+    """Keyed adapter tables are fixed functions of the driver tables; they
+    are written once per session under the checkpoint directory and read
+    back from there by every later query."""
+    from starmart.session import materialize
+
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _KEYED:
-        _KEYED[key] = build()
+        _KEYED[key] = materialize(build())
     return _KEYED[key]
 
 
