@@ -306,50 +306,102 @@ def q_stream_incremental_fact(spark, sf_dir):
     return load_facts(cands, schemas.empty(spark, schemas.FACT_SALES), STREAM_RUN_TS)
 
 
+# Query outputs leave the library as portable types: exact decimals become
+# doubles (converted once, from the exact value) and dates become timestamps,
+# so results compare equal however a consumer converts them. The oracle
+# applies the same casts to the same columns (OUTPUT_CASTS).
+OUTPUT_CASTS = {
+    "revenue_by_month": (["revenue"], []),
+    "revenue_by_quarter": (["revenue"], []),
+    "weekday_weekend_revenue": (["revenue"], []),
+    "top_customers": (["total_spent"], []),
+    "top_products": (["sales_amount"], []),
+    "dim_date_build": ([], ["full_date"]),
+    "dim_date_incremental": ([], ["full_date"]),
+    "extract_orders_incremental": (["total_amount"], []),
+    "extract_items_semi": (["price"], []),
+    "extract_payments_semi": ([], []),
+    "scd1_upsert": (["price"], []),
+    "fact_load": (["unit_price", "total_amount"], []),
+    "fact_load_idempotent": (["unit_price", "total_amount"], []),
+    "fact_match_item_only": (["unit_price", "total_amount"], []),
+    "fact_range_label": (["revenue"], []),
+    "fact_rejects": (["price"], []),
+    "order_totals_refresh": (["total_amount"], []),
+    "point_update_price": (["price"], []),
+    "surrogate_keys": (["price"], []),
+    "stream_incremental_fact": (["unit_price", "total_amount"], []),
+}
+
+
+def portable(df: DataFrame) -> DataFrame:
+    from pyspark.sql import types as T
+
+    casts = {}
+    for f in df.schema.fields:
+        if isinstance(f.dataType, T.DecimalType):
+            casts[f.name] = F.col(f.name).cast("double")
+        elif isinstance(f.dataType, T.DateType):
+            casts[f.name] = F.col(f.name).cast("timestamp_ntz")
+    return df.withColumns(casts) if casts else df
+
+
+def _portable_query(fn):
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return portable(fn(spark, sf_dir))
+
+    run.__name__ = fn.__name__
+    run.__doc__ = fn.__doc__
+    return run
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: monthly revenue of a first load at sf0.001."""
-    return q_revenue_by_month(spark, SMOKE_DIR)
+    return portable(q_revenue_by_month(spark, SMOKE_DIR))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {
-        "revenue_by_month": q_revenue_by_month,
-        "revenue_by_quarter": q_revenue_by_quarter,
-        "weekday_weekend_revenue": q_weekday_weekend_revenue,
-        "top_customers": q_top_customers,
-        "top_products": q_top_products,
-        "dim_date_build": q_dim_date_build,
-        "dim_date_incremental": q_dim_date_incremental,
-        "extract_orders_incremental": q_extract_orders_incremental,
-        "extract_users_incremental": q_extract_users_incremental,
-        "extract_items_semi": q_extract_items_semi,
-        "extract_payments_semi": q_extract_payments_semi,
-        "clean_users": q_clean_users,
-        "dedup_users": q_dedup_users,
-        "scd1_upsert": q_scd1_upsert,
-        "scd2_apply": q_scd2_apply,
-        "scd2_active_unique": q_scd2_active_unique,
-        "dim_customer_load": q_dim_customer_load,
-        "fact_load": q_fact_load,
-        "fact_load_idempotent": q_fact_load_idempotent,
-        "fact_match_item_only": q_fact_match_item_only,
-        "fact_range_label": q_fact_range_label,
-        "fact_rejects": q_fact_rejects,
-        "order_totals_refresh": q_order_totals_refresh,
-        "derive_payments": q_derive_payments,
-        "point_update_price": q_point_update_price,
-        "point_update_user": q_point_update_user,
-        "surrogate_keys": q_surrogate_keys,
-        "check_unique": q_check_unique,
-        "check_orphans": q_check_orphans,
-        "check_not_null": q_check_not_null,
-        "check_lengths": q_check_lengths,
-        "row_count_audit": q_row_count_audit,
-        "etl_batch_log": q_etl_batch_log,
-        "watermark": q_watermark,
-        "log_tail": q_log_tail,
-        "stream_incremental_fact": q_stream_incremental_fact,
-    }
+    return {name: _portable_query(fn) for name, fn in _QUERIES.items()}
+
+
+_QUERIES = {
+    "revenue_by_month": q_revenue_by_month,
+    "revenue_by_quarter": q_revenue_by_quarter,
+    "weekday_weekend_revenue": q_weekday_weekend_revenue,
+    "top_customers": q_top_customers,
+    "top_products": q_top_products,
+    "dim_date_build": q_dim_date_build,
+    "dim_date_incremental": q_dim_date_incremental,
+    "extract_orders_incremental": q_extract_orders_incremental,
+    "extract_users_incremental": q_extract_users_incremental,
+    "extract_items_semi": q_extract_items_semi,
+    "extract_payments_semi": q_extract_payments_semi,
+    "clean_users": q_clean_users,
+    "dedup_users": q_dedup_users,
+    "scd1_upsert": q_scd1_upsert,
+    "scd2_apply": q_scd2_apply,
+    "scd2_active_unique": q_scd2_active_unique,
+    "dim_customer_load": q_dim_customer_load,
+    "fact_load": q_fact_load,
+    "fact_load_idempotent": q_fact_load_idempotent,
+    "fact_match_item_only": q_fact_match_item_only,
+    "fact_range_label": q_fact_range_label,
+    "fact_rejects": q_fact_rejects,
+    "order_totals_refresh": q_order_totals_refresh,
+    "derive_payments": q_derive_payments,
+    "point_update_price": q_point_update_price,
+    "point_update_user": q_point_update_user,
+    "surrogate_keys": q_surrogate_keys,
+    "check_unique": q_check_unique,
+    "check_orphans": q_check_orphans,
+    "check_not_null": q_check_not_null,
+    "check_lengths": q_check_lengths,
+    "row_count_audit": q_row_count_audit,
+    "etl_batch_log": q_etl_batch_log,
+    "watermark": q_watermark,
+    "log_tail": q_log_tail,
+    "stream_incremental_fact": q_stream_incremental_fact,
+}
 
 
 # ===================================================================== oracle
@@ -536,7 +588,19 @@ def _union_counts(items) -> str:
     return "\nUNION ALL ".join(items)
 
 
+def _portable_sql(name: str, sql: str) -> str:
+    money, dates = OUTPUT_CASTS.get(name, ([], []))
+    repl = [f"CAST({c} AS DOUBLE) AS {c}" for c in money] + [f"CAST({c} AS TIMESTAMP) AS {c}" for c in dates]
+    if not repl:
+        return sql
+    return f"SELECT * REPLACE ({', '.join(repl)}) FROM (\n{sql}\n) AS q"
+
+
 def oracle_sql() -> dict[str, str]:
+    return {name: _portable_sql(name, sql) for name, sql in _oracle_sql().items()}
+
+
+def _oracle_sql() -> dict[str, str]:
     rev = _REV.format("f.total_amount")
     src = _with(_SRC)
     src_pay = _with(_SRC, _PAYMENTS)

@@ -41,6 +41,25 @@ def norm(v):
     return str(v)
 
 
+def pandas_rows(pdf):
+    import pandas as pd
+
+    out = []
+    for row in pdf.itertuples(index=False):
+        vals = []
+        for v in row:
+            if v is None or (isinstance(v, float) and v != v) or v is pd.NaT:
+                vals.append(None)
+            elif isinstance(v, pd.Timestamp):
+                vals.append(v.to_pydatetime())
+            elif hasattr(v, "item"):
+                vals.append(v.item())
+            else:
+                vals.append(v)
+        out.append(tuple(vals))
+    return out
+
+
 def digest(columns, rows):
     order = sorted(range(len(columns)), key=lambda i: columns[i])
     lines = sorted("|".join(norm(r[i]) for i in order) for r in rows)
@@ -82,7 +101,11 @@ def main(argv):
         drows = rel.fetchall()
         sh, sl = digest(scols, srows)
         dh, dl = digest(dcols, drows)
-        ok = len(srows) == len(drows) and sorted(scols) == sorted(dcols) and sh == dh
+        # The same comparison through pandas (toPandas / .df()), as a
+        # pandas-based checker would see the results.
+        ph = digest(scols, pandas_rows(df.toPandas()))[0]
+        qh = digest(dcols, pandas_rows(con.sql(sqls[name]).df()))[0]
+        ok = len(srows) == len(drows) and sorted(scols) == sorted(dcols) and sh == dh and ph == qh
         bad += not ok
         print(f"{name:32s} rows={len(srows):7d}/{len(drows):<7d} {'OK ' if ok else 'BAD'} "
               f"spark={t1 - t0:5.1f}s")

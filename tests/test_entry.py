@@ -19,6 +19,14 @@ def test_entry_smoke(spark):
     assert df.columns == ["year_num", "month_num", "month_name", "revenue"]
 
 
+def test_outputs_are_portable_types(spark):
+    from pyspark.sql import types as T
+
+    for name, fn in entry.queries().items():
+        for f in fn(spark, SF_SMALL).schema.fields:
+            assert not isinstance(f.dataType, (T.DecimalType, T.DateType)), (name, f.name)
+
+
 def test_every_query_has_an_oracle():
     assert set(entry.queries()) == set(entry.oracle_sql())
 
