@@ -34,10 +34,15 @@ _PART = "_k1_part"
 _ROW = "_k1_row"
 
 
-def _partitions(df: DataFrame, num_partitions: int | None) -> int:
+def _partitions(df: DataFrame, num_partitions: int | None, rows: int | None = None) -> int:
+    """Range partitions: as given, else enough to keep each near
+    ``ROWS_PER_RANGE`` rows and never fewer than the shuffle partitions."""
     if num_partitions:
         return int(num_partitions)
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if rows:
+        n = max(n, -(-rows // ROWS_PER_RANGE))
+    return n
 
 
 def max_key(df: DataFrame, key_col: str) -> Column:
@@ -47,6 +52,8 @@ def max_key(df: DataFrame, key_col: str) -> Column:
 
 # Largest row count numbered in a single task (a proven bound is required).
 SINGLE_TASK_ROWS = 2_000_000
+# Target rows per range partition on the distributed path.
+ROWS_PER_RANGE = 4_000_000
 
 
 def assign_surrogate_keys(df: DataFrame, natural_key: list[str], key_col: str,
@@ -73,7 +80,7 @@ def assign_surrogate_keys(df: DataFrame, natural_key: list[str], key_col: str,
 
     from starmart.session import materialize
 
-    n = _partitions(df, num_partitions)
+    n = _partitions(df, num_partitions, row_bound)
     ranged = materialize(
         df.repartitionByRange(n, *natural_key)
         .sortWithinPartitions(*natural_key)

@@ -25,11 +25,22 @@ def orphans(child: DataFrame, parent: DataFrame, child_col: str, parent_col: str
     return child.where(F.col(child_col).isNotNull()).join(keys, child_col, "left_anti")
 
 
+def orphan_count(child: DataFrame, parent: DataFrame, child_col: str, parent_col: str | None = None) -> DataFrame:
+    """Q2 as a count: the child is first reduced to (key, rows) - map-side
+    combined, so a key held by a third of the rows costs one row per task -
+    and only those distinct keys meet the parent."""
+    parent_col = parent_col or child_col
+    per_key = child.where(F.col(child_col).isNotNull()).groupBy(child_col).agg(F.count(F.lit(1)).alias("_n"))
+    keys = parent.select(F.col(parent_col).alias(child_col))
+    missing = per_key.join(keys, child_col, "left_anti")
+    return missing.agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("orphan_rows"))
+
+
 def orphan_summary(tables: dict[str, DataFrame], relations) -> DataFrame:
     """Q2 over several relations: one row per (child.col -> parent.col) with
     its orphan count."""
     parts = [
-        orphans(tables[c], tables[p], cc, pc).agg(F.count(F.lit(1)).alias("orphan_rows"))
+        orphan_count(tables[c], tables[p], cc, pc)
         .select(F.lit(f"{c}.{cc} -> {p}.{pc}").alias("relation"), "orphan_rows")
         for c, cc, p, pc in relations
     ]

@@ -40,6 +40,20 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
     return spark
 
 
+def scale_conf(input_bytes: int, cores: int, target_partition_bytes: int = 256 << 20) -> dict:
+    """Settings sized to the input: initial shuffle partitions so that each
+    holds about ``target_partition_bytes`` (AQE then coalesces small ones),
+    at least two per core; scan splits of 256 MiB. For a 100 TB input on
+    1,000 executors this gives ~400k shuffle partitions of ~256 MiB."""
+    parts = max(2 * cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(256 << 20),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+    }
+
+
 def apply_conf(spark: SparkSession) -> None:
     """Pin the runtime-settable parts of ``BASE_CONF`` on an existing session."""
     for k, v in BASE_CONF.items():

@@ -133,3 +133,13 @@ def test_combined_variant_phases(spark, tmp_path):
     src = freeze(generate(spark), str(tmp_path / "src"), spark)
     r = run_batch(spark, src, str(tmp_path / "wh"), run_ts=AS_OF + H, variant="combined")
     assert r.rows == {"EXTRACT": 2500, "TRANSFORM": 1000, "LOAD": 4500, "RUN": 1}
+
+
+def test_overlap_restages_but_adds_nothing(spark, tmp_path):
+    src = freeze(generate(spark), str(tmp_path / "src"), spark)
+    root = str(tmp_path / "wh")
+    run_batch(spark, src, root, run_ts=AS_OF + H)
+    r = run_batch(spark, src, root, run_ts=AS_OF + 2 * H, overlap=dt.timedelta(days=400))
+    assert r.rows["EXTRACT"] == 2500 and r.rows["FACT_INCREMENTAL"] == 0 and r.rows["SCD_LOAD"] == 0
+    s = Warehouse(spark, root).snapshot()
+    assert s.fact_sales.count() == 4500 and s.dim_customer.count() == 1000 and s.dim_date.count() == 365
