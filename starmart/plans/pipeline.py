@@ -24,8 +24,7 @@ from starmart.functions import sales_year
 from starmart.operators.clean import transform_users
 from starmart.operators.dims import new_dates, scd1_upsert, scd2_split
 from starmart.operators.extract import extract, high_watermark
-from starmart.operators.facts import MATCH_KEYS, fact_candidates, load_facts
-from starmart.operators.keys import assign_surrogate_keys
+from starmart.operators.facts import fact_candidates, load_facts
 from starmart.operators.quality import duplicate_keys
 from starmart.plans.warehouse import FAILED, KEY_STATE, PART, RUN, SUCCESS, Warehouse
 
@@ -245,6 +244,3 @@ def run_batch(spark: SparkSession, sources: dict[str, DataFrame], root: str,
     staged = extract(sources, watermark)
     return run_staged(spark, wh, staged, snapshot=snap, **kwargs)
 
-
-__all__ = ["BatchError", "BatchResult", "MATCH_KEYS", "run_batch", "run_staged", "check_staging",
-           "assign_surrogate_keys"]

@@ -11,6 +11,7 @@ Layout under ``root`` (every table is parquet, partitioned by ``batch_seq``):
     key_state/batch_seq=N                 (table_name, max_key) after batch N
     etl_error_log/batch_seq=N             error rows of a failed batch N
     etl_log/batch_seq=N                   log rows of batch N, written last
+    compaction/batch_seq=N                (table_name, covers_through) of a compaction
 
 A batch is committed when its ``etl_log`` partition holds the RUN/SUCCESS
 row; that single small write is the commit point. Readers see, of each
@@ -18,7 +19,9 @@ snapshot table, the partition of the latest committed batch that wrote one,
 and of each append-only table the partitions of all committed batches; a
 failed or half-written batch is invisible and a retry never overwrites a
 path a reader may be using. A batch with no staged users or products does
-not rewrite those dimensions.
+not rewrite those dimensions. A compaction (``plans.compaction``) rewrites
+the append-only tables of all committed batches into one partition of its
+own; readers then skip the batches it covers.
 """
 
 from __future__ import annotations
@@ -48,6 +51,7 @@ class Snapshot(NamedTuple):
     etl_log: DataFrame
     etl_error_log: DataFrame
     max_keys: dict             # table_name -> max key handed out
+    dim_customer_closed: DataFrame | None = None  # closed versions only
 
 
 class Warehouse:
@@ -121,6 +125,25 @@ class Warehouse:
             seen.update(self._batches(t))
         return max(seen, default=0) + 1
 
+    def compactions(self, committed: list[int]) -> dict[str, tuple[int, int]]:
+        """table -> (compaction batch, last batch it covers), latest first."""
+        out: dict[str, tuple[int, int]] = {}
+        if not committed or not self._exists("compaction"):
+            return out
+        for r in self.read("compaction", COMPACTION, committed).collect():
+            t, seq, through = r["table_name"], r[PART], r["covers_through"]
+            if t not in out or seq > out[t][0]:
+                out[t] = (seq, through)
+        return out
+
+    def live(self, table: str, committed: list[int], comps: dict) -> list[int]:
+        """Committed batches whose partition of an append-only table is
+        current: those after the latest compaction, and the compaction."""
+        if table not in comps:
+            return committed
+        _, through = comps[table]
+        return [b for b in committed if b > through]
+
     def latest(self, table: str, committed: list[int]) -> list[int]:
         """The latest committed batch that wrote ``table`` (as a 0/1 list)."""
         have = set(self._batches(table)) & set(committed)
@@ -130,23 +153,32 @@ class Warehouse:
         committed = self.committed_batches()
         seq = committed[-1] if committed else 0
         last = [seq] if seq else []
-        dim_date = self.read("dim_date", schemas.DIM_DATE, committed).select(*schemas.DIM_DATE.fieldNames())
+        comps = self.compactions(committed)
+        dim_date = self.read("dim_date", schemas.DIM_DATE, self.live("dim_date", committed, comps)
+                             ).select(*schemas.DIM_DATE.fieldNames())
         dim_product = self.read("dim_product", schemas.DIM_PRODUCT, self.latest("dim_product", committed)
                                 ).select(*schemas.DIM_PRODUCT.fieldNames())
         active = self.read("dim_customer_active", schemas.DIM_CUSTOMER, self.latest("dim_customer_active", committed)
                            ).select(*schemas.DIM_CUSTOMER.fieldNames())
-        closed = self.read("dim_customer_closed", schemas.DIM_CUSTOMER, committed).select(*schemas.DIM_CUSTOMER.fieldNames())
-        fact = self.read("fact_sales", schemas.FACT_SALES, committed, (PART, "sales_year"))
+        closed = self.read("dim_customer_closed", schemas.DIM_CUSTOMER,
+                           self.live("dim_customer_closed", committed, comps)).select(*schemas.DIM_CUSTOMER.fieldNames())
+        fact = self.read("fact_sales", schemas.FACT_SALES, self.live("fact_sales", committed, comps),
+                         (PART, "sales_year"))
         fact = fact.select(*schemas.FACT_SALES.fieldNames(), "sales_year")
         log = self.read("etl_log", schemas.ETL_LOG).select(*schemas.ETL_LOG.fieldNames())
         errors = self.read("etl_error_log", schemas.ETL_ERROR_LOG).select(*schemas.ETL_ERROR_LOG.fieldNames())
         keys = {}
         if seq:
             keys = {r["table_name"]: r["max_key"] for r in self.read(
-                "key_state", KEY_STATE, last).collect()}
+                "key_state", KEY_STATE, self.latest("key_state", committed)).collect()}
         return Snapshot(seq, committed, dim_date, dim_product, active, closed.unionByName(active),
-                        fact, log, errors, keys)
+                        fact, log, errors, keys, closed)
+
 
+COMPACTION = T.StructType([
+    T.StructField("table_name", T.StringType(), False),
+    T.StructField("covers_through", T.IntegerType(), False),
+])
 
 KEY_STATE = T.StructType([
     T.StructField("table_name", T.StringType(), False),

@@ -20,7 +20,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starmart import schemas
 from starmart.plans.pipeline import BatchResult, run_staged
 from starmart.plans.warehouse import RUN, SUCCESS, Warehouse
 from starmart.sources.testdata import purchases_as_orders
@@ -80,5 +79,3 @@ def start_feed_stream(spark: SparkSession, landing_dir: str, root: str, checkpoi
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=every)
     return writer.start()
 
-
-__all__ = ["EVENTS", "load_micro_batch", "start_feed_stream", "split_feed", "schemas"]
