@@ -46,3 +46,20 @@ def test_fact_load_reads_only_needed_columns(spark):
     s = entry._star(spark, SF_SMALL)
     p = plan(analytics.weekday_weekend_revenue(s.fact_sales, s.dim_date))
     assert "l_shipdate" not in p and "l_suppkey" not in p
+
+
+def test_watermark_prunes_date_partitioned_sources(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from starmart import schemas
+    from starmart.operators.extract import changed_since
+    from starmart.sources.oltp import read_table, write_sources
+
+    src = td.sources(spark, SF_SMALL, with_item_ids=False)
+    write_sources({"orders": src["orders"]}, str(tmp_path), date_partitioned=True)
+    orders = read_table(spark, str(tmp_path / "orders.parquet"), schemas.ORDERS)
+    staged = changed_since(orders, "2001-07-01 00:00:00")
+    p = plan(staged)
+    assert "PartitionFilters: [isnotnull(last_updated_date" in p and ">= 2001-07-01" in p
+    want = src["orders"].where(F.col("last_updated") > F.lit("2001-07-01 00:00:00").cast("timestamp_ntz")).count()
+    assert staged.count() == want
