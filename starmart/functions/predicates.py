@@ -22,16 +22,16 @@ def is_blank(c) -> Column:
     return col.isNull() | (F.trim(col) == F.lit(""))
 
 
-def any_changed(old: str, new: str, columns) -> Column:
+def any_changed(old: str, new: str, columns, collation: str | None = None) -> Column:
     """True when any attribute differs between the ``old`` and ``new`` side,
     treating NULL and ``''`` as equal: OR over ``COALESCE(o,'') <>
-    COALESCE(n,'')``. Deliberately not ``~eqNullSafe``."""
-    diffs = [
-        F.coalesce(F.col(f"{old}.{c}").cast("string"), F.lit(""))
-        != F.coalesce(F.col(f"{new}.{c}").cast("string"), F.lit(""))
-        for c in columns
-    ]
-    return reduce(or_, diffs)
+    COALESCE(n,'')``. Deliberately not ``~eqNullSafe``. With ``collation``
+    (e.g. ``"UNICODE_CI_AI"``) the strings compare under that collation."""
+    def side(prefix, c):
+        v = F.coalesce(F.col(f"{prefix}.{c}").cast("string"), F.lit(""))
+        return F.collate(v, collation) if collation else v
+
+    return reduce(or_, [side(old, c) != side(new, c) for c in columns])
 
 
 def not_cancelled(status="status") -> Column:

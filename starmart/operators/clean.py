@@ -16,7 +16,7 @@ def fill_unknown(df: DataFrame, columns=("country", "city"), value: str = UNKNOW
 
 
 def dedup_by_email(df: DataFrame, email: str = "email", user_id: str = "user_id",
-                   case_insensitive: bool = False) -> DataFrame:
+                   case_insensitive: bool = False, collation: str | None = None) -> DataFrame:
     """Delete every row for which another row has the same e-mail and a
     smaller user id: the survivors of each e-mail are its minimum-id rows.
 
@@ -24,9 +24,15 @@ def dedup_by_email(df: DataFrame, email: str = "email", user_id: str = "user_id"
     per-e-mail minimum is a map-side-combined aggregate, and the join back
     is an equi join on e-mail (AQE splits a hot e-mail). Rows with a NULL
     e-mail or NULL id never match anything and are kept, as in SQL.
-    ``case_insensitive=True`` compares lower-cased e-mails.
+    ``case_insensitive=True`` compares lower-cased e-mails; ``collation``
+    (e.g. ``"UNICODE_CI_AI"``, case- and accent-insensitive) compares under a
+    Spark collation instead (grouping then plans a sort aggregate).
     """
-    key = F.lower(F.col(email)) if case_insensitive else F.col(email)
+    key = F.col(email)
+    if collation:
+        key = F.collate(key, collation)
+    elif case_insensitive:
+        key = F.lower(key)
     keyed = df.withColumn("_dedup_key", key)
     firsts = keyed.where(F.col("_dedup_key").isNotNull()).groupBy("_dedup_key").agg(
         F.min(user_id).alias("_dedup_min")
@@ -47,6 +53,7 @@ def dropped_by_dedup(df: DataFrame, cleaned: DataFrame, user_id: str = "user_id"
     return df.join(cleaned.select(user_id), user_id, "left_anti")
 
 
-def transform_users(staged_users: DataFrame, case_insensitive: bool = False) -> DataFrame:
+def transform_users(staged_users: DataFrame, case_insensitive: bool = False,
+                    collation: str | None = None) -> DataFrame:
     """Fill blanks first, then de-duplicate (the reference order)."""
-    return dedup_by_email(fill_unknown(staged_users), case_insensitive=case_insensitive)
+    return dedup_by_email(fill_unknown(staged_users), case_insensitive=case_insensitive, collation=collation)

@@ -76,7 +76,7 @@ class Scd2Result(NamedTuple):
 
 
 def scd2_split(active: DataFrame, staged_users: DataFrame, run_ts, base_key: Column | int,
-               row_bound: int | None = None) -> Scd2Result:
+               row_bound: int | None = None, collation: str | None = None) -> Scd2Result:
     """SCD-2 over the active rows only.
 
     D3: an active row whose tracked attributes differ from the staged user
@@ -93,7 +93,7 @@ def scd2_split(active: DataFrame, staged_users: DataFrame, run_ts, base_key: Col
     # run as a broadcast of the staged side, without shuffling the dimension.
     j = a.join(s, F.col("a.user_id") == F.col("s.user_id"), "left")
     matched = F.col("s.user_id").isNotNull()
-    changed = matched & any_changed("a", "s", CUSTOMER_TRACKED)
+    changed = matched & any_changed("a", "s", CUSTOMER_TRACKED, collation)
     cols = [F.col(f"a.{f.name}") for f in schemas.DIM_CUSTOMER.fields]
     flagged = j.select(*cols, changed.alias("_changed"), (matched & ~changed).alias("_kept"))
     closed = flagged.where("_changed").drop("_changed", "_kept").withColumns(
@@ -119,12 +119,12 @@ def scd2_split(active: DataFrame, staged_users: DataFrame, run_ts, base_key: Col
 
 
 def scd2_apply(dim_customer: DataFrame, staged_users: DataFrame, run_ts,
-               base_key: Column | int | None = None) -> DataFrame:
+               base_key: Column | int | None = None, collation: str | None = None) -> DataFrame:
     """Full next snapshot of ``dim_customer`` (all versions)."""
     active = dim_customer.where(F.col("is_active") == 1)
     history = dim_customer.where(~(F.col("is_active") == 1) | F.col("is_active").isNull())
     base = max_key(dim_customer, "customer_key") if base_key is None else base_key
-    r = scd2_split(active, staged_users, run_ts, base)
+    r = scd2_split(active, staged_users, run_ts, base, collation=collation)
     return schemas.conform(history, schemas.DIM_CUSTOMER).unionByName(r.closed).unionByName(r.active)
 
 

@@ -122,10 +122,13 @@ def _max_id(df: DataFrame, col: str) -> int:
 def run_staged(spark: SparkSession, wh: Warehouse, staged: dict[str, DataFrame], *, run_ts=None,
                batch_id: str | None = None, variant: str = "split", match_on: str | None = None,
                swallow: bool = False, fail_at: str | None = None, validate: bool = True,
-               case_insensitive_dedup: bool = False, snapshot=None) -> BatchResult:
+               case_insensitive_dedup: bool = False, collation: str | None = None,
+               snapshot=None) -> BatchResult:
     """Load already-staged frames (any of the five sources; missing ones are
     empty) as one batch. ``fail_at`` ("transform", "dims", "fact") raises at
-    that point, for failure tests."""
+    that point, for failure tests. ``collation`` (e.g. ``"UNICODE_CI_AI"``)
+    makes the e-mail de-duplication and the SCD-2 change test compare strings
+    case- and accent-insensitively; the default is binary comparison."""
     snap = snapshot or wh.snapshot()
     seq = wh.next_seq()
     run_ts = run_ts or now_ts()
@@ -151,7 +154,7 @@ def run_staged(spark: SparkSession, wh: Warehouse, staged: dict[str, DataFrame],
         clock.lap("stage")
 
         # --- transform
-        wh.write(transform_users(st["users"], case_insensitive_dedup), "staging/users_clean", seq)
+        wh.write(transform_users(st["users"], case_insensitive_dedup, collation), "staging/users_clean", seq)
         users = wh.read("staging/users_clean", schemas.USERS, [seq]).drop(PART)
         n_users = users.count()
         clock.lap("transform")
@@ -167,7 +170,8 @@ def run_staged(spark: SparkSession, wh: Warehouse, staged: dict[str, DataFrame],
             upsert = scd1_upsert(snap.dim_product, st["products"], base_key=F.lit(base_p), row_bound=n_products)
             jobs.append(lambda: wh.write(upsert, "dim_product", seq))
         if n_users:
-            scd2 = scd2_split(snap.dim_customer_active, users, _lit_ts(run_ts), F.lit(base_c), row_bound=n_users)
+            scd2 = scd2_split(snap.dim_customer_active, users, _lit_ts(run_ts), F.lit(base_c), row_bound=n_users,
+                              collation=collation)
             jobs.append(lambda: wh.write(scd2.active, "dim_customer_active", seq))
             jobs.append(lambda: wh.write(scd2.closed, "dim_customer_closed", seq))
         parallel(*jobs)

@@ -250,3 +250,12 @@ def test_csv_permissive_reports_bad_rows(spark, tmp_path):
     df = read_table(spark, str(p), schemas.PRODUCTS, fmt="csv", mode="PERMISSIVE").cache()
     assert csv_clean(df).count() == 1 and csv_rejects(df).count() == 1
     df.unpersist()
+
+
+def test_collation_option(spark):
+    df = users_df(spark, [(1, "a@x", "Delhi", "k"), (2, "A@X", "c", "k"), (3, "b@x", "c", "k")])
+    assert sorted(r.user_id for r in dedup_by_email(df, collation="UNICODE_CI_AI").collect()) == [1, 3]
+    dim = initial_customers(users_df(spark, [(1, "a@x", "Delhi", "India")]), T0)
+    staged = users_df(spark, [(1, "a@x", "délhi", "INDIA")])
+    assert scd2_apply(dim, staged, dt.datetime(2026, 2, 1), collation="UNICODE_CI_AI").count() == 1
+    assert scd2_apply(dim, staged, dt.datetime(2026, 2, 1)).count() == 2
