@@ -61,21 +61,36 @@ def apply_conf(spark: SparkSession) -> None:
             spark.conf.set(k, v)
 
 
+_LOCAL_CKPT: dict = {}
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the checkpoint directory, setting a local one only when the
     session has none (tests and local runs). On a cluster the shared folder
     named by ``spark.checkpoint.dir`` is used as given."""
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = sc.getConf().get("spark.checkpoint.dir", None)
-    if configured:
-        sc.setCheckpointDir(configured)
-        return configured
-    local = tempfile.mkdtemp(prefix="starmart-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    sc.setCheckpointDir(local)
-    return local
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a Spark Connect session has no local context
+        sc = None
+    if sc is not None:
+        current = sc.getCheckpointDir()
+        if current:
+            return current
+        configured = sc.getConf().get("spark.checkpoint.dir", None)
+    else:
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+    path = configured or _LOCAL_CKPT.get("dir")
+    if not path:
+        path = tempfile.mkdtemp(prefix="starmart-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+        _LOCAL_CKPT["dir"] = path
+    if sc is not None:
+        sc.setCheckpointDir(path)
+    return path
+
+
+def session_key(spark: SparkSession) -> str:
+    """Identifier of the running application (for per-session caches)."""
+    return spark.conf.get("spark.app.id", None) or str(id(spark))
 
 
 def materialize(df):

@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from starmart.functions import money, shift_days
 from starmart.operators.keys import assign_surrogate_keys
+from starmart.session import session_key
 
 # Fixed values of the adapter (shared with the SQL oracle).
 AS_OF = "2001-09-01 00:00:00"
@@ -50,7 +51,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Driver table ``name``; the (lazy) scan is reused per session and path
     so its footer is read once."""
     path = os.path.join(sf_dir, f"{name}.parquet")
-    key = (spark.sparkContext.applicationId, path)
+    key = (session_key(spark), path)
     if key not in _READS:
         _READS[key] = spark.read.parquet(path)
     return _READS[key]
@@ -114,7 +115,7 @@ def _memo(spark: SparkSession, sf_dir: str, name: str, build):
     back from there by every later query."""
     from starmart.session import materialize
 
-    key = (spark.sparkContext.applicationId, sf_dir, name)
+    key = (session_key(spark), sf_dir, name)
     if key not in _KEYED:
         _KEYED[key] = materialize(build())
     return _KEYED[key]
