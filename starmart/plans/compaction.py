@@ -1,7 +1,8 @@
 """Compaction of the append-only tables.
 
 Hourly batches leave one partition per batch in ``fact_sales``,
-``dim_customer_closed`` and ``dim_date``: many small files, and a growing
+``dim_customer_versions``, ``dim_customer_closed`` and ``dim_date``: many
+small files, and a growing
 list of directories every read must enumerate. ``compact`` rewrites the
 current content of those tables into one new partition, as a committed
 batch of its own; readers then skip every batch it covers. Nothing is
@@ -20,7 +21,7 @@ from starmart.operators.extract import high_watermark
 from starmart.plans.pipeline import BatchResult, _log_rows, _max_id, parallel
 from starmart.plans.warehouse import COMPACTION, KEY_STATE, RUN, SUCCESS, Warehouse
 
-APPEND_ONLY = ("fact_sales", "dim_customer_closed", "dim_date")
+APPEND_ONLY = ("fact_sales", "dim_customer_versions", "dim_customer_closed", "dim_date")
 ROWS_PER_FILE = 5_000_000
 
 
@@ -38,7 +39,8 @@ def compact(spark: SparkSession, root: str, rows_per_file: int = ROWS_PER_FILE,
     # The log rows of a compaction keep the current watermark: compaction
     # extracts nothing and must not move it.
     watermark = high_watermark(snap.etl_log).first()[0]
-    n_fact, n_closed = parallel(snap.fact_sales.count, snap.dim_customer_closed.count)
+    n_fact, n_closed, n_active = parallel(snap.fact_sales.count, snap.dim_customer_closed.count,
+                                          snap.dim_customer_active.count)
 
     # Range keys end in a unique id, so even a day holding a third of all
     # facts is spread over many output files.
@@ -46,9 +48,13 @@ def compact(spark: SparkSession, root: str, rows_per_file: int = ROWS_PER_FILE,
             .sortWithinPartitions("sales_year", "date_key", "sale_id"))
     closed = (snap.dim_customer_closed.repartitionByRange(_files(n_closed, rows_per_file), "customer_key")
               .sortWithinPartitions("customer_key"))
+    # The active set becomes the new base of the opened versions.
+    active = (snap.dim_customer_active.repartitionByRange(_files(n_active, rows_per_file), "customer_key")
+              .sortWithinPartitions("customer_key"))
     parallel(
         lambda: wh.write(fact, "fact_sales", seq, partition_by=["sales_year"]),
         lambda: wh.write(closed, "dim_customer_closed", seq),
+        lambda: wh.write(active, "dim_customer_versions", seq),
         lambda: wh.write(snap.dim_date, "dim_date", seq, files=1),
     )
     entries = spark.createDataFrame([(t, through) for t in APPEND_ONLY], COMPACTION)

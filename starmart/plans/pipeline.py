@@ -26,7 +26,7 @@ from starmart.operators.dims import new_dates, scd1_upsert, scd2_split
 from starmart.operators.extract import extract, high_watermark
 from starmart.operators.facts import fact_candidates, load_facts
 from starmart.operators.quality import duplicate_keys
-from starmart.plans.warehouse import FAILED, KEY_STATE, PART, RUN, SUCCESS, Warehouse
+from starmart.plans.warehouse import FAILED, KEY_STATE, PART, RUN, SUCCESS, Warehouse, close_versions
 
 # Phases logged per successful batch, by variant.
 PHASES = {
@@ -172,14 +172,17 @@ def run_staged(spark: SparkSession, wh: Warehouse, staged: dict[str, DataFrame],
         if n_users:
             scd2 = scd2_split(snap.dim_customer_active, users, _lit_ts(run_ts), F.lit(base_c), row_bound=n_users,
                               collation=collation)
-            jobs.append(lambda: wh.write(scd2.active, "dim_customer_active", seq))
+            jobs.append(lambda: wh.write(scd2.inserted, "dim_customer_versions", seq))
             jobs.append(lambda: wh.write(scd2.closed, "dim_customer_closed", seq))
         parallel(*jobs)
         products = wh.read("dim_product", schemas.DIM_PRODUCT, [seq]).drop(PART) if n_products else snap.dim_product
-        active = (wh.read("dim_customer_active", schemas.DIM_CUSTOMER, [seq]).drop(PART) if n_users
-                  else snap.dim_customer_active)
-        new_versions = active.where(F.col("customer_key") > base_c)
-        n_versions = new_versions.count() if n_users else 0
+        if n_users:
+            opened = wh.read("dim_customer_versions", schemas.DIM_CUSTOMER, [seq]).drop(PART)
+            closed_now = wh.read("dim_customer_closed", schemas.DIM_CUSTOMER, [seq]).drop(PART)
+            active = close_versions(snap.dim_customer_active, closed_now).unionByName(opened)
+        else:
+            active = snap.dim_customer_active
+        n_versions = opened.count() if n_users else 0
         clock.lap("dimensions")
         if fail_at == "dims":
             raise BatchError("injected failure after dimension load")

@@ -5,7 +5,7 @@ Layout under ``root`` (every table is parquet, partitioned by ``batch_seq``):
     staging/<source>/batch_seq=N          staged rows of batch N (lineage cut)
     dim_date/batch_seq=N                  dates first seen by batch N (append-only)
     dim_product/batch_seq=N               full snapshot, when batch N staged products
-    dim_customer_active/batch_seq=N       active versions, when batch N staged users
+    dim_customer_versions/batch_seq=N     customer versions opened by batch N (append-only)
     dim_customer_closed/batch_seq=N       versions closed by batch N (append-only)
     fact_sales/batch_seq=N/sales_year=Y   facts inserted by batch N
     key_state/batch_seq=N                 (table_name, max_key) after batch N
@@ -19,9 +19,13 @@ snapshot table, the partition of the latest committed batch that wrote one,
 and of each append-only table the partitions of all committed batches; a
 failed or half-written batch is invisible and a retry never overwrites a
 path a reader may be using. A batch with no staged users or products does
-not rewrite those dimensions. A compaction (``plans.compaction``) rewrites
-the append-only tables of all committed batches into one partition of its
-own; readers then skip the batches it covers.
+not rewrite those dimensions. The customer dimension is merge-on-read:
+a batch appends only the versions it opens and the rows it closes, and the
+active set is read as the opened versions minus the closed keys - an hourly
+batch writes what changed, never the whole dimension. A compaction
+(``plans.compaction``) rewrites the append-only tables of all committed
+batches into one partition of its own (the active set becomes the new base
+of ``dim_customer_versions``); readers then skip the batches it covers.
 """
 
 from __future__ import annotations
@@ -121,7 +125,7 @@ class Warehouse:
 
     def next_seq(self) -> int:
         seen = set(self._batches("etl_log"))
-        for t in ("staging/orders", "dim_date", "fact_sales", "dim_customer_active"):
+        for t in ("staging/orders", "dim_date", "fact_sales", "dim_customer_versions"):
             seen.update(self._batches(t))
         return max(seen, default=0) + 1
 
@@ -144,6 +148,14 @@ class Warehouse:
         _, through = comps[table]
         return [b for b in committed if b > through]
 
+    def since_compaction(self, table: str, committed: list[int], comps: dict) -> list[int]:
+        """Committed batches after the latest compaction of ``table``,
+        excluding the compaction itself."""
+        if table not in comps:
+            return committed
+        seq_c, through = comps[table]
+        return [b for b in committed if b > through and b != seq_c]
+
     def latest(self, table: str, committed: list[int]) -> list[int]:
         """The latest committed batch that wrote ``table`` (as a 0/1 list)."""
         have = set(self._batches(table)) & set(committed)
@@ -158,10 +170,16 @@ class Warehouse:
                              ).select(*schemas.DIM_DATE.fieldNames())
         dim_product = self.read("dim_product", schemas.DIM_PRODUCT, self.latest("dim_product", committed)
                                 ).select(*schemas.DIM_PRODUCT.fieldNames())
-        active = self.read("dim_customer_active", schemas.DIM_CUSTOMER, self.latest("dim_customer_active", committed)
-                           ).select(*schemas.DIM_CUSTOMER.fieldNames())
+        cols = schemas.DIM_CUSTOMER.fieldNames()
+        versions = self.read("dim_customer_versions", schemas.DIM_CUSTOMER,
+                             self.live("dim_customer_versions", committed, comps)).select(*cols)
         closed = self.read("dim_customer_closed", schemas.DIM_CUSTOMER,
-                           self.live("dim_customer_closed", committed, comps)).select(*schemas.DIM_CUSTOMER.fieldNames())
+                           self.live("dim_customer_closed", committed, comps)).select(*cols)
+        # Versions closed since the last compaction (the compacted base holds
+        # active versions only).
+        recent = self.read("dim_customer_closed", schemas.DIM_CUSTOMER,
+                           self.since_compaction("dim_customer_closed", committed, comps))
+        active = close_versions(versions, recent)
         fact = self.read("fact_sales", schemas.FACT_SALES, self.live("fact_sales", committed, comps),
                          (PART, "sales_year"))
         fact = fact.select(*schemas.FACT_SALES.fieldNames(), "sales_year")
@@ -180,6 +198,11 @@ COMPACTION = T.StructType([
     T.StructField("covers_through", T.IntegerType(), False),
 ])
 
+def close_versions(versions: DataFrame, closed: DataFrame) -> DataFrame:
+    """Active set = opened versions whose key was not closed since."""
+    return versions.join(closed.select("customer_key"), "customer_key", "left_anti")
+
+
 KEY_STATE = T.StructType([
     T.StructField("table_name", T.StringType(), False),
     T.StructField("max_key", T.LongType(), False),
