@@ -179,7 +179,7 @@ def run_staged(spark: SparkSession, wh: Warehouse, staged: dict[str, DataFrame],
         if n_users:
             opened = wh.read("dim_customer_versions", schemas.DIM_CUSTOMER, [seq]).drop(PART)
             closed_now = wh.read("dim_customer_closed", schemas.DIM_CUSTOMER, [seq]).drop(PART)
-            active = close_versions(snap.dim_customer_active, closed_now).unionByName(opened)
+            active = close_versions(snap.dim_customer_active, closed_now, n_users).unionByName(opened)
         else:
             active = snap.dim_customer_active
         n_versions = opened.count() if n_users else 0

@@ -179,7 +179,7 @@ class Warehouse:
         # active versions only).
         recent = self.read("dim_customer_closed", schemas.DIM_CUSTOMER,
                            self.since_compaction("dim_customer_closed", committed, comps))
-        active = close_versions(versions, recent)
+        active = close_versions(versions, recent, recent.count())
         fact = self.read("fact_sales", schemas.FACT_SALES, self.live("fact_sales", committed, comps),
                          (PART, "sales_year"))
         fact = fact.select(*schemas.FACT_SALES.fieldNames(), "sales_year")
@@ -198,9 +198,20 @@ COMPACTION = T.StructType([
     T.StructField("covers_through", T.IntegerType(), False),
 ])
 
-def close_versions(versions: DataFrame, closed: DataFrame) -> DataFrame:
-    """Active set = opened versions whose key was not closed since."""
-    return versions.join(closed.select("customer_key"), "customer_key", "left_anti")
+# Closed keys broadcast into the active-set anti join when counted below this.
+BROADCAST_KEYS = 2_000_000
+
+
+def close_versions(versions: DataFrame, closed: DataFrame, closed_rows: int | None = None) -> DataFrame:
+    """Active set = opened versions whose key was not closed since. With a
+    measured count of closed rows (a footer-metadata count of the parquet
+    partitions) below ``BROADCAST_KEYS`` their keys are broadcast, so the
+    versions are only scanned, never shuffled; compaction keeps that set
+    small."""
+    keys = closed.select("customer_key")
+    if closed_rows is not None and closed_rows <= BROADCAST_KEYS:
+        keys = F.broadcast(keys)
+    return versions.join(keys, "customer_key", "left_anti")
 
 
 KEY_STATE = T.StructType([
