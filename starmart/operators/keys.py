@@ -21,7 +21,7 @@ rows are therefore written once as a parquet table under the session's
 checkpoint directory, and both passes read that copy. The numbering is then
 fixed data: task retries and executor loss cannot change it.
 
-A batch whose size is bounded (the pipeline knows its staged row counts)
+A batch whose size is bounded (the batch runner knows its staged row counts)
 is numbered by one window in a single task instead: one pass, no write.
 """
 

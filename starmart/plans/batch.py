@@ -25,7 +25,7 @@ from starmart.operators.clean import transform_users
 from starmart.operators.dims import new_dates, scd1_upsert, scd2_split
 from starmart.operators.extract import extract, high_watermark
 from starmart.operators.facts import fact_candidates, load_facts
-from starmart.operators.quality import duplicate_keys
+from starmart.operators.quality import duplicate_keys, null_counts
 from starmart.plans.warehouse import FAILED, KEY_STATE, PART, RUN, SUCCESS, Warehouse, close_versions
 
 # Phases logged per successful batch, by variant.
@@ -83,12 +83,18 @@ def _lit_ts(ts: dt.datetime):
 
 def check_staging(staged: dict[str, DataFrame]) -> None:
     """Staged frames must be unique on their keys before they are joined
-    (parquet enforces no primary key; a duplicate would fan out the joins).
-    All tables are checked in one job."""
+    (parquet enforces no primary key; a duplicate would fan out the joins)
+    and must hold no NULL in a NOT NULL column (the source database refused
+    such rows at insert). All tables are checked in one job."""
     parts = [
         duplicate_keys(staged[name], keys).limit(1).select(F.lit(f"{name}: duplicate {keys}").alias("problem"))
         for name, keys in schemas.PRIMARY_KEYS.items() if name in staged
     ]
+    for name, schema in schemas.SOURCES.items():
+        required = [f.name for f in schema.fields if not f.nullable]
+        if name in staged and required:
+            counts = null_counts(staged[name], required).where(F.col("null_count") > 0)
+            parts.append(counts.select(F.concat(F.lit(f"{name}: NULL in "), F.col("column_name")).alias("problem")))
     problems = [r[0] for r in reduce(DataFrame.unionByName, parts).collect()]
     if problems:
         raise BatchError("staging validation failed: " + "; ".join(sorted(problems)))

@@ -18,7 +18,7 @@ import uuid
 from pyspark.sql import SparkSession
 
 from starmart.operators.extract import high_watermark
-from starmart.plans.pipeline import BatchResult, _log_rows, _max_id, parallel
+from starmart.plans.batch import BatchResult, _log_rows, _max_id, parallel
 from starmart.plans.warehouse import COMPACTION, KEY_STATE, RUN, SUCCESS, Warehouse
 
 APPEND_ONLY = ("fact_sales", "dim_customer_versions", "dim_customer_closed", "dim_date")

@@ -60,7 +60,7 @@ def batch_log(counts: dict[str, DataFrame], batch_id: str, run_ts, variant: str
     phase order, every stamp = ``run_ts``. Nothing is collected."""
     from functools import reduce
 
-    from starmart.plans.pipeline import MESSAGES, PHASES
+    from starmart.plans.batch import MESSAGES, PHASES
 
     ts = F.lit(run_ts).cast("timestamp_ntz")
     parts = []
@@ -88,7 +88,7 @@ def _count(df: DataFrame) -> DataFrame:
 
 def first_batch_log(sources: dict[str, DataFrame], run_ts, batch_id: str = "first-load",
                     variant: str = "split") -> DataFrame:
-    """Log of a first batch with e-mail de-duplication, as the pipeline
+    """Log of a first batch with e-mail de-duplication, as the batch runner
     would write it: EXTRACT = staged orders, TRANSFORM = users after
     cleaning, SCD_LOAD = new customer versions, FACT_INCREMENTAL / LOAD =
     facts inserted, RUN = 1."""

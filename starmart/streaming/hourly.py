@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starmart.plans.pipeline import BatchResult, run_staged
+from starmart.plans.batch import BatchResult, run_staged
 from starmart.plans.warehouse import RUN, SUCCESS, Warehouse
 from starmart.sources.testdata import purchases_as_orders
 

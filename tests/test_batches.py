@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from fixtures import AS_OF, apply_changes, freeze, generate
 from starmart.operators import analytics
 from starmart.operators.quality import row_count_audit
-from starmart.plans.pipeline import BatchError, run_batch
+from starmart.plans.batch import BatchError, run_batch
 from starmart.plans.warehouse import Warehouse
 
 H = dt.timedelta(hours=1)
@@ -175,3 +175,17 @@ def test_compaction_keeps_state_and_later_batches_work(spark, tmp_path):
     r3 = run_batch(spark, changed, root, run_ts=AS_OF + 5 * H, overlap=dt.timedelta(hours=3))
     assert r3.rows["EXTRACT"] == 1 and r3.rows["FACT_INCREMENTAL"] == 0
     assert wh.snapshot().fact_sales.count() == 4502
+
+
+def test_staging_rejects_nulls_and_duplicates(spark, tmp_path):
+    from starmart.plans.batch import check_staging
+    from starmart import schemas
+
+    users = spark.createDataFrame([(1, "a", None, None, None, AS_OF, AS_OF)], schemas.USERS.simpleString()
+                                  .replace("struct<", "").replace(">", "").replace(":", " "))
+    with pytest.raises(BatchError, match="users: NULL in email"):
+        check_staging({"users": users})
+    dup = generate(spark)["orders"].limit(3)
+    with pytest.raises(BatchError, match="orders: duplicate"):
+        check_staging({"orders": dup.unionByName(dup)})
+    check_staging({"orders": dup})

@@ -8,7 +8,7 @@ import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
-from starmart.plans.pipeline import run_batch
+from starmart.plans.batch import run_batch
 from starmart.plans.warehouse import Warehouse
 from starmart.sources import testdata as td
 from starmart.streaming.hourly import load_micro_batch, start_feed_stream
