@@ -24,7 +24,7 @@ import datetime as dt  # noqa: E402
 from starmart import schemas  # noqa: E402
 from starmart.functions import date_key, range_label, sales_year  # noqa: E402
 from starmart.operators import analytics, quality  # noqa: E402
-from starmart.operators.clean import fill_unknown, transform_users  # noqa: E402
+from starmart.operators.clean import dropped_by_dedup, fill_unknown, transform_users  # noqa: E402
 from starmart.operators.dims import initial_customers, initial_products, new_dates, scd1_upsert, scd2_apply  # noqa: E402
 from starmart.operators.extract import changed_since, extract, high_watermark  # noqa: E402
 from starmart.operators.facts import fact_candidates, fact_rejects, load_facts  # noqa: E402
@@ -144,6 +144,16 @@ def q_dedup_users(spark, sf_dir):
     return transform_users(_src(spark, sf_dir, False)["users"])
 
 
+def q_dedup_dropped(spark, sf_dir):
+    """Users the de-duplication removes, with the surviving user id of
+    their e-mail (reported, since their orders never reach the fact)."""
+    users = fill_unknown(_src(spark, sf_dir, False)["users"])
+    kept = transform_users(users)
+    dropped = dropped_by_dedup(users, kept)
+    return dropped.join(kept.select("email", F.col("user_id").alias("kept_user_id")), "email").select(
+        "user_id", "email", "kept_user_id")
+
+
 # ----------------------------------------------------------- D2 / D3 / D4
 def _scd1(spark, sf_dir):
     p = _src(spark, sf_dir, False)["products"]
@@ -378,6 +388,7 @@ _QUERIES = {
     "extract_payments_semi": q_extract_payments_semi,
     "clean_users": q_clean_users,
     "dedup_users": q_dedup_users,
+    "dedup_dropped": q_dedup_dropped,
     "scd1_upsert": q_scd1_upsert,
     "scd2_apply": q_scd2_apply,
     "scd2_active_unique": q_scd2_active_unique,
@@ -668,6 +679,10 @@ SELECT i.* FROM src_items i WHERE i.order_id IN ({staged_orders})""",
 SELECT p.* FROM src_payments p WHERE p.order_id IN ({staged_orders})""",
         "clean_users": src + "\nSELECT * FROM clean_users",
         "dedup_users": _with(_SRC, _DEDUP) + "\nSELECT * FROM dedup_users",
+        "dedup_dropped": _with(_SRC, _DEDUP) + """
+SELECT u.user_id, u.email, d.user_id AS kept_user_id
+FROM clean_users u JOIN dedup_users d ON d.email = u.email
+WHERE u.user_id NOT IN (SELECT user_id FROM dedup_users)""",
         "scd1_upsert": src + f""",
 old AS (
   SELECT row_number() OVER (ORDER BY product_id) AS product_key, product_id, product_name, category, price,
