@@ -14,6 +14,8 @@ from starmart.functions import any_changed, calendar_columns, date_key
 from starmart.operators.keys import assign_surrogate_keys, max_key
 
 CUSTOMER_TRACKED = ["name", "email", "city", "country"]
+# Batch-sized sides are broadcast when their proven row bound is below this.
+BROADCAST_ROWS = 2_000_000
 PRODUCT_ATTRIBUTES = ["product_name", "category", "price", "source_last_updated"]
 
 
@@ -68,6 +70,44 @@ def scd1_upsert(dim_product: DataFrame, staged_products: DataFrame, base_key: Co
     return schemas.conform(known.unionByName(fresh), schemas.DIM_PRODUCT)
 
 
+def scd1_changes(dim_product: DataFrame, staged_products: DataFrame, base_key: Column | int,
+                 row_bound: int | None = None) -> DataFrame:
+    """The rows an SCD-1 upsert writes, and only those: known products with
+    every incoming attribute under their existing ``product_key``, and new
+    products with the next keys in ``product_id`` order.
+
+    The dimension is only scanned: the staged ids (batch-sized, bounded by
+    ``row_bound``) are broadcast into a semi join that finds the known ones,
+    and the staged rows are split against that small result.
+    """
+    inc = staged_products.select(
+        "product_id", "product_name", "category", "price",
+        F.col("last_updated").alias("source_last_updated"),
+    )
+    ids = inc.select("product_id")
+    if row_bound is not None and row_bound <= BROADCAST_ROWS:
+        ids = F.broadcast(ids)
+    known = dim_product.select("product_key", "product_id").join(ids, "product_id", "left_semi")
+    small_known = F.broadcast(known) if row_bound is not None and row_bound <= BROADCAST_ROWS else known
+    updated = inc.join(small_known, "product_id")
+    fresh = assign_surrogate_keys(inc.join(small_known.select("product_id"), "product_id", "left_anti"),
+                                  ["product_id"], "product_key", base=base_key, row_bound=row_bound)
+    return schemas.conform(updated.unionByName(fresh), schemas.DIM_PRODUCT)
+
+
+def latest_products(base: DataFrame, later: DataFrame, later_rows: int | None = None) -> DataFrame:
+    """Current SCD-1 rows: ``later`` holds upserts tagged with ``batch_seq``;
+    per product the latest upsert wins, and base rows with a later upsert
+    drop out (their ids are broadcast when ``later_rows`` proves them few)."""
+    cols = schemas.DIM_PRODUCT.fieldNames()
+    newest = later.groupBy("product_id").agg(
+        F.max_by(F.struct(*cols), "batch_seq").alias("_row")).select("_row.*")
+    ids = newest.select("product_id")
+    if later_rows is not None and later_rows <= BROADCAST_ROWS:
+        ids = F.broadcast(ids)
+    return base.select(*cols).join(ids, "product_id", "left_anti").unionByName(newest.select(*cols))
+
+
 # --------------------------------------------------------- D3/D4 SCD-2 customer
 class Scd2Result(NamedTuple):
     active: DataFrame   # next set of active rows (unchanged, plus new versions)

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from starmart import schemas
 from starmart.functions import sales_year
 from starmart.operators.clean import transform_users
-from starmart.operators.dims import new_dates, scd1_upsert, scd2_split
+from starmart.operators.dims import latest_products, new_dates, scd1_changes, scd2_split
 from starmart.operators.extract import extract, high_watermark
 from starmart.operators.facts import fact_candidates, load_facts
 from starmart.operators.quality import duplicate_keys, null_counts
@@ -173,7 +173,7 @@ def run_staged(spark: SparkSession, wh: Warehouse, staged: dict[str, DataFrame],
         base_s = int(snap.max_keys.get("fact_sales", 0))
         jobs = [lambda: wh.write(new_dates(st["orders"], snap.dim_date), "dim_date", seq, files=1)]
         if n_products:
-            upsert = scd1_upsert(snap.dim_product, st["products"], base_key=F.lit(base_p), row_bound=n_products)
+            upsert = scd1_changes(snap.dim_product, st["products"], F.lit(base_p), row_bound=n_products)
             jobs.append(lambda: wh.write(upsert, "dim_product", seq))
         if n_users:
             scd2 = scd2_split(snap.dim_customer_active, users, _lit_ts(run_ts), F.lit(base_c), row_bound=n_users,
@@ -181,7 +181,12 @@ def run_staged(spark: SparkSession, wh: Warehouse, staged: dict[str, DataFrame],
             jobs.append(lambda: wh.write(scd2.inserted, "dim_customer_versions", seq))
             jobs.append(lambda: wh.write(scd2.closed, "dim_customer_closed", seq))
         parallel(*jobs)
-        products = wh.read("dim_product", schemas.DIM_PRODUCT, [seq]).drop(PART) if n_products else snap.dim_product
+        if n_products:
+            changed = wh.read("dim_product", schemas.DIM_PRODUCT, [seq])
+            products = latest_products(snap.dim_product, changed, n_products)
+            n_new_products = changed.where(F.col("product_key") > base_p).count()
+        else:
+            products, n_new_products = snap.dim_product, 0
         if n_users:
             opened = wh.read("dim_customer_versions", schemas.DIM_CUSTOMER, [seq]).drop(PART)
             closed_now = wh.read("dim_customer_closed", schemas.DIM_CUSTOMER, [seq]).drop(PART)
@@ -215,7 +220,7 @@ def run_staged(spark: SparkSession, wh: Warehouse, staged: dict[str, DataFrame],
         # Keys are dense: a batch that added n rows moved the maximum by n.
         keys = spark.createDataFrame([
             ("dim_customer", base_c + n_versions),
-            ("dim_product", max(base_p, _max_id(products, "product_key")) if n_products else base_p),
+            ("dim_product", base_p + n_new_products),
             ("fact_sales", base_s + n_facts),
         ], KEY_STATE)
         wh.write(keys, "key_state", seq, files=1)

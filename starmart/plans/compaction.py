@@ -1,7 +1,8 @@
 """Compaction of the append-only tables.
 
 Hourly batches leave one partition per batch in ``fact_sales``,
-``dim_customer_versions``, ``dim_customer_closed`` and ``dim_date``: many
+``dim_customer_versions``, ``dim_customer_closed``, ``dim_date`` and
+``dim_product``: many
 small files, and a growing
 list of directories every read must enumerate. ``compact`` rewrites the
 current content of those tables into one new partition, as a committed
@@ -21,7 +22,7 @@ from starmart.operators.extract import high_watermark
 from starmart.plans.batch import BatchResult, _log_rows, _max_id, parallel
 from starmart.plans.warehouse import COMPACTION, KEY_STATE, RUN, SUCCESS, Warehouse
 
-APPEND_ONLY = ("fact_sales", "dim_customer_versions", "dim_customer_closed", "dim_date")
+APPEND_ONLY = ("fact_sales", "dim_customer_versions", "dim_customer_closed", "dim_date", "dim_product")
 ROWS_PER_FILE = 5_000_000
 
 
@@ -39,8 +40,9 @@ def compact(spark: SparkSession, root: str, rows_per_file: int = ROWS_PER_FILE,
     # The log rows of a compaction keep the current watermark: compaction
     # extracts nothing and must not move it.
     watermark = high_watermark(snap.etl_log).first()[0]
-    n_fact, n_closed, n_active = parallel(snap.fact_sales.count, snap.dim_customer_closed.count,
-                                          snap.dim_customer_active.count)
+    n_fact, n_closed, n_active, n_products = parallel(
+        snap.fact_sales.count, snap.dim_customer_closed.count, snap.dim_customer_active.count,
+        snap.dim_product.count)
 
     # Range keys end in a unique id, so even a day holding a third of all
     # facts is spread over many output files.
@@ -55,6 +57,8 @@ def compact(spark: SparkSession, root: str, rows_per_file: int = ROWS_PER_FILE,
         lambda: wh.write(fact, "fact_sales", seq, partition_by=["sales_year"]),
         lambda: wh.write(closed, "dim_customer_closed", seq),
         lambda: wh.write(active, "dim_customer_versions", seq),
+        lambda: wh.write(snap.dim_product.repartitionByRange(_files(n_products, rows_per_file), "product_id"),
+                         "dim_product", seq),
         lambda: wh.write(snap.dim_date, "dim_date", seq, files=1),
     )
     entries = spark.createDataFrame([(t, through) for t in APPEND_ONLY], COMPACTION)

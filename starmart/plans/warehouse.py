@@ -4,7 +4,7 @@ Layout under ``root`` (every table is parquet, partitioned by ``batch_seq``):
 
     staging/<source>/batch_seq=N          staged rows of batch N (lineage cut)
     dim_date/batch_seq=N                  dates first seen by batch N (append-only)
-    dim_product/batch_seq=N               full snapshot, when batch N staged products
+    dim_product/batch_seq=N               products upserted by batch N (merge-on-read)
     dim_customer_versions/batch_seq=N     customer versions opened by batch N (append-only)
     dim_customer_closed/batch_seq=N       versions closed by batch N (append-only)
     fact_sales/batch_seq=N/sales_year=Y   facts inserted by batch N
@@ -19,7 +19,10 @@ snapshot table, the partition of the latest committed batch that wrote one,
 and of each append-only table the partitions of all committed batches; a
 failed or half-written batch is invisible and a retry never overwrites a
 path a reader may be using. A batch with no staged users or products does
-not rewrite those dimensions. The customer dimension is merge-on-read:
+not rewrite those dimensions. The product dimension is merge-on-read: a
+batch appends the rows it upserts; the oldest live partition is the base,
+and per product the latest upsert wins. The customer dimension is
+merge-on-read too:
 a batch appends only the versions it opens and the rows it closes, and the
 active set is read as the opened versions minus the closed keys - an hourly
 batch writes what changed, never the whole dimension. A compaction
@@ -156,6 +159,17 @@ class Warehouse:
         seq_c, through = comps[table]
         return [b for b in committed if b > through and b != seq_c]
 
+    def products(self, committed: list[int], comps: dict) -> DataFrame:
+        """Current SCD-1 product rows (see ``dims.latest_products``)."""
+        from starmart.operators.dims import latest_products
+
+        live = [b for b in self.live("dim_product", committed, comps) if b in set(self._batches("dim_product"))]
+        if not live:
+            return schemas.empty(self.spark, schemas.DIM_PRODUCT)
+        base = self.read("dim_product", schemas.DIM_PRODUCT, live[:1]).drop(PART)
+        later = self.read("dim_product", schemas.DIM_PRODUCT, live[1:])
+        return latest_products(base, later, later.count() if live[1:] else 0)
+
     def latest(self, table: str, committed: list[int]) -> list[int]:
         """The latest committed batch that wrote ``table`` (as a 0/1 list)."""
         have = set(self._batches(table)) & set(committed)
@@ -168,8 +182,7 @@ class Warehouse:
         comps = self.compactions(committed)
         dim_date = self.read("dim_date", schemas.DIM_DATE, self.live("dim_date", committed, comps)
                              ).select(*schemas.DIM_DATE.fieldNames())
-        dim_product = self.read("dim_product", schemas.DIM_PRODUCT, self.latest("dim_product", committed)
-                                ).select(*schemas.DIM_PRODUCT.fieldNames())
+        dim_product = self.products(committed, comps)
         cols = schemas.DIM_CUSTOMER.fieldNames()
         versions = self.read("dim_customer_versions", schemas.DIM_CUSTOMER,
                              self.live("dim_customer_versions", committed, comps)).select(*cols)

@@ -82,6 +82,7 @@ def test_batch2_scd_and_incremental(golden):
     seq2 = golden["r2"].seq
     assert golden["wh"].read("dim_customer_versions", schemas.DIM_CUSTOMER, [seq2]).count() == 1
     assert golden["wh"].read("dim_customer_closed", schemas.DIM_CUSTOMER, [seq2]).count() == 1
+    assert golden["wh"].read("dim_product", schemas.DIM_PRODUCT, [seq2]).count() == 1
     # Top-customer groups before the limit: user 101 is split in two.
     groups = analytics.top_customers(s.fact_sales, s.dim_customer, k=100000).count()
     assert groups == 751
@@ -168,7 +169,7 @@ def test_compaction_keeps_state_and_later_batches_work(spark, tmp_path):
     assert sorted(tuple(r) for r in after.fact_sales.drop("sales_year").collect()) == want
     assert after.dim_customer.count() == 1001 and after.dim_date.count() == before.dim_date.count()
     assert after.max_keys == before.max_keys
-    assert len(superseded_paths(spark, root)) == 8  # 2 batches x 4 tables
+    assert len(superseded_paths(spark, root)) == 10  # 2 batches x 5 tables
     # The watermark did not move and a later batch still loads idempotently.
     r2 = run_batch(spark, changed, root, run_ts=AS_OF + 4 * H)
     assert r2.rows["EXTRACT"] == 0 and r2.rows["FACT_INCREMENTAL"] == 0

@@ -259,3 +259,22 @@ def test_collation_option(spark):
     staged = users_df(spark, [(1, "a@x", "délhi", "INDIA")])
     assert scd2_apply(dim, staged, dt.datetime(2026, 2, 1), collation="UNICODE_CI_AI").count() == 1
     assert scd2_apply(dim, staged, dt.datetime(2026, 2, 1)).count() == 2
+
+
+def test_scd1_merge_on_read_equals_full_snapshot(spark):
+    from starmart.operators.dims import latest_products, scd1_changes
+
+    p = spark.createDataFrame([(i, f"P{i}", "Books", Decimal("10.00"), T0) for i in range(1, 6)], schemas.PRODUCTS)
+    dim = initial_products(p)
+    inc1 = spark.createDataFrame([(2, "P2b", "Toys", Decimal("7.50"), T0), (9, "P9", "Home", Decimal("1.00"), T0)],
+                                 schemas.PRODUCTS)
+    inc2 = spark.createDataFrame([(2, "P2c", "Toys", Decimal("8.00"), T0), (7, "P7", "Home", Decimal("2.00"), T0)],
+                                 schemas.PRODUCTS)
+    full = scd1_upsert(scd1_upsert(dim, inc1), inc2)
+    c1 = scd1_changes(dim, inc1, 5, row_bound=2)
+    step1 = latest_products(dim, c1.withColumn("batch_seq", F.lit(2)), 2)
+    c2 = scd1_changes(step1, inc2, 6, row_bound=2)
+    later = c1.withColumn("batch_seq", F.lit(2)).unionByName(c2.withColumn("batch_seq", F.lit(3)))
+    merged = latest_products(dim, later, 4)
+    assert sorted(tuple(r) for r in merged.collect()) == sorted(tuple(r) for r in full.collect())
+    assert c1.count() == 2 and c2.count() == 2
