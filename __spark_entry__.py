@@ -33,6 +33,15 @@ from starmart.plans.star import first_batch_log, first_load  # noqa: E402
 from starmart.session import apply_conf, ensure_checkpoint_dir  # noqa: E402
 from starmart.sources import testdata as td  # noqa: E402
 
+try:  # the corpus operators and their pipeline may be left out of an installation
+    import corpus_pipeline
+    from starmart.llm import queries as llm
+except ImportError:
+    _LLM_QUERIES, _LLM_SQL = {}, {}
+else:
+    _LLM_QUERIES = llm.QUERIES | {"pipeline": corpus_pipeline.run}
+    _LLM_SQL = llm.SQL | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 RUN_TS = td.AS_OF  # run stamp of the first batch
 
@@ -371,7 +380,7 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name: _portable_query(fn) for name, fn in _QUERIES.items()}
+    return {name: _portable_query(fn) for name, fn in _QUERIES.items()} | _LLM_QUERIES
 
 
 _QUERIES = {
@@ -608,7 +617,7 @@ def _portable_sql(name: str, sql: str) -> str:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: _portable_sql(name, sql) for name, sql in _oracle_sql().items()}
+    return {name: _portable_sql(name, sql) for name, sql in _oracle_sql().items()} | _LLM_SQL
 
 
 def _oracle_sql() -> dict[str, str]:

@@ -81,6 +81,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         configured = spark.conf.get("spark.checkpoint.dir", None)
     path = configured or _LOCAL_CKPT.get("dir")
     if not path:
+        master = sc.master if sc is not None else "remote"
+        if not master.startswith("local[") and master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         path = tempfile.mkdtemp(prefix="starmart-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         _LOCAL_CKPT["dir"] = path
     if sc is not None:
