@@ -4,10 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import exact_dedup, line_dedup, mixing
+from . import exact_dedup, langid, line_dedup, mixing
 from .common import documents
 
 
+def op1_language_id(spark, sf_dir):
+    docs = documents(spark, sf_dir)
+    held = langid.held_out()
+    model = langid.fit(docs.where(~held))
+    return langid.identify(docs, model).select("doc_id", held.alias("held_out"), "lang_pred", "score", "cross_entropy", "rejected")
+
+
 def op4_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_dedup(documents(spark, sf_dir))
 
@@ -22,6 +29,7 @@ def op9_line_dedup(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_language_id": op1_language_id,
     "op4_exact_dedup": op4_exact_dedup,
     "op8_mixing": op8_mixing,
     "op9_line_dedup": op9_line_dedup,
