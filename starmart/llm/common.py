@@ -8,6 +8,9 @@ splitting on white space are single C calls (``bytes.lower`` and
 
 from __future__ import annotations
 
+import os
+import shutil
+import tempfile
 from functools import lru_cache
 
 import numpy as np
@@ -24,6 +27,21 @@ WORD = r"[^\x20\x09-\x0D]+"
 ALL = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
+_SHIPPED: set = set()
+
+
+def ship(spark) -> None:
+    """Send this package to the executors, once per application, as
+    ``--py-files`` would; needless where it is installed on them."""
+    sc = spark.sparkContext
+    if sc.applicationId not in _SHIPPED:
+        root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+        name = __name__.split(".")[0]
+        if os.path.isdir(os.path.join(root, name)):  # not when it already runs from an archive
+            sc.addPyFile(shutil.make_archive(os.path.join(tempfile.mkdtemp(prefix=f"{name}-"), name), "zip", root, name))
+        _SHIPPED.add(sc.applicationId)
+
+
 def documents(spark, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
@@ -31,6 +49,7 @@ def documents(spark, sf_dir: str) -> DataFrame:
 def id_and_text(docs: DataFrame, id_col: str, text_col: str, *more) -> DataFrame:
     """``doc_id`` and ``text`` (binary) of ``docs`` under fixed names, so that
     other columns of the input, whatever their names, take no part."""
+    ship(docs.sparkSession)
     return docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").cast("string").cast("binary").alias("text"), *more)
 
 

@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import batch_of, id_and_text, materialize, texts, with_id
+from .common import batch_of, id_and_text, materialize, ship, texts, with_id
 
 ORDER = 4
 SAMPLE_DOCS, MAX_LANGUAGES, MAX_GRAMS = 1000, 200, 100_000
@@ -265,6 +265,7 @@ def _count(order: int):
 def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", order: int = ORDER, sample_docs: int = SAMPLE_DOCS,
         max_languages: int = MAX_LANGUAGES, max_grams: int = MAX_GRAMS) -> Model:
     """Fit on a bounded sample of the rows whose text and language are not null."""
+    ship(docs.sparkSession)
     rows = docs.select(F.col(f"`{text_col}`").cast("string").alias("text"), F.col(f"`{lang_col}`").cast("string").alias("lang"))
     # One digest per text picks the sample, so copies of a text are in or out together.
     rows = rows.where("text IS NOT NULL AND lang IS NOT NULL").withColumn("u", F.pmod(F.xxhash64("text"), F.lit(1 << 40)) / float(1 << 40))
@@ -344,6 +345,7 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
 
 def keep_identified(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """The rows of ``docs``, whole, whose text is not rejected."""
+    ship(docs.sparkSession)
     sent, at = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index(text_col)
 
     def run(batches):

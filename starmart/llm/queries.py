@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import exact_dedup, langid, line_dedup, mixing
+from . import exact_dedup, langid, line_dedup, mixing, ngram_join
 from .common import documents
 
 
@@ -15,6 +15,10 @@ def op1_language_id(spark, sf_dir):
     return langid.identify(docs, model).select("doc_id", held.alias("held_out"), "lang_pred", "score", "cross_entropy", "rejected")
 
 
+def op2_ngram_join(spark, sf_dir):
+    return ngram_join.jaccard_components(documents(spark, sf_dir), n=3, num=90, den=100)
+
+
 def op4_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_dedup(documents(spark, sf_dir))
 
@@ -30,6 +34,7 @@ def op9_line_dedup(spark, sf_dir):
 
 QUERIES = {
     "op1_language_id": op1_language_id,
+    "op2_ngram_join": op2_ngram_join,
     "op4_exact_dedup": op4_exact_dedup,
     "op8_mixing": op8_mixing,
     "op9_line_dedup": op9_line_dedup,
