@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import exact_dedup, langid, line_dedup, mixing, ngram_join
+from . import exact_dedup, langid, line_dedup, mixing, ngram_join, secrets
 from .common import documents
 
 
@@ -23,6 +23,10 @@ def op4_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_dedup(documents(spark, sf_dir))
 
 
+def op6_secret_scan(spark, sf_dir):
+    return secrets.report(secrets.find_secrets(documents(spark, sf_dir)))
+
+
 def op8_mixing(spark, sf_dir):
     return mixing.mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
 
@@ -36,6 +40,7 @@ QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_ngram_join": op2_ngram_join,
     "op4_exact_dedup": op4_exact_dedup,
+    "op6_secret_scan": op6_secret_scan,
     "op8_mixing": op8_mixing,
     "op9_line_dedup": op9_line_dedup,
 }
