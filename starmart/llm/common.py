@@ -75,14 +75,20 @@ _BLOCK = 1 << 20
 
 @lru_cache(maxsize=1)
 def _tables() -> tuple[np.ndarray, np.ndarray]:
-    """A random 64-bit value per (lower-cased) byte, and which bytes are white space."""
+    """A random 64-bit value per byte, and which bytes are white space."""
     value = np.random.Generator(np.random.PCG64(20260101)).integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-    value[65:91] = value[97:123]
     space = np.zeros(256, bool)
     space[[9, 10, 11, 12, 13, 32]] = True
     return value, space
 
 
+@lru_cache(maxsize=1)
+def _folded() -> np.ndarray:
+    value = _tables()[0].copy()
+    value[65:91] = value[97:123]
+    return value
+
+
 @lru_cache(maxsize=4)
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     up, down = np.full(n, _MUL, np.uint64), np.full(n, _INV, np.uint64)
@@ -97,10 +103,10 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
-def spans_hash(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hash of each span of bytes, A-Z counting as a-z. Spans are in
-    order and do not overlap; work goes in blocks, so memory follows the block."""
-    value, _ = _tables()
+def spans_hash(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, fold: bool = True) -> np.ndarray:
+    """64-bit hash of each span of bytes, with ``fold`` A-Z counting as a-z. Spans
+    are in order and do not overlap; work goes in blocks, so memory follows the block."""
+    value = _folded() if fold else _tables()[0]
     out = np.empty(len(starts), np.uint64)
     i = 0
     while i < len(starts):

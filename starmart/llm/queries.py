@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import exact_dedup, langid, line_dedup, mixing, ngram_join, secrets
+from . import exact_dedup, langid, line_dedup, mixing, ngram_join, pieces, secrets, topk
 from .common import documents
 
 
@@ -23,6 +23,11 @@ def op4_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_dedup(documents(spark, sf_dir))
 
 
+def op5_topk_search(spark, sf_dir):
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return topk.top_k(vectors, F.col("vec_id") % 20 == 0)
+
+
 def op6_secret_scan(spark, sf_dir):
     return secrets.report(secrets.find_secrets(documents(spark, sf_dir)))
 
@@ -36,17 +41,26 @@ def op9_line_dedup(spark, sf_dir):
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op10_sentencepiece(spark, sf_dir):
+    table = pieces.load_pieces()
+    tokens = pieces.encode(documents(spark, sf_dir), table)
+    return pieces.decode(tokens, table).select("doc_id", F.size("ids").alias("n_tokens"), "ids", F.sha2("text", 256).alias("decoded_sha256"))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_ngram_join": op2_ngram_join,
     "op4_exact_dedup": op4_exact_dedup,
+    "op5_topk_search": op5_topk_search,
     "op6_secret_scan": op6_secret_scan,
     "op8_mixing": op8_mixing,
     "op9_line_dedup": op9_line_dedup,
+    "op10_sentencepiece": op10_sentencepiece,
 }
 
 SQL = {
     "op4_exact_dedup": exact_dedup.SQL,
+    "op5_topk_search": topk.SQL,
     "op8_mixing": mixing.SQL,
     "op9_line_dedup": line_dedup.SQL,
 }
