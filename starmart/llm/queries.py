@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import exact_dedup, langid, line_dedup, mixing, ngram_join, pieces, secrets, topk
+from . import exact_dedup, langid, line_dedup, lm, mixing, ngram_join, pieces, pii, secrets, topk
 from .common import documents
 
 
@@ -19,6 +19,13 @@ def op2_ngram_join(spark, sf_dir):
     return ngram_join.jaccard_components(documents(spark, sf_dir), n=3, num=90, den=100)
 
 
+PII_KEY = b"corpus pseudonyms, key 1"  # a deployment passes its own
+
+
+def op3_pii(spark, sf_dir):
+    return pii.pseudonymise(documents(spark, sf_dir), PII_KEY)
+
+
 def op4_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_dedup(documents(spark, sf_dir))
 
@@ -32,6 +39,11 @@ def op6_secret_scan(spark, sf_dir):
     return secrets.report(secrets.find_secrets(documents(spark, sf_dir)))
 
 
+def op7_lm_score(spark, sf_dir):
+    docs = documents(spark, sf_dir)
+    return lm.score(docs, lm.fit(docs))
+
+
 def op8_mixing(spark, sf_dir):
     return mixing.mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
 
@@ -50,9 +62,11 @@ def op10_sentencepiece(spark, sf_dir):
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_ngram_join": op2_ngram_join,
+    "op3_pii": op3_pii,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_topk_search": op5_topk_search,
     "op6_secret_scan": op6_secret_scan,
+    "op7_lm_score": op7_lm_score,
     "op8_mixing": op8_mixing,
     "op9_line_dedup": op9_line_dedup,
     "op10_sentencepiece": op10_sentencepiece,
