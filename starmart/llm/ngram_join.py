@@ -18,6 +18,10 @@ the result, only the work.
    of *different* components in a list. So a large group of near copies costs
    one pair per member, not all pairs, and no link is lost: what is never
    compared is already connected.
+   A pair whose sizes, or whose parity bitmaps, rule the link out is dropped:
+   each n-gram flips one bit of a class's bitmap (as many bits as n-grams, to
+   the next power of two), so the bits in which two bitmaps differ are at most
+   the n-grams in which the sets differ.
 3. Vertical partitioning: the global order is cut into fragments, a candidate's
    set into one segment per fragment. The overlap of a pair is counted in every
    fragment separately, and summed per pair. Only classes in some candidate
@@ -88,14 +92,33 @@ def frequent_grams(text: DataFrame, n: int, k: int = COUNTERS) -> np.ndarray:
 
 
 # ------------------------------------------------------------- signatures
+def _parity(g: np.ndarray) -> np.ndarray:
+    """Parity bitmap of a set, in 64-bit words; folding it by exclusive or gives a smaller one."""
+    bits = max(64, 1 << (len(g) - 1).bit_length()) if len(g) else 64
+    odd = np.bincount((g & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
+
+
+def _differing_bits(a: str, b: str):
+    """SQL for the number of bits in which two bitmaps differ, folded to the smaller one's size."""
+    words = f"least(size({a}), size({b}))"
+    fold = lambda x: f"aggregate(sequence(i, size({x}) - 1, {words}), 0L, (w, j) -> w ^ {x}[j])"
+    return F.expr(f"aggregate(sequence(0, {words} - 1), 0, (n, i) -> n + bit_count({fold(a)} ^ {fold(b)}))")
+
+
+def _lists(arrays: list) -> pa.ListArray:
+    flat = np.concatenate(arrays) if arrays else np.empty(0, np.int64)
+    return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, arrays)]), pa.int32()), pa.array(flat, pa.int64()))
+
+
 def _signatures(schema, sent, n: int, num: int, den: int):
-    """Size, hash and prefix of every document's set."""
+    """Size, hash, bitmap and prefix of every document's set."""
     def run(batches):
         frequent = sent.value
         o = np.argsort(frequent)
         known = frequent[o]
         for b in batches:
-            sizes, h1, h2, prefixes = [], [], [], []
+            sizes, h1, h2, bits, prefixes = [], [], [], [], []
             for g in gram_sets(b.column(1), n):
                 sizes.append(len(g))
                 h1.append(int(mix(g ^ np.uint64(0x5851F42D4C957F2D)).sum().view(np.int64)) if len(g) else 0)
@@ -108,10 +131,8 @@ def _signatures(schema, sent, n: int, num: int, den: int):
                     hit = known[pos] == g
                     rare = np.concatenate([g[~hit], frequent[np.sort(o[pos[hit]])]])
                 prefixes.append(rare[:p].view(np.int64))
-            lengths = np.cumsum([0, *map(len, prefixes)])
-            flat = np.concatenate(prefixes) if prefixes else np.empty(0, np.int64)
-            lists = pa.ListArray.from_arrays(pa.array(lengths, pa.int32()), pa.array(flat, pa.int64()))
-            yield batch_of(schema, [b.column(0), sizes, h1, h2, lists])
+                bits.append(_parity(g))
+            yield batch_of(schema, [b.column(0), sizes, h1, h2, _lists(bits), _lists(prefixes)])
     return run
 
 
@@ -175,14 +196,21 @@ class JaccardJoin:
         self.text = id_and_text(docs, id_col, text_col)
         sc = docs.sparkSession.sparkContext
         self.frequent = sc.broadcast(frequent_grams(self.text, n, counters))
-        schema = with_id(docs, id_col, ("n", "long"), ("h1", "long"), ("h2", "long"), ("prefix", "array<long>"))
+        schema = with_id(docs, id_col, ("n", "long"), ("h1", "long"), ("h2", "long"), ("bits", "array<long>"), ("prefix", "array<long>"))
         self.sets = materialize(self.text.mapInArrow(_signatures(to_arrow_schema(schema), self.frequent, n, num, den), schema))
-        classes = self.sets.where("n > 0").groupBy("n", "h1", "h2").agg(F.min("doc_id").alias("first_id"), F.first("prefix").alias("prefix"))
+        classes = self.sets.where("n > 0").groupBy("n", "h1", "h2").agg(F.min("doc_id").alias("first_id"), F.first("bits").alias("bits"), F.first("prefix").alias("prefix"))
         self.classes = materialize(classes.withColumn("class", F.monotonically_increasing_id()))
 
     def _fits(self, a: str, b: str):
         return F.least(a, b) * self.den >= F.greatest(a, b) * self.num
 
+    def possible(self, pairs: DataFrame) -> DataFrame:
+        """The pairs that their bitmaps do not rule out."""
+        bits = self.classes.select("class", "bits")
+        both = pairs.join(bits.select(F.col("class").alias("a"), F.col("bits").alias("x")), "a").join(bits.select(F.col("class").alias("b"), F.col("bits").alias("y")), "b")
+        size = F.col("na") + F.col("nb")
+        return both.where((size - _differing_bits("x", "y")) * (self.den + self.num) >= size * (2 * self.num)).select("a", "b", "na", "nb")
+
     def verify(self, pairs: DataFrame) -> DataFrame:
         """The pairs (a, b, na, nb) of classes that link: overlaps per fragment, summed."""
         sc = pairs.sparkSession.sparkContext
@@ -206,7 +234,7 @@ class JaccardJoin:
         shared = materialize(postings.join(lists.select("gram", "leader"), "gram"))
         first = shared.where(F.col("class") != F.col("leader.class")).select(F.col("leader.class").alias("a"), F.col("class").alias("b"), F.col("leader.n").alias("na"), F.col("n").alias("nb"))
         first = materialize(first.where(self._fits("na", "nb")).distinct())
-        links = materialize(self.verify(first))
+        links = materialize(self.verify(materialize(self.possible(first))))
         known = components(links)
 
         member = shared.join(known, shared["class"] == known["node"], "left").select("gram", "class", "n", F.coalesce("component", "class").alias("component"))
@@ -220,7 +248,7 @@ class JaccardJoin:
         second = across.join(a, ["gram", "ca"]).join(b, ["gram", "cb"]).where(self._fits("na", "nb"))
         second = second.select(F.when(F.col("a") < F.col("b"), F.struct("a", "b", "na", "nb")).otherwise(F.struct(F.col("b").alias("a"), F.col("a").alias("b"), F.col("nb").alias("na"), F.col("na").alias("nb"))).alias("s"))
         second = second.select("s.*").distinct().join(first.select("a", "b"), ["a", "b"], "left_anti")
-        return links.unionByName(self.verify(materialize(second)))
+        return links.unionByName(self.verify(materialize(self.possible(second))))
 
     def result(self) -> DataFrame:
         """One row per document: doc_id, n_shingles, component_id."""
