@@ -73,7 +73,7 @@ def symbols(group: list[bytes], pad: int) -> tuple[np.ndarray, np.ndarray, np.nd
     return sym[keep], text[keep], letters
 
 
-def _grouped(rows: list[bytes], size: int = 1 << 20):
+def _grouped(rows: list[bytes], size: int = 1 << 18):
     at, held = 0, 0
     for i, t in enumerate(rows):
         held += len(t)
@@ -194,7 +194,7 @@ class Model:
         for lo, hi in _grouped(rows):
             sym, text, found = symbols(rows[lo:hi], self.order - 1)
             letters[lo:hi] = found
-            step = 1 << 20  # a very long text goes through in pieces that overlap by a context
+            step = 1 << 18  # a very long text goes through in pieces that overlap by a context
             for a in range(0, len(sym), step):
                 b = max(0, a - self.order + 1)
                 s, t = sym[b : a + step], text[b : a + step]
