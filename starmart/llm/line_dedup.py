@@ -122,42 +122,63 @@ def _flagged(filt, wanted: bool):
     def run(batches):
         for b in batches:
             hit = in_filter(filt.value, b.column("p").to_numpy())
-            yield b.filter(pa.array(hit == wanted)).select(["doc_id", "text"])
+            yield b.filter(pa.array(hit == wanted))
     return run
 
 
 def _results(schema, min_chars: int, joined: bool):
+    """Columns of the batches: p, text, then (joined) the dropped keys, then what is passed on."""
     def run(batches):
         for b in batches:
             drops = [set(d or ()) for d in b.column(2).to_pylist()] if joined else [set()] * b.num_rows
             out = [split_kept(t, d, min_chars) for t, d in zip(texts(b.column(1)), drops)]
-            yield batch_of(schema, [b.column(0), [o[0] for o in out], [o[1] for o in out], [o[2] for o in out]])
+            yield batch_of(schema, [b.column(b.num_columns - 1), [o[0] for o in out], [o[1] for o in out], [o[2] for o in out]])
     return run
 
 
-def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS,
-               log2_bits: int = LOG2_BITS, log2_chunk: int = LOG2_CHUNK) -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_lines, n_dropped, kept_text (binary, UTF-8)."""
+def _dedup(rows: DataFrame, min_chars: int, min_docs: int, log2_bits: int, log2_chunk: int) -> DataFrame:
+    """passed, n_lines, n_dropped, kept_text of rows of doc_id, text, passed."""
+    from pyspark.sql import types as T
     from pyspark.sql.pandas.types import to_arrow_schema
 
-    sc = docs.sparkSession.sparkContext
-    rows = id_and_text(docs, id_col, text_col)
+    sc = rows.sparkSession.sparkContext
+    plain, key = rows.select("doc_id", "text"), rows.schema["doc_id"]
     log2_chunk = min(log2_chunk, log2_bits)
-    repeats = sc.broadcast(twice_seen(rows, min_chars, log2_bits, log2_chunk))
-    pair = with_id(docs, id_col, ("digest", "binary"))
-    suspects = materialize(rows.mapInArrow(_suspects(to_arrow_schema(pair), repeats, min_chars, log2_bits), pair))
+    repeats = sc.broadcast(twice_seen(plain, min_chars, log2_bits, log2_chunk))
+    pair = T.StructType([key, T.StructField("digest", T.BinaryType())])
+    suspects = materialize(plain.mapInArrow(_suspects(to_arrow_schema(pair), repeats, min_chars, log2_bits), pair))
     confirmed = suspects.groupBy("digest").agg(F.count_distinct(F.struct("doc_id")).alias("n"), F.max("doc_id").alias("last")).where(F.col("n") >= min_docs)
     drops = suspects.join(confirmed, "digest").where(F.col("doc_id").isNull() | (F.col("doc_id") < F.col("last")))
     drops = materialize(drops.groupBy("doc_id").agg(F.collect_set("digest").alias("drop")))
 
     losing = sc.broadcast(id_filter(drops, "doc_id"))
-    rows = rows.withColumn("p", id_position(F.col("doc_id")))
-    text = with_id(docs, id_col, ("text", "binary"))
-    out = with_id(docs, id_col, ("n_lines", "long"), ("n_dropped", "long"), ("kept_text", "binary"))
-    whole = rows.mapInArrow(_flagged(losing, False), text).mapInArrow(_results(to_arrow_schema(out), min_chars, False), out)
-    cut = rows.mapInArrow(_flagged(losing, True), text).alias("t").join(drops.alias("d"), F.col("t.doc_id").eqNullSafe(F.col("d.doc_id")), "left")
-    cut = cut.select("t.doc_id", "t.text", "d.drop").mapInArrow(_results(to_arrow_schema(out), min_chars, True), out)
-    return whole.unionByName(cut)
+    rows = rows.select("doc_id", "text", id_position(F.col("doc_id")).alias("p"), "passed")
+    out = T.StructType([rows.schema["passed"], T.StructField("n_lines", T.LongType()), T.StructField("n_dropped", T.LongType()), T.StructField("kept_text", T.BinaryType())])
+    arrow = to_arrow_schema(out)
+    whole = rows.mapInArrow(_flagged(losing, False), rows.schema).select("p", "text", "passed").mapInArrow(_results(arrow, min_chars, False), out)
+    # Sorted and merged at every size: a plan that broadcasts a small side says little about a large one.
+    cut = rows.mapInArrow(_flagged(losing, True), rows.schema).alias("t").join(drops.alias("d").hint("merge"), F.col("t.doc_id").eqNullSafe(F.col("d.doc_id")), "left")
+    return whole.unionByName(cut.select("p", "text", "drop", "passed").mapInArrow(_results(arrow, min_chars, True), out))
+
+
+def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS,
+               log2_bits: int = LOG2_BITS, log2_chunk: int = LOG2_CHUNK) -> DataFrame:
+    """One row per row of ``docs``: doc_id, n_lines, n_dropped, kept_text (binary, UTF-8)."""
+    rows = id_and_text(docs, id_col, text_col, F.col(f"`{id_col}`").alias("passed"))
+    return _dedup(rows, min_chars, min_docs, log2_bits, log2_chunk).withColumnRenamed("passed", "doc_id")
+
+
+def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chars_col: str | None = "n_chars", min_chars: int = MIN_CHARS,
+                        min_docs: int = MIN_DOCS, log2_bits: int = LOG2_BITS, log2_chunk: int = LOG2_CHUNK) -> DataFrame:
+    """``docs``, all columns, with the text that stays (and its length in
+    ``chars_col``, where there is one). A text without dropped lines is untouched, also a null."""
+    rows = id_and_text(docs, id_col, text_col, F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("passed"))
+    out = _dedup(rows, min_chars, min_docs, log2_bits, log2_chunk)
+    text = F.when(F.col("n_dropped") > 0, F.col("kept_text").cast("string")).otherwise(F.col("passed")[text_col])
+    now = {text_col: text}
+    if chars_col in docs.columns:
+        now[chars_col] = F.when(F.col("n_dropped") > 0, F.length(text).cast(docs.schema[chars_col].dataType)).otherwise(F.col("passed")[chars_col])
+    return out.select(*[now.get(c, F.col("passed")[c]).alias(c) for c in docs.columns])
 
 
 SQL = r"""
