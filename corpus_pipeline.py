@@ -1,13 +1,63 @@
-"""Corpus pipeline: documents through operators of ``starmart.llm``, stage by stage."""
+"""Corpus pipeline: the documents table through operators of ``starmart.llm``.
+
+``STAGES`` are (name, function) in order; a function takes (spark, docs,
+sf_dir) and returns a DataFrame, which ``run`` writes as Parquet and rereads as
+the next one's docs. All but the last return the columns of documents.
+"""
 
 from __future__ import annotations
 
-STAGES = []
+from pyspark.sql import functions as F
+
+from starmart.llm import langid, line_dedup, mixing, ngram_join, pieces
+from starmart.llm.common import materialize, without
+
+
+def language_id(spark, docs, sf_dir):
+    """Documents whose text is rejected (no letters, or like no learned language) go."""
+    return langid.keep_identified(docs, langid.fit(docs))
+
+
+def line_dedup_stage(spark, docs, sf_dir):
+    """Lines that many documents share stay in the last of them only."""
+    return line_dedup.drop_repeated_lines(docs)
+
+
+def near_duplicates(spark, docs, sf_dir):
+    """Of documents that five-word shingles link at 0.8 or more, the one with
+    the least id stays; of rows that repeat id and text, one."""
+    found = materialize(ngram_join.jaccard_components(docs, n=5, num=80, den=100))
+    stay = without(docs, found.where("doc_id != component_id"), "doc_id")
+    twice = materialize(found.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id"))
+    again = stay.join(twice, stay["doc_id"].eqNullSafe(twice["doc_id"]), "left_semi").dropDuplicates(["doc_id", "text"])
+    return without(stay, twice, "doc_id").unionByName(again)
+
+
+def mix_sources(spark, docs, sf_dir):
+    """Every document as often as the mix takes it."""
+    return mixing.mixed(docs)
+
+
+def sentencepiece(spark, docs, sf_dir):
+    """The token ids of every document."""
+    return pieces.encode(docs, pieces.load_pieces()).select("doc_id", F.size("ids").alias("n_tokens"), "ids")
+
+
+STAGES = [
+    ("language ID", language_id),
+    ("line dedup", line_dedup_stage),
+    ("n-gram Jaccard join", near_duplicates),
+    ("mixing sources to target weights", mix_sources),
+    ("SentencePiece encoding", sentencepiece),
+]
+
+# Models and dictionaries of the first and last stage are beyond SQL; the tests
+# hold the stages against brute force.
 ORACLE_SQL = None
 
 
 def run(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for _, stage in STAGES[:-1]:
+        docs = materialize(stage(spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)

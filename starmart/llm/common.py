@@ -32,7 +32,9 @@ _SHIPPED: set = set()
 
 def ship(spark) -> None:
     """Send this package to the executors, once per application, as
-    ``--py-files`` would; needless where it is installed on them."""
+    ``--py-files`` would; needless where it is installed on them. Arrow batches
+    are held to 8 MB, so that a worker's memory does not follow the texts' length."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
     sc = spark.sparkContext
     if sc.applicationId not in _SHIPPED:
         root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -142,7 +144,7 @@ def grams(words: np.ndarray, n: int) -> np.ndarray:
     return mix(h)
 
 
-def gram_sets(column: pa.Array, n: int, group_bytes: int = 1 << 22):
+def gram_sets(column: pa.Array, n: int, group_bytes: int = 1 << 20):
     """For each text of a binary column, the sorted distinct hashes of its
     n-word shingles. Neighbouring texts are hashed together, about
     ``group_bytes`` at a time (a longer text alone)."""
@@ -188,3 +190,21 @@ def id_position(column, log2_bits: int = 23):
 def in_filter(bits: np.ndarray, position: np.ndarray) -> np.ndarray:
     p = position.astype(np.int64) - 1
     return (bits[p >> 3] >> (p & 7).astype(np.uint8)) & 1 == 1
+
+
+def without(docs: DataFrame, ids: DataFrame, id_col: str) -> DataFrame:
+    """The rows of ``docs`` whose id is not in ``ids`` (column ``doc_id``).
+    Only rows that a filter of fixed size flags are shuffled to the anti-join."""
+    ship(docs.sparkSession)
+    filt = docs.sparkSession.sparkContext.broadcast(id_filter(ids, "doc_id"))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("passed"), F.col(f"`{id_col}`").alias("doc_id"), id_position(F.col(f"`{id_col}`")).alias("p"))
+
+    def flagged(wanted):
+        def run(batches):
+            for b in batches:
+                yield b.filter(pa.array(in_filter(filt.value, b.column("p").to_numpy()) == wanted))
+        return rows.mapInArrow(run, rows.schema)
+
+    near, gone = flagged(True).alias("n"), ids.select("doc_id").hint("merge").alias("g")
+    left = flagged(False).unionByName(near.join(gone, F.col("n.doc_id").eqNullSafe(F.col("g.doc_id")), "left_anti"))
+    return left.select(*[F.col("passed")[c].alias(c) for c in docs.columns])

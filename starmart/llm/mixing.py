@@ -31,10 +31,10 @@ WEIGHTS = (5, 2, 1)
 SLICES = 4096
 
 
-def sizes(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
+def sizes(docs: DataFrame, id_col: str, text_col: str, source_col: str, *more) -> DataFrame:
     return docs.select(
         F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{source_col}`").alias("source"),
-        F.coalesce(F.regexp_count(F.col(f"`{text_col}`"), F.lit(WORD)), F.lit(0)).cast("long").alias("size"))
+        F.coalesce(F.regexp_count(F.col(f"`{text_col}`"), F.lit(WORD)), F.lit(0)).cast("long").alias("size"), *more)
 
 
 def targets(sized: DataFrame, weights=WEIGHTS, share: tuple[int, int] = (3, 2), most: int = 2) -> DataFrame:
@@ -58,29 +58,28 @@ def targets(sized: DataFrame, weights=WEIGHTS, share: tuple[int, int] = (3, 2),
     return src.select("source", "source_size", target.alias("target"))
 
 
-def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights=WEIGHTS,
-        share: tuple[int, int] = (3, 2), most: int = 2, seed: str = "mix", slices: int = SLICES) -> DataFrame:
-    """One row per document: doc_id, source, size, source_size, target, copies,
-    taken (copies * size). ``share`` is the budget over all words as a fraction."""
-    sized = materialize(sizes(docs, id_col, text_col, source_col))
+def _draw(rows: DataFrame, weights, share, most, seed, slices) -> DataFrame:
+    """Copies of each of ``rows`` (doc_id, source, size, passed)."""
+    sized = materialize(rows.select("doc_id", "source", "size"))
     plan = materialize(targets(sized, weights, share, most).withColumn("source_no", F.monotonically_increasing_id()))
-    s, p = sized.alias("s"), plan.alias("p")
-    rows = s.join(p, F.col("s.source").eqNullSafe(F.col("p.source"))).select("doc_id", "s.source", "source_no", "size", "source_size", "target")
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     # u lies on a grid of 2**52 points inside (0, 1)
     u = (F.conv(F.substring(F.sha2(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), 256), 1, 13), 16, 10).cast("long").cast("double") + 0.5) / float(2**52)
-    rows = rows.withColumn("whole", F.floor(ratio).cast("long")).withColumns({"p": ratio - F.col("whole"), "u": u})
-    rows = rows.withColumn("missing", F.col("target") - F.col("whole") * F.col("source_size"))
     # Odds of u over odds of p, mapped to [0, 1]; 1 where p is 0.
     rank = F.col("u") * (1 - F.col("p")) / (F.col("u") * (1 - F.col("p")) + (1 - F.col("u")) * F.col("p"))
-    rows = rows.withColumn("rank", rank).withColumn("slice", F.least(F.floor(F.col("rank") * slices), F.lit(slices - 1)).cast("int"))
 
-    per_slice = rows.groupBy("source_no", "slice").agg(F.sum("size").alias("words"), F.first("missing").alias("missing"))
+    def ranked(table):
+        t = table.alias("s").join(plan.alias("p"), F.col("s.source").eqNullSafe(F.col("p.source"))).select("s.*", "source_no", "source_size", "target")
+        t = t.withColumn("whole", F.floor(ratio).cast("long")).withColumns({"p": ratio - F.col("whole"), "u": u})
+        t = t.withColumn("missing", F.col("target") - F.col("whole") * F.col("source_size")).withColumn("rank", rank)
+        return t.withColumn("slice", F.least(F.floor(F.col("rank") * slices), F.lit(slices - 1)).cast("int"))
+
+    per_slice = ranked(sized).groupBy("source_no", "slice").agg(F.sum("size").alias("words"), F.first("missing").alias("missing"))
     upto = Window.partitionBy("source_no").orderBy("slice")
     per_slice = per_slice.withColumn("upto", F.sum("words").over(upto))
     cut = per_slice.where(F.col("upto") >= F.col("missing")).groupBy("source_no").agg(F.min(F.struct("slice", (F.col("upto") - F.col("words")).alias("base"))).alias("cut"))
     cut = materialize(cut.select("source_no", F.col("cut.slice").alias("cut"), F.col("cut.base").alias("base")))
-    rows = rows.join(cut, "source_no", "left")
+    rows = ranked(rows).join(cut, "source_no", "left")
 
     clear = rows.where(F.col("cut").isNull() | (F.col("slice") != F.col("cut"))).withColumn("drawn", F.col("cut").isNull() | (F.col("slice") < F.col("cut")))
     inside = Window.partitionBy("source_no").orderBy("rank", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
@@ -88,7 +87,23 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     # Taking a document is right when it brings the words nearer to those missing.
     edge = edge.withColumn("drawn", F.col("at") * 2 + F.col("size") <= F.col("missing") * 2).drop("at")
     copies = F.col("whole") + F.when(F.col("drawn") & (F.col("p") > 0), 1).otherwise(0)
-    return clear.unionByName(edge).select("doc_id", "source", "size", "source_size", "target", copies.cast("long").alias("copies"), (copies * F.col("size")).cast("long").alias("taken"))
+    return clear.unionByName(edge).select("doc_id", "source", "size", "source_size", "target", copies.cast("long").alias("copies"), "passed")
+
+
+def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights=WEIGHTS,
+        share: tuple[int, int] = (3, 2), most: int = 2, seed: str = "mix", slices: int = SLICES) -> DataFrame:
+    """One row per document: doc_id, source, size, source_size, target, copies,
+    taken (copies * size). ``share`` is the budget over all words as a fraction."""
+    rows = sizes(docs, id_col, text_col, source_col).withColumn("passed", F.lit(True))
+    return _draw(rows, weights, share, most, seed, slices).drop("passed").withColumn("taken", F.col("copies") * F.col("size"))
+
+
+def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights=WEIGHTS,
+          share: tuple[int, int] = (3, 2), most: int = 2, seed: str = "mix", slices: int = SLICES) -> DataFrame:
+    """The mix itself: every row of ``docs``, all columns, as often as it has copies."""
+    rows = sizes(docs, id_col, text_col, source_col, F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("passed"))
+    drawn = _draw(rows, weights, share, most, seed, slices).where("copies > 0")
+    return drawn.select(F.explode(F.array_repeat("passed", F.col("copies").cast("int"))).alias("passed")).select(*[F.col("passed")[c].alias(c) for c in docs.columns])
 
 
 SQL = r"""

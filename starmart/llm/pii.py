@@ -16,7 +16,8 @@ Separators, letter case, country codes, a card's first digit and an address's
 top-level domain stay; check digits are computed anew; a result that is not
 valid in its format (no such social security number, say) is permuted again
 until it is, which keeps the bijection. Dates are permuted among the days of
-1900 to 2099 and written in their own format.
+1900 to 2099 and written in their own format (of one where only one field has
+a leading zero, ``reveal`` gives the other without).
 
 Null text stays null, empty text empty. Bytes that are not UTF-8 stay as they
 are. Work goes document by document, whole; a document with neither an @ nor
@@ -45,7 +46,7 @@ _FIND = {
     "ip": re.compile(rb"(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?!\.?\d)"),
     "ssn": re.compile(rb"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"),
     "date": re.compile(rb"(?<![\d/.-])(?:(\d{4})-(\d{2})-(\d{2})|(\d{1,2})([/.])(\d{1,2})\5(\d{4}))(?![\d/-])"),
-    "phone": re.compile(rb"(?<![\w+])(?:\+(\d{1,3})[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])\d{3,4}[ .-]?\d{3,4}(?![\d])|(?<![\w+])\+(\d{1,3})[ .-]?\d{9,12}(?!\d)"),
+    "phone": re.compile(rb"(?<![\w+])(?<!\d[ .-])(?:\+(\d{1,3})[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])\d{3,4}[ .-]?\d{3,4}(?![ .-]?\d)|(?<![\w+])\+(\d{1,3})[ .-]?\d{9,12}(?!\d)"),
 }
 FIRST_DAY, DAYS = dt.date(1900, 1, 1).toordinal(), dt.date(2100, 1, 1).toordinal() - dt.date(1900, 1, 1).toordinal()
 _NON_DIGITS = bytes(i for i in range(256) if not 48 <= i <= 57)
@@ -203,11 +204,18 @@ def _date(f, m, back):
         if not _is_date(y, mo, d):
             return None
 
-    def fits(day):  # a day-first date with slashes must not read as month-first afterwards
-        return day < DAYS and not (form == "day" and m[5] == b"/" and dt.date.fromordinal(FIRST_DAY + day).day <= 12)
+    bare = form != "iso" and 1 in (len(m[4]), len(m[6]))  # written without leading zeros
+
+    def fits(day):
+        if day >= DAYS:
+            return False
+        new = dt.date.fromordinal(FIRST_DAY + day)
+        if form == "day" and m[5] == b"/" and new.day <= 12:
+            return False  # it would read as month-first
+        return not bare or new.day < 10 or new.month < 10  # else it would read as written with zeros
 
     day = dt.date(y, mo, d).toordinal() - FIRST_DAY
-    kind = "date" if form != "day" or m[5] != b"/" else "date/day"
+    kind = f"date {form} {bare}" if bare or form == "day" and m[5] == b"/" else "date"
     while True:
         s = f.run(list(divmod(day, 512)), [143, 512], kind, back)
         day = s[0] * 512 + s[1]
@@ -216,9 +224,9 @@ def _date(f, m, back):
     new = dt.date.fromordinal(FIRST_DAY + day)
     if form == "iso":
         return new.isoformat().encode()
-    wide = lambda x, old: b"%02d" % x if len(old) == 2 else b"%d" % x
+    wide = b"%d" if bare else b"%02d"
     a, b = (new.month, new.day) if form == "month" else (new.day, new.month)
-    return wide(a, m[4]) + m[5] + wide(b, m[6]) + m[5] + b"%04d" % new.year
+    return wide % a + m[5] + wide % b + m[5] + b"%04d" % new.year
 
 
 def _phone(f, m, back):

@@ -53,6 +53,13 @@ def _dots(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return a[:, :w] @ b[:, :w].T
 
 
+def _as_floats(scores: np.ndarray) -> np.ndarray:
+    """Scores as floats, those beyond a float's range as what is surely below them."""
+    if scores.dtype != object:
+        return scores
+    return np.array([1e300 if v > 1e300 else -np.inf if v < -1e300 else float(v) for v in scores])
+
+
 class BallTree:
     """Nodes in arrays; ``rows`` orders the vectors so that a node is a slice."""
 
@@ -83,7 +90,10 @@ def _keep_best(best: np.ndarray, ids: np.ndarray, scores: np.ndarray, cand: np.n
     """Merge candidates (the same for all rows) into the rows' k best (score, id)."""
     s = np.concatenate([best, scores], 1)
     i = np.concatenate([ids, np.broadcast_to(cand, scores.shape)], 1)
-    o = np.lexsort((i, -s), axis=1)[:, :k]
+    if s.dtype == object:
+        o = np.array([sorted(range(s.shape[1]), key=lambda c: (-a[c], b[c]))[:k] for a, b in zip(s, i)])
+    else:
+        o = np.lexsort((i, -s), axis=1)[:, :k]
     return np.take_along_axis(s, o, 1), np.take_along_axis(i, o, 1)
 
 
@@ -91,18 +101,19 @@ def search(x: np.ndarray, x_ids: np.ndarray, q: np.ndarray, q_ids: np.ndarray, f
     """The k best of ``x`` for every row of ``q``, none below its ``floor`` (the shared k-th score)."""
     exact = x.dtype != object and q.dtype != object
     width = min(x.shape[1], q.shape[1])
-    tree, qf = BallTree(x, leaf), q.astype(float)
-    # A margin above rounding keeps the bound an upper bound.
-    bound = qf[:, :width] @ tree.centre[:, :width].T + np.sqrt(np.square(qf).sum(1))[:, None] * tree.radius
-    bound += 1e-9 * (np.abs(bound) + 1)
-    low = -np.inf if exact else -(10**400)
+    with np.errstate(all="ignore"):  # beyond a float's range a bound is infinite
+        tree, qf = BallTree(x, leaf), q.astype(float)
+        bound = qf[:, :width] @ tree.centre[:, :width].T + np.sqrt(np.square(qf).sum(1))[:, None] * tree.radius
+        # A margin above rounding keeps the bound an upper bound.
+        bound = np.nan_to_num(bound + 1e-9 * (np.abs(bound) + 1), nan=np.inf, posinf=np.inf, neginf=-np.inf)
+    low = -np.inf
     best = np.full((len(q), k), low, float if exact else object)
     ids = np.full((len(q), k), np.iinfo(np.int64).max)
     floor = floor.astype(float)
     heap = [(-float(bound[:, 0].max(initial=-np.inf)), 0, np.arange(len(q)))]
     while heap:
         _, node, open_ = heapq.heappop(heap)
-        kth = np.maximum(floor[open_], best[open_, k - 1].astype(float))
+        kth = np.maximum(floor[open_], _as_floats(best[open_, k - 1]))
         open_ = open_[bound[open_, node] >= kth]
         if not len(open_):
             continue
