@@ -12,16 +12,18 @@ character, so units are encoded on their own. Within a unit:
 4. fold: the best score of every end, from its edges; the path of the last end
    is the encoding. Of equal scores the edge that starts first wins.
 
+The score of a path is the sum of its pieces' scores. In a model trained by
+merging (its scores count the merges) a path counts only if merging would leave
+each pair of neighbours as they are. Merges across a border depend on the two
+pieces at the border alone, so exactly one path passes, and it is the model's
+own encoding. Which pairs pass is worked out once per pair met.
+
 ``encode`` runs these steps inside the tasks, over arrays that hold all the
 distinct units of some neighbouring texts at once, and remembers units it has
 seen. ``encode_words`` is the same lattice in DataFrame functions, with the
 fold as a higher-order ``aggregate``, for a table of words: joining its result
 back to the texts would shuffle every word of the corpus (see the README).
 
-The score of a path is the sum of its pieces' scores. (A model that was
-trained for merging, rather than for a best path, may split some words
-differently with its own encoder.)
-
 Null text and empty text have no tokens, and decode to the empty text. Every
 other text decodes to itself, byte for byte, but for U+2581, which comes back
 as a blank. Bytes that are not UTF-8 become byte pieces. Very long texts and
@@ -34,6 +36,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -41,7 +44,7 @@ from pyspark.sql import functions as F
 from .common import batch_of, id_and_text, mix, spans_hash, texts, with_id
 
 BLANK = "▁"
-GROUP_BYTES, REMEMBERED = 1 << 22, 1 << 19
+GROUP_BYTES, REMEMBERED, PAIRS = 1 << 22, 1 << 19, 1 << 21
 _R = np.random.Generator(np.random.PCG64(404)).integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -58,8 +61,12 @@ class Pieces:
     byte_ids: list  # id of each byte's piece
     spelled: list  # bytes of every id
     unknown: float
+    merging: bool = False
 
     def __post_init__(self):
+        if self.merging:
+            self.rank = {p: s for p, _, s in self.rows}
+            self.rows = [r for r in self.rows if self.merge(r[0]) == [r[0]]]  # no other piece can be left by merging
         self.longest = max(len(p) for p, _, _ in self.rows)
         keys = np.array([_spell_hash(p) for p, _, _ in self.rows], np.uint64)
         o = np.argsort(keys)
@@ -70,6 +77,38 @@ class Pieces:
         self.bytes_of = np.frombuffer(b"".join(self.spelled), np.uint8)
         self.at = np.cumsum([0, *map(len, self.spelled)])
         self.byte_id = np.array(self.byte_ids, np.int32)
+        self.spelling = {i: p for p, i, _ in self.rows}
+        self.pairs, self.passing = np.empty(0, np.int64), np.empty(0, bool)
+
+    def merge(self, text: str) -> list[str]:
+        """Merge the best neighbours, leftmost first among equals, until none make a piece."""
+        parts = list(text)
+        while len(parts) > 1:
+            best, at = max(((self.rank.get(a + b, -np.inf), -i) for i, (a, b) in enumerate(zip(parts, parts[1:]))))
+            if best == -np.inf:
+                break
+            parts[-at : 2 - at] = [parts[-at] + parts[1 - at]]
+        return parts
+
+    def stay_apart(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Whether merging leaves each pair of piece ids as it is; unknown characters (-1) never merge."""
+        keys = (left.astype(np.int64) + 1 << 32) + right + 1
+        u, inverse = np.unique(keys, return_inverse=True)
+        new = np.setdiff1d(u, self.pairs, assume_unique=True)
+        if len(new):
+            passes = np.ones(len(new), bool)
+            for i, k in enumerate(new.tolist()):
+                a, b = (k >> 32) - 1, (k & 0xFFFFFFFF) - 1
+                if a >= 0 and b >= 0:
+                    a, b = self.spelling[a], self.spelling[b]
+                    passes[i] = self.merge(a + b) == [a, b]
+            if len(self.pairs) + len(new) > PAIRS:  # a bound on memory
+                self.pairs, self.passing = np.empty(0, np.int64), np.empty(0, bool)
+                return self.stay_apart(left, right) if len(u) < PAIRS else np.array([self.stay_apart(left[i : i + 1], right[i : i + 1])[0] for i in range(len(left))])
+            keys = np.concatenate([self.pairs, new])
+            o = np.argsort(keys)
+            self.pairs, self.passing = keys[o], np.concatenate([self.passing, passes])[o]
+        return self.passing[np.searchsorted(self.pairs, u)][inverse]
 
 
 def load_pieces(path: str | None = None) -> Pieces:
@@ -89,7 +128,9 @@ def load_pieces(path: str | None = None) -> Pieces:
         else:
             rows.append((p, i, sp.get_score(i)))
             spelled.append(p.replace(BLANK, " ").encode())
-    return Pieces(rows, byte_ids, spelled, min(r[2] for r in rows) - 10)
+    scores = [r[2] for r in rows]
+    merging = all(s == int(s) for s in scores)  # ranks, not log-probabilities
+    return Pieces(rows, byte_ids, spelled, min(scores) - 10, merging)
 
 
 def _spell_hash(piece: str) -> int:
@@ -144,6 +185,10 @@ def lattice(units: list[str], table: Pieces) -> tuple[np.ndarray, np.ndarray]:
     cuts = np.flatnonzero(np.diff(depth, prepend=-1))
     for lo, hi in zip(cuts, np.append(cuts[1:], len(s))):
         total = best[out[lo:hi]] + score[lo:hi]
+        if table.merging:
+            inner = np.flatnonzero(s[lo:hi] > base[owner[lo:hi]])
+            before = piece[back[out[lo:hi][inner]]]
+            total[inner[~table.stay_apart(before, piece[lo:hi][inner])]] = -np.inf
         group = np.flatnonzero(np.diff(into[lo:hi], prepend=-1))
         top = np.maximum.reduceat(total, group)
         is_top = np.flatnonzero(total == np.repeat(top, np.diff(np.append(group, hi - lo))))
@@ -293,14 +338,28 @@ def piece_table(spark, table: Pieces) -> DataFrame:
     return spark.createDataFrame(table.rows, "piece string, id int, score double")
 
 
-def encode_words(words: DataFrame, pieces: DataFrame, longest: int, unknown: float) -> DataFrame:
+def encode_words(words: DataFrame, table: Pieces) -> DataFrame:
     """word, path (array of piece ids, -1 for an unknown character) of a table
     of distinct words (column ``word``, blanks written as U+2581)."""
+    pieces, longest, unknown = piece_table(words.sparkSession, table), table.longest, table.unknown
     cut = "flatten(transform(sequence(1, length(word)), s -> transform(sequence(1, least({0}, length(word) - s + 1)), n -> struct(s - 1 AS s, s - 1 + n AS e, substring(word, s, n) AS piece))))"
     edges = words.where("length(word) > 0").select("word", F.explode(F.expr(cut.format(longest))).alias("x")).select("word", "x.*")
     edges = edges.join(pieces, "piece", "left").where("id IS NOT NULL OR e = s + 1")
-    edges = edges.select("word", F.struct("e", "s", F.coalesce("score", F.lit(unknown)).alias("score"), F.coalesce("id", F.lit(-1)).alias("id")).alias("edge"))
-    grouped = edges.groupBy("word").agg(F.sort_array(F.collect_list("edge")).alias("edges"))
+    edges = edges.select("word", "e", "s", F.coalesce("score", F.lit(unknown)).alias("score"), F.coalesce("id", F.lit(-1)).alias("id"))
+    if table.merging:  # the edges that may come before each
+        sent = words.sparkSession.sparkContext.broadcast(table)
+
+        @F.pandas_udf("boolean")
+        def apart(left: pd.Series, right: pd.Series) -> pd.Series:
+            return pd.Series(sent.value.stay_apart(left.to_numpy(), right.to_numpy()))
+
+        before = edges.select("word", F.col("e").alias("s"), F.col("id").alias("left"))
+        pairs = before.join(edges.select("word", "s", "id"), ["word", "s"]).select("left", "id").distinct().where(apart("left", "id"))
+        allowed = before.join(edges, ["word", "s"]).join(pairs, ["left", "id"]).groupBy("word", "s", "e", "id").agg(F.collect_set("left").alias("after"))
+        edges = edges.join(allowed, ["word", "s", "e", "id"], "left")
+    else:
+        edges = edges.withColumn("after", F.lit(None).cast("array<int>"))
+    grouped = edges.groupBy("word").agg(F.sort_array(F.collect_list(F.struct("e", "s", "score", "id", "after"))).alias("edges"))
     kind = "struct<score:double,path:array<int>>"
     start = F.expr(f"transform(sequence(0, length(word)), i -> if(i = 0, cast(struct(0D, cast(array() AS array<int>)) AS {kind}), cast(null AS {kind})))")
 
@@ -308,6 +367,7 @@ def encode_words(words: DataFrame, pieces: DataFrame, longest: int, unknown: flo
         total = nodes[edge["s"]]["score"] + edge["score"]
         old = nodes[edge["e"]]["score"]
         new = F.struct(total.alias("score"), F.concat(nodes[edge["s"]]["path"], F.array(edge["id"])).alias("path"))
-        return F.when(old.isNull() | (total > old), F.transform(nodes, lambda x, i: F.when(i == edge["e"], new).otherwise(x))).otherwise(nodes)
+        passes = (edge["s"] == 0) | F.array_contains(edge["after"], F.element_at(nodes[edge["s"]]["path"], -1)) if table.merging else F.lit(True)
+        return F.when(passes & total.isNotNull() & (old.isNull() | (total > old)), F.transform(nodes, lambda x, i: F.when(i == edge["e"], new).otherwise(x))).otherwise(nodes)
 
     return grouped.select("word", F.aggregate("edges", start, better, lambda nodes: F.element_at(nodes, -1)["path"]).alias("path"))

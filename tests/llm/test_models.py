@@ -145,23 +145,38 @@ def units(text: str) -> list[str]:
     return out
 
 
-def test_encoding_is_the_best_path(spark, small, pieces_table):
-    rows = [(r.doc_id, r.text[:600]) for r in small.limit(60).collect()] + [(1000, "  a  b "), (1001, "日本語 🙂\n\tx"), (1002, "▁x")]
+SAMPLES = ["  a  b ", "日本語 🙂\n\tx", "     lots   of      blanks    ", "naïve café — “quoted” … ½ ﬁ", " ", "x" * 3000]
+
+
+def test_encoding_is_the_librarys_own(spark, small, pieces_table):
+    import sentencepiece
+
+    own = sentencepiece.SentencePieceProcessor(model_file=pieces.default_path())
+    rows = [(r.doc_id, r.text) for r in small.collect()] + [(1000 + i, t) for i, t in enumerate(SAMPLES)]
     got = {r.doc_id: r.ids for r in pieces.encode(table(spark, [(i, t, None, None) for i, t in rows]), pieces_table).collect()}
+    assert pieces_table.merging
+    for i, t in rows:
+        assert got[i] == own.encode(t)
+
+
+def test_best_path_of_a_model_with_probabilities(spark, small, pieces_table):
+    plain = pieces.Pieces(pieces_table.rows, pieces_table.byte_ids, pieces_table.spelled, pieces_table.unknown)
+    rows = [(r.doc_id, r.text[:600]) for r in small.limit(60).collect()] + [(1000 + i, t) for i, t in enumerate(SAMPLES)] + [(2000, "▁x")]
+    got = {r.doc_id: r.ids for r in pieces.encode(table(spark, [(i, t, None, None) for i, t in rows]), plain).collect()}
     for i, t in rows:
-        want = [p for u in units(t.replace(pieces.BLANK, " ")) for p in best_path(u, pieces_table)]
-        assert got[i] == want
+        assert got[i] == [p for u in units(t.replace(pieces.BLANK, " ")) for p in best_path(u, plain)]
 
 
-def test_relational_lattice_agrees(spark, small, pieces_table):
-    words = sorted({w for r in small.limit(5).collect() for w in r.text.split()})[:250] + ["naïve🙂", "x" * 40]
-    frame = spark.createDataFrame([(pieces.BLANK + w,) for w in words], "word string")
-    got = pieces.encode_words(frame, pieces.piece_table(spark, pieces_table), pieces_table.longest, pieces_table.unknown).collect()
+@pytest.mark.parametrize("merging", [True, False])
+def test_relational_lattice_agrees(spark, small, pieces_table, merging):
+    t = pieces.Pieces(pieces_table.rows, pieces_table.byte_ids, pieces_table.spelled, pieces_table.unknown, merging)
+    words = sorted({w for r in small.limit(4).collect() for w in r.text.split()})[:200] + ["naïve🙂", "x" * 40]
+    got = pieces.encode_words(spark.createDataFrame([(pieces.BLANK + w,) for w in words], "word string"), t).collect()
     assert len(got) == len(set(words))
+    encoder, bytes_ = pieces.Encoder(t), set(t.byte_ids)
     for r in got:
-        unknown = {i for i in pieces_table.byte_ids}
-        want = best_path(" " + r.word[1:], pieces_table)
-        assert [p for p in r.path if p >= 0] == [p for p in want if p not in unknown]
+        want = encoder.group([r.word[1:].encode()])[0].tolist()
+        assert [p for p in r.path if p >= 0] == [p for p in want if p not in bytes_]
 
 
 def test_round_trip(spark, odd, none, small, pieces_table):
