@@ -52,18 +52,22 @@ def top_customers(fact: DataFrame, dim_customer: DataFrame, k: int = 10) -> Data
     by spend (ties broken by the group columns).
 
     Grouped by the customer's attributes, so a user with history appears
-    once per distinct attribute set. ``total_orders`` counts distinct
-    orders exactly: the fact is reduced per (version, order), joined to the
-    dimension, and reduced again per (group, order) before counting.
+    once per distinct attribute set. Each set is named by its least customer
+    key, on the dimension side; the fact, reduced per (version, order), is
+    mapped to that name and reduced per (name, order), then per name, which
+    counts distinct orders exactly. No string moves at order grain: the
+    attributes come back by the name, one row per set, at the end.
     """
-    per_order = fact.groupBy("customer_key", "order_id").agg(F.sum("total_amount").alias("_amt"))
     attrs = ["user_id", "name", "city", "country"]
-    j = per_order.join(dim_customer.select("customer_key", *attrs), "customer_key")
-    per_group_order = j.groupBy(*attrs, "order_id").agg(F.sum("_amt").alias("_amt"))
-    g = per_group_order.groupBy(*attrs).agg(
+    groups = dim_customer.groupBy(*attrs).agg(F.min("customer_key").alias("_group"), F.collect_set("customer_key").alias("_keys"))
+    names = groups.select("_group", F.explode("_keys").alias("customer_key"))
+    per_order = fact.groupBy("customer_key", "order_id").agg(F.sum("total_amount").alias("_amt"))
+    per_group_order = per_order.join(names, "customer_key").groupBy("_group", "order_id").agg(F.sum("_amt").alias("_amt"))
+    g = per_group_order.groupBy("_group").agg(
         _revenue("_amt").alias("total_spent"), F.count("order_id").alias("total_orders")
     )
-    return g.orderBy(F.col("total_spent").desc(), *attrs).limit(k)
+    j = g.join(groups.select("_group", *attrs), "_group").select(*attrs, "total_spent", "total_orders")
+    return j.orderBy(F.col("total_spent").desc(), *attrs).limit(k)
 
 
 def top_products(fact: DataFrame, dim_product: DataFrame, k: int = 10) -> DataFrame:

@@ -34,17 +34,12 @@ def dedup_by_email(df: DataFrame, email: str = "email", user_id: str = "user_id"
     elif case_insensitive:
         key = F.lower(key)
     keyed = df.withColumn("_dedup_key", key)
-    firsts = keyed.where(F.col("_dedup_key").isNotNull()).groupBy("_dedup_key").agg(
-        F.min(user_id).alias("_dedup_min")
-    )
-    joined = keyed.join(firsts, "_dedup_key", "left")
-    keep = (
-        F.col("_dedup_key").isNull()
-        | F.col(user_id).isNull()
-        | F.col("_dedup_min").isNull()
-        | (F.col(user_id) <= F.col("_dedup_min"))
-    )
-    return joined.where(keep).select(*df.columns)
+    # Rows that match nothing stay out of the join: their NULL would be one hot key.
+    alone = F.col("_dedup_key").isNull() | F.col(user_id).isNull()
+    paired = keyed.where(~alone)
+    firsts = paired.groupBy("_dedup_key").agg(F.min(user_id).alias("_dedup_min"))
+    kept = paired.join(firsts, "_dedup_key").where(F.col(user_id) <= F.col("_dedup_min"))
+    return kept.select(*df.columns).unionByName(keyed.where(alone).select(*df.columns))
 
 
 def dropped_by_dedup(df: DataFrame, cleaned: DataFrame, user_id: str = "user_id") -> DataFrame:

@@ -14,8 +14,6 @@ from starmart.functions import any_changed, calendar_columns, date_key
 from starmart.operators.keys import assign_surrogate_keys, max_key
 
 CUSTOMER_TRACKED = ["name", "email", "city", "country"]
-# Batch-sized sides are broadcast when their proven row bound is below this.
-BROADCAST_ROWS = 2_000_000
 PRODUCT_ATTRIBUTES = ["product_name", "category", "price", "source_last_updated"]
 
 
@@ -38,10 +36,6 @@ def new_dates(staged_orders: DataFrame, dim_date: DataFrame, order_date: str = "
     return date_rows(fresh)
 
 
-def apply_dim_date(dim_date: DataFrame, staged_orders: DataFrame) -> DataFrame:
-    return dim_date.unionByName(new_dates(staged_orders, dim_date))
-
-
 # ---------------------------------------------------------- D2 SCD-1 product
 def scd1_upsert(dim_product: DataFrame, staged_products: DataFrame, base_key: Column | int | None = None,
                 row_bound: int | None = None) -> DataFrame:
@@ -66,7 +60,7 @@ def scd1_upsert(dim_product: DataFrame, staged_products: DataFrame, base_key: Co
     base = max_key(dim_product, "product_key") if base_key is None else base_key
     known = merged.where(F.col("product_key").isNotNull())
     fresh = assign_surrogate_keys(merged.where(F.col("product_key").isNull()).drop("product_key"),
-                                  ["product_id"], "product_key", base=base, row_bound=row_bound)
+                                  ["product_id"], "product_key", base=base)
     return schemas.conform(known.unionByName(fresh), schemas.DIM_PRODUCT)
 
 
@@ -76,36 +70,31 @@ def scd1_changes(dim_product: DataFrame, staged_products: DataFrame, base_key: C
     every incoming attribute under their existing ``product_key``, and new
     products with the next keys in ``product_id`` order.
 
-    The dimension is only scanned: the staged ids (batch-sized, bounded by
-    ``row_bound``) are broadcast into a semi join that finds the known ones,
-    and the staged rows are split against that small result.
+    The staged ids find the known products in a semi join, and the staged rows
+    are split against that result, which is no larger than the batch; Spark
+    broadcasts either where its measured size allows. ``row_bound`` is accepted
+    from older callers and has no effect.
     """
     inc = staged_products.select(
         "product_id", "product_name", "category", "price",
         F.col("last_updated").alias("source_last_updated"),
     )
-    ids = inc.select("product_id")
-    if row_bound is not None and row_bound <= BROADCAST_ROWS:
-        ids = F.broadcast(ids)
-    known = dim_product.select("product_key", "product_id").join(ids, "product_id", "left_semi")
-    small_known = F.broadcast(known) if row_bound is not None and row_bound <= BROADCAST_ROWS else known
-    updated = inc.join(small_known, "product_id")
-    fresh = assign_surrogate_keys(inc.join(small_known.select("product_id"), "product_id", "left_anti"),
-                                  ["product_id"], "product_key", base=base_key, row_bound=row_bound)
+    known = dim_product.select("product_key", "product_id").join(inc.select("product_id"), "product_id", "left_semi")
+    updated = inc.join(known, "product_id")
+    fresh = assign_surrogate_keys(inc.join(known.select("product_id"), "product_id", "left_anti"),
+                                  ["product_id"], "product_key", base=base_key)
     return schemas.conform(updated.unionByName(fresh), schemas.DIM_PRODUCT)
 
 
 def latest_products(base: DataFrame, later: DataFrame, later_rows: int | None = None) -> DataFrame:
     """Current SCD-1 rows: ``later`` holds upserts tagged with ``batch_seq``;
     per product the latest upsert wins, and base rows with a later upsert
-    drop out (their ids are broadcast when ``later_rows`` proves them few)."""
+    drop out. ``later_rows`` is accepted from older callers and has no effect."""
     cols = schemas.DIM_PRODUCT.fieldNames()
     newest = later.groupBy("product_id").agg(
         F.max_by(F.struct(*cols), "batch_seq").alias("_row")).select("_row.*")
-    ids = newest.select("product_id")
-    if later_rows is not None and later_rows <= BROADCAST_ROWS:
-        ids = F.broadcast(ids)
-    return base.select(*cols).join(ids, "product_id", "left_anti").unionByName(newest.select(*cols))
+    kept = base.join(newest.select("product_id"), "product_id", "left_anti")
+    return kept.select(*cols).unionByName(newest.select(*cols))
 
 
 # --------------------------------------------------------- D3/D4 SCD-2 customer
@@ -151,7 +140,7 @@ def scd2_split(active: DataFrame, staged_users: DataFrame, run_ts, base_key: Col
         F.col("last_updated").alias("source_last_updated"),
     )
     inserted = schemas.conform(
-        assign_surrogate_keys(inserts, ["user_id"], "customer_key", base=base_key, row_bound=row_bound),
+        assign_surrogate_keys(inserts, ["user_id"], "customer_key", base=base_key),
         schemas.DIM_CUSTOMER
     )
     next_active = schemas.conform(still_active, schemas.DIM_CUSTOMER).unionByName(inserted)

@@ -48,7 +48,7 @@ def children_of(child: DataFrame, staged_parent: DataFrame, key: str = "order_id
     child columns only). The staged parent is unique on ``key``, so this is a
     semi join; Spark broadcasts the small staged side when its measured size
     allows and falls back to a shuffle join otherwise."""
-    return child.join(staged_parent.select(key), key, "left_semi")
+    return child.join(staged_parent.select(key), key, "left_semi").select(*child.columns)
 
 
 def extract(sources: dict[str, DataFrame], watermark) -> dict[str, DataFrame]:

@@ -6,13 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starmart import schemas
-from starmart.functions import date_key, line_amount, not_cancelled, range_label, sales_year
+from starmart.functions import date_key, line_amount, not_cancelled
 from starmart.operators.keys import assign_surrogate_keys, max_key
 
-# Largest batch whose keys are broadcast (the bound must be proven, e.g. the
-# staged item count); above it the joins are left to Spark's own size checks.
-BROADCAST_ROWS = 2_000_000
-
 # Which columns identify an already-loaded fact.
 MATCH_KEYS = {
     "split": ["source_order_item_id", "date_key"],   # the declared unique key
@@ -59,54 +55,45 @@ def fact_rejects(staged_items: DataFrame, staged_orders: DataFrame, dim_customer
                  dim_product: DataFrame) -> DataFrame:
     """Non-cancelled staged items that produce no fact because their order,
     active customer or product is missing, with the reason."""
-    live = staged_orders.where(not_cancelled()).select("order_id", "user_id")
+    orders = staged_orders.select("order_id", "user_id", F.coalesce(not_cancelled(), F.lit(False)).alias("_live"))
     customers = dim_customer.where(F.col("is_active") == 1).select("user_id", F.lit(True).alias("_has_c"))
     products = dim_product.select("product_id", F.lit(True).alias("_has_p"))
-    items = staged_items.join(live.join(customers, "user_id", "left"), "order_id").join(products, "product_id", "left")
+    items = staged_items.join(orders.join(customers, "user_id", "left"), "order_id", "left").join(products, "product_id", "left")
     reason = (
-        F.when(F.col("_has_c").isNull(), F.lit("no active customer"))
+        F.when(F.col("_live").isNull(), F.lit("unknown order"))
+        .when(~F.col("_live"), F.lit(None))
+        .when(F.col("_has_c").isNull(), F.lit("no active customer"))
         .when(F.col("_has_p").isNull(), F.lit("unknown product"))
     )
-    return items.withColumn("reason", reason).where(F.col("reason").isNotNull()).drop("_has_c", "_has_p")
+    return items.withColumn("reason", reason).where(F.col("reason").isNotNull()).drop("_live", "_has_c", "_has_p")
 
 
 def not_yet_loaded(candidates: DataFrame, existing_fact: DataFrame, match_on: str = "split",
                    row_bound: int | None = None) -> DataFrame:
     """Candidates whose match key is not in the fact table.
 
-    The existing fact is first reduced to the keys it shares with the batch
-    (a semi join against the batch keys, broadcast when ``row_bound`` proves
-    the batch small: the fact is scanned once and never shuffled), then the
-    batch is anti-joined against that remainder, which is no larger than the
-    batch. When the fact is partitioned by ``sales_year``, a semi join on
-    the batch's years - a broadcast, there are only as many rows as calendar
-    years - lets dynamic partition pruning skip the untouched years.
+    One anti join. Where the date is part of the key, the existing fact is
+    cut to the batch's range of dates first (and of ``sales_year``, where the
+    fact is partitioned by it), so that partitions and row groups outside the
+    range are skipped. ``row_bound`` is accepted from older callers and has no
+    effect.
     """
     keys = MATCH_KEYS[match_on]
-    small = row_bound is not None and row_bound <= BROADCAST_ROWS
-    batch_keys = candidates.select(*keys)
-    if small:
-        batch_keys = F.broadcast(batch_keys)
     existing = existing_fact
-    if "sales_year" in existing_fact.columns and "date_key" in keys:
-        years = candidates.select(sales_year("date_key").alias("sales_year")).distinct()
-        existing = existing.join(F.broadcast(years), "sales_year", "left_semi")
-    already = existing.select(*keys).join(batch_keys, keys, "left_semi")
-    return candidates.join(F.broadcast(already) if small else already, keys, "left_anti")
+    if "date_key" in keys:
+        ends = candidates.agg(F.min("date_key").alias("low"), F.max("date_key").alias("high"))
+        low, high = ends.select("low").scalar(), ends.select("high").scalar()
+        existing = existing.where(F.col("date_key").between(low, high))
+        if "sales_year" in existing_fact.columns:
+            existing = existing.where(F.col("sales_year").between(F.floor(low / 10000), F.floor(high / 10000)))
+    return candidates.join(existing.select(*keys), keys, "left_anti").select(*candidates.columns)
 
 
 def load_facts(candidates: DataFrame, existing_fact: DataFrame, run_ts, match_on: str = "split",
                base_sale_id: Column | int | None = None, row_bound: int | None = None) -> DataFrame:
     """New ``fact_sales`` rows: not-yet-loaded candidates with the next
     ``sale_id`` values (in natural-key order) and ``load_dts = run_ts``."""
-    fresh = not_yet_loaded(candidates, existing_fact, match_on, row_bound=row_bound)
+    fresh = not_yet_loaded(candidates, existing_fact, match_on)
     base = max_key(existing_fact, "sale_id") if base_sale_id is None else base_sale_id
-    keyed = assign_surrogate_keys(fresh, ["source_order_item_id", "date_key"], "sale_id", base=base,
-                                  row_bound=row_bound)
+    keyed = assign_surrogate_keys(fresh, ["source_order_item_id", "date_key"], "sale_id", base=base)
     return schemas.conform(keyed.withColumn("load_dts", _ts(run_ts)), schemas.FACT_SALES)
-
-
-def with_partitions(fact: DataFrame) -> DataFrame:
-    """Add the storage partition column ``sales_year`` (yearly buckets that
-    refine the five declared ranges) and the declared range name."""
-    return fact.withColumns({"sales_year": sales_year("date_key"), "range_partition": range_label("date_key")})

@@ -4,45 +4,32 @@ New rows get ``base + 1, base + 2, ...`` in natural-key order, where
 ``base`` is the largest key already handed out; existing keys never change.
 
 A global ``row_number() OVER (ORDER BY nk)`` would pull every row into one
-task. Instead the rows are range-partitioned on the natural key (which is
-unique, so even a heavily repeated leading column is split evenly),
-sorted within each range, and numbered in two passes over the same
-shuffle output:
-
-1. per range partition: its row count;
-2. a running sum over that table - one row per partition, so its size is
-   bounded by the partition count, not by the data - gives each partition
-   its offset, which is broadcast back.
-
-Both passes must see the same range partitioning. Spark samples the range
-bounds afresh for every exchange (the sampling seed depends on the RDD), so
-two branches of one plan can disagree. The partitioned, sorted and tagged
-rows are therefore written once as a parquet table under the session's
-checkpoint directory, and both passes read that copy. The numbering is then
-fixed data: task retries and executor loss cannot change it.
-
-A batch whose size is bounded (the batch runner knows its staged row counts)
-is numbered by one window in a single task instead: one pass, no write.
+task. Instead the rows are cut into ordered groups, and numbered in two passes:
+
+1. per group: its row count (a map-side combined aggregate), and a running
+   sum over the groups - one row per group, not per row - which gives each its
+   offset;
+2. within each group: the rank of the natural key.
+
+A key of one column is unique, so ``width`` consecutive values make a group
+and nothing is sampled. A longer key may repeat its first column (a third of
+the rows may share one value), so its groups are range partitions of the whole
+key, written once: Spark samples range bounds afresh for every exchange, and
+both passes must see the same. Either way the input is written once under the
+session's checkpoint directory first, so the plan above is not run again, and
+task retries or executor loss cannot change the numbering. The plan depends on
+the key's shape, never on the number of rows.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-_PART = "_k1_part"
-_ROW = "_k1_row"
-
-
-def _partitions(df: DataFrame, num_partitions: int | None, rows: int | None = None) -> int:
-    """Range partitions: as given, else enough to keep each near
-    ``ROWS_PER_RANGE`` rows and never fewer than the shuffle partitions."""
-    if num_partitions:
-        return int(num_partitions)
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    if rows:
-        n = max(n, -(-rows // ROWS_PER_RANGE))
-    return n
+_GROUP, _OF, _BEFORE, _N = "_k1_group", "_k1_of", "_k1_before", "_k1_n"
+# Consecutive values of a one-column key that make a group.
+WIDTH = 1 << 16
 
 
 def max_key(df: DataFrame, key_col: str) -> Column:
@@ -50,52 +37,28 @@ def max_key(df: DataFrame, key_col: str) -> Column:
     return df.agg(F.coalesce(F.max(key_col), F.lit(0)).cast("long")).scalar()
 
 
-# Largest row count numbered in a single task (a proven bound is required).
-SINGLE_TASK_ROWS = 2_000_000
-# Target rows per range partition on the distributed path.
-ROWS_PER_RANGE = 4_000_000
-
-
 def assign_surrogate_keys(df: DataFrame, natural_key: list[str], key_col: str,
                           base: Column | int = 0, num_partitions: int | None = None,
-                          row_bound: int | None = None) -> DataFrame:
+                          row_bound: int | None = None, width: int = WIDTH) -> DataFrame:
     """Add ``key_col`` = ``base`` + dense 1-based rank of ``natural_key``.
 
     ``natural_key`` must be unique in ``df`` (staging is validated for it);
     ``base`` is an int or a scalar column such as ``max_key(existing, key)``.
-    The result is in key order within range partitions.
-
-    ``row_bound`` is an upper bound on ``len(df)`` the caller has proven (e.g.
-    the row count of the staged batch the rows come from); without one the
-    rows are counted. At most ``SINGLE_TASK_ROWS`` rows are numbered by one
-    window in one task, in a single pass - the usual case for an hourly
-    batch. Above it the distributed two-pass numbering below is used.
+    ``row_bound`` is accepted from older callers and has no effect.
     """
-    base_col = F.lit(base) if isinstance(base, int) else base
-    if row_bound is None:
-        row_bound = df.count()
-    if row_bound <= SINGLE_TASK_ROWS:
-        order = Window.orderBy(*natural_key)
-        return df.withColumn(key_col, (base_col + F.row_number().over(order)).cast("long"))
-
     from starmart.session import materialize
 
-    n = _partitions(df, num_partitions, row_bound)
-    ranged = materialize(
-        df.repartitionByRange(n, *natural_key)
-        .sortWithinPartitions(*natural_key)
-        .withColumn(_PART, F.spark_partition_id())
-        .withColumn(_ROW, F.monotonically_increasing_id())
-    )
-    # One row per range partition: bounded by n, safe to broadcast, and the
-    # running sum over it runs in a single task by design.
-    sizes = ranged.groupBy(_PART).agg(F.count(F.lit(1)).alias("_k1_n"))
-    before = Window.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(_PART, F.coalesce(F.sum("_k1_n").over(before), F.lit(0)).alias("_k1_before"))
-    # monotonically_increasing_id puts the partition id in the upper 31 bits
-    # and the row number within the partition in the lower 33 bits.
-    local = F.col(_ROW) - F.shiftleft(F.col(_PART).cast("long"), 33)
-    keyed = ranged.join(F.broadcast(offsets), _PART).withColumn(
-        key_col, (base_col + F.col("_k1_before") + local + F.lit(1)).cast("long")
-    )
-    return keyed.drop(_PART, _ROW, "_k1_before")
+    base_col = F.lit(base) if isinstance(base, int) else base
+    rows = materialize(df)
+    if len(natural_key) == 1 and isinstance(df.schema[natural_key[0]].dataType, T.IntegralType):
+        rows = rows.withColumn(_GROUP, F.floor(F.col(natural_key[0]).cast("decimal(20,0)") / width).cast("long"))
+    else:
+        n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        rows = materialize(rows.repartitionByRange(n, *natural_key).withColumn(_GROUP, F.spark_partition_id().cast("long")))
+    sizes = rows.groupBy(_GROUP).agg(F.count(F.lit(1)).alias(_N))
+    before = Window.orderBy(F.col(_GROUP).asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(F.col(_GROUP).alias(_OF), F.coalesce(F.sum(_N).over(before), F.lit(0)).alias(_BEFORE))
+    inside = Window.partitionBy(_GROUP).orderBy(*natural_key)
+    ranked = rows.withColumn(key_col, F.row_number().over(inside).cast("long"))
+    keyed = ranked.join(offsets, F.col(_GROUP).eqNullSafe(F.col(_OF)))
+    return keyed.withColumn(key_col, (base_col + F.col(_BEFORE) + F.col(key_col)).cast("long")).drop(_GROUP, _OF, _BEFORE)

@@ -33,7 +33,6 @@ of ``dim_customer_versions``); readers then skip the batches it covers.
 
 from __future__ import annotations
 
-import os
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
@@ -94,22 +93,22 @@ class Warehouse:
     def read(self, table: str, schema, seqs: list[int] | None = None,
              partition_cols: tuple = (PART,)) -> DataFrame:
         """Partitions ``seqs`` of ``table`` (all when None) with the declared
-        schema plus the partition columns; the ``batch_seq`` filter prunes
-        directories before any file is opened."""
+        schema plus the partition columns. One listing of the table finds
+        those that exist; only their directories are opened."""
         full = T.StructType(schema.fields + [T.StructField(c, T.IntegerType()) for c in partition_cols])
-        if not self._exists(table) or seqs == []:
+        have = self._batches(table)
+        live = have if seqs is None else sorted(set(seqs) & set(have))
+        if not live:
             return schemas.empty(self.spark, full)
-        df = self.spark.read.schema(full).option("basePath", self.path(table)).parquet(self.path(table))
-        if seqs is not None:
-            df = df.where(F.col(PART).isin(seqs))
-        return df
+        return self.spark.read.schema(full).option("basePath", self.path(table)).parquet(*[self.path(table, b) for b in live])
 
     def write(self, df: DataFrame, table: str, seq: int, partition_by: list[str] | None = None,
               files: int | None = None) -> None:
         """Write batch ``seq`` of ``table`` (overwrites only that batch's own
         partition, so a retry of the batch is harmless)."""
         if files:
-            df = df.coalesce(files)
+            # A shuffle: only the rows of the result reach the writing task.
+            df = df.repartition(files)
         w = df.write.mode("overwrite")
         if partition_by:
             w = w.partitionBy(*partition_by)
@@ -127,10 +126,8 @@ class Warehouse:
         return sorted(r[0] for r in rows)
 
     def next_seq(self) -> int:
-        seen = set(self._batches("etl_log"))
-        for t in ("staging/orders", "dim_date", "fact_sales", "dim_customer_versions"):
-            seen.update(self._batches(t))
-        return max(seen, default=0) + 1
+        """A number no table has a partition of, whatever a crash left behind."""
+        return max((b for t in TABLES for b in self._batches(t)), default=0) + 1
 
     def compactions(self, committed: list[int]) -> dict[str, tuple[int, int]]:
         """table -> (compaction batch, last batch it covers), latest first."""
@@ -163,12 +160,14 @@ class Warehouse:
         """Current SCD-1 product rows (see ``dims.latest_products``)."""
         from starmart.operators.dims import latest_products
 
-        live = [b for b in self.live("dim_product", committed, comps) if b in set(self._batches("dim_product"))]
+        have = set(self._batches("dim_product"))
+        live = [b for b in self.live("dim_product", committed, comps) if b in have]
         if not live:
             return schemas.empty(self.spark, schemas.DIM_PRODUCT)
         base = self.read("dim_product", schemas.DIM_PRODUCT, live[:1]).drop(PART)
-        later = self.read("dim_product", schemas.DIM_PRODUCT, live[1:])
-        return latest_products(base, later, later.count() if live[1:] else 0)
+        if not live[1:]:
+            return base
+        return latest_products(base, self.read("dim_product", schemas.DIM_PRODUCT, live[1:]))
 
     def latest(self, table: str, committed: list[int]) -> list[int]:
         """The latest committed batch that wrote ``table`` (as a 0/1 list)."""
@@ -192,7 +191,7 @@ class Warehouse:
         # active versions only).
         recent = self.read("dim_customer_closed", schemas.DIM_CUSTOMER,
                            self.since_compaction("dim_customer_closed", committed, comps))
-        active = close_versions(versions, recent, recent.count())
+        active = close_versions(versions, recent)
         fact = self.read("fact_sales", schemas.FACT_SALES, self.live("fact_sales", committed, comps),
                          (PART, "sales_year"))
         fact = fact.select(*schemas.FACT_SALES.fieldNames(), "sales_year")
@@ -211,20 +210,16 @@ COMPACTION = T.StructType([
     T.StructField("covers_through", T.IntegerType(), False),
 ])
 
-# Closed keys broadcast into the active-set anti join when counted below this.
-BROADCAST_KEYS = 2_000_000
+# Every table with batch partitions.
+TABLES = (*(f"staging/{t}" for t in (*schemas.SOURCES, "users_clean", "fact_candidates")), "dim_date", "dim_product",
+          "dim_customer_versions", "dim_customer_closed", "fact_sales", "key_state", "etl_error_log", "etl_log", "compaction")
 
 
-def close_versions(versions: DataFrame, closed: DataFrame, closed_rows: int | None = None) -> DataFrame:
-    """Active set = opened versions whose key was not closed since. With a
-    measured count of closed rows (a footer-metadata count of the parquet
-    partitions) below ``BROADCAST_KEYS`` their keys are broadcast, so the
-    versions are only scanned, never shuffled; compaction keeps that set
-    small."""
-    keys = closed.select("customer_key")
-    if closed_rows is not None and closed_rows <= BROADCAST_KEYS:
-        keys = F.broadcast(keys)
-    return versions.join(keys, "customer_key", "left_anti")
+def close_versions(versions: DataFrame, closed: DataFrame) -> DataFrame:
+    """Active set = opened versions whose key was not closed since. The closed
+    keys are few after a compaction; Spark broadcasts them where their size
+    allows, and the versions are then only scanned."""
+    return versions.join(closed.select("customer_key"), "customer_key", "left_anti").select(*versions.columns)
 
 
 KEY_STATE = T.StructType([
@@ -244,8 +239,3 @@ def star_tables(wh: Warehouse) -> dict[str, DataFrame]:
         "etl_log": s.etl_log,
         "etl_error_log": s.etl_error_log,
     }
-
-
-def local_root(path: str) -> str:
-    """Absolute path helper for tests and local runs."""
-    return os.path.abspath(path)

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starmart import schemas
+from starmart.session import materialize
 
 CORRUPT = "_corrupt_record"
 
@@ -25,7 +26,9 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType, fmt: str =
 
     For CSV, ``mode="FAILFAST"`` raises on a malformed row; ``"PERMISSIVE"``
     keeps it with NULLs and the raw line in ``_corrupt_record`` (see
-    ``csv_rejects``).
+    ``csv_rejects``). A permissive read is parsed whole, once, into a staging
+    table: Spark parses only the columns a query asks for, and a row can look
+    sound to a query that does not ask for its broken column.
     """
     if fmt == "parquet":
         return spark.read.schema(schema).parquet(path)
@@ -33,8 +36,9 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType, fmt: str =
         read_schema = schema
         if mode == "PERMISSIVE":
             read_schema = T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())])
-        return (
+        rows = (
             spark.read.schema(read_schema)
+            .option("columnPruning", False)
             .option("header", header)
             .option("sep", delimiter)
             .option("mode", mode)
@@ -42,6 +46,7 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType, fmt: str =
             .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss")
             .csv(path)
         )
+        return materialize(rows) if mode == "PERMISSIVE" else rows
     return spark.read.schema(schema).format(fmt).load(path)
 
 

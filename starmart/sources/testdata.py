@@ -44,17 +44,9 @@ def as_of():
     return F.lit(AS_OF).cast("timestamp_ntz")
 
 
-_READS: dict = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Driver table ``name``; the (lazy) scan is reused per session and path
-    so its footer is read once."""
-    path = os.path.join(sf_dir, f"{name}.parquet")
-    key = (session_key(spark), path)
-    if key not in _READS:
-        _READS[key] = spark.read.parquet(path)
-    return _READS[key]
+    """Driver table ``name``, listed anew each time."""
+    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
 def users(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -23,7 +23,7 @@ def test_extract_uses_semi_joins_and_pushes_the_watermark(spark):
 
 
 def test_no_python_udf_in_any_registered_query(spark):
-    for name, fn in entry.queries().items():
+    for name, fn in entry._QUERIES.items():
         p = plan(fn(spark, SF_SMALL))
         assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p, name
 
