@@ -12,7 +12,9 @@ from __future__ import annotations
 
 import os
 import sys
+import uuid
 from collections.abc import Callable
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,8 +31,10 @@ from starmart.operators.dims import initial_customers, initial_products, new_dat
 from starmart.operators.extract import changed_since, extract, high_watermark  # noqa: E402
 from starmart.operators.facts import fact_candidates, fact_rejects, load_facts  # noqa: E402
 from starmart.operators.maintain import derive_payments, point_update, raise_price, refresh_order_totals  # noqa: E402
+from starmart.plans.batch import ERROR_MESSAGE, FAILED_MESSAGE, MESSAGES, run_batch, run_staged  # noqa: E402
 from starmart.plans.star import first_batch_log, first_load  # noqa: E402
-from starmart.session import apply_conf, ensure_checkpoint_dir  # noqa: E402
+from starmart.plans.warehouse import Warehouse  # noqa: E402
+from starmart.session import apply_conf, ensure_checkpoint_dir, session_key  # noqa: E402
 from starmart.sources import testdata as td  # noqa: E402
 
 try:  # the corpus operators and their pipeline may be left out of an installation
@@ -283,6 +287,131 @@ def q_check_lengths(spark, sf_dir):
     return quality.length_violations(_src(spark, sf_dir, False)["users"], schemas.VARCHAR_LIMITS["users"])
 
 
+# Keys declared by the source and warehouse schemas.
+DECLARED_KEYS = [*((t, k) for t, k in schemas.PRIMARY_KEYS.items()),
+                 *((t, k) for t, ks in schemas.UNIQUE_KEYS.items() for k in ks),
+                 ("dim_product", ["product_id"]), ("dim_date", ["full_date"]),
+                 ("fact_sales", ["source_order_item_id", "date_key"])]
+# Driver columns that become DECIMAL(12,2) (fixed values).
+MONEY_COLUMNS = {"part": ["p_retailprice"], "orders": ["o_totalprice"], "lineitem": ["l_extendedprice"]}
+
+
+def q_check_unique_all(spark, sf_dir):
+    s = _src(spark, sf_dir)
+    star = first_load(s, RUN_TS)
+    return quality.unique_summary({**s.materialize(), "dim_product": star.dim_product, "dim_date": star.dim_date,
+                                   "fact_sales": star.fact_sales}, DECLARED_KEYS)
+
+
+def q_check_not_null_all(spark, sf_dir):
+    return quality.per_table(_src(spark, sf_dir).materialize(), lambda _, df: quality.null_counts(df))
+
+
+def q_check_lengths_all(spark, sf_dir):
+    s = _src(spark, sf_dir, False)
+    return quality.per_table({t: s[t] for t in schemas.VARCHAR_LIMITS},
+                             lambda t, df: quality.length_violations(df, schemas.VARCHAR_LIMITS[t]))
+
+
+def q_check_decimals_all(spark, sf_dir):
+    _prepare(spark)
+    return quality.per_table({t: td.table(spark, sf_dir, t) for t in MONEY_COLUMNS},
+                             lambda t, df: quality.decimal_summary(df, {c: (12, 2) for c in MONEY_COLUMNS[t]}))
+
+
+def q_money_exact(spark, sf_dir):
+    """Exact sums, as text, and the declared type of every money column."""
+    s, star = _src(spark, sf_dir), _star(spark, sf_dir)
+    parts = [df.agg(F.sum(c).cast("string").alias("total")).select(
+        F.lit(t).alias("table_name"), F.lit(c).alias("column_name"), F.lit(df.schema[c].dataType.simpleString()).alias("type"), "total")
+        for t, df, c in [("products", s["products"], "price"), ("orders", s["orders"], "total_amount"), ("order_items", s["order_items"], "price"),
+                         ("fact_sales", star.fact_sales, "unit_price"), ("fact_sales", star.fact_sales, "total_amount")]]
+    return reduce(DataFrame.unionByName, parts)
+
+
+# ------------------------------------------- two batches of the runner
+# Between the batches: customers move, prices rise, and every so many orders
+# there is a new one, of two lines, by the same customer (fixed values).
+CHANGE_TS = _shift(RUN_TS, minutes=30)
+NEW_ORDER_EVERY, NEW_ID, RAISED_EVERY = 50, 1_000_000_000_000, 20
+_WAREHOUSES: dict = {}
+
+
+def _changed_sources(spark, sf_dir):
+    s, stamp = td.sources(spark, sf_dir), _ts(CHANGE_TS)
+    moved = (F.col("country") == RELOCATED_REGION) & (F.col("user_id") % 10 != 9)
+    out = {
+        "users": point_update(s["users"], moved, {"city": F.concat(F.col("city"), F.lit(" NCR")), "last_updated": stamp}),
+        "products": raise_price(s["products"], F.col("product_id") % RAISED_EVERY == 0, 100, touch_ts=CHANGE_TS),
+    }
+    again = s["orders"].where(F.col("order_id") % NEW_ORDER_EVERY == 0)
+    new = again.select((F.col("order_id") + NEW_ID).alias("order_id"), "user_id", stamp.alias("order_date"),
+                       F.lit("3997.00").cast("decimal(12,2)").alias("total_amount"), F.lit("DELIVERED").alias("status"),
+                       stamp.alias("last_updated"))
+    lines = F.explode(F.array(F.struct(F.lit(0).alias("j"), F.lit(20).alias("p"), F.lit(2).alias("q"), F.lit("1499.00").alias("c")),
+                              F.struct(F.lit(1).alias("j"), F.lit(35).alias("p"), F.lit(1).alias("q"), F.lit("999.00").alias("c"))))
+    items = new.select("order_id", lines.alias("x")).select(
+        (F.col("order_id") * 2 + F.col("x.j")).alias("order_item_id"), "order_id", F.col("x.p").cast("long").alias("product_id"),
+        F.col("x.q").alias("quantity"), F.col("x.c").cast("decimal(12,2)").alias("price"))
+    paid = new.select(F.col("order_id").alias("payment_id"), "order_id", F.lit("CARD").alias("payment_method"),
+                      F.lit("SUCCESS").alias("payment_status"), F.col("order_date").alias("payment_date"))
+    for name, more in (("orders", new), ("order_items", items), ("payments", paid)):
+        out[name] = s[name].unionByName(more)
+    return out
+
+
+def _two_batches(spark, sf_dir, variant="split"):
+    """A warehouse after two batches, a micro-batch of the feed that adds
+    nothing (no orders), and a batch that fails in its extract; written once
+    per session."""
+    _prepare(spark)
+    key = (session_key(spark), sf_dir, variant)
+    if key not in _WAREHOUSES:
+        root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/warehouse-{uuid.uuid4().hex}"
+        run = partial(run_batch, spark, root=root, variant=variant)
+        run(lambda: td.sources(spark, sf_dir), run_ts=dt.datetime.fromisoformat(RUN_TS), batch_id="batch-1")
+        run(lambda: _changed_sources(spark, sf_dir), run_ts=dt.datetime.fromisoformat(RUN2_TS), batch_id="batch-2")
+        wh = Warehouse(spark, root)
+        run_staged(spark, wh, {}, run_ts=dt.datetime.fromisoformat(_shift(RUN2_TS, hours=1)), batch_id="feed-1", variant=variant, keep_watermark=True)
+        broken = lambda: {**td.sources(spark, sf_dir).materialize(), "users": td.table(spark, sf_dir, "customer")}
+        run(broken, run_ts=dt.datetime.fromisoformat(_shift(RUN2_TS, hours=2)), batch_id="batch-3", swallow=True)
+        _WAREHOUSES[key] = root
+    return Warehouse(spark, _WAREHOUSES[key]).snapshot()
+
+
+def q_batch2_dim_product(spark, sf_dir):
+    return _two_batches(spark, sf_dir).dim_product
+
+
+def q_batch2_dim_customer(spark, sf_dir):
+    return _two_batches(spark, sf_dir).dim_customer
+
+
+def q_batch2_dim_date(spark, sf_dir):
+    return _two_batches(spark, sf_dir).dim_date
+
+
+def q_batch2_fact(spark, sf_dir):
+    return _two_batches(spark, sf_dir).fact_sales.select(*schemas.FACT_SALES.fieldNames())
+
+
+def q_batch2_log(spark, sf_dir):
+    return _two_batches(spark, sf_dir).etl_log
+
+
+def q_batch2_log_combined(spark, sf_dir):
+    return _two_batches(spark, sf_dir, "combined").etl_log
+
+
+def q_batch2_watermark(spark, sf_dir):
+    return high_watermark(_two_batches(spark, sf_dir).etl_log)
+
+
+def q_batch2_error_tail(spark, sf_dir):
+    log = _two_batches(spark, sf_dir).etl_error_log.withColumn("error_message", F.substring_index("error_message", ":", 1))
+    return quality.log_tail(log, 10, "error_id")
+
+
 def q_row_count_audit(spark, sf_dir):
     s = _src(spark, sf_dir, False)
     star = first_load(s, RUN_TS, with_ids=False)
@@ -350,6 +479,9 @@ OUTPUT_CASTS = {
     "point_update_price": (["price"], []),
     "surrogate_keys": (["price"], []),
     "stream_incremental_fact": (["unit_price", "total_amount"], []),
+    "batch2_dim_product": (["price"], []),
+    "batch2_dim_date": ([], ["full_date"]),
+    "batch2_fact": (["unit_price", "total_amount"], []),
 }
 
 
@@ -416,6 +548,19 @@ _QUERIES = {
     "check_orphans": q_check_orphans,
     "check_not_null": q_check_not_null,
     "check_lengths": q_check_lengths,
+    "check_unique_all": q_check_unique_all,
+    "check_not_null_all": q_check_not_null_all,
+    "check_lengths_all": q_check_lengths_all,
+    "check_decimals_all": q_check_decimals_all,
+    "money_exact": q_money_exact,
+    "batch2_dim_product": q_batch2_dim_product,
+    "batch2_dim_customer": q_batch2_dim_customer,
+    "batch2_dim_date": q_batch2_dim_date,
+    "batch2_fact": q_batch2_fact,
+    "batch2_log": q_batch2_log,
+    "batch2_log_combined": q_batch2_log_combined,
+    "batch2_watermark": q_batch2_watermark,
+    "batch2_error_tail": q_batch2_error_tail,
     "row_count_audit": q_row_count_audit,
     "etl_batch_log": q_etl_batch_log,
     "watermark": q_watermark,
@@ -604,6 +749,78 @@ SELECT (SELECT COALESCE(MAX(sale_id), 0) FROM existing)
 FROM fresh"""
 
 
+def _batch2_sql() -> str:
+    """The star after two batches of the runner (with e-mail de-duplication)."""
+    ts = _ts_sql(CHANGE_TS)
+    cols = "user_id, name, email, city, country"
+    return _with(_SRC, _DEDUP) + f""",
+c1 AS (
+  SELECT row_number() OVER (ORDER BY user_id) AS customer_key, {cols}, {_AS_OF} AS start_date,
+         CAST(NULL AS TIMESTAMP) AS end_date, 1 AS is_active, last_updated AS source_last_updated
+  FROM dedup_users),
+moved AS (
+  SELECT user_id, name, email, city || ' NCR' AS city, country, {ts} AS last_updated
+  FROM src_users WHERE country = '{RELOCATED_REGION}' AND user_id % 10 <> 9),
+c2 AS (
+  SELECT customer_key, {cols}, start_date,
+         CASE WHEN user_id IN (SELECT user_id FROM moved) THEN {_ts_sql(RUN2_TS)} END AS end_date,
+         CASE WHEN user_id IN (SELECT user_id FROM moved) THEN 0 ELSE 1 END AS is_active, source_last_updated
+  FROM c1
+  UNION ALL
+  SELECT (SELECT COALESCE(MAX(customer_key), 0) FROM c1) + row_number() OVER (ORDER BY user_id), {cols},
+         {_ts_sql(RUN2_TS)}, CAST(NULL AS TIMESTAMP), 1, last_updated
+  FROM moved),
+p2 AS (
+  SELECT row_number() OVER (ORDER BY product_id) AS product_key, product_id, product_name, category,
+         CASE WHEN product_id % {RAISED_EVERY} = 0 THEN CAST(price + 100 AS DECIMAL(12,2)) ELSE price END AS price,
+         CASE WHEN product_id % {RAISED_EVERY} = 0 THEN {ts} ELSE last_updated END AS source_last_updated
+  FROM src_products),
+new_orders AS (
+  SELECT order_id + {NEW_ID} AS order_id, user_id FROM src_orders WHERE order_id % {NEW_ORDER_EVERY} = 0),
+f1 AS (
+  SELECT i.order_item_id AS source_order_item_id, c.customer_key, p.product_key,
+         CAST(strftime(o.order_date, '%Y%m%d') AS INTEGER) AS date_key, o.order_id, i.quantity,
+         i.price AS unit_price, CAST(ROUND(i.quantity * i.price, 2) AS DECIMAL(14,2)) AS total_amount
+  FROM src_items i JOIN src_orders o ON o.order_id = i.order_id
+  JOIN c1 c ON c.user_id = o.user_id JOIN p2 p ON p.product_id = i.product_id
+  WHERE o.status <> 'CANCELLED'),
+f2 AS (
+  SELECT o.order_id * 2 + x.j AS source_order_item_id, c.customer_key, p.product_key,
+         CAST(strftime({ts}, '%Y%m%d') AS INTEGER) AS date_key, o.order_id, x.q AS quantity,
+         CAST(x.c AS DECIMAL(12,2)) AS unit_price, CAST(x.q * x.c AS DECIMAL(14,2)) AS total_amount
+  FROM new_orders o CROSS JOIN (VALUES (0, 20, 2, 1499.00), (1, 35, 1, 999.00)) AS x(j, p, q, c)
+  JOIN c2 c ON c.user_id = o.user_id AND c.is_active = 1 JOIN p2 p ON p.product_id = x.p),
+facts AS (
+  SELECT row_number() OVER (ORDER BY source_order_item_id, date_key) AS sale_id, *, {_AS_OF} AS load_dts FROM f1
+  UNION ALL
+  SELECT (SELECT COUNT(*) FROM f1) + row_number() OVER (ORDER BY source_order_item_id, date_key), *, {_ts_sql(RUN2_TS)} FROM f2),
+dates AS (
+  SELECT DISTINCT CAST(order_date AS DATE) AS d FROM src_orders WHERE order_date IS NOT NULL
+  UNION SELECT CAST({ts} AS DATE) FROM new_orders)"""
+
+
+def _batch2_log_sql(variant: str) -> str:
+    loads = ["SCD_LOAD", "FACT_INCREMENTAL"] if variant == "split" else ["LOAD"]
+    counts = [
+        {"EXTRACT": "(SELECT COUNT(*) FROM src_orders)", "TRANSFORM": "(SELECT COUNT(*) FROM dedup_users)",
+         "SCD_LOAD": "(SELECT COUNT(*) FROM c1)", "FACT_INCREMENTAL": "(SELECT COUNT(*) FROM f1)", "LOAD": "(SELECT COUNT(*) FROM f1)"},
+        {"EXTRACT": "(SELECT COUNT(*) FROM new_orders)", "TRANSFORM": "(SELECT COUNT(*) FROM moved)",
+         "SCD_LOAD": "(SELECT COUNT(*) FROM moved)", "FACT_INCREMENTAL": "(SELECT COUNT(*) FROM f2)", "LOAD": "(SELECT COUNT(*) FROM f2)"},
+        {},
+    ]
+    rows = []
+    for batch, n, loaded, run in zip(["batch-1", "batch-2", "feed-1"], counts, [RUN_TS, RUN2_TS, RUN2_TS],
+                                     [RUN_TS, RUN2_TS, _shift(RUN2_TS, hours=1)]):
+        for phase in ["EXTRACT", "TRANSFORM", *loads, "RUN"]:
+            rows.append((batch, phase, "1" if phase == "RUN" else n.get(phase, "0"), loaded, run, "SUCCESS", MESSAGES[phase]))
+    failed = _shift(RUN2_TS, hours=2)
+    rows.append(("batch-3", "RUN", "0", failed, failed, "FAILED", FAILED_MESSAGE))
+    return _batch2_sql() + "\n" + _union_counts(
+        f"SELECT CAST({i + 1} AS BIGINT) AS etl_id, '{b}' AS batch_id, '{p}' AS phase, {_ts_sql(loaded)} AS last_loaded_time, "
+        f"CAST({n} AS BIGINT) AS rows_affected, '{status}' AS status, '{msg}' AS message, {_ts_sql(run)} AS created_at"
+        for i, (b, p, n, loaded, run, status, msg) in enumerate(rows))
+
+
 def _union_counts(items) -> str:
     return "\nUNION ALL ".join(items)
 
@@ -628,6 +845,7 @@ def _oracle_sql() -> dict[str, str]:
     limits = schemas.VARCHAR_LIMITS["users"]
     staged_orders = f"SELECT order_id FROM src_orders WHERE last_updated > {_ts_sql(ORDERS_WATERMARK)}"
     log_with = _with(_SRC, _DEDUP, _log_sql())
+    names = {"users": "src_users", "products": "src_products", "orders": "src_orders", "order_items": "src_items", "payments": "src_payments"}
     fk_sql = {
         ("orders", "user_id", "users", "user_id"): ("src_orders", "src_users"),
         ("order_items", "order_id", "orders", "order_id"): ("src_items", "src_orders"),
@@ -731,12 +949,13 @@ SELECT CAST(date_key // 10000 AS INTEGER) AS sales_year,
 FROM fact_sales GROUP BY 1, 2""",
         "fact_rejects": _with(_SRC, _DEDUP) + """
 SELECT i.order_id, i.product_id, i.quantity, i.price, o.user_id,
-       CASE WHEN c.user_id IS NULL THEN 'no active customer' ELSE 'unknown product' END AS reason
+       CASE WHEN o.order_id IS NULL THEN 'unknown order' WHEN c.user_id IS NULL THEN 'no active customer'
+            ELSE 'unknown product' END AS reason
 FROM src_items i
-JOIN src_orders o ON o.order_id = i.order_id AND o.status <> 'CANCELLED'
+LEFT JOIN src_orders o ON o.order_id = i.order_id
 LEFT JOIN dd_customer c ON c.user_id = o.user_id
 LEFT JOIN src_products p ON p.product_id = i.product_id
-WHERE c.user_id IS NULL OR p.product_id IS NULL""",
+WHERE o.order_id IS NULL OR (o.status <> 'CANCELLED' AND (c.user_id IS NULL OR p.product_id IS NULL))""",
         "order_totals_refresh": src + """
 SELECT o.order_id, o.user_id, o.order_date,
        CASE WHEN t.amt IS NOT NULL THEN CAST(t.amt AS DECIMAL(12,2)) ELSE o.total_amount END AS total_amount,
@@ -764,6 +983,31 @@ SELECT email, COUNT(*) AS n FROM src_users GROUP BY email HAVING COUNT(*) > 1"""
         "check_lengths": src + "\n" + _union_counts(
             f"SELECT '{c}' AS column_name, CAST(SUM(CASE WHEN length({c}) > {n} THEN 1 ELSE 0 END) AS BIGINT) "
             f"AS violations FROM src_users" for c, n in limits.items()),
+        "check_unique_all": _with(_SRC, _PAYMENTS, _STAR) + "\n" + _union_counts(
+            f"SELECT '{t}' AS table_name, '{', '.join(k)}' AS key_columns, COUNT(*) AS duplicated FROM (SELECT 1 FROM {names.get(t, t)} "
+            f"WHERE {' AND '.join(f'{c} IS NOT NULL' for c in k)} GROUP BY {', '.join(k)} HAVING COUNT(*) > 1)" for t, k in DECLARED_KEYS),
+        "check_not_null_all": src_pay + "\n" + _union_counts(
+            f"SELECT '{t}' AS table_name, '{f.name}' AS column_name, CAST(COALESCE(SUM(CASE WHEN {f.name} IS NULL THEN 1 ELSE 0 END), 0) AS BIGINT) "
+            f"AS null_count FROM {names[t]}" for t, schema in schemas.SOURCES.items() for f in schema.fields),
+        "check_lengths_all": src_pay + "\n" + _union_counts(
+            f"SELECT '{t}' AS table_name, '{c}' AS column_name, CAST(SUM(CASE WHEN length({c}) > {n} THEN 1 ELSE 0 END) AS BIGINT) "
+            f"AS violations FROM {names[t]}" for t, cs in schemas.VARCHAR_LIMITS.items() for c, n in cs.items()),
+        "check_decimals_all": _union_counts(
+            f"SELECT '{t}' AS table_name, '{c}' AS column_name, CAST(SUM(CASE WHEN {c} IS NOT NULL AND TRY_CAST({c} AS DECIMAL(12,2)) IS NULL "
+            f"THEN 1 ELSE 0 END) AS BIGINT) AS violations FROM {t}" for t, cs in MONEY_COLUMNS.items() for c in cs),
+        "money_exact": _STAR_WITH + _union_counts(
+            f"SELECT '{t}' AS table_name, '{c}' AS column_name, '{kind}' AS type, CAST(SUM({c}) AS VARCHAR) AS total FROM {names.get(t, t)}"
+            for t, c, kind in [("products", "price", "decimal(12,2)"), ("orders", "total_amount", "decimal(12,2)"), ("order_items", "price", "decimal(12,2)"),
+                               ("fact_sales", "unit_price", "decimal(12,2)"), ("fact_sales", "total_amount", "decimal(14,2)")]),
+        "batch2_dim_product": _batch2_sql() + "\nSELECT * FROM p2",
+        "batch2_dim_customer": _batch2_sql() + "\nSELECT * FROM c2",
+        "batch2_dim_date": _batch2_sql() + f"\nSELECT {_calendar('d')} FROM dates",
+        "batch2_fact": _batch2_sql() + "\nSELECT * FROM facts",
+        "batch2_log": _batch2_log_sql("split"),
+        "batch2_log_combined": _batch2_log_sql("combined"),
+        "batch2_watermark": f"SELECT MAX(last_loaded_time) AS last_loaded_time FROM ({_batch2_log_sql('split')}) AS l WHERE status = 'SUCCESS'",
+        "batch2_error_tail": f"SELECT CAST(1 AS BIGINT) AS error_id, 'batch-3' AS batch_id, 'run_etl' AS procedure_name, "
+                             f"'{ERROR_MESSAGE}' AS error_message, {_ts_sql(_shift(RUN2_TS, hours=2))} AS created_at",
         "row_count_audit": _with(_SRC, _PAYMENTS, _STAR) + "\n" + _union_counts(
             f"SELECT '{name}' AS table_name, COUNT(*) AS row_count FROM {rel}" for name, rel in [
                 ("users", "src_users"), ("products", "src_products"), ("orders", "src_orders"),

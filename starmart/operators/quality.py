@@ -17,6 +17,18 @@ def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
 
 
+def unique_summary(tables: dict[str, DataFrame], keys: list[tuple[str, list[str]]]) -> DataFrame:
+    """Q1 over several keys: one row per (table, key) with the number of key
+    values that more than one row holds. As with a UNIQUE constraint, rows
+    with a NULL in the key do not count."""
+    parts = []
+    for name, cols in keys:
+        held = duplicate_keys(tables[name].dropna(subset=cols), cols)
+        parts.append(held.agg(F.count(F.lit(1)).alias("duplicated")).select(
+            F.lit(name).alias("table_name"), F.lit(", ".join(cols)).alias("key_columns"), "duplicated"))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def orphans(child: DataFrame, parent: DataFrame, child_col: str, parent_col: str | None = None) -> DataFrame:
     """Q2: child rows whose foreign key has no parent row (NULL keys are not
     orphans, as with SQL foreign keys)."""
@@ -65,6 +77,23 @@ def length_violations(df: DataFrame, limits: dict[str, int]) -> DataFrame:
     return wide.unpivot([], cols, "column_name", "violations")
 
 
+def per_table(tables: dict[str, DataFrame], check) -> DataFrame:
+    """One check over several tables: ``check(name, df)`` with the table's
+    name in front."""
+    parts = [check(name, df).select(F.lit(name).alias("table_name"), "*") for name, df in tables.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def decimal_summary(df: DataFrame, limits: dict[str, tuple[int, int]]) -> DataFrame:
+    """Q4: (column_name, violations) of values that do not fit their declared
+    DECIMAL(precision, scale), from one scan."""
+    wide = df.agg(*[
+        F.sum(F.when(F.col(c).isNotNull() & F.col(c).try_cast(f"decimal({p},{s})").isNull(), 1).otherwise(0))
+        .cast("long").alias(c) for c, (p, s) in limits.items()
+    ])
+    return wide.unpivot([], list(limits), "column_name", "violations")
+
+
 def decimal_violations(df: DataFrame, column: str, precision: int, scale: int) -> DataFrame:
     """Q4: rows whose value does not fit DECIMAL(precision, scale)."""
     c = F.col(column)
