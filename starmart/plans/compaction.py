@@ -5,7 +5,8 @@ Hourly batches leave one partition per batch in ``fact_sales``,
 ``dim_product``: many
 small files, and a growing
 list of directories every read must enumerate. ``compact`` rewrites the
-current content of those tables into one new partition, as a committed
+dimensions' current content, and the facts and closed versions added since the
+last compaction, into one new partition, as a committed
 batch of its own; readers then skip every batch it covers. Nothing is
 overwritten, so a reader of the previous state is unaffected, and the
 superseded partitions can be removed by storage retention afterwards
@@ -18,9 +19,10 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+from starmart import schemas
 from starmart.operators.extract import high_watermark
 from starmart.plans.batch import BatchResult, _log_rows, _max_id, parallel
-from starmart.plans.warehouse import COMPACTION, KEY_STATE, RUN, SUCCESS, Warehouse
+from starmart.plans.warehouse import COMPACTION, KEY_STATE, PART, RUN, SUCCESS, Warehouse
 
 APPEND_ONLY = ("fact_sales", "dim_customer_versions", "dim_customer_closed", "dim_date", "dim_product")
 ROWS_PER_FILE = 5_000_000
@@ -40,15 +42,23 @@ def compact(spark: SparkSession, root: str, rows_per_file: int = ROWS_PER_FILE,
     # The log rows of a compaction keep the current watermark: compaction
     # extracts nothing and must not move it.
     watermark = high_watermark(snap.etl_log).first()[0]
+    comps = wh.compactions(snap.committed)
+
+    def recent(table, schema, partition_cols=(PART,)):
+        return wh.read(table, schema, wh.since_compaction(table, snap.committed, comps), partition_cols).drop(PART)
+
+    # Facts and closed versions are only ever added to: fold what came since
+    # the last compaction, and leave what it wrote.
+    new_facts = recent("fact_sales", schemas.FACT_SALES, (PART, "sales_year"))
+    new_closed = recent("dim_customer_closed", schemas.DIM_CUSTOMER)
     n_fact, n_closed, n_active, n_products = parallel(
-        snap.fact_sales.count, snap.dim_customer_closed.count, snap.dim_customer_active.count,
-        snap.dim_product.count)
+        new_facts.count, new_closed.count, snap.dim_customer_active.count, snap.dim_product.count)
 
     # Range keys end in a unique id, so even a day holding a third of all
     # facts is spread over many output files.
-    fact = (snap.fact_sales.repartitionByRange(_files(n_fact, rows_per_file), "sales_year", "date_key", "sale_id")
+    fact = (new_facts.repartitionByRange(_files(n_fact, rows_per_file), "sales_year", "date_key", "sale_id")
             .sortWithinPartitions("sales_year", "date_key", "sale_id"))
-    closed = (snap.dim_customer_closed.repartitionByRange(_files(n_closed, rows_per_file), "customer_key")
+    closed = (new_closed.repartitionByRange(_files(n_closed, rows_per_file), "customer_key")
               .sortWithinPartitions("customer_key"))
     # The active set becomes the new base of the opened versions.
     active = (snap.dim_customer_active.repartitionByRange(_files(n_active, rows_per_file), "customer_key")
@@ -80,7 +90,8 @@ def superseded_paths(spark: SparkSession, root: str) -> list[str]:
     committed = wh.committed_batches()
     comps = wh.compactions(committed)
     out = []
-    for table, (_, through) in comps.items():
-        out += [wh.path(table, b) for b in wh._batches(table) if b <= through]
+    for table in comps:
+        live = set(wh.live(table, committed, comps))
+        out += [wh.path(table, b) for b in wh._batches(table) if b <= comps[table][-1][1] and b not in live]
     return sorted(out)
 

@@ -129,31 +129,31 @@ class Warehouse:
         """A number no table has a partition of, whatever a crash left behind."""
         return max((b for t in TABLES for b in self._batches(t)), default=0) + 1
 
-    def compactions(self, committed: list[int]) -> dict[str, tuple[int, int]]:
-        """table -> (compaction batch, last batch it covers), latest first."""
-        out: dict[str, tuple[int, int]] = {}
-        if not committed or not self._exists("compaction"):
+    def compactions(self, committed: list[int]) -> dict[str, list[tuple[int, int]]]:
+        """table -> (compaction batch, last batch it covers) of every compaction, in order."""
+        out: dict[str, list[tuple[int, int]]] = {}
+        if not committed:
             return out
         for r in self.read("compaction", COMPACTION, committed).collect():
-            t, seq, through = r["table_name"], r[PART], r["covers_through"]
-            if t not in out or seq > out[t][0]:
-                out[t] = (seq, through)
-        return out
+            out.setdefault(r["table_name"], []).append((r[PART], r["covers_through"]))
+        return {t: sorted(c) for t, c in out.items()}
 
     def live(self, table: str, committed: list[int], comps: dict) -> list[int]:
         """Committed batches whose partition of an append-only table is
-        current: those after the latest compaction, and the compaction."""
+        current: those after the latest compaction, and the compaction; of a
+        table that is folded piece by piece, all its compactions."""
         if table not in comps:
             return committed
-        _, through = comps[table]
-        return [b for b in committed if b > through]
+        through = comps[table][-1][1]
+        folds = {seq for seq, _ in comps[table]} if table in FOLDED else set()
+        return [b for b in committed if b > through or b in folds]
 
     def since_compaction(self, table: str, committed: list[int], comps: dict) -> list[int]:
         """Committed batches after the latest compaction of ``table``,
         excluding the compaction itself."""
         if table not in comps:
             return committed
-        seq_c, through = comps[table]
+        seq_c, through = comps[table][-1]
         return [b for b in committed if b > through and b != seq_c]
 
     def products(self, committed: list[int], comps: dict) -> DataFrame:
@@ -210,6 +210,9 @@ COMPACTION = T.StructType([
     T.StructField("covers_through", T.IntegerType(), False),
 ])
 
+# Tables of which a compaction folds the batches since the last one only.
+FOLDED = ("fact_sales", "dim_customer_closed")
+
 # Every table with batch partitions.
 TABLES = (*(f"staging/{t}" for t in (*schemas.SOURCES, "users_clean", "fact_candidates")), "dim_date", "dim_product",
           "dim_customer_versions", "dim_customer_closed", "fact_sales", "key_state", "etl_error_log", "etl_log", "compaction")
