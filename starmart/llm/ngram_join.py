@@ -4,10 +4,11 @@ Two documents link when ``den * |A and B| >= num * |A or B|`` for their sets of
 distinct n-word shingles (A-Z lower-cased; words end at white space). The
 result is exact: every document with its component under the links.
 
-Global order. The n-grams have one order everywhere: the frequent ones last, by
-frequency, the others first, by hash. A Misra-Gries summary of ``counters``
-counters over all documents tells which are frequent; the order may not affect
-the result, only the work.
+Global order. The n-grams have one order everywhere: by frequency level, then
+by hash. The level is the logarithm of a count over all documents, in a sketch
+of 2**log2_cells cells that n-grams share by hash: rare ones come first, what
+many documents share comes last. The order does not affect the result, only the
+work.
 
 1. Documents with equal sets become one class (a set of 128 hashed bits and its
    size), so exact copies cost one row each from there on.
@@ -15,15 +16,16 @@ the result, only the work.
    ``n - ceil(n * num / den) + 1`` of each, the prefix. Classes meet in the
    lists of the n-grams of their prefixes. First every class of a list is
    paired with the list's leader only; then, once components are known, classes
-   of *different* components in a list. So a large group of near copies costs
+   of *different* components in a list, where sizes and the n-grams left from
+   there on allow a link. So a large group of near copies costs
    one pair per member, not all pairs, and no link is lost: what is never
    compared is already connected.
    A pair whose sizes, or whose parity bitmaps, rule the link out is dropped:
    each n-gram flips one bit of a class's bitmap (as many bits as n-grams, to
    the next power of two), so the bits in which two bitmaps differ are at most
    the n-grams in which the sets differ.
-3. Vertical partitioning: the global order is cut into fragments, a candidate's
-   set into one segment per fragment. The overlap of a pair is counted in every
+3. Vertical partitioning: the global order is cut into fragments (ranges of
+   levels, each cut again by hash), a candidate's set into one segment each. The overlap of a pair is counted in every
    fragment separately, and summed per pair. Only classes in some candidate
    pair take part; they are picked in the scan by a filter of fixed size and
    confirmed by the join.
@@ -38,6 +40,8 @@ ignored.
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -45,50 +49,61 @@ from pyspark.sql import functions as F
 
 from .common import batch_of, gram_sets, id_and_text, id_filter, id_position, in_filter, materialize, mix, with_id
 
-COUNTERS, FRAGMENTS = 1 << 16, 8
-SIGN = np.uint64(1 << 63)
-
-
-# ------------------------------------------------------- frequent n-grams
-def _shrink(keys: np.ndarray, n: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Misra-Gries on sums: keep at most k counters, all less the (k+1)-th largest."""
-    if len(keys) <= k:
-        return keys, n
-    cut = np.partition(n, len(n) - k - 1)[len(n) - k - 1]
-    keep = n > cut
-    return keys[keep], n[keep] - cut
+# Cells of the frequency sketch; cells sent at a time; cuts by hash of each range of levels.
+LOG2_CELLS, CHUNK, FRAGMENTS = 23, 1 << 16, 4
 
 
-def _frequent(n: int, k: int):
+# -------------------------------------------------------------- the order
+def _counts(n: int, log2_cells: int):
+    """One task's count of n-grams per cell, in compressed chunks."""
     def run(batches):
-        keys, counts = np.empty(0, np.uint64), np.empty(0, np.int64)
+        cells, shift = np.zeros(1 << log2_cells, np.uint16), np.uint64(64 - log2_cells)
 
-        def merge(held, keys, counts):
-            u, c = np.unique(np.concatenate(held), return_counts=True)
-            u, inv = np.unique(np.concatenate([u, keys]), return_inverse=True)
-            return _shrink(u, np.bincount(inv, np.concatenate([c, counts]), len(u)).astype(np.int64), k)
+        def add(held):
+            u, c = np.unique(np.concatenate(held) >> shift, return_counts=True)
+            cells[u] = np.minimum(cells[u] + c, 65535)
 
         for b in batches:
             held, size = [], 0
             for g in gram_sets(b.column(0), n):
                 held.append(g)
                 size += len(g)
-                if size >= 1 << 22:
-                    keys, counts = merge(held, keys, counts)
+                if size >= 1 << 20:
+                    add(held)
                     held, size = [], 0
             if held:
-                keys, counts = merge(held, keys, counts)
-        keys, counts = keys[counts > 1], counts[counts > 1]
-        yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(counts)], names=["gram", "n"])
+                add(held)
+        if cells.any():
+            parts = cells.reshape(-1, min(CHUNK, len(cells)))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.arange(len(parts)), pa.int32()), pa.array([zlib.compress(p.tobytes(), 1) for p in parts], pa.binary())], names=["chunk", "cells"])
     return run
 
 
-def frequent_grams(text: DataFrame, n: int, k: int = COUNTERS) -> np.ndarray:
-    """At most k n-grams, from the least to the most frequent."""
-    parts = text.select("text").mapInArrow(_frequent(n, k), "gram long, n long")
-    top = parts.groupBy("gram").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "gram").limit(k).toArrow()
-    o = np.lexsort((np.array(top.column("gram")), np.array(top.column("n"))))
-    return np.array(top.column("gram"), np.int64)[o].view(np.uint64)
+def _levels(batches):
+    """Summed over all tasks, on a logarithmic scale."""
+    held: dict[int, np.ndarray] = {}
+    for b in batches:
+        for chunk, raw in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            c = np.frombuffer(zlib.decompress(raw), np.uint16).astype(np.int64)
+            held[chunk] = held[chunk] + c if chunk in held else c
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(list(held), pa.int32()), pa.array([np.minimum(4 * np.log2(1 + c), 255).astype(np.uint8).tobytes() for c in held.values()], pa.binary())], names=["chunk", "levels"])
+
+
+def frequency_levels(text: DataFrame, n: int, log2_cells: int = LOG2_CELLS) -> np.ndarray:
+    """Level of every cell of a sketch that counts the n-grams of all documents
+    by their hash's first bits; 2**log2_cells bytes, whatever the input."""
+    parts = text.select("text").mapInArrow(_counts(n, log2_cells), "chunk int, cells binary").repartition(F.col("chunk"))
+    levels = np.zeros(1 << log2_cells, np.uint8)
+    for r in parts.mapInArrow(_levels, "chunk int, levels binary").collect():
+        part = np.frombuffer(r["levels"], np.uint8)
+        levels[r["chunk"] * len(part) : (r["chunk"] + 1) * len(part)] = part
+    return levels
+
+
+def _level(levels: np.ndarray, g: np.ndarray) -> np.ndarray:
+    return levels[g >> np.uint64(64 - (len(levels) - 1).bit_length())]
 
 
 # ------------------------------------------------------------- signatures
@@ -114,9 +129,6 @@ def _lists(arrays: list) -> pa.ListArray:
 def _signatures(schema, sent, n: int, num: int, den: int):
     """Size, hash, bitmap and prefix of every document's set."""
     def run(batches):
-        frequent = sent.value
-        o = np.argsort(frequent)
-        known = frequent[o]
         for b in batches:
             sizes, h1, h2, bits, prefixes = [], [], [], [], []
             for g in gram_sets(b.column(1), n):
@@ -124,13 +136,9 @@ def _signatures(schema, sent, n: int, num: int, den: int):
                 h1.append(int(mix(g ^ np.uint64(0x5851F42D4C957F2D)).sum().view(np.int64)) if len(g) else 0)
                 h2.append(int(mix(g + np.uint64(0x14057B7EF767814F)).sum().view(np.int64)) if len(g) else 0)
                 p = len(g) - -(-len(g) * num // den) + 1 if len(g) else 0
-                pos = np.minimum(np.searchsorted(known, g[: 2 * p + 64]), max(len(known) - 1, 0))
-                rare = g[: 2 * p + 64][known[pos] != g[: 2 * p + 64]] if len(known) else g
-                if len(rare) < p:  # many frequent ones: look at the whole set
-                    pos = np.minimum(np.searchsorted(known, g), max(len(known) - 1, 0))
-                    hit = known[pos] == g
-                    rare = np.concatenate([g[~hit], frequent[np.sort(o[pos[hit]])]])
-                prefixes.append(rare[:p].view(np.int64))
+                # Sets are in order of hash; a stable sort by level gives the global order.
+                first = np.argsort(_level(sent.value, g), kind="stable")[:p]
+                prefixes.append(g[first].view(np.int64))
                 bits.append(_parity(g))
             yield batch_of(schema, [b.column(0), sizes, h1, h2, _lists(bits), _lists(prefixes)])
     return run
@@ -139,7 +147,6 @@ def _signatures(schema, sent, n: int, num: int, den: int):
 def _segments(sent, filt, n: int, fragments: int):
     """The segments, per fragment of the global order, of the documents in the filter."""
     def run(batches):
-        known = np.sort(sent.value)
         for b in batches:
             b = b.filter(pa.array(in_filter(filt.value, b.column("p").to_numpy())))
             out = []
@@ -147,9 +154,7 @@ def _segments(sent, filt, n: int, fragments: int):
                 if not len(g):
                     continue
                 key = (len(g), int(mix(g ^ np.uint64(0x5851F42D4C957F2D)).sum().view(np.int64)), int(mix(g + np.uint64(0x14057B7EF767814F)).sum().view(np.int64)))
-                frag = (g >> np.uint64(32)).astype(np.int64) * fragments >> 32
-                if len(known):
-                    frag[known[np.minimum(np.searchsorted(known, g), len(known) - 1)] == g] = fragments
+                frag = (_level(sent.value, g) >> 2).astype(np.int64) * fragments + ((g >> np.uint64(32)).astype(np.int64) * fragments >> 32)
                 for f in np.unique(frag):
                     out.append((*key, int(f), g[frag == f].view(np.int64)))
             cols = list(zip(*out)) or [[]] * 5
@@ -189,20 +194,30 @@ class JaccardJoin:
     """The join of one table; ``classes`` and ``links`` are its parts, ``result`` puts them together."""
 
     def __init__(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 3, num: int = 90, den: int = 100,
-                 counters: int = COUNTERS, fragments: int = FRAGMENTS):
+                 log2_cells: int = LOG2_CELLS, fragments: int = FRAGMENTS):
         from pyspark.sql.pandas.types import to_arrow_schema
 
         self.n, self.num, self.den, self.fragments = n, num, den, fragments
         self.text = id_and_text(docs, id_col, text_col)
         sc = docs.sparkSession.sparkContext
-        self.frequent = sc.broadcast(frequent_grams(self.text, n, counters))
+        self.levels = sc.broadcast(frequency_levels(self.text, n, log2_cells))
         schema = with_id(docs, id_col, ("n", "long"), ("h1", "long"), ("h2", "long"), ("bits", "array<long>"), ("prefix", "array<long>"))
-        self.sets = materialize(self.text.mapInArrow(_signatures(to_arrow_schema(schema), self.frequent, n, num, den), schema))
+        self.sets = materialize(self.text.mapInArrow(_signatures(to_arrow_schema(schema), self.levels, n, num, den), schema))
         classes = self.sets.where("n > 0").groupBy("n", "h1", "h2").agg(F.min("doc_id").alias("first_id"), F.first("bits").alias("bits"), F.first("prefix").alias("prefix"))
         self.classes = materialize(classes.withColumn("class", F.monotonically_increasing_id()))
 
-    def _fits(self, a: str, b: str):
-        return F.least(a, b) * self.den >= F.greatest(a, b) * self.num
+    def _meet(self, n1: str, rest1: str, n2: str, rest2: str, high1: str | None = None, high2: str | None = None):
+        """Whether two sets can link whose first common n-gram is the one they
+        meet at: by their sizes, and because what they share is at most what
+        either has from there on. With ``high``, n and high are a range."""
+        sizes = F.least(high1 or n1, high2 or n2) * self.den >= F.greatest(n1, n2) * self.num
+        return sizes & (F.least(rest1, rest2) * (self.den + self.num) >= (F.col(n1) + F.col(n2)) * self.num)
+
+    @staticmethod
+    def _ordered(pairs: DataFrame) -> DataFrame:
+        """(a, b, na, nb) with a < b of structs x and y of class and n."""
+        low, high = F.least("x", "y"), F.greatest("x", "y")
+        return pairs.select(low["class"].alias("a"), high["class"].alias("b"), low["n"].alias("na"), high["n"].alias("nb"))
 
     def possible(self, pairs: DataFrame) -> DataFrame:
         """The pairs that their bitmaps do not rule out."""
@@ -218,7 +233,7 @@ class JaccardJoin:
         wanted = materialize(self.classes.join(wanted, "class", "left_semi").select("class", "first_id", "n", "h1", "h2"))
         chosen = sc.broadcast(id_filter(wanted, "first_id"))
         rows = self.text.withColumn("p", id_position(F.col("doc_id")))
-        segments = rows.mapInArrow(_segments(self.frequent, chosen, self.n, self.fragments), "n long, h1 long, h2 long, fragment int, grams array<long>")
+        segments = rows.mapInArrow(_segments(self.levels, chosen, self.n, self.fragments), "n long, h1 long, h2 long, fragment int, grams array<long>")
         segments = segments.join(wanted, ["n", "h1", "h2"]).groupBy("class", "fragment").agg(F.first("grams").alias("grams"))
         segments = materialize(segments)
         left = segments.select(F.col("class").alias("a"), "fragment", F.col("grams").alias("left"))
@@ -229,25 +244,29 @@ class JaccardJoin:
 
     def links(self) -> DataFrame:
         """Links (a, b) of classes that connect all that the similarity connects."""
-        postings = self.classes.select(F.explode("prefix").alias("gram"), "class", "n")
-        lists = postings.groupBy("gram").agg(F.count("*").alias("m"), F.min(F.struct("class", "n")).alias("leader")).where("m > 1")
+        # rest: n-grams of the set from this one on, in the global order
+        postings = self.classes.select(F.posexplode("prefix").alias("at", "gram"), "class", "n").select("gram", "class", "n", (F.col("n") - F.col("at")).alias("rest"))
+        # The member with the fewest rarer n-grams leads: it is closest to the others.
+        lists = postings.groupBy("gram").agg(F.count("*").alias("m"), F.min(F.struct(F.col("n") - F.col("rest"), "class", "n", "rest")).alias("leader")).where("m > 1")
         shared = materialize(postings.join(lists.select("gram", "leader"), "gram"))
-        first = shared.where(F.col("class") != F.col("leader.class")).select(F.col("leader.class").alias("a"), F.col("class").alias("b"), F.col("leader.n").alias("na"), F.col("n").alias("nb"))
-        first = materialize(first.where(self._fits("na", "nb")).distinct())
+        first = shared.where(F.col("class") != F.col("leader.class")).where(self._meet("n", "rest", "leader.n", "leader.rest"))
+        first = first.select(F.struct("class", "n").alias("x"), F.struct("leader.class", "leader.n").alias("y"))
+        first = materialize(self._ordered(first).distinct())
         links = materialize(self.verify(materialize(self.possible(first))))
         known = components(links)
 
-        member = shared.join(known, shared["class"] == known["node"], "left").select("gram", "class", "n", F.coalesce("component", "class").alias("component"))
+        member = shared.join(known, shared["class"] == known["node"], "left").select("gram", "class", "n", "rest", F.coalesce("component", "class").alias("component"))
         member = materialize(member)
         mixed = member.groupBy("gram").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("gram")
         member = materialize(member.join(mixed, "gram"))
-        parts = member.select("gram", "component").distinct()
-        across = parts.select("gram", F.col("component").alias("ca")).join(parts.select("gram", F.col("component").alias("cb")), "gram").where("ca < cb")
-        a = member.select("gram", F.col("component").alias("ca"), F.col("class").alias("a"), F.col("n").alias("na"))
-        b = member.select("gram", F.col("component").alias("cb"), F.col("class").alias("b"), F.col("n").alias("nb"))
-        second = across.join(a, ["gram", "ca"]).join(b, ["gram", "cb"]).where(self._fits("na", "nb"))
-        second = second.select(F.when(F.col("a") < F.col("b"), F.struct("a", "b", "na", "nb")).otherwise(F.struct(F.col("b").alias("a"), F.col("a").alias("b"), F.col("nb").alias("na"), F.col("na").alias("nb"))).alias("s"))
-        second = second.select("s.*").distinct().join(first.select("a", "b"), ["a", "b"], "left_anti")
+        parts = materialize(member.groupBy("gram", "component").agg(F.min("n").alias("low"), F.max("n").alias("high"), F.max("rest").alias("rest")))
+        p, q = (parts.select("gram", *[F.col(c).alias(c + i) for c in ("component", "low", "high", "rest")]) for i in "12")
+        # Two components can hold a link only if the best of each could.
+        across = p.join(q, "gram").where("component1 < component2").where(self._meet("low1", "rest1", "low2", "rest2", "high1", "high2"))
+        a, b = (member.select("gram", *[F.col(c).alias(c + i) for c in ("component", "class", "n", "rest")]) for i in "12")
+        second = across.select("gram", "component1", "component2").join(a, ["gram", "component1"]).join(b, ["gram", "component2"]).where(self._meet("n1", "rest1", "n2", "rest2"))
+        second = self._ordered(second.select(F.struct(F.col("class1").alias("class"), F.col("n1").alias("n")).alias("x"), F.struct(F.col("class2").alias("class"), F.col("n2").alias("n")).alias("y")))
+        second = second.distinct().join(first.select("a", "b"), ["a", "b"], "left_anti")
         return links.unionByName(self.verify(materialize(self.possible(second))))
 
     def result(self) -> DataFrame:

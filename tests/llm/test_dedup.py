@@ -143,10 +143,10 @@ def near_rows():
     return rows
 
 
-@pytest.mark.parametrize("n,num,den,counters", [(3, 90, 100, 65536), (5, 80, 100, 8), (2, 60, 100, 100), (1, 100, 100, 64)])
-def test_jaccard_components_against_brute_force(spark, n, num, den, counters):
+@pytest.mark.parametrize("n,num,den,cells", [(3, 90, 100, 23), (5, 80, 100, 4), (2, 60, 100, 12), (1, 100, 100, 17)])
+def test_jaccard_components_against_brute_force(spark, n, num, den, cells):
     rows = near_rows()
-    got = ngram_join.jaccard_components(table(spark, [(i, t, None, None) for i, t in rows]), n=n, num=num, den=den, counters=counters).collect()
+    got = ngram_join.jaccard_components(table(spark, [(i, t, None, None) for i, t in rows]), n=n, num=num, den=den, log2_cells=cells).collect()
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == ngram_join.brute_force(rows, n, num, den)
 
 
