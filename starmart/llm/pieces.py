@@ -41,10 +41,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import batch_of, id_and_text, mix, spans_hash, texts, with_id
+from .common import batch_of, id_and_text, lean, mix, spans_hash, texts, with_id
 
 BLANK = "▁"
-GROUP_BYTES, REMEMBERED, PAIRS = 1 << 22, 1 << 19, 1 << 21
+GROUP_BYTES, REMEMBERED, PAIRS = 1 << 21, 1 << 19, 1 << 21
 _R = np.random.Generator(np.random.PCG64(404)).integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -79,6 +79,39 @@ class Pieces:
         self.byte_id = np.array(self.byte_ids, np.int32)
         self.spelling = {i: p for p, i, _ in self.rows}
         self.pairs, self.passing = np.empty(0, np.int64), np.empty(0, bool)
+        self.runs: dict = {}
+
+    def __getstate__(self):
+        return {k: v for k, v in self.__dict__.items() if k != "_encoder"} | {"runs": {}}
+
+    def run(self, piece: str) -> list[tuple[float, str, str]]:
+        """The merges that make a piece: the score of each, and the first and
+        the last part before it; at the end no score and the piece itself."""
+        if piece not in self.runs:
+            parts, out = list(piece), []
+            while len(parts) > 1:
+                best, at = max(((self.rank.get(a + b, -np.inf), -i) for i, (a, b) in enumerate(zip(parts, parts[1:]))))
+                out.append((best, parts[0], parts[-1]))
+                parts[-at : 2 - at] = [parts[-at] + parts[1 - at]]
+            self.runs[piece] = [*out, (-np.inf, piece, piece)]
+        return self.runs[piece]
+
+    def apart(self, left: str, right: str) -> bool:
+        """Whether merging never joins a part of one piece with one of the
+        other: the runs of both go on, best score first, and at no time may the
+        parts at the border make a better piece (of equals, the leftmost goes first)."""
+        a, b, i, j, rank = self.run(left), self.run(right), 0, 0, self.rank
+        while True:
+            here, there = a[i][0], b[j][0]
+            across = rank.get(a[i][2] + b[j][1])
+            if across is not None and across > here and across >= there:
+                return False
+            if here == there == -np.inf:
+                return True
+            if here >= there:
+                i += 1
+            else:
+                j += 1
 
     def merge(self, text: str) -> list[str]:
         """Merge the best neighbours, leftmost first among equals, until none make a piece."""
@@ -100,8 +133,7 @@ class Pieces:
             for i, k in enumerate(new.tolist()):
                 a, b = (k >> 32) - 1, (k & 0xFFFFFFFF) - 1
                 if a >= 0 and b >= 0:
-                    a, b = self.spelling[a], self.spelling[b]
-                    passes[i] = self.merge(a + b) == [a, b]
+                    passes[i] = self.apart(self.spelling[a], self.spelling[b])
             if len(self.pairs) + len(new) > PAIRS:  # a bound on memory
                 self.pairs, self.passing = np.empty(0, np.int64), np.empty(0, bool)
                 return self.stay_apart(left, right) if len(u) < PAIRS else np.array([self.stay_apart(left[i : i + 1], right[i : i + 1])[0] for i in range(len(left))])
@@ -284,14 +316,14 @@ def encode(docs: DataFrame, table: Pieces, id_col: str = "doc_id", text_col: str
     arrow, sent = to_arrow_schema(schema), docs.sparkSession.sparkContext.broadcast(table)
 
     def run(batches):
-        encoder = Encoder(sent.value)
+        encoder = sent.value.__dict__.setdefault("_encoder", Encoder(sent.value))  # a worker's tasks share what it remembers
         for b in batches:
             rows = texts(b.column(1))
             for lo, hi in _groups(rows, GROUP_BYTES):
                 ids, n = encoder.group(rows[lo:hi])
                 yield batch_of(arrow, [b.column(0).slice(lo, hi - lo), pa.ListArray.from_arrays(pa.array(np.cumsum([0, *n]), pa.int32()), pa.array(ids, pa.int32()))])
 
-    return id_and_text(docs, id_col, text_col).mapInArrow(run, schema)
+    return id_and_text(docs, id_col, text_col).mapInArrow(lean(run), schema)
 
 
 def spell(table: Pieces, ids: np.ndarray, n: np.ndarray) -> list[bytes]:
@@ -321,7 +353,7 @@ def decode(tokens: DataFrame, table: Pieces) -> DataFrame:
                 out += spell(sent.value, flat[at[lo] : at[hi]], n[lo:hi])
             yield batch_of(arrow, [b.column(0), lists, out])
 
-    return tokens.mapInArrow(run, schema)
+    return tokens.mapInArrow(lean(run), schema)
 
 
 def _cuts(n: np.ndarray, size: int):
