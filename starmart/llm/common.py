@@ -8,6 +8,7 @@ splitting on white space are single C calls (``bytes.lower`` and
 
 from __future__ import annotations
 
+import ctypes
 import os
 import shutil
 import tempfile
@@ -60,6 +61,19 @@ def with_id(docs: DataFrame, id_col: str, *fields: tuple) -> T.StructType:
     return T.StructType([T.StructField("doc_id", docs.schema[id_col].dataType), *(T.StructField(n, T._parse_datatype_string(t)) for n, t in fields)])
 
 
+def lean(run):
+    """A function for ``mapInArrow`` whose worker gives its free memory back at
+    the end of a task: an idle worker keeps what malloc keeps."""
+    def whole(batches):
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        try:
+            ctypes.CDLL(None).malloc_trim(0)
+        except (AttributeError, OSError):  # not glibc
+            pass
+    return whole
+
+
 def batch_of(schema: pa.Schema, columns: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
@@ -203,7 +217,7 @@ def without(docs: DataFrame, ids: DataFrame, id_col: str) -> DataFrame:
         def run(batches):
             for b in batches:
                 yield b.filter(pa.array(in_filter(filt.value, b.column("p").to_numpy()) == wanted))
-        return rows.mapInArrow(run, rows.schema)
+        return rows.mapInArrow(lean(run), rows.schema)
 
     near, gone = flagged(True).alias("n"), ids.select("doc_id").hint("merge").alias("g")
     left = flagged(False).unionByName(near.join(gone, F.col("n.doc_id").eqNullSafe(F.col("g.doc_id")), "left_anti"))

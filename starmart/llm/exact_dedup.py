@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import batch_of, id_and_text, materialize, texts, with_id
+from .common import batch_of, id_and_text, lean, materialize, texts, with_id
 
 COUNTERS = 1024
 
@@ -57,7 +57,7 @@ def _summaries(k: int):
 
 def heavy_digests(digests: DataFrame, k: int = COUNTERS) -> DataFrame:
     """At most ``k`` digests: the merge of the tasks' summaries."""
-    parts = digests.select("digest").mapInArrow(_summaries(k), "digest binary, n long")
+    parts = digests.select("digest").mapInArrow(lean(_summaries(k)), "digest binary, n long")
     return parts.groupBy("digest").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "digest").limit(k).select("digest")
 
 
@@ -66,7 +66,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     from pyspark.sql.pandas.types import to_arrow_schema
 
     schema = with_id(docs, id_col, ("digest", "binary"))
-    digests = id_and_text(docs, id_col, text_col).mapInArrow(_digests(to_arrow_schema(schema)), schema)
+    digests = id_and_text(docs, id_col, text_col).mapInArrow(lean(_digests(to_arrow_schema(schema))), schema)
     digests = materialize(digests.withColumn("row", F.monotonically_increasing_id()))
     last = F.max(F.struct("doc_id", "row")).alias("last")
     heavy = digests.join(F.broadcast(heavy_digests(digests, k)), "digest", "left_semi").groupBy("digest").agg(last, F.count("*").alias("group_size"))

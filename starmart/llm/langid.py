@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import batch_of, id_and_text, materialize, ship, texts, with_id
+from .common import batch_of, id_and_text, lean, materialize, ship, texts, with_id
 
 ORDER = 4
 SAMPLE_DOCS, MAX_LANGUAGES, MAX_GRAMS = 1000, 200, 100_000
@@ -274,7 +274,7 @@ def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", order:
         return Model([], np.empty(0, np.int64), order, [], [], [], [], np.empty(0))
     rate = F.create_map(*[x for r in top for x in (F.lit(r["lang"]), F.lit(min(1.0, 1.25 * sample_docs / r["n"])))])
     rows = materialize(rows.withColumn("rate", F.try_element_at(rate, F.col("lang"))).where("u < rate").select(F.col("text").cast("binary").alias("text"), "lang", (F.col("u") < F.col("rate") * 0.8).alias("train")))
-    grams = rows.where("train").select("text", "lang").mapInArrow(_count(order), "lang string, gram array<int>, n long")
+    grams = rows.where("train").select("text", "lang").mapInArrow(lean(_count(order)), "lang string, gram array<int>, n long")
     grams = materialize(grams.groupBy("lang", "gram").agg(F.sum("n").alias("n")))
     # The least count that leaves at most max_grams n-grams, from the histogram of counts.
     least: dict = {}
@@ -304,7 +304,7 @@ def calibrate(model: Model, rows: DataFrame) -> Model:
             xent, length, letters = model.entropies(texts(b.column("text")))
             yield pa.RecordBatch.from_arrays([b.column("lang"), pa.array(xent.tolist(), pa.list_(pa.float64())), pa.array(length), pa.array(letters)], names=["lang", "xent", "length", "letters"])
 
-    held = rows.where("NOT train").select("text", "lang").mapInArrow(run, "lang string, xent array<double>, length long, letters long").where("letters > 0").orderBy("lang", "length", "xent").collect()
+    held = rows.where("NOT train").select("text", "lang").mapInArrow(lean(run), "lang string, xent array<double>, length long, letters long").where("letters > 0").orderBy("lang", "length", "xent").collect()
     L = len(model.languages)
     model.mean, model.spread, model.cut = np.zeros(L), np.tile([1.0, 1.0], (L, 1)), np.full(L, 6.0)
     held = [r for r in held if r["lang"] in model.languages]
@@ -340,7 +340,7 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
         for b in batches:
             yield batch_of(arrow, [b.column(0), *sent.value.predict(texts(b.column(1)))])
 
-    return id_and_text(docs, id_col, text_col).mapInArrow(run, schema)
+    return id_and_text(docs, id_col, text_col).mapInArrow(lean(run), schema)
 
 
 def keep_identified(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
@@ -353,7 +353,7 @@ def keep_identified(docs: DataFrame, model: Model, text_col: str = "text") -> Da
             _, _, _, rejected = sent.value.predict(texts(b.column(at).cast(pa.binary())))
             yield b.filter(pa.array(~rejected))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(lean(run), docs.schema)
 
 
 def held_out(id_col: str = "doc_id"):

@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import batch_of, id_and_text, id_filter, id_position, in_filter, materialize, texts, with_id
+from .common import batch_of, id_and_text, id_filter, id_position, in_filter, lean, materialize, texts, with_id
 
 MIN_CHARS, MIN_DOCS = 40, 5
 LOG2_BITS, LOG2_CHUNK = 26, 18
@@ -87,10 +87,10 @@ def _fold(log2_chunk: int):
 
 def twice_seen(rows: DataFrame, min_chars: int, log2_bits: int = LOG2_BITS, log2_chunk: int = LOG2_CHUNK) -> np.ndarray:
     """The twice-seen filter, 2**(log2_bits - 3) bytes."""
-    parts = rows.mapInArrow(_emit_positions(min_chars, log2_bits, log2_chunk), "chunk int, positions binary").repartition(F.col("chunk"))
+    parts = rows.mapInArrow(lean(_emit_positions(min_chars, log2_bits, log2_chunk)), "chunk int, positions binary").repartition(F.col("chunk"))
     bits = np.zeros(1 << (log2_bits - 3), np.uint8)
     step = 1 << (log2_chunk - 3)
-    for r in parts.mapInArrow(_fold(log2_chunk), "chunk int, bits binary").collect():
+    for r in parts.mapInArrow(lean(_fold(log2_chunk)), "chunk int, bits binary").collect():
         bits[r["chunk"] * step : (r["chunk"] + 1) * step] = np.frombuffer(r["bits"], np.uint8)
     return bits
 
@@ -118,21 +118,22 @@ def split_kept(text: bytes, drop: set[bytes], min_chars: int) -> tuple[int, int,
     return len(lines), len(lines) - len(kept), b"\n".join(kept)
 
 
-def _flagged(filt, wanted: bool):
+def _flagged(filt):
     def run(batches):
         for b in batches:
-            hit = in_filter(filt.value, b.column("p").to_numpy())
-            yield b.filter(pa.array(hit == wanted))
+            yield b.filter(pa.array(in_filter(filt.value, b.column("p").to_numpy())))
     return run
 
 
-def _results(schema, min_chars: int, joined: bool):
-    """Columns of the batches: p, text, then (joined) the dropped keys, then what is passed on."""
+def _results(schema, min_chars: int, filt=None):
+    """Columns of the batches: p, text, the dropped keys, and what is passed on.
+    With a filter, of the rows that it does not flag, which lose nothing."""
     def run(batches):
         for b in batches:
-            drops = [set(d or ()) for d in b.column(2).to_pylist()] if joined else [set()] * b.num_rows
-            out = [split_kept(t, d, min_chars) for t, d in zip(texts(b.column(1)), drops)]
-            yield batch_of(schema, [b.column(b.num_columns - 1), [o[0] for o in out], [o[1] for o in out], [o[2] for o in out]])
+            if filt is not None:
+                b = b.filter(pa.array(~in_filter(filt.value, b.column("p").to_numpy())))
+            out = [split_kept(t, set(d or ()), min_chars) for t, d in zip(texts(b.column("text")), b.column("drop").to_pylist())]
+            yield batch_of(schema, [b.column("passed"), [o[0] for o in out], [o[1] for o in out], [o[2] for o in out]])
     return run
 
 
@@ -146,19 +147,21 @@ def _dedup(rows: DataFrame, min_chars: int, min_docs: int, log2_bits: int, log2_
     log2_chunk = min(log2_chunk, log2_bits)
     repeats = sc.broadcast(twice_seen(plain, min_chars, log2_bits, log2_chunk))
     pair = T.StructType([key, T.StructField("digest", T.BinaryType())])
-    suspects = materialize(plain.mapInArrow(_suspects(to_arrow_schema(pair), repeats, min_chars, log2_bits), pair))
+    suspects = materialize(plain.mapInArrow(lean(_suspects(to_arrow_schema(pair), repeats, min_chars, log2_bits)), pair))
     confirmed = suspects.groupBy("digest").agg(F.count_distinct(F.struct("doc_id")).alias("n"), F.max("doc_id").alias("last")).where(F.col("n") >= min_docs)
-    drops = suspects.join(confirmed, "digest").where(F.col("doc_id").isNull() | (F.col("doc_id") < F.col("last")))
+    # Written first, so that the join deals out both sides anew and a hot key can be split.
+    drops = suspects.join(materialize(confirmed), "digest").where(F.col("doc_id").isNull() | (F.col("doc_id") < F.col("last")))
     drops = materialize(drops.groupBy("doc_id").agg(F.collect_set("digest").alias("drop")))
 
     losing = sc.broadcast(id_filter(drops, "doc_id"))
     rows = rows.select("doc_id", "text", id_position(F.col("doc_id")).alias("p"), "passed")
     out = T.StructType([rows.schema["passed"], T.StructField("n_lines", T.LongType()), T.StructField("n_dropped", T.LongType()), T.StructField("kept_text", T.BinaryType())])
     arrow = to_arrow_schema(out)
-    whole = rows.mapInArrow(_flagged(losing, False), rows.schema).select("p", "text", "passed").mapInArrow(_results(arrow, min_chars, False), out)
+    nothing = F.lit(None).cast("array<binary>").alias("drop")
+    whole = rows.select("p", "text", nothing, "passed").mapInArrow(lean(_results(arrow, min_chars, losing)), out)
     # Sorted and merged at every size: a plan that broadcasts a small side says little about a large one.
-    cut = rows.mapInArrow(_flagged(losing, True), rows.schema).alias("t").join(drops.alias("d").hint("merge"), F.col("t.doc_id").eqNullSafe(F.col("d.doc_id")), "left")
-    return whole.unionByName(cut.select("p", "text", "drop", "passed").mapInArrow(_results(arrow, min_chars, True), out))
+    cut = rows.mapInArrow(lean(_flagged(losing)), rows.schema).alias("t").join(drops.alias("d").hint("merge"), F.col("t.doc_id").eqNullSafe(F.col("d.doc_id")), "left")
+    return whole.unionByName(cut.select("p", "text", "drop", "passed").mapInArrow(lean(_results(arrow, min_chars)), out))
 
 
 def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS,

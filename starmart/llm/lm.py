@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import _tables, batch_of, id_and_text, spans_hash, texts, with_id
+from .common import _tables, batch_of, id_and_text, lean, spans_hash, texts, with_id
 
 WINDOW, WIDTH, CLASSES, PER_CLASS, NAMED = 2, 16, 32, 32, 768
 ROUNDS, RATE, BATCH, PIECE = 2, 0.2, 8192, 4096
@@ -164,7 +164,7 @@ def _counts(batches):
 
 def vocabulary(text: DataFrame, named: int = NAMED) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the most frequent words, sorted, and their numbers by rank."""
-    counts = text.select("text").mapInArrow(_counts, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    counts = text.select("text").mapInArrow(lean(_counts), "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
     top = np.array([r["word"] for r in counts.orderBy(F.desc("n"), "word").limit(named).collect()], np.int64).view(np.uint64)
     o = np.argsort(top)
     return top[o], o
@@ -217,8 +217,8 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rounds:
     words = vocabulary(text)
     sent, weights = sc.broadcast(words), Network.start().weights
     for r in range(rounds):
-        parts = text.where(F.col("round") == r).select("text").mapInArrow(_train(sc.broadcast(weights), sent, rate), "piece int, words long, weights binary")
-        got = parts.repartition(F.col("piece")).mapInArrow(_mean, "piece int, weights binary").collect()
+        parts = text.where(F.col("round") == r).select("text").mapInArrow(lean(_train(sc.broadcast(weights), sent, rate)), "piece int, words long, weights binary")
+        got = parts.repartition(F.col("piece")).mapInArrow(lean(_mean), "piece int, weights binary").collect()
         if got:
             weights = np.concatenate([np.frombuffer(x["weights"], np.float32) for x in sorted(got, key=lambda x: x["piece"])])
     return Model(weights, words)
@@ -250,5 +250,5 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
         for b in batches:
             yield batch_of(arrow, [b.column(0), *log_probabilities(texts(b.column(1)), sent.value)])
 
-    scored = id_and_text(docs, id_col, text_col).mapInArrow(run, schema)
+    scored = id_and_text(docs, id_col, text_col).mapInArrow(lean(run), schema)
     return scored.withColumn("mean_log_prob", F.when(F.col("n_tokens") > 0, F.col("log_prob") / F.col("n_tokens")))

@@ -47,7 +47,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import batch_of, gram_sets, id_and_text, id_filter, id_position, in_filter, materialize, mix, with_id
+from .common import batch_of, gram_sets, id_and_text, id_filter, id_position, in_filter, lean, materialize, mix, with_id
 
 # Cells of the frequency sketch; cells sent at a time; cuts by hash of each range of levels.
 LOG2_CELLS, CHUNK, FRAGMENTS = 23, 1 << 16, 4
@@ -94,9 +94,9 @@ def _levels(batches):
 def frequency_levels(text: DataFrame, n: int, log2_cells: int = LOG2_CELLS) -> np.ndarray:
     """Level of every cell of a sketch that counts the n-grams of all documents
     by their hash's first bits; 2**log2_cells bytes, whatever the input."""
-    parts = text.select("text").mapInArrow(_counts(n, log2_cells), "chunk int, cells binary").repartition(F.col("chunk"))
+    parts = text.select("text").mapInArrow(lean(_counts(n, log2_cells)), "chunk int, cells binary").repartition(F.col("chunk"))
     levels = np.zeros(1 << log2_cells, np.uint8)
-    for r in parts.mapInArrow(_levels, "chunk int, levels binary").collect():
+    for r in parts.mapInArrow(lean(_levels), "chunk int, levels binary").collect():
         part = np.frombuffer(r["levels"], np.uint8)
         levels[r["chunk"] * len(part) : (r["chunk"] + 1) * len(part)] = part
     return levels
@@ -202,7 +202,7 @@ class JaccardJoin:
         sc = docs.sparkSession.sparkContext
         self.levels = sc.broadcast(frequency_levels(self.text, n, log2_cells))
         schema = with_id(docs, id_col, ("n", "long"), ("h1", "long"), ("h2", "long"), ("bits", "array<long>"), ("prefix", "array<long>"))
-        self.sets = materialize(self.text.mapInArrow(_signatures(to_arrow_schema(schema), self.levels, n, num, den), schema))
+        self.sets = materialize(self.text.mapInArrow(lean(_signatures(to_arrow_schema(schema), self.levels, n, num, den)), schema))
         classes = self.sets.where("n > 0").groupBy("n", "h1", "h2").agg(F.min("doc_id").alias("first_id"), F.first("bits").alias("bits"), F.first("prefix").alias("prefix"))
         self.classes = materialize(classes.withColumn("class", F.monotonically_increasing_id()))
 
@@ -233,7 +233,7 @@ class JaccardJoin:
         wanted = materialize(self.classes.join(wanted, "class", "left_semi").select("class", "first_id", "n", "h1", "h2"))
         chosen = sc.broadcast(id_filter(wanted, "first_id"))
         rows = self.text.withColumn("p", id_position(F.col("doc_id")))
-        segments = rows.mapInArrow(_segments(self.levels, chosen, self.n, self.fragments), "n long, h1 long, h2 long, fragment int, grams array<long>")
+        segments = rows.mapInArrow(lean(_segments(self.levels, chosen, self.n, self.fragments)), "n long, h1 long, h2 long, fragment int, grams array<long>")
         segments = segments.join(wanted, ["n", "h1", "h2"]).groupBy("class", "fragment").agg(F.first("grams").alias("grams"))
         segments = materialize(segments)
         left = segments.select(F.col("class").alias("a"), "fragment", F.col("grams").alias("left"))

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import batch_of, id_and_text, with_id
+from .common import batch_of, id_and_text, lean, with_id
 
 ROUNDS = 8
 KINDS = ("email", "iban", "card", "ip", "ssn", "date", "phone")
@@ -277,7 +277,7 @@ def _apply(docs: DataFrame, key: bytes, id_col: str, text_col: str, back: bool)
             counts = [pa.array([sum(x[2] == k for x in o[1]) for o in out], pa.int32()) for k in KINDS]
             yield batch_of(arrow, [b.column(0), [o[0] for o in out], *counts])
 
-    return id_and_text(docs, id_col, text_col).mapInArrow(run, schema).withColumn("text", F.col("text").cast("string"))
+    return id_and_text(docs, id_col, text_col).mapInArrow(lean(run), schema).withColumn("text", F.col("text").cast("string"))
 
 
 def pseudonymise(docs: DataFrame, key: bytes, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

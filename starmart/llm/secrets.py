@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import batch_of, id_and_text, texts, with_id
+from .common import batch_of, id_and_text, lean, texts, with_id
 
 KINDS = ("assign", "access", "hex", "random")
 ASSIGN = re.compile(rb"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I)
@@ -169,7 +169,7 @@ def _histograms(batches):
 def limits(text: DataFrame, q: float) -> np.ndarray:
     """Per length class the least bin that is called random; BINS for none."""
     null, found = np.zeros((len(CLASSES), BINS)), np.zeros((len(CLASSES), BINS))
-    rows = text.mapInArrow(_histograms, "kind long, length_class long, bin long, n long")
+    rows = text.mapInArrow(lean(_histograms), "kind long, length_class long, bin long, n long")
     for r in rows.groupBy("kind", "length_class", "bin").agg(F.sum("n").alias("n")).collect():
         (found if r["kind"] else null)[r["length_class"], r["bin"]] = r["n"]
     above = lambda h: h[:, ::-1].cumsum(1)[:, ::-1]
@@ -209,7 +209,7 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         for b in batches:
             yield batch_of(arrow, [b.column(0), [[{"kind": KINDS[k], "start": a, "end": z} for a, k, z in scan(t, least)] for t in texts(b.column(1))]])
 
-    return text.mapInArrow(run, schema)
+    return text.mapInArrow(lean(run), schema)
 
 
 def joined(spans):
