@@ -20,8 +20,10 @@ until it is, which keeps the bijection. Dates are permuted among the days of
 a leading zero, ``reveal`` gives the other without).
 
 Null text stays null, empty text empty. Bytes that are not UTF-8 stay as they
-are. Work goes document by document, whole; a document with neither an @ nor
-six digits is not searched. Repeated rows each give a row; other columns are
+are. Work goes document by document, whole; a kind is not searched for in a
+document that holds too few digits (or no @, or fewer than three dots) for a
+single value of it, so whether a value is found does not depend on others in
+the document. Repeated rows each give a row; other columns are
 ignored. The key is a parameter; whoever holds it can link and undo.
 """
 
@@ -49,6 +51,8 @@ _FIND = {
     "phone": re.compile(rb"(?<![\w+])(?<!\d[ .-])(?:\+(\d{1,3})[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])\d{3,4}[ .-]?\d{3,4}(?![ .-]?\d)|(?<![\w+])\+(\d{1,3})[ .-]?\d{9,12}(?!\d)"),
 }
 FIRST_DAY, DAYS = dt.date(1900, 1, 1).toordinal(), dt.date(2100, 1, 1).toordinal() - dt.date(1900, 1, 1).toordinal()
+#: The fewest digits, and other bytes, that a text with a value of the kind has.
+_LEAST = {"email": (0, b"@", 1), "iban": (2, b"", 0), "card": (13, b"", 0), "ip": (4, b".", 3), "ssn": (9, b"", 0), "date": (6, b"", 0), "phone": (10, b"", 0)}
 _NON_DIGITS = bytes(i for i in range(256) if not 48 <= i <= 57)
 
 
@@ -245,11 +249,12 @@ _MAKE = {"email": _email, "iban": _iban, "card": _card, "ip": _ip, "ssn": _ssn,
 
 def pseudonyms(text: bytes, f: Feistel, back: bool = False) -> tuple[bytes, list[tuple[int, int, str]]]:
     """The text with pseudonyms, and (start, end, kind) of each find in the given text, in bytes."""
-    numeric = len(text.translate(None, _NON_DIGITS)) >= 6
-    if not numeric and b"@" not in text:
-        return text, []
+    digits = len(text.translate(None, _NON_DIGITS))
     found: list[tuple[int, int, str, bytes]] = []
-    for kind in KINDS if numeric else KINDS[:1]:
+    for kind in KINDS:
+        least, mark, times = _LEAST[kind]
+        if digits < least or times and text.count(mark) < times:
+            continue
         for m in _FIND[kind].finditer(text):
             a, z = m.span()
             if not any(a < e and s < z for s, e, _, _ in found):

@@ -145,3 +145,13 @@ def test_pseudonyms_link_across_documents(spark, odd, none):
     rows = pii.pseudonymise(odd, b"key").collect()
     assert Counter((r.doc_id, r.text) for r in rows) == Counter((i, t) for i, t, *_ in ODD)
     assert pii.pseudonymise(none, b"key").count() == 0
+
+
+def test_values_in_texts_of_few_digits(spark):
+    rich = "host 8.8.8.8 and 10.0.0.1, order 1234567890"
+    docs = table(spark, [(i, t, None, None) for i, t in enumerate(["host 8.8.8.8", rich, "10.0.0.1", "on 1.2.2020", "GB85ABCDEFGHIJKLMNOPQR", "no digits", "v 1.2.3"])])
+    got = {r.doc_id: r for r in pii.pseudonymise(docs, b"key").collect()}
+    assert [got[i].n_ip for i in range(7)] == [1, 2, 1, 0, 0, 0, 0] and got[3].n_date == 1
+    assert got[0].text != "host 8.8.8.8" and got[0].text.split()[1] == got[1].text.split()[1]
+    assert got[2].text == got[1].text.split()[3].rstrip(",") != "10.0.0.1"
+    assert got[4].n_iban == 1 and got[5].text == "no digits" and got[6].text == "v 1.2.3"
