@@ -7,6 +7,18 @@ slashes month first where that is a date, else day first) and phone numbers
 (a country code or an area code in brackets or three groups, 10 to 15 digits).
 Where two finds overlap the earlier kind of that list wins.
 
+Other tokens beside an IBAN or a card (BIC, expiry, CVV, another number) do not
+hide it. An IBAN ends where its country's length says; failing that, at the
+last end of a token at which it is valid. Of a run of digit groups the valid
+cards are taken from the left, the longest first, and an unusual grouping gives
+way to a usual one that overlaps it: the whole run, or up to five neighbouring
+groups (six or more short numbers in a longer run are a table rather than a
+card; an unusual grouping does not count inside what has an IBAN's country and
+length). Where a card's pseudonym would make its run read differently it is
+permuted again, so that ``reveal`` finds the same spans; such a value is not
+linked to its others. A neighbour of another kind (a date within the run, say)
+gets its pseudonym later and can still, rarely, make ``reveal`` read otherwise.
+
 A value's symbols (digits, letters) are permuted by a Feistel network over
 their mixed radix: two halves, each in turn shifted by a keyed BLAKE2 hash of
 the other, modulo its size. This is a bijection per key and format, so equal
@@ -43,16 +55,24 @@ ROUNDS = 8
 KINDS = ("email", "iban", "card", "ip", "ssn", "date", "phone")
 _FIND = {
     "email": re.compile(rb"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]+@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}"),
-    "iban": re.compile(rb"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])"),
-    "card": re.compile(rb"(?<![\d.-])\d(?:[ -]?\d){12,18}(?![\d-])"),
+    "iban": re.compile(rb"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?= ?[A-Z0-9])"),  # its first four; _iban_ends tells where it ends
+    "card": re.compile(rb"(?<!\d)(?<!\d\.)\d(?:[ -]?\d){12,}"),  # the whole run; _cards_in tells which parts
     "ip": re.compile(rb"(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?!\.?\d)"),
     "ssn": re.compile(rb"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"),
     "date": re.compile(rb"(?<![\d/.-])(?:(\d{4})-(\d{2})-(\d{2})|(\d{1,2})([/.])(\d{1,2})\5(\d{4}))(?![\d/-])"),
     "phone": re.compile(rb"(?<![\w+])(?<!\d[ .-])(?:\+(\d{1,3})[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])\d{3,4}[ .-]?\d{3,4}(?![ .-]?\d)|(?<![\w+])\+(\d{1,3})[ .-]?\d{9,12}(?!\d)"),
 }
+#: Length of an IBAN by country (SWIFT registry).
+IBAN_LENGTH = {c.encode(): int(n) for n, cs in {
+    15: "NO", 16: "BE", 18: "DK FK FI FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST",
+    26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE",
+    31: "MT SC", 32: "LC", 33: "RU"}.items() for c in cs.split()}
+_USUAL = {(4, 4, 4, 4), (4, 6, 5), (4, 6, 4), (4, 4, 4, 4, 3), (4, 4, 4, 1), (4, 4, 5), (6, 13), *((n,) for n in range(13, 20))}
 FIRST_DAY, DAYS = dt.date(1900, 1, 1).toordinal(), dt.date(2100, 1, 1).toordinal() - dt.date(1900, 1, 1).toordinal()
 #: The fewest digits, and other bytes, that a text with a value of the kind has.
 _LEAST = {"email": (0, b"@", 1), "iban": (2, b"", 0), "card": (13, b"", 0), "ip": (4, b".", 3), "ssn": (9, b"", 0), "date": (6, b"", 0), "phone": (10, b"", 0)}
+_GROUP = re.compile(rb"\d+")
 _NON_DIGITS = bytes(i for i in range(256) if not 48 <= i <= 57)
 
 
@@ -151,25 +171,123 @@ def _iban_check(country: bytes, body: bytes) -> int:
     return int("".join(str(int(chr(c), 36)) for c in body + country + b"00")) % 97
 
 
-def _iban(f, m, back):
-    raw = m[0]
-    plain = raw.replace(b" ", b"")
-    if not 15 <= len(plain) <= 34 or 98 - _iban_check(plain[:2], plain[4:]) != int(plain[2:4]):
-        return None
-    body = _permute_text(f, plain[4:], "iban", back)
-    new = plain[:2] + b"%02d" % (98 - _iban_check(plain[:2], body)) + body
-    it = iter(new)
-    return bytes(c if c == 32 else next(it) for c in raw)
-
-
-def _card(f, m, back):
-    d = _digits(m[0])
-    if _luhn(d) or len(set(d)) == 1:
-        return None
-    mid = f.walk(d[1:-1], [10] * (len(d) - 2), "card", lambda s: True, back)
-    new = [d[0], *mid]
-    new.append((10 - _luhn([*new, 0])) % 10)
-    return _put_digits(m[0], new)
+def _iban_ends(text: bytes, start: int) -> list[int]:
+    """Ends of tokens that leave 15 to 34 symbols from ``start``, the longest first."""
+    ends, n, i = [], 4, start + 4
+    while n < 34:
+        i += text[i : i + 1] == b" "
+        c = text[i : i + 1]
+        if not (c.isdigit() or c.isupper()):
+            break
+        n, i = n + 1, i + 1
+        if n >= 15 and not text[i : i + 1].isalnum():
+            ends.append(i)
+    return ends[::-1]
+
+
+def _iban_end(text: bytes, start: int, own: bool) -> int | None:
+    """Where the IBAN from ``start`` ends: with ``own`` only its country's length counts."""
+    for end in _iban_ends(text, start):
+        plain = text[start:end].replace(b" ", b"")
+        if (not own or len(plain) == IBAN_LENGTH.get(plain[:2])) and 98 - _iban_check(plain[:2], plain[4:]) == int(plain[2:4]):
+            return end
+    return None
+
+
+def _ibans(text, f, back, free):
+    starts = [m.start() for m in _FIND["iban"].finditer(text)]
+    for own in (True, False):
+        for start in starts:
+            end = _iban_end(text, start, own)
+            if end is None or not free(start, end):
+                continue
+            raw, after = text[start:end], text[end : end + 60]
+            new = raw.replace(b" ", b"")
+            while True:
+                body = _permute_text(f, new[4:], "iban", back)
+                new = new[:2] + b"%02d" % (98 - _iban_check(new[:2], body)) + body
+                it = iter(new)
+                spaced = bytes(c if c == 32 else next(it) for c in raw)
+                if own or _iban_end(spaced + after, 0, True) is None and _iban_end(spaced + after, 0, False) == len(raw):
+                    break
+            yield start, end, spaced
+
+
+def _is_card(d) -> bool:
+    return not _luhn(d) and len(set(d)) > 1
+
+
+def _iban_shaped(text: bytes) -> list[tuple[int, int]]:
+    """Spans with an IBAN's country and length, whatever their check digits."""
+    starts = [m.start() for m in _FIND["iban"].finditer(text)]
+    return [(a, z) for a in starts for z in _iban_ends(text, a) if len(text[a:z].replace(b" ", b"")) == IBAN_LENGTH.get(text[a : a + 2])]
+
+
+def _card_from(run: bytes, groups: list, i: int, codes) -> tuple | None:
+    """(unusual, start, end, index after it) of the best card that starts with group ``i``."""
+    best, n, a = None, 0, groups[i][0]
+    for j in range(i, len(groups)):
+        z = groups[j][1]
+        n += z - groups[j][0]
+        if n > 19:
+            break
+        whole = j - i == len(groups) - 1
+        if n < 13 or j - i > 4 and not whole or not _is_card(_digits(run[a:z])):
+            continue
+        usual = tuple(y - x for x, y in groups[i : j + 1]) in _USUAL and len({run[y] for _, y in groups[i:j]}) < 2
+        if (usual or whole or not any(a < e and s < z for s, e in codes)) and not (best and usual < (not best[0])):
+            best = (not usual, a, z, j + 1)
+    return best
+
+
+def _cards_in(run: bytes, groups: list, codes, i: int = 0, end: int | None = None) -> list[tuple]:
+    """The cards of a run of digit groups, from group ``i`` to (before) byte ``end``."""
+    out, end = [], len(run) if end is None else end
+    while i < len(groups) and groups[i][0] < end:
+        c, j = _card_from(run, groups, i, codes), i + 1
+        while c and c[0] and j < c[3]:  # an unusual grouping gives way to a usual one that overlaps
+            later = _card_from(run, groups, j, codes)
+            c, j = None if later and not later[0] else c, j + 1
+        if c:
+            out.append(c)
+        i = c[3] if c else i + 1
+    return out
+
+
+def _cards(text, f, back, free):
+    shaped = None
+    for m in _FIND["card"].finditer(text):
+        shaped = _iban_shaped(text) if shaped is None else shaped
+        for a, z in [m.span()] if free(*m.span()) else _open(m, free):
+            run, codes = bytearray(text[a:z]), [(s - a, e - a) for s, e in shaped if s < z and a < e]
+            groups = [g.span() for g in _GROUP.finditer(run)]
+            cards = _cards_in(run, groups, codes)
+            for k in reversed(range(len(cards))) if back else range(len(cards)):
+                _, s, e, _ = cards[k]
+                near = max(0, k - 3)  # what a card's digits can change starts at most 19 digits before it
+                d = _digits(run[s:e])
+
+                def fits(mid):
+                    new = [d[0], *mid]
+                    run[s:e] = _put_digits(run[s:e], [*new, (10 - _luhn([*new, 0])) % 10])
+                    return _cards_in(run, groups, codes, cards[near - 1][3] if near else 0, e) == cards[near : k + 1]
+
+                f.walk(d[1:-1], [10] * (len(d) - 2), "card", fits, back)
+            for _, s, e, _ in cards:
+                yield a + s, a + e, bytes(run[s:e])
+
+
+def _open(m, free):
+    """The parts of a run between earlier finds, by whole groups."""
+    a = z = None
+    for g in _GROUP.finditer(m.string, *m.span()):
+        if free(*g.span()):
+            a, z = g.start() if a is None else a, g.end()
+        elif a is not None:
+            yield a, z
+            a = None
+    if a is not None:
+        yield a, z
 
 
 def _ip(f, m, back):
@@ -244,23 +362,32 @@ def _phone(f, m, back):
     return _put_digits(raw, [*d[: len(code)], *f.walk(d[len(code) :], [10] * n, f"phone{code.decode()}", fine, back)])
 
 
-_MAKE = {"email": _email, "iban": _iban, "card": _card, "ip": _ip, "ssn": _ssn, "date": _date, "phone": _phone}
+def _each(kind, make):
+    """Finds of a kind that its pattern delimits."""
+    def finds(text, f, back, free):
+        for m in _FIND[kind].finditer(text):
+            if free(*m.span()):
+                new = make(f, m, back)
+                if new is not None:
+                    yield *m.span(), new
+    return finds
+
+
+_FINDS = {"iban": _ibans, "card": _cards} | {k: _each(k, make) for k, make in {"email": _email, "ip": _ip, "ssn": _ssn, "date": _date, "phone": _phone}.items()}
 
 
 def pseudonyms(text: bytes, f: Feistel, back: bool = False) -> tuple[bytes, list[tuple[int, int, str]]]:
     """The text with pseudonyms, and (start, end, kind) of each find in the given text, in bytes."""
     digits = len(text.translate(None, _NON_DIGITS))
     found: list[tuple[int, int, str, bytes]] = []
+    taken = bytearray(len(text))
     for kind in KINDS:
         least, mark, times = _LEAST[kind]
         if digits < least or times and text.count(mark) < times:
             continue
-        for m in _FIND[kind].finditer(text):
-            a, z = m.span()
-            if not any(a < e and s < z for s, e, _, _ in found):
-                new = _MAKE[kind](f, m, back)
-                if new is not None:
-                    found.append((a, z, kind, new))
+        for a, z, new in _FINDS[kind](text, f, back, lambda a, z: 1 not in taken[a:z]):
+            found.append((a, z, kind, new))
+            taken[a:z] = b"\1" * (z - a)
     found.sort()
     out, at = [], 0
     for a, z, _, new in found:

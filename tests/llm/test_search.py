@@ -155,3 +155,27 @@ def test_values_in_texts_of_few_digits(spark):
     assert got[0].text != "host 8.8.8.8" and got[0].text.split()[1] == got[1].text.split()[1]
     assert got[2].text == got[1].text.split()[3].rstrip(",") != "10.0.0.1"
     assert got[4].n_iban == 1 and got[5].text == "no digits" and got[6].text == "v 1.2.3"
+
+
+CARD, IBAN = "4111 1111 1111 1111", "DE89 3704 0044 0532 0130 00"
+
+
+def test_values_beside_other_tokens():
+    for form, value, kind in [
+        ("{} 12/27", CARD, "card"), ("{} 123", CARD, "card"), ("27 {}", CARD, "card"), ("27 {} 12/27 123", CARD, "card"), ("card-{}-", CARD.replace(" ", "-"), "card"),
+        ("1 {} 5", CARD.replace(" ", ""), "card"), ("{} 99", "3782 822463 10005", "card"), ("on 2020-01-15 {}", CARD, "card"),
+        ("{} BIC COBADEFFXXX", IBAN, "iban"), ("{} 4 EUR", IBAN, "iban"), ("AB12 {}", IBAN, "iban"), ("{} A", "GB82 WEST 1234 5698 7654 32", "iban"), ("{} BIC", IBAN.replace(" ", ""), "iban")]:
+        for key in range(12):
+            f = pii.Feistel(bytes([key]))
+            text = form.format(value).encode()
+            new, found = pii.pseudonyms(text, f)
+            spans = [(text[a:z].decode(), k) for a, z, k in found if k != "date"]
+            assert spans == [(value, kind)] and value.encode() not in new, (form, spans)
+            assert pii.pseudonyms(new, f, back=True)[0] == text
+    f = pii.Feistel(b"k")
+    alone = pii.pseudonyms(CARD.encode(), f)[0]
+    assert pii.pseudonyms(f"{CARD} 12/27".encode(), f)[0] == alone + b" 12/27"
+    two = f"{IBAN} {CARD} 5500 0000 0000 0004 123".encode()
+    new, found = pii.pseudonyms(two, f)
+    assert [(two[a:z].decode(), k) for a, z, k in found] == [(IBAN, "iban"), (CARD, "card"), ("5500 0000 0000 0004", "card")]
+    assert pii.pseudonyms(new, f, back=True)[0] == two
