@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from starmart.llm import langid, line_dedup, mixing, ngram_join, pieces
-from starmart.llm.common import materialize, without
+from starmart.llm.common import WORD, materialize, without
 
 
 def language_id(spark, docs, sf_dir):
@@ -24,13 +24,18 @@ def line_dedup_stage(spark, docs, sf_dir):
 
 
 def near_duplicates(spark, docs, sf_dir):
-    """Of documents that five-word shingles link at 0.8 or more, the one with
-    the least id stays; of rows that repeat id and text, one."""
-    found = materialize(ngram_join.jaccard_components(docs, n=5, num=80, den=100))
-    stay = without(docs, found.where("doc_id != component_id"), "doc_id")
-    twice = materialize(found.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id"))
-    again = stay.join(twice, stay["doc_id"].eqNullSafe(twice["doc_id"]), "left_semi").dropDuplicates(["doc_id", "text"])
-    return without(stay, twice, "doc_id").unionByName(again)
+    """Of the rows that five-word shingles link at 0.8 or more, one stays: that of
+    the least id (nulls last), then of the least row number. Rows without words
+    link with nothing; of those that repeat id and text, one stays."""
+    row, key = (name + "_" * sum(c.startswith(name) for c in docs.columns) for name in ("row", "row_key"))
+    numbered = materialize(docs.withColumn(row, F.monotonically_increasing_id()))
+    keyed = numbered.withColumn(key, F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col(row).alias("row")))
+    found = ngram_join.jaccard_components(keyed, id_col=key, n=5, num=80, den=100)
+    near = found.where("doc_id != component_id").select(F.col("doc_id.row").alias("doc_id"))
+    blank = numbered.where(~F.coalesce("text", F.lit("")).rlike(WORD)).select("doc_id", "text", F.col(row).alias("row"))
+    first = blank.groupBy("doc_id", "text").agg(F.min("row").alias("row")).select("row")
+    again = blank.select("row").join(first, "row", "left_anti").select(F.col("row").alias("doc_id"))
+    return without(numbered, materialize(near.unionByName(again)), row).drop(row)
 
 
 def mix_sources(spark, docs, sf_dir):

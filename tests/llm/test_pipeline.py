@@ -45,6 +45,22 @@ def test_repeated_and_null_ids(spark):
     assert by[1] == [text] and 2 not in by and sorted(map(str, by[4])) == ["None", "different text of its own", "other words here"]
 
 
+def test_near_copies_go_by_row(spark):
+    a, b = (" ".join(f"{c}{i}" for i in range(60)) for c in "ab")
+    other = "one unique text that nothing else is like at all"
+
+    def left(rows):
+        docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+        got = corpus_pipeline.near_duplicates(spark, docs, SF)
+        assert got.columns == docs.columns
+        return Counter((r.doc_id, r.text) for r in got.collect())
+
+    assert left([(3, a), (4, a + " x"), (4, other)]) == Counter([(3, a), (4, other)])
+    assert left([(7, a), (12, a + " x"), (3, b), (7, b + " y")]) == Counter([(7, a), (3, b)])
+    assert left([(5, a), (5, a + " x"), (None, b), (None, b + " y"), (None, b + " z")]) in [Counter([(5, t), (None, u)]) for t in (a, a + " x") for u in (b, b + " y", b + " z")]
+    assert left([(None, a), (9, a + " x"), (8, None), (8, None), (8, " "), (None, None), (None, None)]) == Counter([(9, a + " x"), (8, None), (8, " "), (None, None)])
+
+
 def test_registered():
     import __spark_entry__ as entry
 
