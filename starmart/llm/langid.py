@@ -10,9 +10,13 @@ adds its context's back-off weights and goes on one order lower.
 A text gets the language of the lowest cross-entropy per character. ``score``
 is a softmax over the cross-entropies; its temperature is fitted on calibration
 texts that the models have not seen. A text is ``rejected`` when its
-cross-entropy lies twice as far above its language's mean as any calibration
-text's, in units of the spread fitted for its length (short texts spread more),
-and is past half way to that of a model which knows the alphabet only.
+cross-entropy lies further above its language's median than ``LIMIT`` spreads
+and than twice the ``QUANTILE`` of the calibration texts, and is past half way
+to that of a model which knows the alphabet only. The spread depends on the
+length (short texts spread more); it starts from the median absolute deviation
+and is fitted again without the texts past ``TRIM`` spreads, which take no part
+in the quantile either. So some junk among the labelled texts (fewer than half)
+does not widen the limit, which is at most ``2 * TRIM`` spreads.
 
 The models are fitted on a bounded sample: about ``sample_docs`` labelled texts
 per language, for at most ``max_languages`` languages (the most frequent), of
@@ -43,6 +47,7 @@ from .common import batch_of, id_and_text, lean, materialize, ship, texts, with_
 
 ORDER = 4
 SAMPLE_DOCS, MAX_LANGUAGES, MAX_GRAMS = 1000, 200, 100_000
+LIMIT, TRIM, QUANTILE = 8.0, 6.0, 0.999
 BLANK, EDGE = 32, 0
 _R = np.random.Generator(np.random.PCG64(77)).integers(1, 2**63, 16, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -297,6 +302,22 @@ def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", order:
     return calibrate(combine(langs, models, [cols[p] for p in parts], alphabet, order), rows)
 
 
+def _robust_spread(dev: np.ndarray, inverse: np.ndarray) -> tuple[tuple[float, float], np.ndarray]:
+    """(base, slope) of the variance by 1 / length, and the texts within ``TRIM`` of it.
+    It starts from the median absolute deviation, which up to half of the texts cannot
+    move, and leaves out what is too far until the same texts stay."""
+    base, slope = max((1.4826 * float(np.median(dev))) ** 2, 1e-2), 0.05
+    fine = np.zeros(len(dev), bool)
+    for _ in range(20):
+        near = dev**2 <= TRIM**2 * (base + slope * inverse)
+        if near.sum() < 5 or (near == fine).all():
+            break
+        fine = near
+        rise, level = np.polyfit(inverse[fine], dev[fine] ** 2, 1) if np.ptp(inverse[fine]) > 0 else (0.0, float(np.mean(dev[fine] ** 2)))
+        base, slope = max(level, 1e-2), max(rise, 0.05)
+    return (base, slope), near
+
+
 def calibrate(model: Model, rows: DataFrame) -> Model:
     """Temperature and rejection limits from the sampled texts that were not trained on."""
     def run(batches):
@@ -320,11 +341,9 @@ def calibrate(model: Model, rows: DataFrame) -> Model:
                 model.mean[k] = x.mean() if len(x) else np.log(len(model.alphabet) + 1)
                 continue
             model.mean[k] = np.median(x)
-            dev = (x - model.mean[k]) ** 2
-            slope, base = np.polyfit(1 / n, dev, 1)
-            model.spread[k] = max(base, 1e-2), max(slope, 0.05)
+            model.spread[k], fine = _robust_spread(np.abs(x - model.mean[k]), 1 / n)
             z = (x - model.mean[k]) / np.sqrt(model.spread[k, 0] + model.spread[k, 1] / n)
-            model.cut[k] = max(8.0, 2 * z.max())
+            model.cut[k] = max(LIMIT, 2 * np.quantile(z[fine], QUANTILE))
     return model
 
 

@@ -63,6 +63,31 @@ def test_language_id_odd_and_empty(spark, odd, none, model):
     assert langid.fit(odd).languages == ["en", "nl"]  # a handful of texts will do
 
 
+def junk(rng, n):
+    return [" ".join("".join(rng.choice("qxzjkvwyhbgfpcm") for _ in range(rng.randrange(3, 11))) for _ in range(rng.randrange(20, 200))) for _ in range(n)]
+
+
+def test_junk_among_the_labelled_texts(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    clean, rng = [(r.text, r.lang) for r in docs.where(~langid.held_out()).collect()], random.Random(6)
+    langs = sorted({k for _, k in clean})
+    # 2% of the labels are on junk
+    rows = clean + [(t, langs[i % len(langs)]) for i, t in enumerate(junk(rng, len(clean) // 49))]
+    fitted = langid.fit(spark.createDataFrame(rows, "text string, lang string"))
+    assert fitted.predict([t.encode() for t in junk(rng, 50)])[3].all()
+    held = [r.text.encode() for r in docs.where(langid.held_out()).collect()]
+    assert not fitted.predict(held)[3].any()
+
+
+def test_spread_is_not_moved_by_outliers():
+    rng = np.random.default_rng(2)
+    inverse = 1 / rng.integers(50, 2000, 250)
+    dev = np.abs(rng.normal(0, np.sqrt(0.02 + 3 * inverse)))
+    plain, _ = langid._robust_spread(dev, inverse)
+    mixed, fine = langid._robust_spread(np.append(dev, [5.0] * 20), np.append(inverse, [1 / 500] * 20))
+    assert mixed == plain and not fine[250:].any()
+
+
 # ------------------------------------------------------------- LM scoring
 def test_gradient_against_differences():
     net = lm.Network.start()
