@@ -7,7 +7,13 @@ then the word within its class. A document's score is the sum of the
 conditional log-probabilities of its words.
 
 Word numbers: the most frequent words of the corpus, counted over all
-documents, have a number each; all other words share numbers by hash.
+documents, have a number each; all other words share numbers (buckets) by hash
+in the network, whose size is fixed. A rare word's probability is its bucket's
+times the word's share of the bucket's occurrences in the corpus, so every word
+has its own. These shares are a Spark table of all distinct rare words, which
+grows with the corpus; scoring joins it by word. Each bucket counts one
+occurrence more than the corpus has, which is the share of a word not in it, so
+a bucket's shares sum to one. Words are told apart by 64-bit hashes.
 
 Training covers every document once. The documents are dealt to ``rounds``
 rounds by a hash. In a round every task starts from the same network, trains a
@@ -34,32 +40,41 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import _tables, batch_of, id_and_text, lean, spans_hash, texts, with_id
+from .common import _tables, batch_of, id_and_text, lean, materialize, spans_hash, texts, with_id
 
 WINDOW, WIDTH, CLASSES, PER_CLASS, NAMED = 2, 16, 32, 32, 768
 ROUNDS, RATE, BATCH, PIECE = 2, 0.2, 8192, 4096
+LAST = 2**31 - 1
+BUCKETS = CLASSES * PER_CLASS - NAMED  # a power of two, so that it divides signed and unsigned hashes alike
 EDGE = CLASSES * PER_CLASS  # number of the place before and after a text
 
 
-def numbered(rows: list[bytes], vocabulary: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Word numbers of some texts, ``WINDOW`` edges round each, and each place's text."""
+def _hashed(rows: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of every word of some texts, and the number of words of each text."""
     data = np.frombuffer(b"\n".join(rows), np.uint8)
     space = np.empty(len(data) + 2, bool)
     space[0] = space[-1] = True
     space[1:-1] = _tables()[1][data]
     edge = np.flatnonzero(space[1:] != space[:-1])
-    h = spans_hash(data, edge[0::2], edge[1::2])
     cuts = np.searchsorted(edge[0::2], np.cumsum([len(t) + 1 for t in rows]))
+    return spans_hash(data, edge[0::2], edge[1::2]), np.diff(cuts, prepend=0)
+
+
+def numbered(rows: list[bytes], vocabulary: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Word numbers of some texts, ``WINDOW`` edges round each, and each place's text."""
+    return _numbered(*_hashed(rows), vocabulary)
+
+
+def _numbered(h: np.ndarray, lengths: np.ndarray, vocabulary: tuple) -> tuple[np.ndarray, np.ndarray]:
     keys, numbers = vocabulary
-    ids = NAMED + (h % np.uint64(CLASSES * PER_CLASS - NAMED)).astype(np.int64)
+    ids = NAMED + (h % np.uint64(BUCKETS)).astype(np.int64)
     if len(keys):
         pos = np.minimum(np.searchsorted(keys, h), len(keys) - 1)
         ids = np.where(keys[pos] == h, numbers[pos], ids)
-    lengths = np.diff(cuts, prepend=0)
-    at = np.arange(len(ids)) + np.repeat(WINDOW * (2 * np.arange(len(rows)) + 1), lengths)
-    out = np.full(len(ids) + 2 * WINDOW * len(rows), EDGE, np.int64)
+    at = np.arange(len(ids)) + np.repeat(WINDOW * (2 * np.arange(len(lengths)) + 1), lengths)
+    out = np.full(len(ids) + 2 * WINDOW * len(lengths), EDGE, np.int64)
     out[at] = ids
-    return out, np.repeat(np.arange(len(rows)), lengths + 2 * WINDOW)
+    return out, np.repeat(np.arange(len(lengths)), lengths + 2 * WINDOW)
 
 
 def _grouped(rows: list[bytes], size: int = 1 << 20):
@@ -162,14 +177,27 @@ def _counts(batches):
             yield pa.RecordBatch.from_arrays([pa.array(u.view(np.int64)), pa.array(n, pa.int64())], names=["word", "n"])
 
 
-def vocabulary(text: DataFrame, named: int = NAMED) -> tuple[np.ndarray, np.ndarray]:
+def vocabulary(counts: DataFrame, named: int = NAMED) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the most frequent words, sorted, and their numbers by rank."""
-    counts = text.select("text").mapInArrow(lean(_counts), "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
     top = np.array([r["word"] for r in counts.orderBy(F.desc("n"), "word").limit(named).collect()], np.int64).view(np.uint64)
     o = np.argsort(top)
     return top[o], o
 
 
+def _shares(counts: DataFrame, words: tuple) -> tuple[DataFrame, np.ndarray]:
+    """Log of every rare word's share of its bucket, and of a new word's per bucket."""
+    named = counts.sparkSession.createDataFrame([(int(w),) for w in words[0].view(np.int64)], "word long")
+    rare = counts.join(F.broadcast(named), "word", "left_anti").withColumn("bucket", F.pmod("word", F.lit(BUCKETS)))
+    total = np.ones(BUCKETS)
+    for r in rare.groupBy("bucket").agg(F.sum("n").alias("n")).collect():
+        total[r["bucket"]] += r["n"]
+    return materialize(rare.select("word", (F.log("n") + _of_bucket(-np.log(total), F.col("bucket"))).alias("share"))), -np.log(total)
+
+
+def _of_bucket(values: np.ndarray, bucket):
+    return F.element_at(F.array(*[F.lit(float(v)) for v in values]), (bucket + 1).cast("int"))
+
+
 def _train(start, words, rate: float):
     def run(batches):
         net = Network(start.value.copy())
@@ -209,46 +237,103 @@ def _mean(batches):
 class Model:
     weights: np.ndarray
     words: tuple
+    shares: DataFrame | None = None  # word, share (log) of all rare words
+    new: np.ndarray | None = None  # log share of a word that the corpus does not have, per bucket
 
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rounds: int = ROUNDS, rate: float = RATE) -> Model:
     sc = docs.sparkSession.sparkContext
     text = id_and_text(docs, id_col, text_col).withColumn("round", F.pmod(F.xxhash64("doc_id", "text"), F.lit(rounds)))
-    words = vocabulary(text)
+    counts = materialize(text.select("text").mapInArrow(lean(_counts), "word long, n long").groupBy("word").agg(F.sum("n").alias("n")))
+    words = vocabulary(counts)
     sent, weights = sc.broadcast(words), Network.start().weights
     for r in range(rounds):
         parts = text.where(F.col("round") == r).select("text").mapInArrow(lean(_train(sc.broadcast(weights), sent, rate)), "piece int, words long, weights binary")
         got = parts.repartition(F.col("piece")).mapInArrow(lean(_mean), "piece int, weights binary").collect()
         if got:
             weights = np.concatenate([np.frombuffer(x["weights"], np.float32) for x in sorted(got, key=lambda x: x["piece"])])
-    return Model(weights, words)
+    return Model(weights, words, *_shares(counts, words))
 
 
 # ----------------------------------------------------------------- scoring
 def log_probabilities(rows: list[bytes], model: Model) -> tuple[np.ndarray, np.ndarray]:
-    """Words and summed conditional log-probability of each text."""
-    net, n, total = Network(model.weights), [], []
+    """Words and summed conditional log-probability of each text by the network
+    alone, in which rare words stand for their buckets."""
+    return _by_network(rows, model)[:2]
+
+
+def _by_network(rows: list[bytes], model: Model):
+    """The same, then text and hash of every rare word."""
+    net, n, total, rare, at = Network(model.weights), [], [], [], 0
     for group in _grouped(rows):
-        ids, owner = numbered(group, model.words)
+        h, lengths = _hashed(group)
+        ids, owner = _numbered(h, lengths, model.words)
         places = np.flatnonzero(ids != EDGE)
         lp = np.empty(len(places))
         for lo in range(0, len(places), BATCH):
             lp[lo : lo + BATCH] = net.forward(ids, places[lo : lo + BATCH])[-1]
         n.append(np.bincount(owner[places], minlength=len(group)))
         total.append(np.bincount(owner[places], lp, len(group)))
-    return (np.concatenate(n), np.concatenate(total)) if n else (np.empty(0, np.int64), np.empty(0))
+        bucket = ids[places] >= NAMED
+        if len(model.words[0]):  # fewer named words than numbers leave numbers free, so look at the words
+            bucket = model.words[0][np.minimum(np.searchsorted(model.words[0], h), len(model.words[0]) - 1)] != h
+        rare.append((owner[places][bucket] + at, h[bucket]))
+        at += len(group)
+    if not n:
+        return np.empty(0, np.int64), np.empty(0), np.empty(0, np.int64), np.empty(0, np.uint64)
+    return np.concatenate(n), np.concatenate(total), *(np.concatenate(x) for x in zip(*rare))
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_tokens, log_prob, mean_log_prob."""
+    """One row per row of ``docs``: doc_id, n_tokens, log_prob, mean_log_prob.
+
+    A batch of texts becomes one row: what the network says of each text, the
+    distinct rare words, and which text has which of them how often. The words,
+    one row per batch and word, meet the table of shares, whose answers return
+    to the batch in order, so that a task holds one batch at a time."""
     from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql import types as T
 
     schema = with_id(docs, id_col, ("n_tokens", "long"), ("log_prob", "double"))
-    arrow, sent = to_arrow_schema(schema), docs.sparkSession.sparkContext.broadcast(model)
+    kind = schema["doc_id"].dataType
+    held = T.StructType([T.StructField("doc_ids", T.ArrayType(kind)), *(T.StructField(c, T.BinaryType()) for c in ("tokens", "logs", "pairs")), T.StructField("words", T.ArrayType(T.LongType()))])
+    arrow, arrow_held = to_arrow_schema(schema), to_arrow_schema(held)
+    sent = docs.sparkSession.sparkContext.broadcast(Model(model.weights, model.words))
 
-    def run(batches):
-        for b in batches:
-            yield batch_of(arrow, [b.column(0), *log_probabilities(texts(b.column(1)), sent.value)])
+    def one(values, f):
+        return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values).cast(f.type)
 
-    scored = id_and_text(docs, id_col, text_col).mapInArrow(lean(run), schema)
+    def by_network(batches):
+        for b in batches:
+            if b.num_rows:
+                n, total, owner, h = _by_network(texts(b.column(1)), sent.value)
+                words, index = np.unique(h, return_inverse=True)
+                pair, times = np.unique(owner * len(words) + index, return_counts=True)
+                pairs = np.stack([*np.divmod(pair, max(len(words), 1)), times]).astype(np.int32)
+                yield batch_of(arrow_held, [one(b.column(0), arrow_held[0]), [n.astype(np.int64).tobytes()], [total.tobytes()], [pairs.tobytes()], one(pa.array(words.view(np.int64)), arrow_held[4])])
+
+    def add(batches):
+        shares = []
+        for b in batches:
+            place, share, at = b.column("at").to_numpy(), b.column("share").to_numpy(zero_copy_only=False), 0
+            for k in np.flatnonzero(place == LAST):
+                shares.append(share[at:k])
+                of, at = b.column("of")[int(k)], k + 1
+                n, total, pairs = (np.frombuffer(of[c].as_py(), t) for c, t in (("tokens", np.int64), ("logs", float), ("pairs", np.int32)))
+                owner, index, times = pairs.reshape(3, -1)
+                if len(owner):
+                    total = total + np.bincount(owner, times * np.concatenate(shares)[index], len(n))
+                shares = []
+                yield batch_of(arrow, [of["doc_ids"].values.cast(arrow[0].type), n, total])
+            shares.append(share[at:].copy())
+
+    rows = id_and_text(docs, id_col, text_col).mapInArrow(lean(by_network), held)
+    rows = materialize(rows.withColumn("batch", F.monotonically_increasing_id()))
+    asked = rows.select("batch", F.posexplode("words").alias("at", "word"))
+    share = F.coalesce("share", _of_bucket(model.new, F.pmod("word", F.lit(BUCKETS))))
+    told = asked.join(model.shares, "word", "left").select("batch", "at", share.alias("share"), F.lit(None).alias("of"))
+    whole = rows.select("batch", F.lit(LAST).alias("at"), F.lit(None).cast("double").alias("share"), F.struct("doc_ids", "tokens", "logs", "pairs").alias("of"))
+    # every batch's shares in the order of its words, then the batch itself
+    both = whole.unionByName(told).repartition("batch").sortWithinPartitions("batch", "at").select("at", "share", "of")
+    scored = both.mapInArrow(lean(add), schema)
     return scored.withColumn("mean_log_prob", F.when(F.col("n_tokens") > 0, F.col("log_prob") / F.col("n_tokens")))

@@ -140,6 +140,22 @@ def test_lm_odd_and_empty(odd, none):
     assert lm.score(none, lm.fit(none)).count() == 0
 
 
+def test_every_rare_word_has_its_own_probability(spark):
+    common = " ".join(" ".join([f"c{i:03d}"] * 8) for i in range(lm.NAMED))
+    bucket = lambda w: int(lm._hashed([w.encode()])[0][0] % np.uint64(lm.BUCKETS))
+    often, seldom, new = [w for w in (f"r{i}" for i in range(5000)) if bucket(w) == 7][:3]
+    docs = table(spark, [(0, common, None, None), (1, often, None, None), (1, often, None, None), (2, often, None, None), (3, seldom, None, None), (4, f"c000 {often} {often} c001", None, None)])
+    fitted = lm.fit(docs)
+    asked = table(spark, [(1, often, None, None), (2, seldom, None, None), (3, new, None, None), (4, "c000", None, None), (5, f"{often} c001 {often} {seldom}", None, None), (5, f"{often} c001 {often} {seldom}", None, None), (6, None, None, None)])
+    got = {r.doc_id: r.log_prob for r in lm.score(asked, fitted).collect()}
+    of = lambda t: lm.log_probabilities([t.encode()], fitted)[1][0]
+    assert of(often) == of(seldom) == of(new)  # one bucket: 5 + 1 occurrences, and one for all others
+    assert [got[i] - of(often) for i in (1, 2, 3)] == pytest.approx(np.log([5 / 7, 1 / 7, 1 / 7]), abs=1e-4)
+    assert got[4] == pytest.approx(of("c000"), abs=1e-4) and got[6] == 0
+    assert got[5] - of(f"{often} c001 {often} {seldom}") == pytest.approx(2 * np.log(5 / 7) + np.log(1 / 7), abs=1e-4)
+    assert fitted.shares.count() == 2
+
+
 # ---------------------------------------------------------- SentencePiece
 @pytest.fixture(scope="module")
 def pieces_table():
