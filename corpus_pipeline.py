@@ -44,8 +44,10 @@ def mix_sources(spark, docs, sf_dir):
 
 
 def sentencepiece(spark, docs, sf_dir):
-    """The token ids of every document."""
-    return pieces.encode(docs, pieces.load_pieces()).select("doc_id", F.size("ids").alias("n_tokens"), "ids")
+    """The token ids of every document, and the digest of the text they decode to."""
+    table = pieces.load_pieces()
+    tokens = pieces.encode(docs, table)
+    return pieces.decode(tokens, table).select("doc_id", F.size("ids").alias("n_tokens"), "ids", F.sha2("text", 256).alias("decoded_sha256"))
 
 
 STAGES = [
@@ -53,7 +55,7 @@ STAGES = [
     ("line dedup", line_dedup_stage),
     ("n-gram Jaccard join", near_duplicates),
     ("mixing sources to target weights", mix_sources),
-    ("SentencePiece encoding", sentencepiece),
+    ("SentencePiece encoding and decoding", sentencepiece),
 ]
 
 # Models and dictionaries of the first and last stage are beyond SQL; the tests

@@ -61,6 +61,14 @@ def test_near_copies_go_by_row(spark):
     assert left([(None, a), (9, a + " x"), (8, None), (8, None), (8, " "), (None, None), (None, None)]) == Counter([(9, a + " x"), (8, None), (8, " "), (None, None)])
 
 
+def test_last_stage_decodes(spark, small):
+    import hashlib
+
+    docs = small.limit(30)
+    got = Counter((r.doc_id, r.decoded_sha256) for r in corpus_pipeline.sentencepiece(spark, docs, SF).collect())
+    assert got == Counter((r.doc_id, hashlib.sha256(r.text.encode()).hexdigest()) for r in docs.collect())
+
+
 def test_registered():
     import __spark_entry__ as entry
 
