@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import exact_dedup, langid, line_dedup, lm, mixing, ngram_join, pieces, pii, secrets, topk
+from . import codebooks, conversations, exact_dedup, html_text, langid, line_dedup, lm, mixing, ngram_join, pieces, pii, secrets, topk
 from .common import documents
 
 
@@ -59,6 +59,18 @@ def op10_sentencepiece(spark, sf_dir):
     return pieces.decode(tokens, table).select("doc_id", F.size("ids").alias("n_tokens"), "ids", F.sha2("text", 256).alias("decoded_sha256"))
 
 
+def op11_vector_codes(spark, sf_dir):
+    return codebooks.compress(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def op12_html_text(spark, sf_dir):
+    return html_text.extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
+def op13_conversation_repair(spark, sf_dir):
+    return conversations.repair_damaged(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_ngram_join": op2_ngram_join,
@@ -70,6 +82,9 @@ QUERIES = {
     "op8_mixing": op8_mixing,
     "op9_line_dedup": op9_line_dedup,
     "op10_sentencepiece": op10_sentencepiece,
+    "op11_vector_codes": op11_vector_codes,
+    "op12_html_text": op12_html_text,
+    "op13_conversation_repair": op13_conversation_repair,
 }
 
 SQL = {
@@ -77,4 +92,6 @@ SQL = {
     "op5_topk_search": topk.SQL,
     "op8_mixing": mixing.SQL,
     "op9_line_dedup": line_dedup.SQL,
+    "op11_vector_codes": codebooks.SQL,
+    "op13_conversation_repair": conversations.SQL,
 }
