@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -96,14 +97,46 @@ def session_key(spark: SparkSession) -> str:
     return spark.conf.get("spark.app.id", None) or str(id(spark))
 
 
+_SCRATCH: list[list] = []  # tables of the open ``scratch_tables`` blocks
+
+
 def materialize(df):
     """Write ``df`` as a parquet table under the session's checkpoint
     directory (the shared folder on a cluster) and read it back: cuts the
-    lineage and freezes nondeterministic columns in one columnar write."""
+    lineage and freezes nondeterministic columns in one columnar write.
+    ``discard`` or an enclosing ``scratch_tables`` removes the table."""
     import uuid
 
     spark = df.sparkSession
     base = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{base}/tables/{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.parquet(path)
+    out = spark.read.parquet(path)
+    out._table = path
+    if _SCRATCH:
+        _SCRATCH[-1].append(out)
+    return out
+
+
+def discard(*frames) -> None:
+    """Remove tables that ``materialize`` wrote, once nothing reads them any
+    more. Frames it did not write are left alone."""
+    for df in frames:
+        path = getattr(df, "_table", None)
+        if path:
+            spark = df.sparkSession
+            jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+            jpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jpath, True)
+
+
+@contextmanager
+def scratch_tables():
+    """Remove, at the end of the block, the tables that were materialized in
+    it: for jobs whose results are written elsewhere by then."""
+    held: list = []
+    _SCRATCH.append(held)
+    try:
+        yield
+    finally:
+        _SCRATCH.remove(held)
+        discard(*held)
