@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starmart.session import ensure_checkpoint_dir, materialize  # noqa: F401
+from starmart.session import discard, ensure_checkpoint_dir, materialize  # noqa: F401
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = UPPER.lower()
@@ -34,8 +34,8 @@ _SHIPPED: set = set()
 def ship(spark) -> None:
     """Send this package to the executors, once per application, as
     ``--py-files`` would; needless where it is installed on them. Arrow batches
-    are held to 8 MB, so that a worker's memory does not follow the texts' length."""
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
+    are held to 4 MB, so that a worker's memory does not follow the texts' length."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
     sc = spark.sparkContext
     if sc.applicationId not in _SHIPPED:
         root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -86,7 +86,7 @@ def texts(column: pa.Array) -> list[bytes]:
 # ------------------------------------------------------------ word hashing
 _MUL = 0x9E3779B97F4A7C15  # odd, hence invertible modulo 2**64
 _INV = pow(_MUL, -1, 2**64)
-_BLOCK = 1 << 20
+_BLOCK = 1 << 18
 
 
 @lru_cache(maxsize=1)
@@ -105,7 +105,7 @@ def _folded() -> np.ndarray:
     return value
 
 
-@lru_cache(maxsize=4)
+@lru_cache(maxsize=2)
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     up, down = np.full(n, _MUL, np.uint64), np.full(n, _INV, np.uint64)
     up[0] = down[0] = 1
@@ -129,7 +129,7 @@ def spans_hash(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, fold: boo
         lo = starts[i]
         j = max(i + 1, int(np.searchsorted(ends, lo + _BLOCK, "right")))
         hi = ends[j - 1]
-        up, down = _powers(max(_BLOCK, 1 << int(hi - lo).bit_length()))
+        up, down = _powers(_BLOCK if hi - lo <= _BLOCK else 1 << int(hi - lo).bit_length())
         sums = np.zeros(hi - lo + 1, np.uint64)
         np.cumsum(value[data[lo:hi]] * up[: hi - lo], out=sums[1:])
         out[i:j] = mix((sums[ends[i:j] - lo] - sums[starts[i:j] - lo]) * down[starts[i:j] - lo])
@@ -158,7 +158,7 @@ def grams(words: np.ndarray, n: int) -> np.ndarray:
     return mix(h)
 
 
-def gram_sets(column: pa.Array, n: int, group_bytes: int = 1 << 20):
+def gram_sets(column: pa.Array, n: int, group_bytes: int = 1 << 18):
     """For each text of a binary column, the sorted distinct hashes of its
     n-word shingles. Neighbouring texts are hashed together, about
     ``group_bytes`` at a time (a longer text alone)."""

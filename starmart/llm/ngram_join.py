@@ -47,10 +47,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import batch_of, gram_sets, id_and_text, id_filter, id_position, in_filter, lean, materialize, mix, with_id
+from .common import batch_of, discard, gram_sets, id_and_text, id_filter, id_position, in_filter, lean, materialize, mix, with_id
 
 # Cells of the frequency sketch; cells sent at a time; cuts by hash of each range of levels.
 LOG2_CELLS, CHUNK, FRAGMENTS = 23, 1 << 16, 4
+LOG2_BITS = 26  # bits of the filter of n-grams that several classes hold
 
 
 # -------------------------------------------------------------- the order
@@ -68,7 +69,7 @@ def _counts(n: int, log2_cells: int):
             for g in gram_sets(b.column(0), n):
                 held.append(g)
                 size += len(g)
-                if size >= 1 << 20:
+                if size >= 1 << 18:
                     add(held)
                     held, size = [], 0
             if held:
@@ -164,6 +165,17 @@ def _segments(sent, filt, n: int, fragments: int):
     return run
 
 
+def _gram_filter(grams: DataFrame) -> np.ndarray:
+    """Bit set of the last LOG2_BITS bits of the n-grams' hashes: of one size
+    whatever their number; the fuller it is, the more others pass by chance."""
+    pos = F.col("gram").bitwiseAND(F.lit((1 << LOG2_BITS) - 1)) + 1
+    rows = grams.select(pos.alias("p")).groupBy(F.bitmap_bucket_number("p").alias("b")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("bits")).collect()
+    bits = np.zeros(1 << (LOG2_BITS - 3), np.uint8)
+    for r in rows:
+        bits[(r["b"] - 1) * 4096 : r["b"] * 4096] = np.frombuffer(r["bits"], np.uint8)
+    return bits
+
+
 # ------------------------------------------------------------- components
 def components(links: DataFrame) -> DataFrame:
     """(node, component): the least node reachable, for every node with a link.
@@ -202,9 +214,12 @@ class JaccardJoin:
         sc = docs.sparkSession.sparkContext
         self.levels = sc.broadcast(frequency_levels(self.text, n, log2_cells))
         schema = with_id(docs, id_col, ("n", "long"), ("h1", "long"), ("h2", "long"), ("bits", "array<long>"), ("prefix", "array<long>"))
-        self.sets = materialize(self.text.mapInArrow(lean(_signatures(to_arrow_schema(schema), self.levels, n, num, den)), schema))
-        classes = self.sets.where("n > 0").groupBy("n", "h1", "h2").agg(F.min("doc_id").alias("first_id"), F.first("bits").alias("bits"), F.first("prefix").alias("prefix"))
-        self.classes = materialize(classes.withColumn("class", F.monotonically_increasing_id()))
+        wide = materialize(self.text.mapInArrow(lean(_signatures(to_arrow_schema(schema), self.levels, n, num, den)), schema).withColumn("row", F.monotonically_increasing_id()))
+        # A class is named by its first row. Arrays take no part in the aggregate; those of the first rows join back.
+        self.sets = materialize(wide.select("doc_id", "n", "h1", "h2", "row"))
+        heads = self.sets.where("n > 0").groupBy("n", "h1", "h2").agg(F.min("doc_id").alias("first_id"), F.min("row").alias("class"))
+        self.classes = materialize(wide.select(F.col("row").alias("class"), "bits", "prefix").join(heads, "class"))
+        discard(wide)
 
     def _meet(self, n1: str, rest1: str, n2: str, rest2: str, high1: str | None = None, high2: str | None = None):
         """Whether two sets can link whose first common n-gram is the one they
@@ -227,8 +242,9 @@ class JaccardJoin:
         return both.where((size - _differing_bits("x", "y")) * (self.den + self.num) >= size * (2 * self.num)).select("a", "b", "na", "nb")
 
     def verify(self, pairs: DataFrame) -> DataFrame:
-        """The pairs (a, b, na, nb) of classes that link: overlaps per fragment, summed."""
+        """The pairs (a, b, na, nb) of classes that link: overlaps per fragment, summed; written."""
         sc = pairs.sparkSession.sparkContext
+        pairs = materialize(pairs)
         wanted = pairs.select(F.col("a").alias("class")).unionByName(pairs.select(F.col("b").alias("class"))).distinct()
         wanted = materialize(self.classes.join(wanted, "class", "left_semi").select("class", "first_id", "n", "h1", "h2"))
         chosen = sc.broadcast(id_filter(wanted, "first_id"))
@@ -240,25 +256,53 @@ class JaccardJoin:
         right = segments.select(F.col("class").alias("b"), "fragment", F.col("grams").alias("right"))
         partial = pairs.join(left, "a").join(right, ["b", "fragment"]).select("a", "b", "na", "nb", F.size(F.array_intersect("left", "right")).alias("common"))
         total = partial.groupBy("a", "b", "na", "nb").agg(F.sum("common").alias("common"))
-        return total.where(F.col("common") * (self.den + self.num) >= (F.col("na") + F.col("nb")) * self.num).select("a", "b")
+        links = materialize(total.where(F.col("common") * (self.den + self.num) >= (F.col("na") + F.col("nb")) * self.num).select("a", "b"))
+        discard(pairs, wanted, segments)
+        chosen.unpersist()
+        return links
+
+    def _shared(self) -> DataFrame:
+        """The postings (gram, class, n, rest) of n-grams in the prefixes of
+        several classes; rest: n-grams of the set from this one on, in the global order."""
+        sc = self.text.sparkSession.sparkContext
+        grams = self.classes.select(F.explode("prefix").alias("gram")).groupBy("gram").agg(F.count("*").alias("m")).where("m > 1").select("gram")
+        grams = materialize(grams)
+        bits = sc.broadcast(_gram_filter(grams))
+
+        def some(batches):
+            for b in batches:
+                prefix = b.column(2)
+                gram = prefix.flatten().to_numpy().view(np.uint64)
+                owner = np.repeat(np.arange(b.num_rows), np.diff(prefix.offsets.to_numpy()))
+                at = np.arange(len(gram)) - (prefix.offsets.to_numpy()[:-1] - prefix.offsets.to_numpy()[0])[owner]
+                keep = in_filter(bits.value, (gram & np.uint64((1 << LOG2_BITS) - 1)) + np.uint64(1))
+                owner, n = owner[keep], b.column(1).to_numpy()
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(gram[keep].view(np.int64)), pa.array(b.column(0).to_numpy()[owner]), pa.array(n[owner]), pa.array(n[owner] - at[keep])], names=["gram", "class", "n", "rest"])
+
+        postings = self.classes.select("class", "n", "prefix").mapInArrow(lean(some), "gram long, class long, n long, rest long")
+        shared = materialize(postings.join(grams, "gram", "left_semi"))
+        bits.unpersist()
+        discard(grams)
+        return shared
 
     def links(self) -> DataFrame:
         """Links (a, b) of classes that connect all that the similarity connects."""
-        # rest: n-grams of the set from this one on, in the global order
-        postings = self.classes.select(F.posexplode("prefix").alias("at", "gram"), "class", "n").select("gram", "class", "n", (F.col("n") - F.col("at")).alias("rest"))
+        shared = self._shared()
         # The member with the fewest rarer n-grams leads: it is closest to the others.
-        lists = postings.groupBy("gram").agg(F.count("*").alias("m"), F.min(F.struct(F.col("n") - F.col("rest"), "class", "n", "rest")).alias("leader")).where("m > 1")
-        shared = materialize(postings.join(lists.select("gram", "leader"), "gram"))
-        first = shared.where(F.col("class") != F.col("leader.class")).where(self._meet("n", "rest", "leader.n", "leader.rest"))
+        leaders = shared.groupBy("gram").agg(F.min(F.struct(F.col("n") - F.col("rest"), "class", "n", "rest")).alias("leader"))
+        first = shared.join(leaders, "gram").where(F.col("class") != F.col("leader.class")).where(self._meet("n", "rest", "leader.n", "leader.rest"))
         first = first.select(F.struct("class", "n").alias("x"), F.struct("leader.class", "leader.n").alias("y"))
         first = materialize(self._ordered(first).distinct())
-        links = materialize(self.verify(materialize(self.possible(first))))
+        links = self.verify(self.possible(first))
         known = components(links)
 
         member = shared.join(known, shared["class"] == known["node"], "left").select("gram", "class", "n", "rest", F.coalesce("component", "class").alias("component"))
         member = materialize(member)
+        discard(shared)
         mixed = member.groupBy("gram").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("gram")
-        member = materialize(member.join(mixed, "gram"))
+        every, member = member, materialize(member.join(mixed, "gram"))
+        discard(every)
         parts = materialize(member.groupBy("gram", "component").agg(F.min("n").alias("low"), F.max("n").alias("high"), F.max("rest").alias("rest")))
         p, q = (parts.select("gram", *[F.col(c).alias(c + i) for c in ("component", "low", "high", "rest")]) for i in "12")
         # Two components can hold a link only if the best of each could.
@@ -267,13 +311,17 @@ class JaccardJoin:
         second = across.select("gram", "component1", "component2").join(a, ["gram", "component1"]).join(b, ["gram", "component2"]).where(self._meet("n1", "rest1", "n2", "rest2"))
         second = self._ordered(second.select(F.struct(F.col("class1").alias("class"), F.col("n1").alias("n")).alias("x"), F.struct(F.col("class2").alias("class"), F.col("n2").alias("n")).alias("y")))
         second = second.distinct().join(first.select("a", "b"), ["a", "b"], "left_anti")
-        return links.unionByName(self.verify(materialize(self.possible(second))))
+        more = self.verify(self.possible(second))
+        discard(first, member, parts)
+        self.levels.unpersist()
+        return links.unionByName(more)
 
     def result(self) -> DataFrame:
         """One row per document: doc_id, n_shingles, component_id."""
         known = components(materialize(self.links()))
         named = self.classes.join(known, self.classes["class"] == known["node"], "left").select("n", "h1", "h2", "first_id", F.coalesce("component", "class").alias("component"))
         named = materialize(named)
+        discard(self.classes)
         least = named.groupBy("component").agg(F.min("first_id").alias("component_id"))
         named = named.join(least, "component").select("n", "h1", "h2", "component_id")
         linked = self.sets.where("n > 0").join(named, ["n", "h1", "h2"]).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
