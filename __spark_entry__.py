@@ -30,17 +30,25 @@ from starmart.operators.clean import dropped_by_dedup, fill_unknown, transform_u
 from starmart.operators.dims import initial_customers, initial_products, new_dates, scd1_upsert, scd2_apply  # noqa: E402
 from starmart.operators.extract import changed_since, extract, high_watermark  # noqa: E402
 from starmart.operators.facts import fact_candidates, fact_rejects, load_facts  # noqa: E402
+from starmart.operators.keyfilter import KeyFilter  # noqa: E402
+from starmart.operators.keys import assign_surrogate_keys  # noqa: E402
 from starmart.operators.maintain import derive_payments, point_update, raise_price, refresh_order_totals  # noqa: E402
 from starmart.plans.batch import ERROR_MESSAGE, FAILED_MESSAGE, MESSAGES, run_batch, run_staged  # noqa: E402
+from starmart.plans.filetable import FileTable  # noqa: E402
 from starmart.plans.star import first_batch_log, first_load  # noqa: E402
+from starmart.plans.totals import OrderTotals  # noqa: E402
 from starmart.plans.warehouse import Warehouse  # noqa: E402
-from starmart.session import apply_conf, ensure_checkpoint_dir, session_key  # noqa: E402
+from starmart.session import apply_conf, ensure_checkpoint_dir, materialize, session_key  # noqa: E402
 from starmart.sources import testdata as td  # noqa: E402
+from starmart.sources.imports import import_csv  # noqa: E402
+from starmart.streaming.hourly import start_feed_stream  # noqa: E402
 
 try:  # the corpus operators and their pipeline may be left out of an installation
     import corpus_pipeline
     from starmart.llm import queries as llm
-except ImportError:
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "starmart.llm"):
+        raise  # a module that the operators need
     _LLM_QUERIES, _LLM_SQL = {}, {}
 else:
     _LLM_QUERIES = llm.QUERIES | {"pipeline": corpus_pipeline.run}
@@ -445,7 +453,218 @@ def q_log_tail(spark, sf_dir):
     return quality.log_tail(_log(spark, sf_dir), 10, columns=["phase", "status", "rows_affected"])
 
 
+
+# ------------------------------------------------ K1 on awkward keys
+SPARSE_STEP = 70_000  # distance of neighbouring ids (fixed value)
+
+
+def q_surrogate_keys_sparse(spark, sf_dir):
+    """Ids far apart: one key each, dense."""
+    o = _src(spark, sf_dir, False)["orders"].select((F.col("order_id") * SPARSE_STEP).alias("sparse_id"))
+    return assign_surrogate_keys(o, ["sparse_id"], "surrogate_key", base=1000)
+
+
+def q_surrogate_keys_hot(spark, sf_dir):
+    """A first key column that many rows share."""
+    o = _src(spark, sf_dir, False)["orders"].select("status", "order_id")
+    return assign_surrogate_keys(o, ["status", "order_id"], "surrogate_key")
+
+
+# ------------------------------------------------ J1 with a pruned scan
+def _scratch(spark, name: str) -> str:
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
+
+
+def _sorted_items(spark, sf_dir):
+    """The changed sources with order lines laid out by order id, as a table that is loaded in order is."""
+    s = _changed_sources(spark, sf_dir)
+    items = materialize(s["order_items"].repartitionByRange(8, "order_id").sortWithinPartitions("order_id"))
+    return {**{t: s[t] for t in ("users", "products", "orders", "payments")}, "order_items": items}
+
+
+def q_extract_items_pruned(spark, sf_dir):
+    """The lines of the orders that are new since the first batch, from the row groups that can hold them."""
+    _prepare(spark)
+    return extract(_sorted_items(spark, sf_dir), RUN_TS)["order_items"]
+
+
+# ------------------------------------------------ S2 CSV with rejects
+# Planted faults (fixed values): every so many ids a field is broken.
+BAD_FIELDS, BAD_USER, BAD_DATE, BAD_AMOUNT = 101, 103, 107, 97
+BAD_PRICE, BAD_NAME = 53, 59
+
+
+def _csv_files(spark, sf_dir) -> str:
+    """Orders and products as CSV files, with planted faults."""
+    s, base = _src(spark, sf_dir, False), _scratch(spark, "csv")
+    k = F.col("order_id")
+    orders = s["orders"].select(F.concat_ws(
+        ",", k.cast("string"), F.when(k % BAD_USER == 0, "").otherwise(F.col("user_id").cast("string")),
+        F.when(k % BAD_DATE == 0, "yesterday").otherwise(F.date_format("order_date", "yyyy-MM-dd HH:mm:ss")),
+        F.when(k % BAD_AMOUNT == 0, "n/a").otherwise(F.col("total_amount").cast("string")), "status",
+        F.date_format("last_updated", "yyyy-MM-dd HH:mm:ss"), F.when(k % BAD_FIELDS == 0, "extra")).alias("value"))
+    p = F.col("product_id")
+    quoted = lambda c: F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"'))
+    products = s["products"].select(F.concat_ws(
+        ",", p.cast("string"), F.when(p % BAD_NAME == 0, "").otherwise(quoted(F.concat("product_name", F.lit(', "new"')))), quoted(F.col("category")),
+        F.when(p % BAD_PRICE == 0, "12,50").otherwise(F.col("price").cast("string")), F.date_format("last_updated", "yyyy-MM-dd HH:mm:ss")).alias("value"))
+    for name, rows in (("orders", orders), ("products", products)):
+        header = spark.createDataFrame([(",".join(schemas.SOURCES[name].fieldNames()),)], "value string")
+        header.unionByName(rows).write.text(f"{base}/{name}.csv")
+    return base
+
+
+def _imported(spark, sf_dir):
+    _prepare(spark)
+    key = (session_key(spark), sf_dir, "csv")
+    if key not in _WAREHOUSES:
+        _WAREHOUSES[key] = import_csv(spark, _csv_files(spark, sf_dir), _scratch(spark, "imported"), ["orders", "products"])
+    return _WAREHOUSES[key]
+
+
+def q_csv_orders(spark, sf_dir):
+    return _imported(spark, sf_dir)["orders"]
+
+
+def q_csv_products(spark, sf_dir):
+    return _imported(spark, sf_dir)["products"]
+
+
+def q_csv_rejects(spark, sf_dir):
+    return _imported(spark, sf_dir)["rejects"]
+
+
+# ------------------------------------------------ D10, D8, Q1 kept up to date
+def q_point_update_files(spark, sf_dir):
+    """A price raise that rewrites the one file that holds the product."""
+    _prepare(spark)
+    table = FileTable(spark, _scratch(spark, "products"), schemas.PRODUCTS)
+    table.create(_src(spark, sf_dir, False)["products"].repartitionByRange(8, "product_id"))
+    done = table.update(F.col("product_id") == 20, {"price": F.col("price") + 100})
+    return table.read().withColumn("rewritten_files", F.lit(len(done.rewritten)))
+
+
+REPRICED_EVERY = 40  # orders whose lines cost 1.00 more in the second batch (fixed value)
+
+
+def _repriced(s):
+    """Second state of orders and lines: new orders, and every so many orders at another price."""
+    old = F.col("order_id") < NEW_ID
+    items = s["order_items"].withColumn("price", F.when(old & (F.col("order_id") % REPRICED_EVERY == 0), (F.col("price") + 1).cast("decimal(12,2)")).otherwise(F.col("price")))
+    return s["orders"], items, F.when(old, F.col("order_id") % REPRICED_EVERY == 0).otherwise(True)
+
+
+def q_order_totals_incremental(spark, sf_dir):
+    """Totals of a first batch, then of the orders that changed; merged on read."""
+    _prepare(spark)
+    first = td.sources(spark, sf_dir)
+    orders, items, changed = _repriced(_changed_sources(spark, sf_dir))
+    totals = OrderTotals(spark, _scratch(spark, "totals"))
+    totals.write(1, first["order_items"])
+    totals.write(2, items.where(changed), orders.where(changed))
+    return totals.apply(orders)
+
+
+def q_check_unique_incremental(spark, sf_dir):
+    """Keys of a batch against the filter of those loaded: the batch is the later
+    facts, and every so many of the earlier ones again."""
+    f = materialize(_star(spark, sf_dir, with_ids=True).fact_sales)
+    loaded = f.where(F.col("date_key") < FACT_LOADED_BEFORE)
+    batch = f.where((F.col("date_key") >= FACT_LOADED_BEFORE) | (F.col("source_order_item_id") % NEW_ORDER_EVERY == 0))
+    keys = ["source_order_item_id", "date_key"]
+    return KeyFilter(keys, loaded.count()).add(loaded).duplicates(batch, loaded)
+
+
+# ------------------------------------------------ AN1 by a calendar filter
+def q_revenue_of_week_53(spark, sf_dir):
+    """AN1 over days of ISO week 53: only years that have some are scanned."""
+    s = _two_batches(spark, sf_dir)
+    return analytics.revenue_by_month(s.fact_sales, s.dim_date.where("week_of_year = 53"))
+
+
+# ------------------------------------------------ log tail, ids, stamps
+def q_batch2_log_tail(spark, sf_dir):
+    return quality.log_tail(_two_batches(spark, sf_dir).etl_log, 3, columns=["etl_id", "batch_id", "phase", "status", "rows_affected"])
+
+
+def q_batch2_last_keys(spark, sf_dir):
+    """LAST_INSERT_ID: the last key handed out per table, beside the largest in it."""
+    s = _two_batches(spark, sf_dir)
+    tables = [("dim_customer", s.dim_customer, "customer_key"), ("dim_product", s.dim_product, "product_key"), ("fact_sales", s.fact_sales, "sale_id")]
+    parts = [df.agg(F.max(k).alias("largest_key"), F.count(F.lit(1)).alias("n_rows")).select(
+        F.lit(t).alias("table_name"), F.lit(int(s.max_keys[t])).cast("long").alias("last_key"), "largest_key", "n_rows") for t, df, k in tables]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def q_batch_identity(spark, sf_dir):
+    """Two batches under their own ids and stamps (UUID, NOW): that ids differ
+    and are UUIDs, that stamps lie in the run, and the products loaded."""
+    s, root = _src(spark, sf_dir, False), _scratch(spark, "warehouse")
+    now = lambda: spark.sql("SELECT localtimestamp() AS t").first()["t"].replace(microsecond=0)
+    began = now()
+    for part in (0, 1):
+        run_staged(spark, Warehouse(spark, root), {"products": s["products"].where(F.col("product_id") % 2 == part)})
+    ended = now()
+    snap = Warehouse(spark, root).snapshot()
+    runs = snap.etl_log.where("phase = 'RUN'")
+    inside = F.col("created_at").between(F.lit(str(began)).cast("timestamp_ntz"), F.lit(str(ended)).cast("timestamp_ntz"))
+    return runs.agg(F.count_distinct("batch_id").alias("batch_ids"), F.count_if(F.col("batch_id").rlike("^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$")).alias("uuids"),
+                    F.count_if(inside).alias("stamps_in_run")).crossJoin(snap.dim_product.agg(F.count(F.lit(1)).alias("products")))
+
+
 # ------------------------------------------------------------ C9 stream
+class _Crash(RuntimeError):
+    pass
+
+
+def _streamed(spark, sf_dir):
+    """The warehouse after the feed came in as files and went through the stream
+    in four micro-batches. The stream crashes when the warehouse holds the first, before its
+    checkpoint knows; started again, it replays that one and goes on."""
+    _prepare(spark)
+    key = (session_key(spark), sf_dir, "stream")
+    if key not in _WAREHOUSES:
+        root, landing, checkpoint = (_scratch(spark, x) for x in ("warehouse", "landing", "stream"))
+        s = td.sources(spark, sf_dir)
+        run_staged(spark, Warehouse(spark, root), {"users": s["users"], "products": s["products"]}, run_ts=dt.datetime.fromisoformat(RUN_TS), batch_id="dimensions")
+        td.table(spark, sf_dir, "events").repartition(8, "event_id").write.parquet(landing)
+        files = -(-len(spark.read.parquet(landing).inputFiles()) // 4)
+        results = []
+
+        def crash(epoch, result):
+            results.append(result)
+            if len(results) == 1:
+                raise _Crash("the driver is gone")
+
+        def run():
+            start_feed_stream(spark, landing, root, checkpoint, query_name="feed", available_now=True, max_files_per_trigger=files,
+                              run_ts=dt.datetime.fromisoformat(STREAM_RUN_TS), after_commit=crash).awaitTermination()
+
+        try:
+            run()
+        except Exception as stopped:
+            if "the driver is gone" not in str(stopped):
+                raise
+        run()
+        _WAREHOUSES[key] = root, sum(r is None for r in results)
+    root, replays = _WAREHOUSES[key]
+    return Warehouse(spark, root).snapshot(), replays
+
+
+def q_stream_restart_fact(spark, sf_dir):
+    """Facts that a stopped and restarted stream committed. Their ids follow the order of arrival: see stream_restart_log."""
+    return _streamed(spark, sf_dir)[0].fact_sales.select(*[c for c in schemas.FACT_SALES.fieldNames() if c != "sale_id"])
+
+
+def q_stream_restart_log(spark, sf_dir):
+    """What the stream committed: micro-batches, replays that were skipped, and facts by the log, by the table, and by their ids."""
+    snap, replays = _streamed(spark, sf_dir)
+    log = snap.etl_log.where("batch_id LIKE 'feed:%' AND status = 'SUCCESS'")
+    counts = log.agg(F.count_if(F.col("phase") == "RUN").alias("micro_batches"), F.sum(F.when(F.col("phase") == "FACT_INCREMENTAL", F.col("rows_affected"))).alias("logged_facts"))
+    facts = snap.fact_sales.agg(F.count(F.lit(1)).alias("facts"), F.count_distinct("sale_id").alias("sale_ids"), F.max("sale_id").alias("largest_sale_id"))
+    return counts.crossJoin(facts).withColumn("replays", F.lit(replays))
+
+
 def q_stream_incremental_fact(spark, sf_dir):
     """The stream's per-micro-batch logic over the whole purchase feed."""
     star = _star(spark, sf_dir)
@@ -480,6 +699,13 @@ OUTPUT_CASTS = {
     "surrogate_keys": (["price"], []),
     "stream_incremental_fact": (["unit_price", "total_amount"], []),
     "batch2_dim_product": (["price"], []),
+    "extract_items_pruned": (["price"], []),
+    "csv_orders": (["total_amount"], []),
+    "csv_products": (["price"], []),
+    "point_update_files": (["price"], []),
+    "order_totals_incremental": (["total_amount"], []),
+    "stream_restart_fact": (["unit_price", "total_amount"], []),
+    "revenue_of_week_53": (["revenue"], []),
     "batch2_dim_date": ([], ["full_date"]),
     "batch2_fact": (["unit_price", "total_amount"], []),
 }
@@ -566,6 +792,21 @@ _QUERIES = {
     "watermark": q_watermark,
     "log_tail": q_log_tail,
     "stream_incremental_fact": q_stream_incremental_fact,
+    "stream_restart_fact": q_stream_restart_fact,
+    "stream_restart_log": q_stream_restart_log,
+    "surrogate_keys_sparse": q_surrogate_keys_sparse,
+    "surrogate_keys_hot": q_surrogate_keys_hot,
+    "extract_items_pruned": q_extract_items_pruned,
+    "csv_orders": q_csv_orders,
+    "csv_products": q_csv_products,
+    "csv_rejects": q_csv_rejects,
+    "point_update_files": q_point_update_files,
+    "order_totals_incremental": q_order_totals_incremental,
+    "check_unique_incremental": q_check_unique_incremental,
+    "revenue_of_week_53": q_revenue_of_week_53,
+    "batch2_log_tail": q_batch2_log_tail,
+    "batch2_last_keys": q_batch2_last_keys,
+    "batch_identity": q_batch_identity,
 }
 
 
@@ -749,6 +990,20 @@ SELECT (SELECT COALESCE(MAX(sale_id), 0) FROM existing)
 FROM fresh"""
 
 
+def _stream_sql() -> str:
+    """Facts of the purchase feed, with the dimensions the runner loads (after e-mail de-duplication)."""
+    return _with(_SRC, _DEDUP) + """,
+products AS (SELECT row_number() OVER (ORDER BY product_id) AS product_key, product_id FROM src_products),
+rows AS (
+  SELECT e.event_id AS source_order_item_id, c.customer_key, p.product_key, CAST(strftime(e.ts, '%Y%m%d') AS INTEGER) AS date_key, e.event_id AS order_id,
+         1 AS quantity, CAST(e.value AS DECIMAL(12,2)) AS unit_price, CAST(ROUND(CAST(e.value AS DECIMAL(12,2)), 2) AS DECIMAL(14,2)) AS total_amount
+  FROM events e
+  JOIN dd_customer c ON c.user_id = e.user_id
+  JOIN products p ON p.product_id = CAST(json_extract_string(e.props, '$.k') AS BIGINT)
+  WHERE e.event_type = 'purchase')
+"""
+
+
 def _batch2_sql() -> str:
     """The star after two batches of the runner (with e-mail de-duplication)."""
     ts = _ts_sql(CHANGE_TS)
@@ -1041,4 +1296,59 @@ rows AS (
 SELECT row_number() OVER (ORDER BY source_order_item_id, date_key) AS sale_id, *,
        {_ts_sql(STREAM_RUN_TS)} AS load_dts
 FROM rows""",
+        "stream_restart_fact": _stream_sql() + f"SELECT *, {_ts_sql(STREAM_RUN_TS)} AS load_dts FROM rows",
+        "stream_restart_log": _stream_sql() + """
+SELECT CAST(4 AS BIGINT) AS micro_batches, count(*) AS logged_facts, count(*) AS facts, count(*) AS sale_ids, count(*) AS largest_sale_id, 1 AS replays FROM rows""",
+        "surrogate_keys_sparse": src + f"""
+SELECT order_id * {SPARSE_STEP} AS sparse_id, 1000 + row_number() OVER (ORDER BY order_id) AS surrogate_key FROM src_orders""",
+        "surrogate_keys_hot": src + """
+SELECT status, order_id, row_number() OVER (ORDER BY status NULLS FIRST, order_id) AS surrogate_key FROM src_orders""",
+        "extract_items_pruned": src + f""",
+new_orders AS (SELECT order_id + {NEW_ID} AS order_id FROM src_orders WHERE order_id % {NEW_ORDER_EVERY} = 0)
+SELECT order_id * 2 + j AS order_item_id, order_id, CAST(p AS BIGINT) AS product_id, q AS quantity, CAST(c AS DECIMAL(12,2)) AS price
+FROM new_orders, (VALUES (0, 20, 2, '1499.00'), (1, 35, 1, '999.00')) x(j, p, q, c)""",
+        "csv_orders": src + f"""
+SELECT * FROM src_orders WHERE order_id % {BAD_FIELDS} <> 0 AND order_id % {BAD_USER} <> 0 AND order_id % {BAD_DATE} <> 0 AND order_id % {BAD_AMOUNT} <> 0""",
+        "csv_products": src + f"""
+SELECT product_id, product_name || ', "new"' AS product_name, category, price, last_updated FROM src_products
+WHERE product_id % {BAD_PRICE} <> 0 AND product_id % {BAD_NAME} <> 0""",
+        "csv_rejects": src + f"""
+SELECT 'orders' AS table_name, concat_ws(',', CAST(order_id AS VARCHAR), CASE WHEN order_id % {BAD_USER} = 0 THEN '' ELSE CAST(user_id AS VARCHAR) END,
+    CASE WHEN order_id % {BAD_DATE} = 0 THEN 'yesterday' ELSE strftime(order_date, '%Y-%m-%d %H:%M:%S') END,
+    CASE WHEN order_id % {BAD_AMOUNT} = 0 THEN 'n/a' ELSE CAST(total_amount AS VARCHAR) END, status, strftime(last_updated, '%Y-%m-%d %H:%M:%S'),
+    CASE WHEN order_id % {BAD_FIELDS} = 0 THEN 'extra' END) AS line,
+  CASE WHEN order_id % {BAD_FIELDS} = 0 THEN 'number of fields' WHEN order_id % {BAD_USER} = 0 THEN 'user_id: empty'
+    WHEN order_id % {BAD_DATE} = 0 THEN 'order_date: no timestamp_ntz' ELSE 'total_amount: no decimal(12,2)' END AS reason
+FROM src_orders WHERE order_id % {BAD_FIELDS} = 0 OR order_id % {BAD_USER} = 0 OR order_id % {BAD_DATE} = 0 OR order_id % {BAD_AMOUNT} = 0
+UNION ALL
+SELECT 'products', concat_ws(',', CAST(product_id AS VARCHAR), CASE WHEN product_id % {BAD_NAME} = 0 THEN '' ELSE '"' || replace(product_name || ', "new"', '"', '""') || '"' END,
+    '"' || replace(category, '"', '""') || '"', CASE WHEN product_id % {BAD_PRICE} = 0 THEN '12,50' ELSE CAST(price AS VARCHAR) END, strftime(last_updated, '%Y-%m-%d %H:%M:%S')),
+  CASE WHEN product_id % {BAD_PRICE} = 0 THEN 'number of fields' ELSE 'product_name: empty' END
+FROM src_products WHERE product_id % {BAD_PRICE} = 0 OR product_id % {BAD_NAME} = 0""",
+        "point_update_files": src + """
+SELECT product_id, product_name, category, CASE WHEN product_id = 20 THEN CAST(price + 100 AS DECIMAL(12,2)) ELSE price END AS price, last_updated, 1 AS rewritten_files
+FROM src_products""",
+        "order_totals_incremental": src + f""",
+all_items AS (
+  SELECT order_id, quantity, price + CASE WHEN order_id % {REPRICED_EVERY} = 0 THEN 1 ELSE 0 END AS price FROM src_items
+  UNION ALL SELECT order_id + {NEW_ID}, q, c FROM src_orders, (VALUES (2, 1499.00), (1, 999.00)) x(q, c) WHERE order_id % {NEW_ORDER_EVERY} = 0),
+all_orders AS (
+  SELECT * FROM src_orders
+  UNION ALL SELECT order_id + {NEW_ID}, user_id, {_ts_sql(CHANGE_TS)}, 3997.00, 'DELIVERED', {_ts_sql(CHANGE_TS)} FROM src_orders WHERE order_id % {NEW_ORDER_EVERY} = 0),
+sums AS (SELECT order_id, CAST(ROUND(SUM(quantity * price), 2) AS DECIMAL(12,2)) AS amt FROM all_items GROUP BY order_id)
+SELECT o.order_id, o.user_id, o.order_date, COALESCE(t.amt, o.total_amount) AS total_amount, o.status, o.last_updated
+FROM all_orders o LEFT JOIN sums t ON t.order_id = o.order_id""",
+        "check_unique_incremental": _STAR_WITH + f"""
+SELECT source_order_item_id, date_key, CAST(2 AS BIGINT) AS n FROM fact_sales
+WHERE date_key < {FACT_LOADED_BEFORE} AND source_order_item_id % {NEW_ORDER_EVERY} = 0""",
+        "revenue_of_week_53": _batch2_sql() + f""",
+cal AS (SELECT {_calendar('d')} FROM dates)
+SELECT d.year_num, d.month_num, d.month_name, {_REV.format('f.total_amount')} AS revenue
+FROM facts f JOIN cal d ON d.date_key = f.date_key WHERE d.week_of_year = 53 GROUP BY ALL""",
+        "batch2_log_tail": f"SELECT etl_id, batch_id, phase, status, rows_affected FROM ({_batch2_log_sql('split')}) AS log ORDER BY etl_id DESC LIMIT 3",
+        "batch2_last_keys": _batch2_sql() + """
+SELECT 'dim_customer' AS table_name, count(*) AS last_key, max(customer_key) AS largest_key, count(*) AS n_rows FROM c2
+UNION ALL SELECT 'dim_product', count(*), max(product_key), count(*) FROM p2
+UNION ALL SELECT 'fact_sales', count(*), max(sale_id), count(*) FROM facts""",
+        "batch_identity": "SELECT CAST(2 AS BIGINT) AS batch_ids, CAST(2 AS BIGINT) AS uuids, CAST(2 AS BIGINT) AS stamps_in_run, count(*) AS products FROM part",
     }

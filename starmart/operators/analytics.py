@@ -26,8 +26,16 @@ def daily_revenue(fact: DataFrame) -> DataFrame:
 
 
 def _by_calendar(fact: DataFrame, dim_date: DataFrame, attrs: list[str]) -> DataFrame:
-    cal = dim_date.select("date_key", *attrs)
-    return daily_revenue(fact).join(cal, "date_key").groupBy(*attrs).agg(_revenue("_rev").alias("revenue"))
+    """Revenue by calendar attributes. Of a fact that is partitioned by year the
+    join states the redundant ``sales_year = year_num`` too: a filter on the calendar, whatever
+    attribute it is on, then prunes the fact's partitions (dynamic partition pruning)."""
+    if "sales_year" in fact.columns:
+        days = fact.groupBy("sales_year", "date_key").agg(F.sum("total_amount").alias("_rev"))
+        cal = dim_date.select("date_key", F.col("year_num").alias("sales_year"), *attrs)
+        joined = days.join(cal, ["date_key", "sales_year"])
+    else:
+        joined = daily_revenue(fact).join(dim_date.select("date_key", *attrs), "date_key")
+    return joined.groupBy(*attrs).agg(_revenue("_rev").alias("revenue"))
 
 
 def revenue_by_month(fact: DataFrame, dim_date: DataFrame) -> DataFrame:

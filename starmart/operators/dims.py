@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from starmart import schemas
 from starmart.functions import any_changed, calendar_columns, date_key
 from starmart.operators.keys import assign_surrogate_keys, max_key
+from starmart.session import materialize
 
 CUSTOMER_TRACKED = ["name", "email", "city", "country"]
 PRODUCT_ATTRIBUTES = ["product_name", "category", "price", "source_last_updated"]
@@ -37,14 +38,13 @@ def new_dates(staged_orders: DataFrame, dim_date: DataFrame, order_date: str = "
 
 
 # ---------------------------------------------------------- D2 SCD-1 product
-def scd1_upsert(dim_product: DataFrame, staged_products: DataFrame, base_key: Column | int | None = None,
-                row_bound: int | None = None) -> DataFrame:
+def scd1_upsert(dim_product: DataFrame, staged_products: DataFrame, base_key: Column | int | None = None) -> DataFrame:
     """``INSERT ... ON DUPLICATE KEY UPDATE`` on ``product_id``.
 
     Known products take every incoming attribute (no change detection, an
     incoming NULL overwrites) and keep their ``product_key``; new products get
-    the next keys in ``product_id`` order. One full outer join; the new-row
-    branch reuses its shuffle.
+    the next keys in ``product_id`` order. One left join overwrites; the new
+    products come from an anti join of the batch, which is all that is numbered.
     """
     inc = staged_products.select(
         "product_id", "product_name", "category", "price",
@@ -52,49 +52,48 @@ def scd1_upsert(dim_product: DataFrame, staged_products: DataFrame, base_key: Co
     )
     d, i = dim_product.alias("d"), inc.alias("i")
     incoming = F.col("i.product_id").isNotNull()
-    merged = d.join(i, F.col("d.product_id") == F.col("i.product_id"), "full_outer").select(
-        F.col("d.product_key").alias("product_key"),
-        F.coalesce(F.col("i.product_id"), F.col("d.product_id")).alias("product_id"),
+    known = d.join(i, F.col("d.product_id") == F.col("i.product_id"), "left").select(
+        "d.product_key", "d.product_id",
         *[F.when(incoming, F.col(f"i.{c}")).otherwise(F.col(f"d.{c}")).alias(c) for c in PRODUCT_ATTRIBUTES],
     )
     base = max_key(dim_product, "product_key") if base_key is None else base_key
-    known = merged.where(F.col("product_key").isNotNull())
-    fresh = assign_surrogate_keys(merged.where(F.col("product_key").isNull()).drop("product_key"),
+    fresh = assign_surrogate_keys(inc.join(dim_product.select("product_id"), "product_id", "left_anti"),
                                   ["product_id"], "product_key", base=base)
     return schemas.conform(known.unionByName(fresh), schemas.DIM_PRODUCT)
 
 
-def scd1_changes(dim_product: DataFrame, staged_products: DataFrame, base_key: Column | int,
-                 row_bound: int | None = None) -> DataFrame:
+def scd1_changes(dim_product: DataFrame, staged_products: DataFrame, base_key: Column | int) -> DataFrame:
     """The rows an SCD-1 upsert writes, and only those: known products with
     every incoming attribute under their existing ``product_key``, and new
     products with the next keys in ``product_id`` order.
 
-    The staged ids find the known products in a semi join, and the staged rows
-    are split against that result, which is no larger than the batch; Spark
-    broadcasts either where its measured size allows. ``row_bound`` is accepted
-    from older callers and has no effect.
+    The staged ids find the known products in a semi join, written once, and the
+    staged rows are split against that result, which is no larger than the
+    batch; Spark broadcasts either where its measured size allows.
     """
     inc = staged_products.select(
         "product_id", "product_name", "category", "price",
         F.col("last_updated").alias("source_last_updated"),
     )
-    known = dim_product.select("product_key", "product_id").join(inc.select("product_id"), "product_id", "left_semi")
+    known = materialize(dim_product.select("product_key", "product_id").join(inc.select("product_id"), "product_id", "left_semi"))
     updated = inc.join(known, "product_id")
     fresh = assign_surrogate_keys(inc.join(known.select("product_id"), "product_id", "left_anti"),
                                   ["product_id"], "product_key", base=base_key)
     return schemas.conform(updated.unionByName(fresh), schemas.DIM_PRODUCT)
 
 
-def latest_products(base: DataFrame, later: DataFrame, later_rows: int | None = None) -> DataFrame:
-    """Current SCD-1 rows: ``later`` holds upserts tagged with ``batch_seq``;
-    per product the latest upsert wins, and base rows with a later upsert
-    drop out. ``later_rows`` is accepted from older callers and has no effect."""
-    cols = schemas.DIM_PRODUCT.fieldNames()
-    newest = later.groupBy("product_id").agg(
-        F.max_by(F.struct(*cols), "batch_seq").alias("_row")).select("_row.*")
-    kept = base.join(newest.select("product_id"), "product_id", "left_anti")
-    return kept.select(*cols).unionByName(newest.select(*cols))
+def latest_rows(base: DataFrame, later: DataFrame, key: str) -> DataFrame:
+    """Current rows of a table kept by upserts: ``later`` holds upserts tagged
+    with ``batch_seq``; per key the latest wins, and base rows with a later
+    upsert drop out. Columns and their order are those of ``base``."""
+    cols = base.columns
+    newest = later.groupBy(key).agg(F.max_by(F.struct(*cols), "batch_seq").alias("_row")).select("_row.*")
+    return base.join(newest.select(key), key, "left_anti").select(*cols).unionByName(newest)
+
+
+def latest_products(base: DataFrame, later: DataFrame) -> DataFrame:
+    """Current SCD-1 rows (see ``latest_rows``)."""
+    return latest_rows(base.select(*schemas.DIM_PRODUCT.fieldNames()), later, "product_id")
 
 
 # --------------------------------------------------------- D3/D4 SCD-2 customer
@@ -105,7 +104,7 @@ class Scd2Result(NamedTuple):
 
 
 def scd2_split(active: DataFrame, staged_users: DataFrame, run_ts, base_key: Column | int,
-               row_bound: int | None = None, collation: str | None = None) -> Scd2Result:
+               collation: str | None = None) -> Scd2Result:
     """SCD-2 over the active rows only.
 
     D3: an active row whose tracked attributes differ from the staged user
@@ -118,20 +117,15 @@ def scd2_split(active: DataFrame, staged_users: DataFrame, run_ts, base_key: Col
     ts = run_ts if isinstance(run_ts, Column) else F.lit(run_ts).cast("timestamp_ntz")
     s = staged_users.select("user_id", *CUSTOMER_TRACKED, "last_updated").alias("s")
     a = active.alias("a")
-    # Large active side, batch-sized staged side: a left join that Spark can
-    # run as a broadcast of the staged side, without shuffling the dimension.
-    j = a.join(s, F.col("a.user_id") == F.col("s.user_id"), "left")
-    matched = F.col("s.user_id").isNotNull()
-    changed = matched & any_changed("a", "s", CUSTOMER_TRACKED, collation)
+    # Large active side, batch-sized staged side: what they share is no larger
+    # than the batch. Written once, it decides which versions close and which
+    # staged users need a new one; the dimension is scanned a single time.
+    changed = any_changed("a", "s", CUSTOMER_TRACKED, collation)
     cols = [F.col(f"a.{f.name}") for f in schemas.DIM_CUSTOMER.fields]
-    flagged = j.select(*cols, changed.alias("_changed"), (matched & ~changed).alias("_kept"))
-    closed = flagged.where("_changed").drop("_changed", "_kept").withColumns(
-        {"end_date": ts, "is_active": F.lit(0)}
-    )
-    still_active = flagged.where(~F.col("_changed")).drop("_changed", "_kept")
-    # Staged users that keep an unchanged active version get no new one; the
-    # comparison set is bounded by the batch, not by the dimension.
-    kept_ids = flagged.where("_kept").select("user_id")
+    matched = materialize(a.join(s, F.col("a.user_id") == F.col("s.user_id")).select(*cols, changed.alias("_changed")))
+    closed = matched.where("_changed").drop("_changed").withColumns({"end_date": ts, "is_active": F.lit(0)})
+    still_active = active.join(closed.select("customer_key"), "customer_key", "left_anti")
+    kept_ids = matched.where(~F.col("_changed")).select("user_id")
     inserts = staged_users.join(kept_ids, "user_id", "left_anti").select(
         "user_id", *CUSTOMER_TRACKED,
         ts.alias("start_date"),

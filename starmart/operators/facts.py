@@ -68,15 +68,13 @@ def fact_rejects(staged_items: DataFrame, staged_orders: DataFrame, dim_customer
     return items.withColumn("reason", reason).where(F.col("reason").isNotNull()).drop("_live", "_has_c", "_has_p")
 
 
-def not_yet_loaded(candidates: DataFrame, existing_fact: DataFrame, match_on: str = "split",
-                   row_bound: int | None = None) -> DataFrame:
+def not_yet_loaded(candidates: DataFrame, existing_fact: DataFrame, match_on: str = "split") -> DataFrame:
     """Candidates whose match key is not in the fact table.
 
     One anti join. Where the date is part of the key, the existing fact is
     cut to the batch's range of dates first (and of ``sales_year``, where the
     fact is partitioned by it), so that partitions and row groups outside the
-    range are skipped. ``row_bound`` is accepted from older callers and has no
-    effect.
+    range are skipped.
     """
     keys = MATCH_KEYS[match_on]
     existing = existing_fact
@@ -90,7 +88,7 @@ def not_yet_loaded(candidates: DataFrame, existing_fact: DataFrame, match_on: st
 
 
 def load_facts(candidates: DataFrame, existing_fact: DataFrame, run_ts, match_on: str = "split",
-               base_sale_id: Column | int | None = None, row_bound: int | None = None) -> DataFrame:
+               base_sale_id: Column | int | None = None) -> DataFrame:
     """New ``fact_sales`` rows: not-yet-loaded candidates with the next
     ``sale_id`` values (in natural-key order) and ``load_dts = run_ts``."""
     fresh = not_yet_loaded(candidates, existing_fact, match_on)

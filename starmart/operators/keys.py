@@ -4,32 +4,24 @@ New rows get ``base + 1, base + 2, ...`` in natural-key order, where
 ``base`` is the largest key already handed out; existing keys never change.
 
 A global ``row_number() OVER (ORDER BY nk)`` would pull every row into one
-task. Instead the rows are cut into ordered groups, and numbered in two passes:
-
-1. per group: its row count (a map-side combined aggregate), and a running
-   sum over the groups - one row per group, not per row - which gives each its
-   offset;
-2. within each group: the rank of the natural key.
-
-A key of one column is unique, so ``width`` consecutive values make a group
-and nothing is sampled. A longer key may repeat its first column (a third of
-the rows may share one value), so its groups are range partitions of the whole
-key, written once: Spark samples range bounds afresh for every exchange, and
-both passes must see the same. Either way the input is written once under the
-session's checkpoint directory first, so the plan above is not run again, and
-task retries or executor loss cannot change the numbering. The plan depends on
-the key's shape, never on the number of rows.
+task. Instead one range partitioning of the whole key deals the rows to ordered
+partitions, each sorts its own, and the rows are written with their partition
+and their place in it. The written table is then read twice: for the size of
+every partition, whose running sum is its offset, and for the rows. Only that
+running sum runs in a single task, over one row per partition, however the keys
+are spread: dense, far apart, or with a first column that a third of the rows share.
+The numbers are fixed once written; task retries and lost executors cannot
+change them. The plan is the same for every key and number of rows.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-_GROUP, _OF, _BEFORE, _N = "_k1_group", "_k1_of", "_k1_before", "_k1_n"
-# Consecutive values of a one-column key that make a group.
-WIDTH = 1 << 16
+_GROUP, _PLACE, _OF, _BEFORE = "_k1_group", "_k1_place", "_k1_of", "_k1_before"
+# monotonically_increasing_id: the partition above these bits, the row's place in it below.
+_PLACE_BITS = 33
 
 
 def max_key(df: DataFrame, key_col: str) -> Column:
@@ -38,27 +30,21 @@ def max_key(df: DataFrame, key_col: str) -> Column:
 
 
 def assign_surrogate_keys(df: DataFrame, natural_key: list[str], key_col: str,
-                          base: Column | int = 0, num_partitions: int | None = None,
-                          row_bound: int | None = None, width: int = WIDTH) -> DataFrame:
+                          base: Column | int = 0, num_partitions: int | None = None) -> DataFrame:
     """Add ``key_col`` = ``base`` + dense 1-based rank of ``natural_key``.
 
     ``natural_key`` must be unique in ``df`` (staging is validated for it);
     ``base`` is an int or a scalar column such as ``max_key(existing, key)``.
-    ``row_bound`` is accepted from older callers and has no effect.
     """
     from starmart.session import materialize
 
     base_col = F.lit(base) if isinstance(base, int) else base
-    rows = materialize(df)
-    if len(natural_key) == 1 and isinstance(df.schema[natural_key[0]].dataType, T.IntegralType):
-        rows = rows.withColumn(_GROUP, F.floor(F.col(natural_key[0]).cast("decimal(20,0)") / width).cast("long"))
-    else:
-        n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        rows = materialize(rows.repartitionByRange(n, *natural_key).withColumn(_GROUP, F.spark_partition_id().cast("long")))
-    sizes = rows.groupBy(_GROUP).agg(F.count(F.lit(1)).alias(_N))
-    before = Window.orderBy(F.col(_GROUP).asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(F.col(_GROUP).alias(_OF), F.coalesce(F.sum(_N).over(before), F.lit(0)).alias(_BEFORE))
-    inside = Window.partitionBy(_GROUP).orderBy(*natural_key)
-    ranked = rows.withColumn(key_col, F.row_number().over(inside).cast("long"))
-    keyed = ranked.join(offsets, F.col(_GROUP).eqNullSafe(F.col(_OF)))
-    return keyed.withColumn(key_col, (base_col + F.col(_BEFORE) + F.col(key_col)).cast("long")).drop(_GROUP, _OF, _BEFORE)
+    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ordered = df.repartitionByRange(n, *natural_key).sortWithinPartitions(*natural_key)
+    at = F.monotonically_increasing_id()
+    rows = materialize(ordered.withColumns({_GROUP: F.shiftright(at, _PLACE_BITS), _PLACE: at.bitwiseAND(F.lit((1 << _PLACE_BITS) - 1))}))
+    sizes = rows.groupBy(_GROUP).agg(F.max(_PLACE).alias(_PLACE))
+    before = Window.orderBy(_GROUP).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(F.col(_GROUP).alias(_OF), F.coalesce(F.sum(F.col(_PLACE) + 1).over(before), F.lit(0)).alias(_BEFORE))
+    keyed = rows.join(offsets, F.col(_GROUP) == F.col(_OF))
+    return keyed.withColumn(key_col, (base_col + F.col(_BEFORE) + F.col(_PLACE) + 1).cast("long")).drop(_GROUP, _PLACE, _OF, _BEFORE)

@@ -27,6 +27,7 @@ from starmart.operators.extract import extract, high_watermark
 from starmart.operators.facts import fact_candidates, load_facts
 from starmart.operators.quality import duplicate_keys, null_counts
 from starmart.plans.warehouse import FAILED, KEY_STATE, PART, RUN, SUCCESS, Warehouse, close_versions
+from starmart.session import scratch_tables
 
 # Phases logged per successful batch, by variant.
 PHASES = {
@@ -143,9 +144,14 @@ def run_staged(spark: SparkSession, wh: Warehouse, staged, *, run_ts=None,
     ``collation`` (e.g. ``"UNICODE_CI_AI"``) makes the e-mail de-duplication
     and the SCD-2 change test compare strings case- and accent-insensitively;
     the default is binary comparison."""
-    run_ts = run_ts or now_ts(spark)
+    with scratch_tables():  # what the batch materialized on the way goes when it has ended
+        return _run_staged(spark, wh, staged, run_ts or now_ts(spark), batch_id or str(uuid.uuid4()), variant, match_on, swallow, fail_at, validate,
+                           case_insensitive_dedup, collation, snapshot, keep_watermark)
+
+
+def _run_staged(spark, wh, staged, run_ts, batch_id, variant, match_on, swallow, fail_at, validate,
+                case_insensitive_dedup, collation, snapshot, keep_watermark) -> BatchResult:
     seq = wh.next_seq()
-    batch_id = batch_id or str(uuid.uuid4())
     match_on = match_on or ("split" if variant == "split" else "combined")
     clock = _Clock()
     try:
@@ -159,18 +165,17 @@ def run_staged(spark: SparkSession, wh: Warehouse, staged, *, run_ts=None,
             df = schemas.empty(spark, schema) if df is None else schemas.conform(df, schema)
             return lambda: wh.write(df, f"staging/{name}", seq)
 
-        parallel(*[stage(n, s) for n, s in schemas.SOURCES.items()])
+        observed = dict(zip(schemas.SOURCES, parallel(*[stage(n, s) for n, s in schemas.SOURCES.items()])))
         st = {n: wh.read(f"staging/{n}", s, [seq]).drop(PART) for n, s in schemas.SOURCES.items()}
         if validate:
             check_staging(st)
-        # Row counts of written parquet come from file footers.
-        n_orders, n_products = parallel(st["orders"].count, st["products"].count)
+        # Row counts are what the writes observed.
+        n_orders, n_products = observed["orders"]["rows"], observed["products"]["rows"]
         clock.lap("stage")
 
         # --- transform
-        wh.write(transform_users(st["users"], case_insensitive_dedup, collation), "staging/users_clean", seq)
+        n_users = wh.write(transform_users(st["users"], case_insensitive_dedup, collation), "staging/users_clean", seq)["rows"]
         users = wh.read("staging/users_clean", schemas.USERS, [seq]).drop(PART)
-        n_users = users.count()
         clock.lap("transform")
         if fail_at == "transform":
             raise BatchError("injected failure after transform")
@@ -179,19 +184,19 @@ def run_staged(spark: SparkSession, wh: Warehouse, staged, *, run_ts=None,
         base_c = int(snap.max_keys.get("dim_customer", 0))
         base_p = int(snap.max_keys.get("dim_product", 0))
         base_s = int(snap.max_keys.get("fact_sales", 0))
-        jobs = [lambda: wh.write(new_dates(st["orders"], snap.dim_date), "dim_date", seq, files=1)]
+        jobs = {"dim_date": lambda: wh.write(new_dates(st["orders"], snap.dim_date), "dim_date", seq, files=1)}
         if n_products:
             upsert = scd1_changes(snap.dim_product, st["products"], F.lit(base_p))
-            jobs.append(lambda: wh.write(upsert, "dim_product", seq))
+            jobs["dim_product"] = lambda: wh.write(upsert, "dim_product", seq, counting={"new": F.col("product_key") > base_p})
         if n_users:
             scd2 = scd2_split(snap.dim_customer_active, users, _lit_ts(run_ts), F.lit(base_c), collation=collation)
-            jobs.append(lambda: wh.write(scd2.inserted, "dim_customer_versions", seq))
-            jobs.append(lambda: wh.write(scd2.closed, "dim_customer_closed", seq))
-        parallel(*jobs)
+            jobs["opened"] = lambda: wh.write(scd2.inserted, "dim_customer_versions", seq)
+            jobs["closed"] = lambda: wh.write(scd2.closed, "dim_customer_closed", seq)
+        observed |= dict(zip(jobs, parallel(*jobs.values())))
         if n_products:
             changed = wh.read("dim_product", schemas.DIM_PRODUCT, [seq])
             products = latest_products(snap.dim_product, changed)
-            n_new_products = changed.where(F.col("product_key") > base_p).count()
+            n_new_products = observed["dim_product"]["new"]
         else:
             products, n_new_products = snap.dim_product, 0
         if n_users:
@@ -200,7 +205,7 @@ def run_staged(spark: SparkSession, wh: Warehouse, staged, *, run_ts=None,
             active = close_versions(snap.dim_customer_active, closed_now).unionByName(opened)
         else:
             active = snap.dim_customer_active
-        n_versions = opened.count() if n_users else 0
+        n_versions = observed["opened"]["rows"] if n_users else 0
         clock.lap("dimensions")
         if fail_at == "dims":
             raise BatchError("injected failure after dimension load")
@@ -214,10 +219,8 @@ def run_staged(spark: SparkSession, wh: Warehouse, staged, *, run_ts=None,
         facts = load_facts(cands, snap.fact_sales, _lit_ts(run_ts), match_on, base_sale_id=F.lit(base_s))
         # Sorted within each task by year and day: one open file per task at a
         # time, and files whose date_key ranges let row groups be skipped.
-        wh.write(facts.withColumn("sales_year", sales_year("date_key")).sortWithinPartitions("sales_year", "date_key"),
-                 "fact_sales", seq, partition_by=["sales_year"])
-        loaded = wh.read("fact_sales", schemas.FACT_SALES, [seq], (PART, "sales_year"))
-        n_facts = loaded.count()
+        n_facts = wh.write(facts.withColumn("sales_year", sales_year("date_key")).sortWithinPartitions("sales_year", "date_key"),
+                           "fact_sales", seq, partition_by=["sales_year"])["rows"]
         clock.lap("fact_load")
         if fail_at == "fact":
             raise BatchError("injected failure after fact load")

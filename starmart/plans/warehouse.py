@@ -35,7 +35,7 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -103,16 +103,21 @@ class Warehouse:
         return self.spark.read.schema(full).option("basePath", self.path(table)).parquet(*[self.path(table, b) for b in live])
 
     def write(self, df: DataFrame, table: str, seq: int, partition_by: list[str] | None = None,
-              files: int | None = None) -> None:
+              files: int | None = None, counting: dict | None = None) -> dict:
         """Write batch ``seq`` of ``table`` (overwrites only that batch's own
-        partition, so a retry of the batch is harmless)."""
+        partition, so a retry of the batch is harmless). Returns what the write
+        itself observed: the number of ``rows``, and of those that meet the
+        conditions in ``counting`` (name -> column)."""
         if files:
             # A shuffle: only the rows of the result reach the writing task.
             df = df.repartition(files)
-        w = df.write.mode("overwrite")
+        seen = Observation()
+        counts = [F.count(F.lit(1)).alias("rows"), *(F.count_if(c).alias(n) for n, c in (counting or {}).items())]
+        w = df.observe(seen, *counts).write.mode("overwrite")
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.parquet(self.path(table, seq))
+        return seen.get
 
     # -------------------------------------------------------------- snapshot
     def committed_batches(self) -> list[int]:

@@ -100,11 +100,12 @@ def session_key(spark: SparkSession) -> str:
 _SCRATCH: list[list] = []  # tables of the open ``scratch_tables`` blocks
 
 
-def materialize(df):
+def materialize(df, keep: bool = False):
     """Write ``df`` as a parquet table under the session's checkpoint
     directory (the shared folder on a cluster) and read it back: cuts the
     lineage and freezes nondeterministic columns in one columnar write.
-    ``discard`` or an enclosing ``scratch_tables`` removes the table."""
+    ``discard`` removes the table, and so does an enclosing ``scratch_tables``
+    unless it is to ``keep`` it."""
     import uuid
 
     spark = df.sparkSession
@@ -113,7 +114,7 @@ def materialize(df):
     df.write.parquet(path)
     out = spark.read.parquet(path)
     out._table = path
-    if _SCRATCH:
+    if _SCRATCH and not keep:
         _SCRATCH[-1].append(out)
     return out
 

@@ -109,7 +109,7 @@ def _memo(spark: SparkSession, sf_dir: str, name: str, build):
 
     key = (session_key(spark), sf_dir, name)
     if key not in _KEYED:
-        _KEYED[key] = materialize(build())
+        _KEYED[key] = materialize(build(), keep=True)
     return _KEYED[key]
 
 

@@ -65,17 +65,21 @@ def load_micro_batch(spark: SparkSession, root: str, feed: DataFrame, batch_id:
 
 def start_feed_stream(spark: SparkSession, landing_dir: str, root: str, checkpoint_dir: str,
                       query_name: str = "orders_feed", every: str = "1 hour", available_now: bool = False,
-                      max_files_per_trigger: int | None = None, run_ts=None):
+                      max_files_per_trigger: int | None = None, run_ts=None, after_commit=None):
     """Start the hourly load over raw event files landing in
     ``landing_dir``. ``available_now=True`` processes what is there and
-    stops (for catch-up runs and tests); otherwise it triggers ``every``."""
+    stops (for catch-up runs and tests); otherwise it triggers ``every``.
+    ``after_commit(epoch, result)`` is called once the warehouse holds a
+    micro-batch and before the checkpoint knows; ``result`` is ``None`` for a replay."""
     reader = spark.readStream.schema(EVENTS)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     feed = purchases_as_orders(reader.parquet(landing_dir))
 
     def each(batch: DataFrame, epoch_id: int) -> None:
-        load_micro_batch(batch.sparkSession, root, batch, f"{query_name}:{epoch_id}", run_ts=run_ts)
+        result = load_micro_batch(batch.sparkSession, root, batch, f"{query_name}:{epoch_id}", run_ts=run_ts)
+        if after_commit:
+            after_commit(epoch_id, result)
 
     writer = feed.writeStream.queryName(query_name).option("checkpointLocation", checkpoint_dir).foreachBatch(each)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=every)

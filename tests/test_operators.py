@@ -171,7 +171,7 @@ def test_surrogate_keys_match_row_number(spark):
     df = spark.range(0, 5000).select((F.col("id") % 37).alias("a"), (F.col("id") * 7919 % 5000).alias("b"))
     ref = df.withColumn("r", F.row_number().over(Window.orderBy("a", "b")) + 10)
     for bound in (None, 10 ** 12):  # single-task window, distributed numbering
-        keyed = assign_surrogate_keys(df, ["a", "b"], "k", base=10, num_partitions=7, row_bound=bound)
+        keyed = assign_surrogate_keys(df, ["a", "b"], "k", base=10, num_partitions=7)
         assert keyed.join(ref, ["a", "b"]).where("k != r").count() == 0
         assert keyed.select(F.countDistinct("k"), F.min("k"), F.max("k")).first() == (5000, 11, 5010)
 
@@ -181,7 +181,7 @@ def test_surrogate_keys_distributed_over_join_input(spark):
     left = spark.range(0, 4000).select(F.col("id").alias("a"), (F.col("id") % 50).alias("g"))
     right = spark.range(0, 50).select(F.col("id").alias("g"), (F.col("id") * 3).alias("w"))
     df = left.join(right.hint("shuffle_hash"), "g").select("a", "w")
-    keyed = assign_surrogate_keys(df, ["a"], "k", num_partitions=5, row_bound=10 ** 12)
+    keyed = assign_surrogate_keys(df, ["a"], "k", num_partitions=5)
     assert keyed.select(F.countDistinct("k"), F.min("k"), F.max("k")).first() == (4000, 1, 4000)
     assert keyed.where("k != a + 1").count() == 0
 
@@ -191,7 +191,7 @@ def test_surrogate_keys_skewed_leading_column(spark):
     # full key still splits them.
     df = spark.range(0, 3000).select(F.when(F.col("id") < 1000, 0).otherwise(F.col("id")).alias("a"),
                                      F.col("id").alias("b"))
-    keyed = assign_surrogate_keys(df, ["a", "b"], "k", num_partitions=6, row_bound=10 ** 12)
+    keyed = assign_surrogate_keys(df, ["a", "b"], "k", num_partitions=6)
     ranged = df.repartitionByRange(6, "a", "b")
     sizes = ranged.groupBy(F.spark_partition_id()).count().collect()
     assert max(r["count"] for r in sizes) <= 1000
@@ -271,9 +271,9 @@ def test_scd1_merge_on_read_equals_full_snapshot(spark):
     inc2 = spark.createDataFrame([(2, "P2c", "Toys", Decimal("8.00"), T0), (7, "P7", "Home", Decimal("2.00"), T0)],
                                  schemas.PRODUCTS)
     full = scd1_upsert(scd1_upsert(dim, inc1), inc2)
-    c1 = scd1_changes(dim, inc1, 5, row_bound=2)
+    c1 = scd1_changes(dim, inc1, 5)
     step1 = latest_products(dim, c1.withColumn("batch_seq", F.lit(2)), 2)
-    c2 = scd1_changes(step1, inc2, 6, row_bound=2)
+    c2 = scd1_changes(step1, inc2, 6)
     later = c1.withColumn("batch_seq", F.lit(2)).unionByName(c2.withColumn("batch_seq", F.lit(3)))
     merged = latest_products(dim, later, 4)
     assert sorted(tuple(r) for r in merged.collect()) == sorted(tuple(r) for r in full.collect())
