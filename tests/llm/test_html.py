@@ -41,7 +41,7 @@ def test_planted(name):
 
 def test_lines_and_clusters():
     page = parsed("<div><p>one <i>two</i></p><a>three</a></div>four")
-    assert page.text == ["one two", "three", "four"] and page.linked == [0, 5, 0] and page.tags[0] == 4
+    assert page.text == ["one two", "three", "four"] and page.linked == [0, 5, 0] and page.tags[0] == 5
     assert smoothed(np.array([0.0, 0, 9, 0, 0])).argmax() == 2
     assert 2 < threshold(np.array([1.0, 1.5, 2, 8, 9, 10])) < 8
 
