@@ -206,6 +206,22 @@ def in_filter(bits: np.ndarray, position: np.ndarray) -> np.ndarray:
     return (bits[p >> 3] >> (p & 7).astype(np.uint8)) & 1 == 1
 
 
+def hash_filter(hashes: DataFrame, column: str, log2_bits: int) -> np.ndarray:
+    """Bit set of the last ``log2_bits`` bits of a column of 64-bit hashes: of
+    one size whatever their number, so it may be broadcast; the fuller it is, the
+    more other hashes pass by chance."""
+    pos = F.col(column).bitwiseAND(F.lit((1 << log2_bits) - 1)) + 1
+    rows = hashes.select(pos.alias("p")).groupBy(F.bitmap_bucket_number("p").alias("b")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("bits")).collect()
+    bits = np.zeros(1 << (log2_bits - 3), np.uint8)
+    for r in rows:
+        bits[(r["b"] - 1) * 4096 : r["b"] * 4096] = np.frombuffer(r["bits"], np.uint8)
+    return bits
+
+
+def in_hash_filter(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    return in_filter(bits, (hashes & np.uint64(8 * len(bits) - 1)) + np.uint64(1))
+
+
 def without(docs: DataFrame, ids: DataFrame, id_col: str) -> DataFrame:
     """The rows of ``docs`` whose id is not in ``ids`` (column ``doc_id``).
     Only rows that a filter of fixed size flags are shuffled to the anti-join."""

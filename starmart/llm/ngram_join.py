@@ -47,7 +47,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import batch_of, discard, gram_sets, id_and_text, id_filter, id_position, in_filter, lean, materialize, mix, with_id
+from .common import batch_of, discard, gram_sets, hash_filter, id_and_text, id_filter, id_position, in_filter, in_hash_filter, lean, materialize, mix, with_id
 
 # Cells of the frequency sketch; cells sent at a time; cuts by hash of each range of levels.
 LOG2_CELLS, CHUNK, FRAGMENTS = 23, 1 << 16, 4
@@ -165,17 +165,6 @@ def _segments(sent, filt, n: int, fragments: int):
     return run
 
 
-def _gram_filter(grams: DataFrame) -> np.ndarray:
-    """Bit set of the last LOG2_BITS bits of the n-grams' hashes: of one size
-    whatever their number; the fuller it is, the more others pass by chance."""
-    pos = F.col("gram").bitwiseAND(F.lit((1 << LOG2_BITS) - 1)) + 1
-    rows = grams.select(pos.alias("p")).groupBy(F.bitmap_bucket_number("p").alias("b")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("bits")).collect()
-    bits = np.zeros(1 << (LOG2_BITS - 3), np.uint8)
-    for r in rows:
-        bits[(r["b"] - 1) * 4096 : r["b"] * 4096] = np.frombuffer(r["bits"], np.uint8)
-    return bits
-
-
 # ------------------------------------------------------------- components
 def components(links: DataFrame) -> DataFrame:
     """(node, component): the least node reachable, for every node with a link.
@@ -267,7 +256,7 @@ class JaccardJoin:
         sc = self.text.sparkSession.sparkContext
         grams = self.classes.select(F.explode("prefix").alias("gram")).groupBy("gram").agg(F.count("*").alias("m")).where("m > 1").select("gram")
         grams = materialize(grams)
-        bits = sc.broadcast(_gram_filter(grams))
+        bits = sc.broadcast(hash_filter(grams, "gram", LOG2_BITS))
 
         def some(batches):
             for b in batches:
@@ -275,7 +264,7 @@ class JaccardJoin:
                 gram = prefix.flatten().to_numpy().view(np.uint64)
                 owner = np.repeat(np.arange(b.num_rows), np.diff(prefix.offsets.to_numpy()))
                 at = np.arange(len(gram)) - (prefix.offsets.to_numpy()[:-1] - prefix.offsets.to_numpy()[0])[owner]
-                keep = in_filter(bits.value, (gram & np.uint64((1 << LOG2_BITS) - 1)) + np.uint64(1))
+                keep = in_hash_filter(bits.value, gram)
                 owner, n = owner[keep], b.column(1).to_numpy()
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(gram[keep].view(np.int64)), pa.array(b.column(0).to_numpy()[owner]), pa.array(n[owner]), pa.array(n[owner] - at[keep])], names=["gram", "class", "n", "rest"])

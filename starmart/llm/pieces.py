@@ -44,7 +44,7 @@ from pyspark.sql import functions as F
 from .common import batch_of, id_and_text, lean, mix, spans_hash, texts, with_id
 
 BLANK = "▁"
-GROUP_BYTES, REMEMBERED, PAIRS = 1 << 21, 1 << 19, 1 << 21
+GROUP_BYTES, REMEMBERED, PAIRS = 1 << 20, 1 << 19, 1 << 21
 _R = np.random.Generator(np.random.PCG64(404)).integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -280,8 +280,8 @@ class Encoder:
             a, z = starts[where[new]], ends[where[new]]
             ids, counts = [], []
             size, lo = np.cumsum(z - a), 0
-            while lo < len(new):  # some 200 kB of distinct units at a time
-                hi = max(lo + 1, int(np.searchsorted(size, (size[lo - 1] if lo else 0) + 200_000, "right")))
+            while lo < len(new):  # some 100 kB of distinct units at a time
+                hi = max(lo + 1, int(np.searchsorted(size, (size[lo - 1] if lo else 0) + 100_000, "right")))
                 i, c = lattice([raw[x:y].decode("utf-8", "surrogateescape") for x, y in zip(a[lo:hi].tolist(), z[lo:hi].tolist())], self.table)
                 ids.append(i)
                 counts.append(c)
@@ -308,6 +308,15 @@ def _groups(rows: list[bytes], size: int):
             lo, held = i + 1, 0
 
 
+def _encoded(batches, table: Pieces):
+    """Row ids, piece ids end to end and their number per row, of groups of rows."""
+    encoder = table.__dict__.setdefault("_encoder", Encoder(table))  # a worker's tasks share what it remembers
+    for b in batches:
+        rows = texts(b.column(1))
+        for lo, hi in _groups(rows, GROUP_BYTES):
+            yield b.column(0).slice(lo, hi - lo), *encoder.group(rows[lo:hi])
+
+
 def encode(docs: DataFrame, table: Pieces, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: doc_id, ids (array of int)."""
     from pyspark.sql.pandas.types import to_arrow_schema
@@ -316,12 +325,8 @@ def encode(docs: DataFrame, table: Pieces, id_col: str = "doc_id", text_col: str
     arrow, sent = to_arrow_schema(schema), docs.sparkSession.sparkContext.broadcast(table)
 
     def run(batches):
-        encoder = sent.value.__dict__.setdefault("_encoder", Encoder(sent.value))  # a worker's tasks share what it remembers
-        for b in batches:
-            rows = texts(b.column(1))
-            for lo, hi in _groups(rows, GROUP_BYTES):
-                ids, n = encoder.group(rows[lo:hi])
-                yield batch_of(arrow, [b.column(0).slice(lo, hi - lo), pa.ListArray.from_arrays(pa.array(np.cumsum([0, *n]), pa.int32()), pa.array(ids, pa.int32()))])
+        for i, ids, n in _encoded(batches, sent.value):
+            yield batch_of(arrow, [i, pa.ListArray.from_arrays(pa.array(np.cumsum([0, *n]), pa.int32()), pa.array(ids, pa.int32()))])
 
     return id_and_text(docs, id_col, text_col).mapInArrow(lean(run), schema)
 
@@ -356,6 +361,24 @@ def decode(tokens: DataFrame, table: Pieces) -> DataFrame:
     return tokens.mapInArrow(lean(run), schema)
 
 
+def round_trip(docs: DataFrame, table: Pieces, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, ids, and text (binary, UTF-8) decoded from the ids, of every row
+    of ``docs``: ``decode(encode(docs))`` in one pass, so that a task needs one worker."""
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    schema = with_id(docs, id_col, ("ids", "array<int>"), ("text", "binary"))
+    arrow, sent = to_arrow_schema(schema), docs.sparkSession.sparkContext.broadcast(table)
+
+    def run(batches):
+        for i, ids, n in _encoded(batches, sent.value):
+            out, at = [], np.cumsum([0, *n])
+            for lo, hi in _cuts(n, 1 << 18):
+                out += spell(sent.value, ids[at[lo] : at[hi]], n[lo:hi])
+            yield batch_of(arrow, [i, pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(ids, pa.int32())), out])
+
+    return id_and_text(docs, id_col, text_col).mapInArrow(lean(run), schema)
+
+
 def _cuts(n: np.ndarray, size: int):
     lo, held = 0, 0
     for i, k in enumerate(n):

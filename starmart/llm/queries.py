@@ -54,9 +54,7 @@ def op9_line_dedup(spark, sf_dir):
 
 
 def op10_sentencepiece(spark, sf_dir):
-    table = pieces.load_pieces()
-    tokens = pieces.encode(documents(spark, sf_dir), table)
-    return pieces.decode(tokens, table).select("doc_id", F.size("ids").alias("n_tokens"), "ids", F.sha2("text", 256).alias("decoded_sha256"))
+    return pieces.round_trip(documents(spark, sf_dir), pieces.load_pieces()).select("doc_id", F.size("ids").alias("n_tokens"), "ids", F.sha2("text", 256).alias("decoded_sha256"))
 
 
 def op11_vector_codes(spark, sf_dir):

@@ -156,6 +156,49 @@ def test_every_rare_word_has_its_own_probability(spark):
     assert fitted.shares.count() == 2
 
 
+def test_model_and_scores_do_not_depend_on_partitions(spark, small):
+    """Read as given, dealt anew, in smaller batches; shares looked up, or all joined."""
+    a = lm.fit(small, learner=20_000)
+    want = {r.doc_id: r.log_prob for r in lm.score(small, a).collect()}
+    was = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 17)
+    try:
+        b = lm.fit(small.repartition(7, F.hash("text")), learner=20_000, frequent=0)
+        assert (a.weights == b.weights).all() and len(a.frequent[0]) > 100 and len(b.frequent[0]) == 0
+        assert a.tail.count() == 0 and b.tail.count() == len(a.frequent[0]) < a.shares.count()
+        got = {r.doc_id: r.log_prob for r in lm.score(small, b).collect()}
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", was)
+    assert got == pytest.approx(want, rel=1e-5)
+
+
+def test_scores_against_brute_force(spark, small):
+    """The network by plain loops, and each word's share from plain counts."""
+    rows = [(r.doc_id, (r.text or "").encode()) for r in small.collect()]
+    fitted = lm.fit(small)
+    counts = Counter(w.lower() for _, t in rows for w in t.split())
+    named = {int(h): int(i) for h, i in zip(*fitted.words)}
+    of = lambda w: int(lm._hashed([w])[0][0])
+    total = Counter()
+    for w, n in counts.items():
+        if of(w) not in named:
+            total[of(w) % lm.BUCKETS] += n
+    emb, bias, wc, bc, ww, bw = (p.astype(float) for p in lm.Network(fitted.weights).parts())
+    log_softmax = lambda z: z - z.max() - np.log(np.exp(z - z.max()).sum())
+    got = {r.doc_id: r.log_prob for r in lm.score(small, fitted).collect()}
+    for i, t in sorted(rows, key=lambda r: len(r[1]))[:25]:
+        words = [w.lower() for w in t.split()]
+        ids = [lm.EDGE] * lm.WINDOW + [named.get(of(w), lm.NAMED + of(w) % lm.BUCKETS) for w in words] + [lm.EDGE] * lm.WINDOW
+        want = 0.0
+        for k, w in enumerate(words, lm.WINDOW):
+            h = np.tanh(bias + sum(emb[j][ids[k + d]] for j, d in enumerate(lm.Network.OFFSETS)))
+            c, x = divmod(ids[k], lm.PER_CLASS)
+            want += log_softmax(h @ wc + bc)[c] + log_softmax(h @ ww[c] + bw[c])[x]
+            if of(w) not in named:
+                want += np.log(counts[w] / (total[of(w) % lm.BUCKETS] + 1))
+        assert got[i] == pytest.approx(want, rel=1e-4, abs=1e-3)
+
+
 # ---------------------------------------------------------- SentencePiece
 @pytest.fixture(scope="module")
 def pieces_table():
@@ -222,9 +265,11 @@ def test_relational_lattice_agrees(spark, small, pieces_table, merging):
 
 def test_round_trip(spark, odd, none, small, pieces_table):
     for docs in (small, odd):
-        back = pieces.decode(pieces.encode(docs, pieces_table), pieces_table).collect()
+        back = pieces.decode(pieces.encode(docs, pieces_table), pieces_table).select("doc_id", "ids", "text").collect()
         assert Counter((r.doc_id, bytes(r.text).decode()) for r in back) == Counter((r.doc_id, r.text or "") for r in docs.collect())
-    assert pieces.encode(none, pieces_table).count() == 0
+        both = pieces.round_trip(docs, pieces_table).collect()
+        assert Counter((r.doc_id, tuple(r.ids), bytes(r.text)) for r in both) == Counter((r.doc_id, tuple(r.ids), bytes(r.text)) for r in back)
+    assert pieces.encode(none, pieces_table).count() == pieces.round_trip(none, pieces_table).count() == 0
     encoder = pieces.Encoder(pieces_table, limit=3)  # hardly anything is remembered
     raw = [b"\xff\xfe broken \xe9 bytes", b" ", b"", b"x" * 5000, b"a b a b"]
     for _ in range(2):
