@@ -45,9 +45,7 @@ def mix_sources(spark, docs, sf_dir):
 
 def sentencepiece(spark, docs, sf_dir):
     """The token ids of every document, and the digest of the text they decode to."""
-    table = pieces.load_pieces()
-    tokens = pieces.encode(docs, table)
-    return pieces.decode(tokens, table).select("doc_id", F.size("ids").alias("n_tokens"), "ids", F.sha2("text", 256).alias("decoded_sha256"))
+    return pieces.round_trip(docs, pieces.load_pieces()).select("doc_id", F.size("ids").alias("n_tokens"), "ids", F.sha2("text", 256).alias("decoded_sha256"))
 
 
 STAGES = [
