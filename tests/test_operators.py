@@ -272,9 +272,9 @@ def test_scd1_merge_on_read_equals_full_snapshot(spark):
                                  schemas.PRODUCTS)
     full = scd1_upsert(scd1_upsert(dim, inc1), inc2)
     c1 = scd1_changes(dim, inc1, 5)
-    step1 = latest_products(dim, c1.withColumn("batch_seq", F.lit(2)), 2)
+    step1 = latest_products(dim, c1.withColumn("batch_seq", F.lit(2)))
     c2 = scd1_changes(step1, inc2, 6)
     later = c1.withColumn("batch_seq", F.lit(2)).unionByName(c2.withColumn("batch_seq", F.lit(3)))
-    merged = latest_products(dim, later, 4)
+    merged = latest_products(dim, later)
     assert sorted(tuple(r) for r in merged.collect()) == sorted(tuple(r) for r in full.collect())
     assert c1.count() == 2 and c2.count() == 2
