@@ -272,13 +272,13 @@ def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", order:
     """Fit on a bounded sample of the rows whose text and language are not null."""
     ship(docs.sparkSession)
     rows = docs.select(F.col(f"`{text_col}`").cast("string").alias("text"), F.col(f"`{lang_col}`").cast("string").alias("lang"))
-    # One digest per text picks the sample, so copies of a text are in or out together.
+    # The sample is drawn of distinct texts, by their digest: a text that fills a third of a language's rows counts once.
     rows = rows.where("text IS NOT NULL AND lang IS NOT NULL").withColumn("u", F.pmod(F.xxhash64("text"), F.lit(1 << 40)) / float(1 << 40))
-    top = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(max_languages).collect()
+    top = rows.groupBy("lang").agg(F.approx_count_distinct("u").alias("n")).orderBy(F.desc("n"), "lang").limit(max_languages).collect()
     if not top:
         return Model([], np.empty(0, np.int64), order, [], [], [], [], np.empty(0))
     rate = F.create_map(*[x for r in top for x in (F.lit(r["lang"]), F.lit(min(1.0, 1.25 * sample_docs / r["n"])))])
-    rows = materialize(rows.withColumn("rate", F.try_element_at(rate, F.col("lang"))).where("u < rate").select(F.col("text").cast("binary").alias("text"), "lang", (F.col("u") < F.col("rate") * 0.8).alias("train")))
+    rows = materialize(rows.withColumn("rate", F.try_element_at(rate, F.col("lang"))).where("u < rate").select(F.col("text").cast("binary").alias("text"), "lang", (F.col("u") < F.col("rate") * 0.8).alias("train")).distinct())
     grams = rows.where("train").select("text", "lang").mapInArrow(lean(_count(order)), "lang string, gram array<int>, n long")
     grams = materialize(grams.groupBy("lang", "gram").agg(F.sum("n").alias("n")))
     # The least count that leaves at most max_grams n-grams, from the histogram of counts.

@@ -11,9 +11,11 @@ all their lines, except in the document with the largest id that holds them.
 2. Only keys whose positions were all seen twice can repeat. These suspects are
    shuffled, as SHA-256 digests, and counted exactly; the confirmed keys and
    their last document give the lines to drop.
-3. Documents that lose lines are found again by a filter of fixed size over
-   their ids; only they are joined with their dropped keys. All others are
-   written straight from the scan.
+3. Rows that lose lines are found again by a filter of fixed size over the
+   hash of their id and text; only they are joined with their dropped keys. All
+   others are written straight from the scan. Dropped keys are gathered per id and
+   text, so a list is never longer than its own text has lines, however many
+   rows share an id or have none.
 
 A full filter costs time, not correctness: every suspect is confirmed.
 
@@ -96,16 +98,18 @@ def twice_seen(rows: DataFrame, min_chars: int, log2_bits: int = LOG2_BITS, log2
 
 
 def _suspects(schema, filt, min_chars: int, log2_bits: int):
+    """Columns of the batches: doc_id, text, mark."""
     def run(batches):
         bits = filt.value
         for b in batches:
-            ids, rows, digests = b.column(0), [], []
+            rows, digests = [], []
             for i, t in enumerate(texts(b.column(1))):
                 for k in keys_of(t, min_chars):
                     if all(bits[p >> 3] >> (p & 7) & 1 for p in _positions(k, log2_bits)):
                         rows.append(i)
                         digests.append(hashlib.sha256(k).digest())
-            yield batch_of(schema, [ids.take(pa.array(rows, pa.int64())), digests])
+            at = pa.array(rows, pa.int64())
+            yield batch_of(schema, [b.column(0).take(at), b.column(2).take(at), digests])
     return run
 
 
@@ -143,24 +147,27 @@ def _dedup(rows: DataFrame, min_chars: int, min_docs: int, log2_bits: int, log2_
     from pyspark.sql.pandas.types import to_arrow_schema
 
     sc = rows.sparkSession.sparkContext
-    plain, key = rows.select("doc_id", "text"), rows.schema["doc_id"]
+    mark = F.xxhash64("doc_id", "text")
+    plain, key = rows.select("doc_id", "text", mark.alias("mark")), rows.schema["doc_id"]
     log2_chunk = min(log2_chunk, log2_bits)
-    repeats = sc.broadcast(twice_seen(plain, min_chars, log2_bits, log2_chunk))
-    pair = T.StructType([key, T.StructField("digest", T.BinaryType())])
+    repeats = sc.broadcast(twice_seen(plain.select("doc_id", "text"), min_chars, log2_bits, log2_chunk))
+    pair = T.StructType([key, T.StructField("mark", T.LongType()), T.StructField("digest", T.BinaryType())])
     suspects = materialize(plain.mapInArrow(lean(_suspects(to_arrow_schema(pair), repeats, min_chars, log2_bits)), pair))
     confirmed = suspects.groupBy("digest").agg(F.count_distinct(F.struct("doc_id")).alias("n"), F.max("doc_id").alias("last")).where(F.col("n") >= min_docs)
     # Written first, so that the join deals out both sides anew and a hot key can be split.
     drops = suspects.join(materialize(confirmed), "digest").where(F.col("doc_id").isNull() | (F.col("doc_id") < F.col("last")))
-    drops = materialize(drops.groupBy("doc_id").agg(F.collect_set("digest").alias("drop")))
+    # Two texts of one mark have one id, and what an id loses does not depend on the text.
+    drops = materialize(drops.groupBy("mark").agg(F.collect_set("digest").alias("drop")))
+    repeats.unpersist()
 
-    losing = sc.broadcast(id_filter(drops, "doc_id"))
-    rows = rows.select("doc_id", "text", id_position(F.col("doc_id")).alias("p"), "passed")
+    losing = sc.broadcast(id_filter(drops, "mark"))
+    rows = rows.select("text", mark.alias("mark"), id_position(mark).alias("p"), "passed")
     out = T.StructType([rows.schema["passed"], T.StructField("n_lines", T.LongType()), T.StructField("n_dropped", T.LongType()), T.StructField("kept_text", T.BinaryType())])
     arrow = to_arrow_schema(out)
     nothing = F.lit(None).cast("array<binary>").alias("drop")
     whole = rows.select("p", "text", nothing, "passed").mapInArrow(lean(_results(arrow, min_chars, losing)), out)
     # Sorted and merged at every size: a plan that broadcasts a small side says little about a large one.
-    cut = rows.mapInArrow(lean(_flagged(losing)), rows.schema).alias("t").join(drops.alias("d").hint("merge"), F.col("t.doc_id").eqNullSafe(F.col("d.doc_id")), "left")
+    cut = rows.mapInArrow(lean(_flagged(losing)), rows.schema).join(drops.hint("merge"), "mark", "left")
     return whole.unionByName(cut.select("p", "text", "drop", "passed").mapInArrow(lean(_results(arrow, min_chars)), out))
 
 
@@ -185,10 +192,11 @@ def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
 
 SQL = r"""
-WITH l AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS i FROM documents),
+WITH r AS (SELECT row_number() OVER () AS row, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+l AS (SELECT row, doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS i FROM r),
 k AS (SELECT *, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
-c AS (SELECT key, max(doc_id) AS last FROM k WHERE length(key) >= 40 GROUP BY key HAVING count(DISTINCT doc_id) >= 5),
-m AS (SELECT k.*, c.key IS NOT NULL AND k.doc_id < c.last AS dropped FROM k LEFT JOIN c USING (key))
+c AS (SELECT key, max(doc_id) AS last FROM k WHERE length(key) >= 40 GROUP BY key HAVING count(DISTINCT doc_id) + max(CASE WHEN doc_id IS NULL THEN 1 ELSE 0 END) >= 5),
+m AS (SELECT k.*, c.key IS NOT NULL AND (k.doc_id IS NULL OR k.doc_id < c.last) AS dropped FROM k LEFT JOIN c USING (key))
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE dropped) AS n_dropped,
   sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT dropped), '')) AS kept_sha256
-FROM m GROUP BY doc_id"""
+FROM m GROUP BY row, doc_id"""

@@ -6,16 +6,17 @@ words, the excess going to the others by weight until none is above. A
 document's expected number of copies is its source's target over its source's
 words. The whole part are certain copies. The rest is an inclusion probability
 p, unequal from source to source, and is drawn by Pareto order sampling: with u
-the document's uniform number (from a hash of seed and id, so reruns agree),
+the document's uniform number (from a hash of seed, id and text, so reruns agree),
 documents are ranked by the odds of u over the odds of p, and the ranking is
 cut where the words taken come nearest to the words still missing.
 
 The cut is found without ordering a source in one task: words are summed per
 source and slice of the rank, the slice that holds the cut is found in those
-sums, and only the documents of that one slice are ordered.
+sums, and cut into as many slices again; only the documents of one slice of
+those, some 17 millionth of a source, are ordered.
 
 A null text has size 0. The null source is one source, the last. Documents of
-equal rank are taken by id, then size. An empty table, or one without words,
+equal rank (repeated rows) are taken by id, then size. An empty table, or one without words,
 gives targets of 0 and nothing taken. A repeated row is a document of its own.
 Columns other than id, text and source are ignored.
 """
@@ -37,6 +38,12 @@ def sizes(docs: DataFrame, id_col: str, text_col: str, source_col: str, *more) -
         F.coalesce(F.regexp_count(F.col(f"`{text_col}`"), F.lit(WORD)), F.lit(0)).cast("long").alias("size"), *more)
 
 
+def uniform(id_col: str, text_col: str, seed: str):
+    """Column ``u``: a document's number on a grid of 2**52 points inside (0, 1)."""
+    name = F.concat_ws(":", F.lit(seed), F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit("")), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")))
+    return ((F.conv(F.substring(F.sha2(name, 256), 1, 13), 16, 10).cast("long").cast("double") + 0.5) / float(2**52)).alias("u")
+
+
 def targets(sized: DataFrame, weights=WEIGHTS, share: tuple[int, int] = (3, 2), most: int = 2) -> DataFrame:
     """source, source_size, target. The windows run over one row per source."""
     up, down = share
@@ -58,27 +65,31 @@ def targets(sized: DataFrame, weights=WEIGHTS, share: tuple[int, int] = (3, 2),
     return src.select("source", "source_size", target.alias("target"))
 
 
-def _draw(rows: DataFrame, weights, share, most, seed, slices) -> DataFrame:
-    """Copies of each of ``rows`` (doc_id, source, size, passed)."""
-    sized = materialize(rows.select("doc_id", "source", "size"))
+def _draw(rows: DataFrame, weights, share, most, slices) -> DataFrame:
+    """Copies of each of ``rows`` (doc_id, source, size, u, passed)."""
+    sized = materialize(rows.select("doc_id", "source", "size", "u"))
     plan = materialize(targets(sized, weights, share, most).withColumn("source_no", F.monotonically_increasing_id()))
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    # u lies on a grid of 2**52 points inside (0, 1)
-    u = (F.conv(F.substring(F.sha2(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), 256), 1, 13), 16, 10).cast("long").cast("double") + 0.5) / float(2**52)
     # Odds of u over odds of p, mapped to [0, 1]; 1 where p is 0.
     rank = F.col("u") * (1 - F.col("p")) / (F.col("u") * (1 - F.col("p")) + (1 - F.col("u")) * F.col("p"))
 
     def ranked(table):
         t = table.alias("s").join(plan.alias("p"), F.col("s.source").eqNullSafe(F.col("p.source"))).select("s.*", "source_no", "source_size", "target")
-        t = t.withColumn("whole", F.floor(ratio).cast("long")).withColumns({"p": ratio - F.col("whole"), "u": u})
+        t = t.withColumn("whole", F.floor(ratio).cast("long")).withColumn("p", ratio - F.col("whole"))
         t = t.withColumn("missing", F.col("target") - F.col("whole") * F.col("source_size")).withColumn("rank", rank)
-        return t.withColumn("slice", F.least(F.floor(F.col("rank") * slices), F.lit(slices - 1)).cast("int"))
-
-    per_slice = ranked(sized).groupBy("source_no", "slice").agg(F.sum("size").alias("words"), F.first("missing").alias("missing"))
-    upto = Window.partitionBy("source_no").orderBy("slice")
-    per_slice = per_slice.withColumn("upto", F.sum("words").over(upto))
-    cut = per_slice.where(F.col("upto") >= F.col("missing")).groupBy("source_no").agg(F.min(F.struct("slice", (F.col("upto") - F.col("words")).alias("base"))).alias("cut"))
-    cut = materialize(cut.select("source_no", F.col("cut.slice").alias("cut"), F.col("cut.base").alias("base")))
+        return t.withColumn("slice", F.least(F.floor(F.col("rank") * slices**2), F.lit(slices**2 - 1)).cast("long"))
+
+    def cut_of(t, base):
+        """Per source, the slice that the missing words end in, and the words before it."""
+        sums = t.groupBy("source_no", "slice").agg(F.sum("size").alias("words"), F.first("missing").alias("missing"), F.first(base).alias("base"))
+        upto = Window.partitionBy("source_no").orderBy("slice")
+        sums = sums.withColumn("upto", F.col("base") + F.sum("words").over(upto))
+        found = sums.where(F.col("upto") >= F.col("missing")).groupBy("source_no").agg(F.min(F.struct("slice", (F.col("upto") - F.col("words")).alias("base"))).alias("cut"))
+        return materialize(found.select("source_no", F.col("cut.slice").alias("cut"), F.col("cut.base").alias("base")))
+
+    fine = ranked(sized)
+    coarse = cut_of(fine.withColumn("slice", F.floor(F.col("slice") / slices)), F.lit(0).cast("long"))
+    cut = cut_of(fine.join(coarse, "source_no").where(F.floor(F.col("slice") / slices) == F.col("cut")), F.col("base"))
     rows = ranked(rows).join(cut, "source_no", "left")
 
     clear = rows.where(F.col("cut").isNull() | (F.col("slice") != F.col("cut"))).withColumn("drawn", F.col("cut").isNull() | (F.col("slice") < F.col("cut")))
@@ -94,20 +105,20 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
         share: tuple[int, int] = (3, 2), most: int = 2, seed: str = "mix", slices: int = SLICES) -> DataFrame:
     """One row per document: doc_id, source, size, source_size, target, copies,
     taken (copies * size). ``share`` is the budget over all words as a fraction."""
-    rows = sizes(docs, id_col, text_col, source_col).withColumn("passed", F.lit(True))
-    return _draw(rows, weights, share, most, seed, slices).drop("passed").withColumn("taken", F.col("copies") * F.col("size"))
+    rows = sizes(docs, id_col, text_col, source_col, uniform(id_col, text_col, seed)).withColumn("passed", F.lit(True))
+    return _draw(rows, weights, share, most, slices).drop("passed").withColumn("taken", F.col("copies") * F.col("size"))
 
 
 def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights=WEIGHTS,
           share: tuple[int, int] = (3, 2), most: int = 2, seed: str = "mix", slices: int = SLICES) -> DataFrame:
     """The mix itself: every row of ``docs``, all columns, as often as it has copies."""
-    rows = sizes(docs, id_col, text_col, source_col, F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("passed"))
-    drawn = _draw(rows, weights, share, most, seed, slices).where("copies > 0")
+    rows = sizes(docs, id_col, text_col, source_col, uniform(id_col, text_col, seed), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("passed"))
+    drawn = _draw(rows, weights, share, most, slices).where("copies > 0")
     return drawn.select(F.explode(F.array_repeat("passed", F.col("copies").cast("int"))).alias("passed")).select(*[F.col("passed")[c].alias(c) for c in docs.columns])
 
 
 SQL = r"""
-WITH d AS (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size FROM documents),
+WITH d AS (SELECT doc_id, source, text, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size FROM documents),
 s1 AS (SELECT source, sum(size) AS source_size FROM d GROUP BY source),
 s2 AS (SELECT *, CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS weight FROM s1),
 s3 AS (SELECT *, sum(weight) OVER () AS weights, sum(source_size) OVER () * 3 AS budget,
@@ -119,7 +130,7 @@ s5 AS (SELECT source, source_size, CASE WHEN is_full THEN CAST(2 * source_size A
   / CAST((weights - coalesce(sum(CASE WHEN is_full THEN weight END) OVER (), 0)) * 2 AS DOUBLE) END AS target FROM s4),
 e AS (SELECT d.doc_id, d.source, d.size, CAST(s.source_size AS BIGINT) AS source_size, s.target,
   CASE WHEN s.source_size > 0 THEN s.target / CAST(s.source_size AS DOUBLE) ELSE 0.0 END AS ratio,
-  (CAST(CAST('0x' || substr(sha256('mix:' || d.doc_id), 1, 13) AS BIGINT) AS DOUBLE) + 0.5) / 4503599627370496.0 AS u
+  (CAST(CAST('0x' || substr(sha256('mix:' || coalesce(CAST(d.doc_id AS VARCHAR), '') || ':' || coalesce(d.text, '')), 1, 13) AS BIGINT) AS DOUBLE) + 0.5) / 4503599627370496.0 AS u
   FROM d JOIN s5 s ON d.source IS NOT DISTINCT FROM s.source),
 f AS (SELECT *, ratio - floor(ratio) AS p, target - floor(ratio) * source_size AS missing FROM e),
 g AS (SELECT *, coalesce(sum(size) OVER (PARTITION BY source ORDER BY u * (1 - p) / (u * (1 - p) + (1 - u) * p), doc_id, size

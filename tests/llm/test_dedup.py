@@ -4,7 +4,9 @@ import hashlib
 import random
 from collections import Counter, defaultdict
 
+import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from starmart.llm import exact_dedup, line_dedup, mixing, ngram_join
 from starmart.llm.common import without
@@ -79,6 +81,48 @@ def test_line_dedup_against_brute_force(spark, bits):
     assert Counter((r.doc_id, r.text or "") for r in whole.collect()) == Counter((i, t) for (i, _, _, t), n in brute_lines(rows).items() for _ in range(n))
 
 
+def same_as_sql(spark, tmp_path, rows, query, sql):
+    path = str(tmp_path / "documents.parquet")
+    docs = table(spark, rows)
+    docs.select("doc_id", "text", "lang", "source").write.parquet(path)
+    con = duckdb.connect()
+    con.sql(f"create view documents as select * from '{path}/*.parquet'")
+    got = query(spark.read.parquet(path))
+    rel = con.sql(sql)
+    want = rel.fetchall()
+    order = [got.columns.index(c) for c in rel.columns]
+    assert sorted((tuple(str(r[i]) for i in order) for r in got.collect())) == sorted(tuple(str(v) for v in r) for r in want)
+    return got
+
+
+def hot_rows():
+    """A third of the rows under one id, a third without any, all of different texts that share lines."""
+    shared = [f"A line that many of these documents hold, number {i}." for i in range(30)]
+    rows = [((7 if i % 3 == 0 else None if i % 3 == 1 else i), "\n".join([f"own {i}", *shared[i % 25 : i % 25 + 5]]), "en", "a" if i % 2 else None) for i in range(300)]
+    return rows + rows[:6]  # and some whole rows again
+
+
+def test_line_dedup_hot_and_missing_ids(spark, tmp_path):
+    rows = hot_rows()
+    got = line_dedup.line_dedup(table(spark, rows))
+    assert Counter((r.doc_id, r.n_lines, r.n_dropped, bytes(r.kept_text).decode()) for r in got.collect()) == brute_lines([r[:2] for r in rows])
+    same_as_sql(spark, tmp_path, rows, lambda d: line_dedup.line_dedup(d).select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256")), line_dedup.SQL)
+
+
+def test_exact_dedup_hot_and_missing_ids_as_sql(spark, tmp_path):
+    rows = [r for r in hot_rows() for _ in range(2)] + [(None, None, None, None), (None, "", None, None), (3, "x", None, None), (3, "X", None, None), (2, "x", None, None)]
+    same_as_sql(spark, tmp_path, rows, exact_dedup.exact_dedup, exact_dedup.SQL)
+
+
+def test_mix_deals_rows_of_one_id_out(spark, tmp_path):
+    rows = [(None, f"w{i} " * 5, "en", "a") for i in range(800)] + [(5, f"v{i} " * 5, "en", "a") for i in range(800)] + [(i, "x y z", "en", "b") for i in range(200)]
+    got = same_as_sql(spark, tmp_path, rows, mixing.mix, mixing.SQL).collect()
+    for i in (None, 5):
+        assert len({r.copies for r in got if r.doc_id == i}) > 1  # not all or none
+    taken = sum(r.taken for r in got if r.source == "a")
+    assert abs(taken - next(r.target for r in got if r.source == "a")) <= 3
+
+
 def test_line_dedup_odd_and_empty(odd, none):
     got = line_dedup.line_dedup(odd).collect()
     assert Counter((r.doc_id, r.n_lines, r.n_dropped) for r in got) == Counter((i, (t or "").count("\n") + 1, 0) for i, t, *_ in ODD)
