@@ -1,11 +1,16 @@
 """Personal data: format-preserving pseudonyms from a keyed Feistel network.
 
-Found and validated: e-mail addresses, IBANs (mod 97), payment cards (13 to 19
-digits, Luhn), IPv4 addresses (octets up to 255), US social security numbers
-(no reserved area, group or serial), dates (that exist, 1900 to 2099; with
-slashes month first where that is a date, else day first) and phone numbers
-(a country code or an area code in brackets or three groups, 10 to 15 digits).
-Where two finds overlap the earlier kind of that list wins.
+Found and validated: e-mail addresses, IBANs (mod 97; all letters of one case),
+payment cards (13 to 19 digits, Luhn, with blanks or hyphens, or four groups of
+four with dots), IPv4 addresses (octets up to 255) and IPv6 addresses (letters of one
+case), US social security numbers (no reserved area, group or serial), dates
+(that exist, 1900 to 2099; in numbers with hyphens, dots or slashes, year first
+or last, with slashes month first where that is a date, else day first; or with
+an English month) and phone numbers (a country code or an area code in brackets
+or three groups or a leading zero and pairs, 10 to 15 digits). Where two finds
+overlap the earlier kind of that list wins. Not covered: phone numbers written
+as ten bare digits, which nothing tells from other numbers, dates with a year of
+two digits, and month names of other languages.
 
 Other tokens beside an IBAN or a card (BIC, expiry, CVV, another number) do not
 hide it. An IBAN ends where its country's length says; failing that, at the
@@ -33,7 +38,7 @@ a leading zero, ``reveal`` gives the other without).
 
 Null text stays null, empty text empty. Bytes that are not UTF-8 stay as they
 are. Work goes document by document, whole; a kind is not searched for in a
-document that holds too few digits (or no @, or fewer than three dots) for a
+document that holds too few digits (or no @, or too few dots or colons) for a
 single value of it, so whether a value is found does not depend on others in
 the document. Repeated rows each give a row; other columns are
 ignored. The key is a parameter; whoever holds it can link and undo.
@@ -43,6 +48,7 @@ from __future__ import annotations
 
 import datetime as dt
 import hashlib
+import ipaddress
 import re
 
 import pyarrow as pa
@@ -57,11 +63,16 @@ _FIND = {
     "email": re.compile(rb"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]+@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}"),
     "iban": re.compile(rb"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?= ?[A-Z0-9])"),  # its first four; _iban_ends tells where it ends
     "card": re.compile(rb"(?<!\d)(?<!\d\.)\d(?:[ -]?\d){12,}"),  # the whole run; _cards_in tells which parts
+    "dotted": re.compile(rb"(?<![\d.])\d{4}(?:\.\d{4}){3}(?!\.?\d)"),
     "ip": re.compile(rb"(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?!\.?\d)"),
+    "ip6": re.compile(rb"(?<![\w:.])(?=[0-9A-Fa-f:]*:[0-9A-Fa-f:]*:)[0-9A-Fa-f:]{3,39}(?![\w:])(?!\.\d)"),
     "ssn": re.compile(rb"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"),
-    "date": re.compile(rb"(?<![\d/.-])(?:(\d{4})-(\d{2})-(\d{2})|(\d{1,2})([/.])(\d{1,2})\5(\d{4}))(?![\d/-])"),
-    "phone": re.compile(rb"(?<![\w+])(?<!\d[ .-])(?:\+(\d{1,3})[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])\d{3,4}[ .-]?\d{3,4}(?![ .-]?\d)|(?<![\w+])\+(\d{1,3})[ .-]?\d{9,12}(?!\d)"),
+    "date": re.compile(rb"(?<![\d/.-])(?:(\d{4})(?P<iso>[-/.])(\d{2})(?P=iso)(\d{2})|(\d{1,2})(?P<mark>[/.-])(\d{1,2})(?P=mark)(\d{4}))(?![\d/-])(?!\.\d)"),
+    "named": re.compile(rb"(?<![\w/.-])(?:(?P<d1>\d{1,2}) (?P<m1>MONTH) (?P<y1>\d{4})|(?P<m2>MONTH) (?P<d2>\d{1,2}), (?P<y2>\d{4}))(?!\w)".replace(
+        b"MONTH", b"Jan(?:uary)?|Feb(?:ruary)?|Mar(?:ch)?|Apr(?:il)?|May|June?|July?|Aug(?:ust)?|Sep(?:tember)?|Oct(?:ober)?|Nov(?:ember)?|Dec(?:ember)?")),
+    "phone": re.compile(rb"(?<![\w+])(?<!\d[ .-])(?:\+(\d{1,3})[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])\d{3,4}[ .-]?\d{3,4}(?![ .-]?\d)|(?<![\w+])\+(\d{1,3})[ .-]?\d{9,12}(?!\d)|(?<![\w+])(?<!\d[ .-])(?:\+(?P<far>\d{2})[ .-]?\d|0[1-9])(?P<gap>[ .-])\d\d(?:(?P=gap)\d\d){3}(?![ .-]?\d)"),
 }
+MONTHS = "January February March April May June July August September October November December".split()
 #: Length of an IBAN by country (SWIFT registry).
 IBAN_LENGTH = {c.encode(): int(n) for n, cs in {
     15: "NO", 16: "BE", 18: "DK FK FI FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
@@ -71,7 +82,7 @@ IBAN_LENGTH = {c.encode(): int(n) for n, cs in {
 _USUAL = {(4, 4, 4, 4), (4, 6, 5), (4, 6, 4), (4, 4, 4, 4, 3), (4, 4, 4, 1), (4, 4, 5), (6, 13), *((n,) for n in range(13, 20))}
 FIRST_DAY, DAYS = dt.date(1900, 1, 1).toordinal(), dt.date(2100, 1, 1).toordinal() - dt.date(1900, 1, 1).toordinal()
 #: The fewest digits, and other bytes, that a text with a value of the kind has.
-_LEAST = {"email": (0, b"@", 1), "iban": (2, b"", 0), "card": (13, b"", 0), "ip": (4, b".", 3), "ssn": (9, b"", 0), "date": (6, b"", 0), "phone": (10, b"", 0)}
+_LEAST = {"email": (0, b"@", 1), "iban": (2, b"", 0), "card": (13, b"", 0), "ip": (0, b"", 0), "ssn": (9, b"", 0), "date": (5, b"", 0), "phone": (10, b"", 0)}
 _GROUP = re.compile(rb"\d+")
 _NON_DIGITS = bytes(i for i in range(256) if not 48 <= i <= 57)
 
@@ -164,7 +175,11 @@ def _permute_text(f: Feistel, raw: bytes, kind: str, back: bool) -> bytes:
 def _email(f, m, back):
     local, _, domain = m[0].rpartition(b"@")
     host, dot, top = domain.rpartition(b".")
-    return _permute_text(f, local, "local", back) + b"@" + _permute_text(f, host, "host", back) + dot + top
+    new = _permute_text(f, host, "host", back)
+    # a single symbol could only be shifted by a constant: its host decides which
+    single = sum(chr(c).isalnum() for c in local) == 1
+    kind = f"local {(new if back else host).decode().lower()}" if single else "local"
+    return _permute_text(f, local, kind, back) + b"@" + new + dot + top
 
 
 def _iban_check(country: bytes, body: bytes) -> int:
@@ -213,6 +228,26 @@ def _ibans(text, f, back, free):
             yield start, end, spaced
 
 
+_FOLDED = bytes(124 if 65 <= c <= 90 else c - 32 if 97 <= c <= 122 else c for c in range(256))
+
+
+def _lower_ibans(text, f, back, free):
+    """IBANs in small letters: read as capitals, while capitals are no part of one; their country's length counts."""
+    folded = text.translate(_FOLDED)
+    for m in _FIND["iban"].finditer(folded):
+        end = _iban_end(folded, m.start(), True)
+        if end is not None and text[m.start() : m.start() + 2].islower() and free(m.start(), end):
+            plain = folded[m.start() : end].replace(b" ", b"")
+            body = _permute_text(f, plain[4:], "iban", back)
+            it = iter((plain[:2] + b"%02d" % (98 - _iban_check(plain[:2], body)) + body).lower())
+            yield m.start(), end, bytes(c if c == 32 else next(it) for c in text[m.start() : end])
+
+
+def _all_ibans(text, f, back, free):
+    yield from _ibans(text, f, back, free)
+    yield from _lower_ibans(text, f, back, free)
+
+
 def _is_card(d) -> bool:
     return not _luhn(d) and len(set(d)) > 1
 
@@ -297,6 +332,31 @@ def _ip(f, m, back):
     return b".".join(b"%d" % x for x in f.run(octets, [256] * 4, "ip", back))
 
 
+def _dotted(f, m, back):
+    d = _digits(m[0])
+    if not _is_card(d):
+        return None
+    check = lambda mid: [d[0], *mid, (10 - _luhn([d[0], *mid, 0])) % 10]
+    return _put_digits(m[0], check(f.walk(d[1:-1], [10] * 14, "card", lambda mid: len(set(check(mid))) > 1, back)))
+
+
+def _ip6(f, m, back):
+    """Hexadecimal digits of each group among themselves; the groups stay as they are written."""
+    raw = m[0]
+    try:
+        ipaddress.IPv6Address(raw.decode())
+    except ValueError:
+        return None
+    low, up = any(97 <= c <= 102 for c in raw), any(65 <= c <= 70 for c in raw)
+    symbols = [int(chr(c), 16) for c in raw if c != 58]
+    if low and up or len(symbols) < 4:
+        return None
+    # with letters or without, as before: else the case could not be told afterwards
+    it = iter(f.walk(symbols, [16] * len(symbols), "ip6", lambda s: any(x > 9 for x in s) == (low or up), back))
+    new = bytes(c if c == 58 else b"0123456789abcdef"[next(it)] for c in raw)
+    return new.upper() if up else new
+
+
 def _is_ssn(d) -> bool:
     area = d[0] * 100 + d[1] * 10 + d[2]
     return area not in (0, 666) and area < 900 and any(d[3:5]) and any(d[5:])
@@ -316,49 +376,66 @@ def _is_date(y, mo, d) -> bool:
 
 def _date(f, m, back):
     if m[1]:
-        y, mo, d, form = int(m[1]), int(m[2]), int(m[3]), "iso"
-        if not _is_date(y, mo, d):
-            return None
+        y, mo, d, form = int(m[1]), int(m[3]), int(m[4]), "iso"
     else:
-        a, b, y = int(m[4]), int(m[6]), int(m[7])
-        form = "month" if m[5] == b"/" and _is_date(y, a, b) else "day"
+        a, b, y = int(m[5]), int(m[7]), int(m[8])
+        form = "month" if m["mark"] == b"/" and _is_date(y, a, b) else "day"
         mo, d = (a, b) if form == "month" else (b, a)
-        if not _is_date(y, mo, d):
-            return None
+    if not _is_date(y, mo, d):
+        return None
 
-    bare = form != "iso" and 1 in (len(m[4]), len(m[6]))  # written without leading zeros
+    slashed = form == "day" and m["mark"] == b"/"
+    bare = form != "iso" and 1 in (len(m[5]), len(m[7]))  # written without leading zeros
 
-    def fits(day):
-        if day >= DAYS:
-            return False
-        new = dt.date.fromordinal(FIRST_DAY + day)
-        if form == "day" and m[5] == b"/" and new.day <= 12:
+    def fits(new):
+        if slashed and new.day <= 12:
             return False  # it would read as month-first
         return not bare or new.day < 10 or new.month < 10  # else it would read as written with zeros
 
-    day = dt.date(y, mo, d).toordinal() - FIRST_DAY
-    kind = f"date {form} {bare}" if bare or form == "day" and m[5] == b"/" else "date"
-    while True:
-        s = f.run(list(divmod(day, 512)), [143, 512], kind, back)
-        day = s[0] * 512 + s[1]
-        if fits(day):
-            break
-    new = dt.date.fromordinal(FIRST_DAY + day)
+    new = _permute_day(f, dt.date(y, mo, d), f"date {form} {bare}" if bare or slashed else "date", fits, back)
     if form == "iso":
-        return new.isoformat().encode()
+        return new.isoformat().encode().replace(b"-", m["iso"])
     wide = b"%d" if bare else b"%02d"
     a, b = (new.month, new.day) if form == "month" else (new.day, new.month)
-    return wide % a + m[5] + wide % b + m[5] + b"%04d" % new.year
+    return wide % a + m["mark"] + wide % b + m["mark"] + b"%04d" % new.year
+
+
+def _permute_day(f, day: dt.date, kind: str, fits, back) -> dt.date:
+    number = day.toordinal() - FIRST_DAY
+    while True:
+        s = f.run(list(divmod(number, 512)), [143, 512], kind, back)
+        number = s[0] * 512 + s[1]
+        if number < DAYS and fits(dt.date.fromordinal(FIRST_DAY + number)):
+            return dt.date.fromordinal(FIRST_DAY + number)
+
+
+def _named(f, m, back):
+    """A date with an English month, whole or its first three letters."""
+    first = m["m1"] is not None  # the day comes first
+    name, d, y = (m["m1"], m["d1"], m["y1"]) if first else (m["m2"], m["d2"], m["y2"])
+    mo = next(i for i, n in enumerate(MONTHS, 1) if n.startswith(name.decode()))
+    if not _is_date(int(y), mo, int(d)):
+        return None
+    short, zero = len(name) == 3, d[:1] == b"0"
+    # May is short and whole at once: it stays the form that it is read as, short
+    fits = lambda new: (short or new.month != 5) and (not zero or new.day < 10)
+    new = _permute_day(f, dt.date(int(y), mo, int(d)), f"date named {short} {zero}", fits, back)
+    month = MONTHS[new.month - 1][: 3 if short else None].encode()
+    day = (b"%02d" if zero else b"%d") % new.day
+    return day + b" " + month + b" %04d" % new.year if first else month + b" " + day + b", %04d" % new.year
 
 
 def _phone(f, m, back):
-    raw, code = m[0], m[1] or m[2] or b""
+    raw, code = m[0], m[1] or m[2] or m["far"] or b""
     d = _digits(raw)
     n = len(d) - len(code)
     if not 10 <= len(d) <= 15 or n < 7:
         return None
+    trunk = not code and raw[:1] == b"0"  # the leading zero of a number within a country stays
+    if trunk:
+        code, n = b"0", n - 1
     north = n == 10 and code in (b"", b"1")
-    fine = (lambda s: s[0] > 1 and s[3] > 1) if north and d[-10] > 1 and d[-7] > 1 else (lambda s: True)
+    fine = (lambda s: s[0] > 1 and s[3] > 1) if north and d[-10] > 1 and d[-7] > 1 else (lambda s: not trunk or (s[0] > 0) == (d[1] > 0))
     return _put_digits(raw, [*d[: len(code)], *f.walk(d[len(code) :], [10] * n, f"phone{code.decode()}", fine, back)])
 
 
@@ -373,7 +450,16 @@ def _each(kind, make):
     return finds
 
 
-_FINDS = {"iban": _ibans, "card": _cards} | {k: _each(k, make) for k, make in {"email": _email, "ip": _ip, "ssn": _ssn, "date": _date, "phone": _phone}.items()}
+def _chain(*finds):
+    def every(text, f, back, free):
+        for find in finds:
+            yield from find(text, f, back, free)
+    return every
+
+
+_EACH = {k: _each(k, make) for k, make in {"email": _email, "dotted": _dotted, "ip": _ip, "ip6": _ip6, "ssn": _ssn, "date": _date, "named": _named, "phone": _phone}.items()}
+_FINDS = {k: _EACH[k] for k in ("email", "ssn", "phone")} | {
+    "iban": _all_ibans, "card": _chain(_cards, _EACH["dotted"]), "ip": _chain(_EACH["ip"], _EACH["ip6"]), "date": _chain(_EACH["date"], _EACH["named"])}
 
 
 def pseudonyms(text: bytes, f: Feistel, back: bool = False) -> tuple[bytes, list[tuple[int, int, str]]]:
@@ -385,6 +471,8 @@ def pseudonyms(text: bytes, f: Feistel, back: bool = False) -> tuple[bytes, list
         least, mark, times = _LEAST[kind]
         if digits < least or times and text.count(mark) < times:
             continue
+        if kind == "ip" and (digits < 4 or text.count(b".") < 3) and text.count(b":") < 2:
+            continue
         for a, z, new in _FINDS[kind](text, f, back, lambda a, z: 1 not in taken[a:z]):
             found.append((a, z, kind, new))
             taken[a:z] = b"\1" * (z - a)

@@ -1,7 +1,9 @@
 """Top-k search, secrets and personal data."""
 
 import base64
+import datetime as dt
 import hashlib
+import ipaddress
 import random
 import re
 from collections import Counter
@@ -179,3 +181,60 @@ def test_values_beside_other_tokens():
     new, found = pii.pseudonyms(two, f)
     assert [(two[a:z].decode(), k) for a, z, k in found] == [(IBAN, "iban"), (CARD, "card"), ("5500 0000 0000 0004", "card")]
     assert pii.pseudonyms(new, f, back=True)[0] == two
+
+
+#: Values and texts that hold none, by kind.
+FORMS = {
+    "phone": (["06 12 34 56 78", "+33 1 23 45 67 89", "01.23.45.67.89", "(555) 234-5678"], ["0612345678", "00 12 34 56 78", "06 12 34 56", "06 12.34 56 78", "1 06 12 34 56 78"]),
+    "date": (["12-03-2020", "2020/03/12", "2020.03.12", "12 March 2020", "March 12, 2020", "Mar 3, 1999", "05 May 2001", "1.2.2003"],
+             ["2020/13/12", "31-02-2020", "12 Marsh 2020", "32 March 2020", "March 12 2020", "2020-03/12", "12.03.2020.5", "Mayor 3, 1999"]),
+    "card": (["4111.1111.1111.1111", "5500.0000.0000.0004"], ["4111.1111.1111.1112", "4111.1111.1111.1111.2", "0.4111.1111.1111.1111"]),
+    "ip": (["2001:db8::1", "fe80::1ff:fe23:4567:890a", "2001:0DB8:85A3:0000:0000:8A2E:0370:7334", "8.8.8.8"], ["12:30:45", "std::vector", "::", "2001:db8::1::2", "00:1A:2B:3C:4D:5E", "Fe80::aB"]),
+    "iban": (["de89370400440532013000", "fr14 2004 1010 0505 0001 3m02 606", "DE89 3704 0044 0532 0130 00"], ["de88370400440532013000", "De89370400440532013000", "xde89370400440532013000"]),
+}
+
+
+@pytest.mark.parametrize("kind", FORMS)
+@pytest.mark.parametrize("frame", ["{}", "see {} now", "({}), 7"])
+def test_more_forms(kind, frame):
+    f = pii.Feistel(b"another key")
+    for value in FORMS[kind][0]:
+        text = frame.format(value).encode()
+        new, found = pii.pseudonyms(text, f)
+        start = text.index(value.encode())
+        assert found == [(start, start + len(value), kind)], (value, found)
+        assert value.encode() not in new and pii.pseudonyms(new, f, True)[0] == text, (value, new)
+    for value in FORMS[kind][1]:
+        assert kind not in [k for *_, k in pii.pseudonyms(frame.format(value).encode(), f)[1]], value
+
+
+def test_new_values_are_valid_and_linked():
+    f = pii.Feistel(b"k")
+    for i in range(300):
+        day = 1 + i % 28
+        new = pii.pseudonyms(f"{day} June {1900 + i % 200}".encode(), f)[0].decode()
+        dt.datetime.strptime(new, "%d %B %Y")
+        ip = pii.pseudonyms(f"2001:db8:{i:x}::{i * 7:x}".encode(), f)[0].decode()
+        ipaddress.IPv6Address(ip)
+    one = {pii.pseudonyms(f"{c}@{h}.example.com".encode(), f)[0] for c in "abcdefghijklmnopqrstuvwxyz" for h in ("mail", "post")}
+    assert len(one) == 52
+    shift = [(pii.pseudonyms(f"a@{h}.example.com".encode(), f)[0][0] - 97) % 26 for h in ("mail", "post", "www", "x1", "y2")]
+    assert len(set(shift)) > 1  # a single letter is not shifted by a constant
+
+
+def test_planted_values_against_a_plain_scan(spark, small):
+    """Values written into given texts are found where a plain list of them says."""
+    rng = random.Random(9)
+    values = [(k, v) for k, (good, _) in FORMS.items() for v in good]
+    rows, want = [], {}
+    for r in small.collect()[:60]:
+        words = (r.text or "").split()[:80]
+        words = [w for w in words if not any(c.isdigit() or c in "@:" for c in w)]
+        chosen = rng.sample(values, 3)
+        for k, v in chosen:
+            words.insert(rng.randrange(len(words) + 1), f"; {v} ;")
+        rows.append((r.doc_id, " ".join(words), None, None))
+        want[r.doc_id] = Counter(k for k, _ in chosen)
+    for r in pii.pseudonymise(table(spark, rows), b"key").collect():
+        assert {k: r[f"n_{k}"] for k in pii.KINDS if r[f"n_{k}"]} == want[r.doc_id], r.text
+        assert not any(f"; {v} ;" in r.text for _, v in values)
