@@ -241,7 +241,7 @@ def _run_staged(spark, wh, staged, run_ts, batch_id, variant, match_on, swallow,
         return BatchResult(seq, batch_id, SUCCESS, {p: counts[p] for p in PHASES[variant]}, None, clock.steps)
     except Exception as exc:  # C7: record the failure, publish nothing
         base_err = _max_id(wh.read("etl_error_log", schemas.ETL_ERROR_LOG), "error_id")
-        base_etl = _max_id(wh.read("etl_log", schemas.ETL_LOG), "etl_id")
+        base_etl = _max_id(wh.log(), "etl_id")
         err = spark.createDataFrame(
             [(base_err + 1, batch_id, "run_etl", f"{ERROR_MESSAGE}: {exc}")],
             "error_id long, batch_id string, procedure_name string, error_message string",

@@ -7,7 +7,9 @@ small files, and a growing
 list of directories every read must enumerate. ``compact`` rewrites the
 dimensions' current content, and the facts and closed versions added since the
 last compaction, into one new partition, as a committed
-batch of its own; readers then skip every batch it covers. Nothing is
+batch of its own; readers then skip every batch it covers. The log, which has a
+partition per batch as the commit marker, is folded into one table of all rows so
+far, so a reader opens that and the partitions since. Nothing is
 overwritten, so a reader of the previous state is unaffected, and the
 superseded partitions can be removed by storage retention afterwards
 (``superseded_paths``). Run it while no batch is running (single writer).
@@ -18,6 +20,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from starmart import schemas
 from starmart.operators.extract import high_watermark
@@ -71,6 +74,8 @@ def compact(spark: SparkSession, root: str, rows_per_file: int = ROWS_PER_FILE,
                          "dim_product", seq),
         lambda: wh.write(snap.dim_date, "dim_date", seq, files=1),
     )
+    folded = wh.log().where(F.col(PART) < seq).withColumnRenamed(PART, "of_batch")
+    wh.write(folded, "etl_log_fold", seq, files=_files(len(snap.committed) * 5, rows_per_file))
     entries = spark.createDataFrame([(t, through) for t in APPEND_ONLY], COMPACTION)
     keys = spark.createDataFrame(list(snap.max_keys.items()), KEY_STATE)
     parallel(lambda: wh.write(entries, "compaction", seq, files=1),
@@ -93,5 +98,8 @@ def superseded_paths(spark: SparkSession, root: str) -> list[str]:
     for table in comps:
         live = set(wh.live(table, committed, comps))
         out += [wh.path(table, b) for b in wh._batches(table) if b <= comps[table][-1][1] and b not in live]
+    folds = [b for b in wh._batches("etl_log_fold") if b in committed]
+    if folds:
+        out += [wh.path("etl_log", b) for b in wh._batches("etl_log") if b < folds[-1]] + [wh.path("etl_log_fold", b) for b in folds[:-1]]
     return sorted(out)
 

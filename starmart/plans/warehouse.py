@@ -11,6 +11,7 @@ Layout under ``root`` (every table is parquet, partitioned by ``batch_seq``):
     key_state/batch_seq=N                 (table_name, max_key) after batch N
     etl_error_log/batch_seq=N             error rows of a failed batch N
     etl_log/batch_seq=N                   log rows of batch N, written last
+    etl_log_fold/batch_seq=N              log rows of all batches before compaction N
     compaction/batch_seq=N                (table_name, covers_through) of a compaction
 
 A batch is committed when its ``etl_log`` partition holds the RUN/SUCCESS
@@ -120,14 +121,20 @@ class Warehouse:
         return seen.get
 
     # -------------------------------------------------------------- snapshot
+    def log(self) -> DataFrame:
+        """All rows of ``etl_log``, with ``batch_seq``: those of the latest
+        committed fold (a compaction's single table of all earlier rows) and
+        the partitions since."""
+        names, parts = schemas.ETL_LOG.fieldNames(), self._batches("etl_log")
+        for fold in reversed(self._batches("etl_log_fold")):
+            recent = self.read("etl_log", schemas.ETL_LOG, [b for b in parts if b >= fold]).select(*names, PART)
+            if not recent.where((F.col(PART) == fold) & run_succeeded()).isEmpty():
+                folded = self.read("etl_log_fold", ETL_LOG_FOLD, [fold])
+                return folded.select(*names, F.col("of_batch").alias(PART)).unionByName(recent)
+        return self.read("etl_log", schemas.ETL_LOG, parts).select(*names, PART)
+
     def committed_batches(self) -> list[int]:
-        log = self.read("etl_log", schemas.ETL_LOG)
-        if PART not in log.columns:
-            return []
-        rows = (
-            log.where((F.col("phase") == RUN) & (F.col("status") == SUCCESS))
-            .select(PART).distinct().collect()
-        )
+        rows = self.log().where(run_succeeded()).select(PART).distinct().collect()
         return sorted(r[0] for r in rows)
 
     def next_seq(self) -> int:
@@ -200,7 +207,7 @@ class Warehouse:
         fact = self.read("fact_sales", schemas.FACT_SALES, self.live("fact_sales", committed, comps),
                          (PART, "sales_year"))
         fact = fact.select(*schemas.FACT_SALES.fieldNames(), "sales_year")
-        log = self.read("etl_log", schemas.ETL_LOG).select(*schemas.ETL_LOG.fieldNames())
+        log = self.log().select(*schemas.ETL_LOG.fieldNames())
         errors = self.read("etl_error_log", schemas.ETL_ERROR_LOG).select(*schemas.ETL_ERROR_LOG.fieldNames())
         keys = {}
         if seq:
@@ -210,6 +217,9 @@ class Warehouse:
                         fact, log, errors, keys, closed)
 
 
+# Log rows of earlier batches in one table, each with its batch.
+ETL_LOG_FOLD = T.StructType([*schemas.ETL_LOG.fields, T.StructField("of_batch", T.IntegerType(), False)])
+
 COMPACTION = T.StructType([
     T.StructField("table_name", T.StringType(), False),
     T.StructField("covers_through", T.IntegerType(), False),
@@ -220,7 +230,12 @@ FOLDED = ("fact_sales", "dim_customer_closed")
 
 # Every table with batch partitions.
 TABLES = (*(f"staging/{t}" for t in (*schemas.SOURCES, "users_clean", "fact_candidates")), "dim_date", "dim_product",
-          "dim_customer_versions", "dim_customer_closed", "fact_sales", "key_state", "etl_error_log", "etl_log", "compaction")
+          "dim_customer_versions", "dim_customer_closed", "fact_sales", "key_state", "etl_error_log", "etl_log", "etl_log_fold", "compaction")
+
+
+def run_succeeded():
+    """The log row that commits a batch."""
+    return (F.col("phase") == RUN) & (F.col("status") == SUCCESS)
 
 
 def close_versions(versions: DataFrame, closed: DataFrame) -> DataFrame:

@@ -21,9 +21,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starmart import schemas
 from starmart.plans.batch import BatchResult, run_staged
-from starmart.plans.warehouse import RUN, SUCCESS, Warehouse
+from starmart.plans.warehouse import Warehouse, run_succeeded
 from starmart.sources.testdata import purchases_as_orders
 
 EVENTS = T.StructType([
@@ -48,9 +47,7 @@ def split_feed(feed: DataFrame) -> dict[str, DataFrame]:
 
 
 def already_committed(wh: Warehouse, batch_id: str) -> bool:
-    log = wh.read("etl_log", schemas.ETL_LOG)
-    hit = log.where((F.col("batch_id") == batch_id) & (F.col("phase") == RUN) & (F.col("status") == SUCCESS))
-    return hit.limit(1).count() > 0
+    return not wh.log().where((F.col("batch_id") == batch_id) & run_succeeded()).isEmpty()
 
 
 def load_micro_batch(spark: SparkSession, root: str, feed: DataFrame, batch_id: str,
