@@ -341,3 +341,18 @@ def brute_force(rows: list[tuple], n: int = 3, num: int = 90, den: int = 100) ->
                 ra, rb = find(a), find(b)
                 parent[max(ra, rb)] = min(ra, rb)
     return {d: (len(sets[d]), find(d)) for d in ids}
+
+
+SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS row, doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+  FROM documents),
+s AS MATERIALIZED (SELECT row, doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+  ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS g FROM d),
+e AS MATERIALIZED (SELECT row, unnest(g) AS gram FROM s),
+pairs AS (SELECT a.row AS a, b.row AS b, count(*) AS common FROM e a JOIN e b ON a.gram = b.gram AND a.row < b.row GROUP BY a.row, b.row),
+links AS MATERIALIZED (SELECT a, b FROM pairs JOIN s x ON x.row = a JOIN s y ON y.row = b WHERE 100 * common >= 90 * (len(x.g) + len(y.g) - common)),
+near AS MATERIALIZED (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reached(row, other) AS (SELECT row, row FROM s UNION SELECT reached.row, near.b FROM reached JOIN near ON near.a = reached.other)
+SELECT x.doc_id, CAST(len(any_value(x.g)) AS BIGINT) AS n_shingles, min(y.doc_id) AS component_id
+FROM reached JOIN s x ON x.row = reached.row JOIN s y ON y.row = reached.other GROUP BY x.row, x.doc_id"""

@@ -86,6 +86,7 @@ QUERIES = {
 }
 
 SQL = {
+    "op2_ngram_join": ngram_join.SQL,
     "op4_exact_dedup": exact_dedup.SQL,
     "op5_topk_search": topk.SQL,
     "op8_mixing": mixing.SQL,

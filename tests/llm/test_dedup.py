@@ -216,3 +216,14 @@ def test_without(spark, odd):
     left = without(odd, ids, "doc_id")
     assert left.columns == odd.columns
     assert sorted(r.doc_id for r in left.collect()) == [1, 2, 3, 4, 7, 8, 9, 11]
+
+
+def test_jaccard_as_sql(spark, tmp_path, small):
+    rng = random.Random(3)
+    rows = [(r.doc_id, r.text, None, None) for r in small.collect()[:80]]
+    for i, (_, t, *_) in enumerate(rows[:25]):
+        w = (t or "").split(" ")
+        w[rng.randrange(len(w))] = "changed"
+        rows.append((500 + i, " ".join(w).upper(), None, None))
+    rows += [(None, "One two", None, None), (900, "one  TWO", None, None), (901, None, None, None), (902, " ", None, None), (903, "one", None, None), rows[3], rows[3]]
+    same_as_sql(spark, tmp_path, rows, ngram_join.jaccard_components, ngram_join.SQL)
