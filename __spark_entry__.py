@@ -165,6 +165,14 @@ def q_dedup_users(spark, sf_dir):
     return transform_users(_src(spark, sf_dir, False)["users"])
 
 
+def q_dedup_users_folded(spark, sf_dir):
+    """E-mails that differ in case and accents only are one: a third of them is
+    written in capitals, a third with accents."""
+    users, k = _src(spark, sf_dir, False)["users"], F.col("user_id")
+    spelled = F.when(k % 3 == 0, F.upper("email")).when(k % 3 == 1, F.replace(F.replace("email", F.lit("user"), F.lit("ùsér")), F.lit("example"), F.lit("ÉXÄMPLÉ"))).otherwise(F.col("email"))
+    return transform_users(users.withColumn("email", spelled), fold=True)
+
+
 def q_dedup_dropped(spark, sf_dir):
     """Users the de-duplication removes, with the surviving user id of
     their e-mail (reported, since their orders never reach the fact)."""
@@ -756,6 +764,7 @@ _QUERIES = {
     "clean_users": q_clean_users,
     "dedup_users": q_dedup_users,
     "dedup_dropped": q_dedup_dropped,
+    "dedup_users_folded": q_dedup_users_folded,
     "scd1_upsert": q_scd1_upsert,
     "scd2_apply": q_scd2_apply,
     "scd2_active_unique": q_scd2_active_unique,
@@ -1161,6 +1170,11 @@ SELECT i.* FROM src_items i WHERE i.order_id IN ({staged_orders})""",
 SELECT p.* FROM src_payments p WHERE p.order_id IN ({staged_orders})""",
         "clean_users": src + "\nSELECT * FROM clean_users",
         "dedup_users": _with(_SRC, _DEDUP) + "\nSELECT * FROM dedup_users",
+        "dedup_users_folded": src + """,
+spelled AS (
+  SELECT user_id, name, CASE user_id % 3 WHEN 0 THEN upper(email) WHEN 1 THEN replace(replace(email, 'user', 'ùsér'), 'example', 'ÉXÄMPLÉ') ELSE email END AS email,
+         city, country, created_at, last_updated FROM clean_users)
+SELECT * FROM spelled QUALIFY user_id = min(user_id) OVER (PARTITION BY strip_accents(lower(email)))""",
         "dedup_dropped": _with(_SRC, _DEDUP) + """
 SELECT u.user_id, u.email, d.user_id AS kept_user_id
 FROM clean_users u JOIN dedup_users d ON d.email = u.email

@@ -9,7 +9,7 @@ from starmart.functions.dates import (
     sales_year,
     shift_days,
 )
-from starmart.functions.predicates import any_changed, is_blank, not_cancelled
+from starmart.functions.predicates import any_changed, folded, is_blank, not_cancelled
 from starmart.functions.values import line_amount, money, pick
 
 __all__ = [
@@ -17,6 +17,7 @@ __all__ = [
     "any_changed",
     "calendar_columns",
     "date_key",
+    "folded",
     "is_blank",
     "line_amount",
     "money",

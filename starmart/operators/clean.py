@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starmart.functions import is_blank
+from starmart.functions import folded, is_blank
 
 UNKNOWN = "Unknown"
 
@@ -16,7 +16,7 @@ def fill_unknown(df: DataFrame, columns=("country", "city"), value: str = UNKNOW
 
 
 def dedup_by_email(df: DataFrame, email: str = "email", user_id: str = "user_id",
-                   case_insensitive: bool = False, collation: str | None = None) -> DataFrame:
+                   case_insensitive: bool = False, collation: str | None = None, fold: bool = False) -> DataFrame:
     """Delete every row for which another row has the same e-mail and a
     smaller user id: the survivors of each e-mail are its minimum-id rows.
 
@@ -24,12 +24,15 @@ def dedup_by_email(df: DataFrame, email: str = "email", user_id: str = "user_id"
     per-e-mail minimum is a map-side-combined aggregate, and the join back
     is an equi join on e-mail (AQE splits a hot e-mail). Rows with a NULL
     e-mail or NULL id never match anything and are kept, as in SQL.
-    ``case_insensitive=True`` compares lower-cased e-mails; ``collation``
-    (e.g. ``"UNICODE_CI_AI"``, case- and accent-insensitive) compares under a
-    Spark collation instead (grouping then plans a sort aggregate).
+    ``case_insensitive=True`` compares lower-cased e-mails, ``fold=True`` ones
+    without case and accents (``functions.folded``), both by hash. ``collation``
+    (e.g. ``"UNICODE_CI_AI"``) compares under a Spark collation instead, whose
+    grouping plans a sort aggregate.
     """
     key = F.col(email)
-    if collation:
+    if fold:
+        key = folded(key)
+    elif collation:
         key = F.collate(key, collation)
     elif case_insensitive:
         key = F.lower(key)
@@ -49,6 +52,6 @@ def dropped_by_dedup(df: DataFrame, cleaned: DataFrame, user_id: str = "user_id"
 
 
 def transform_users(staged_users: DataFrame, case_insensitive: bool = False,
-                    collation: str | None = None) -> DataFrame:
+                    collation: str | None = None, fold: bool = False) -> DataFrame:
     """Fill blanks first, then de-duplicate (the reference order)."""
-    return dedup_by_email(fill_unknown(staged_users), case_insensitive=case_insensitive, collation=collation)
+    return dedup_by_email(fill_unknown(staged_users), case_insensitive=case_insensitive, collation=collation, fold=fold)

@@ -194,3 +194,18 @@ def test_writes_observe_their_rows(spark, tmp_path):
 def test_changed_since_a_date_partitioned_source(spark):
     df = spark.createDataFrame([("2020-01-01 00:00:00",), ("2020-01-02 00:00:01",)], "s string").select(F.col("s").cast("timestamp_ntz").alias("last_updated"), F.to_date("s").alias("last_updated_date"))
     assert changed_since(df, "2020-01-02 00:00:00").count() == 1
+
+
+def test_folded_dedup_groups_by_hash(spark):
+    from starmart.functions import folded
+    from starmart.operators.clean import dedup_by_email
+
+    words = ["É", "e", "E\u0301", "Ñandú", "nandu", "ß", "ss", "Ω", "ώ", "Ёж", "еж", "ǅ", "", None, "日本", "ﬁ"]
+    df = spark.createDataFrame(list(enumerate(words)), "user_id long, email string")
+    got = {r["user_id"]: r["k"] for r in df.select("user_id", folded("email").alias("k")).collect()}
+    assert got[0] == got[1] == got[2] == "e" and got[3] == got[4] == "nandu" and got[7] == got[8] and got[9] == got[10]
+    assert got[5] != got[6] and got[12] == "" and got[13] is None and got[14] == "日本"
+    kept = dedup_by_email(df, fold=True)
+    assert sorted(r["user_id"] for r in kept.collect()) == [0, 3, 5, 6, 7, 9, 11, 12, 13, 14, 15]
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
