@@ -19,11 +19,13 @@ in the quantile either. So some junk among the labelled texts (fewer than half)
 does not widen the limit, which is at most ``2 * TRIM`` spreads.
 
 The models are fitted on a bounded sample: about ``sample_docs`` labelled texts
-per language, for at most ``max_languages`` languages (the most frequent), of
-which a fifth calibrates; ``max_grams`` bounds a language's n-grams of the
-highest order (the most frequent ones stay; all orders derive from them). So
-the model's size is bounded: it is collected and broadcast. Prediction covers
-every text, whole, and uses the text alone.
+per language, drawn of its distinct texts, of which a fifth calibrates;
+``max_grams`` bounds a language's n-grams of the highest order (the most
+frequent ones stay; all orders derive from them). Every language that has a
+labelled text is learned (of fewer than five texts, all are trained on). Languages lie together in blocks of ``BLOCK``, whose
+arrays have a column per language, so the model's size is so many n-grams times
+the number of languages: it is collected and broadcast. Prediction covers every
+text, whole, and uses the text alone.
 
 A null text, or one without a letter, gives ``und``, score 0, rejected. A null
 id counts as the empty string for the held-out split. Without any labelled
@@ -46,7 +48,7 @@ from pyspark.sql import functions as F
 from .common import batch_of, id_and_text, lean, materialize, ship, texts, with_id
 
 ORDER = 4
-SAMPLE_DOCS, MAX_LANGUAGES, MAX_GRAMS = 1000, 200, 100_000
+SAMPLE_DOCS, MAX_GRAMS, BLOCK = 1000, 100_000, 8
 LIMIT, TRIM, QUANTILE = 8.0, 6.0, 0.999
 BLANK, EDGE = 32, 0
 _R = np.random.Generator(np.random.PCG64(77)).integers(1, 2**63, 16, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -148,15 +150,41 @@ def kneser_ney(cols: np.ndarray, counts: np.ndarray, vocabulary: int) -> _OneLan
 
 
 @dataclass
-class Model:
-    languages: list
-    alphabet: np.ndarray  # sorted symbols; index + 1 is a symbol's number, 0 an unknown one
-    order: int
+class Block:
+    """The models of some neighbouring languages."""
     keys: list  # per order, sorted hashes
     logp: list  # per order, (hashes, languages)
     ctx_keys: list
     ctx_logw: list
     unknown: np.ndarray
+
+    def logprobs(self, keys: list[np.ndarray]) -> np.ndarray:
+        """(positions, languages): log-probability of each symbol after the ones
+        before it; ``keys`` are the hashes of the n-grams that end at each position."""
+        order, size = len(keys), len(self.unknown)
+        out = np.empty((len(keys[0]), size), np.float32)
+        rows, carry = np.arange(len(out)), None
+        for n in range(order, 0, -1):
+            pos, hit = _find(self.keys[n], keys[n - 1][rows])
+            got = self.logp[n][pos[hit]]
+            out[rows[hit]] = got if carry is None else got + carry[hit]
+            rows, carry = rows[~hit], None if carry is None else carry[~hit]
+            if not len(rows):
+                return out
+            carry = np.zeros((len(rows), size), np.float32) if carry is None else carry
+            if n > 1:
+                pos, hit = _find(self.ctx_keys[n], keys[n - 2][np.maximum(rows - 1, 0)])
+                carry[hit] += self.ctx_logw[n][pos[hit]]
+        out[rows] = carry + self.unknown
+        return out
+
+
+@dataclass
+class Model:
+    languages: list
+    alphabet: np.ndarray  # sorted symbols; index + 1 is a symbol's number, 0 an unknown one
+    order: int
+    blocks: list  # of BLOCK languages each, in order
     temperature: float = 10.0
     mean: np.ndarray | None = None
     spread: np.ndarray | None = None  # per language: variance of long texts, variance times length
@@ -176,21 +204,7 @@ class Model:
     def logprobs(self, idx: np.ndarray) -> np.ndarray:
         """(positions, languages): log-probability of each symbol after the ones before it."""
         keys = _keys(idx, self.order)
-        out = np.empty((len(idx), len(self.languages)), np.float32)
-        rows, carry = np.arange(len(idx)), None
-        for n in range(self.order, 0, -1):
-            pos, hit = _find(self.keys[n], keys[n - 1][rows])
-            got = self.logp[n][pos[hit]]
-            out[rows[hit]] = got if carry is None else got + carry[hit]
-            rows, carry = rows[~hit], None if carry is None else carry[~hit]
-            if not len(rows):
-                return out
-            carry = np.zeros((len(rows), len(self.languages)), np.float32) if carry is None else carry
-            if n > 1:
-                pos, hit = _find(self.ctx_keys[n], keys[n - 2][np.maximum(rows - 1, 0)])
-                carry[hit] += self.ctx_logw[n][pos[hit]]
-        out[rows] = carry + self.unknown
-        return out
+        return np.concatenate([b.logprobs(keys) for b in self.blocks], 1)
 
     def entropies(self, rows: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Cross-entropy (texts, languages), symbols scored and letters of each text."""
@@ -203,12 +217,15 @@ class Model:
             for a in range(0, len(sym), step):
                 b = max(0, a - self.order + 1)
                 s, t = sym[b : a + step], text[b : a + step]
-                logp = self.logprobs(self.number(s))
+                keys = _keys(self.number(s), self.order)
                 real = s != EDGE
                 real[: a - b] = False
                 length[lo:hi] += np.bincount(t[real], minlength=hi - lo)
-                for k in range(len(self.languages)):
-                    xent[lo:hi, k] -= np.bincount(t[real], logp[real, k], minlength=hi - lo)
+                k = 0
+                for block in self.blocks:
+                    for column in block.logprobs(keys)[real].T:
+                        xent[lo:hi, k] -= np.bincount(t[real], column, minlength=hi - lo)
+                        k += 1
         return xent / np.maximum(length, 1)[:, None], length, letters
 
     def predict(self, rows: list[bytes]) -> tuple[list, np.ndarray, np.ndarray, np.ndarray]:
@@ -227,8 +244,8 @@ class Model:
         return lang, np.where(none, 0.0, score), np.where(none, 0.0, low), none | (far & (z > self.cut[best]))
 
 
-def combine(languages: list, models: list, cols: list, alphabet: np.ndarray, order: int) -> Model:
-    """Put the languages' models into common arrays."""
+def combine(models: list, cols: list, order: int) -> Block:
+    """Put some languages' models into common arrays."""
     keys, logp, ctx_keys, ctx_logw = ([None] * (order + 1) for _ in range(4))
     every = np.concatenate(cols)
     unknown = np.log(np.array([m.uniform for m in models], np.float32))
@@ -247,7 +264,7 @@ def combine(languages: list, models: list, cols: list, alphabet: np.ndarray, ord
             pos, hit = _find(m.direct[n][0], u)
             lp[:, k] = np.log(np.where(hit, m.direct[n][1][pos], 0.0) + np.exp(rest))
         keys[n], logp[n], ctx_keys[n], ctx_logw[n] = u, lp, ck, cw
-    return Model(languages, alphabet, order, keys, logp, ctx_keys, ctx_logw, unknown)
+    return Block(keys, logp, ctx_keys, ctx_logw, unknown)
 
 
 def _count(order: int):
@@ -268,17 +285,15 @@ def _count(order: int):
 
 
 def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", order: int = ORDER, sample_docs: int = SAMPLE_DOCS,
-        max_languages: int = MAX_LANGUAGES, max_grams: int = MAX_GRAMS) -> Model:
-    """Fit on a bounded sample of the rows whose text and language are not null."""
+        max_grams: int = MAX_GRAMS) -> Model:
+    """Fit on a bounded sample, per language, of the rows whose text and language are not null."""
     ship(docs.sparkSession)
     rows = docs.select(F.col(f"`{text_col}`").cast("string").alias("text"), F.col(f"`{lang_col}`").cast("string").alias("lang"))
     # The sample is drawn of distinct texts, by their digest: a text that fills a third of a language's rows counts once.
     rows = rows.where("text IS NOT NULL AND lang IS NOT NULL").withColumn("u", F.pmod(F.xxhash64("text"), F.lit(1 << 40)) / float(1 << 40))
-    top = rows.groupBy("lang").agg(F.approx_count_distinct("u").alias("n")).orderBy(F.desc("n"), "lang").limit(max_languages).collect()
-    if not top:
-        return Model([], np.empty(0, np.int64), order, [], [], [], [], np.empty(0))
-    rate = F.create_map(*[x for r in top for x in (F.lit(r["lang"]), F.lit(min(1.0, 1.25 * sample_docs / r["n"])))])
-    rows = materialize(rows.withColumn("rate", F.try_element_at(rate, F.col("lang"))).where("u < rate").select(F.col("text").cast("binary").alias("text"), "lang", (F.col("u") < F.col("rate") * 0.8).alias("train")).distinct())
+    of_lang = rows.groupBy("lang").agg(F.approx_count_distinct("u").alias("n")).select("lang", "n", F.least(F.lit(1.0), F.lit(1.25 * sample_docs) / F.col("n")).alias("rate"))
+    rows = rows.join(materialize(of_lang), "lang").where("u < rate")
+    rows = materialize(rows.select(F.col("text").cast("binary").alias("text"), "lang", ((F.col("n") < 5) | (F.col("u") < F.col("rate") * 0.8)).alias("train")).distinct())
     grams = rows.where("train").select("text", "lang").mapInArrow(lean(_count(order)), "lang string, gram array<int>, n long")
     grams = materialize(grams.groupBy("lang", "gram").agg(F.sum("n").alias("n")))
     # The least count that leaves at most max_grams n-grams, from the histogram of counts.
@@ -288,8 +303,10 @@ def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", order:
         total[r["lang"]] = total.get(r["lang"], 0) + r["k"]
         if total[r["lang"]] <= max_grams or r["lang"] not in least:
             least[r["lang"]] = r["c"]
-    keep = F.create_map(*[x for k, v in least.items() for x in (F.lit(k), F.lit(v))])
-    table = grams.where(F.col("n") >= F.element_at(keep, F.col("lang"))).toArrow()
+    if not least:
+        return Model([], np.empty(0, np.int64), order, [])
+    keep = grams.sparkSession.createDataFrame(list(least.items()), "lang string, least long")
+    table = grams.join(keep, "lang").where("n >= least").select("lang", "gram", "n").toArrow()
     langs = sorted(least)
     flat = np.array(table.column("gram").combine_chunks().flatten(), np.int64).reshape(-1, order)
     counts, of = np.array(table.column("n"), float), np.array(table.column("lang").to_pylist(), object)
@@ -299,7 +316,9 @@ def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", order:
     # In one order whatever the order of arrival, so that a fit is repeatable.
     parts = [p[np.argsort(_row_keys(cols[p], order))] for p in parts]
     models = [kneser_ney(cols[p], counts[p], len(alphabet) + 1) for p in parts]
-    return calibrate(combine(langs, models, [cols[p] for p in parts], alphabet, order), rows)
+    cols = [cols[p] for p in parts]
+    blocks = [combine(models[k : k + BLOCK], cols[k : k + BLOCK], order) for k in range(0, len(langs), BLOCK)]
+    return calibrate(Model(langs, alphabet, order, blocks), rows)
 
 
 def _robust_spread(dev: np.ndarray, inverse: np.ndarray) -> tuple[tuple[float, float], np.ndarray]:
