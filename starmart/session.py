@@ -123,7 +123,7 @@ def discard(*frames) -> None:
     """Remove tables that ``materialize`` wrote, once nothing reads them any
     more. Frames it did not write are left alone."""
     for df in frames:
-        path = getattr(df, "_table", None)
+        path = df.__dict__.get("_table")
         if path:
             spark = df.sparkSession
             jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
