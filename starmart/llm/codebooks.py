@@ -13,25 +13,27 @@ shard has a tree over its parts: nodes are halves at the median of the widest
 side of the node's bounding box, and hold that box and the *cached sum* of
 their parts. Trees are built once, written, and reread by every round. A round
 broadcasts the codebooks (``parts * entries`` integer vectors, a size set by
-parameters) and builds a tree of the same kind over each codebook's entries. The two
-trees are descended together: of a pair (node of parts, node of entries) the boxes
-give the least and the largest squared distance, and a pair whose least
-distance is beyond another pair's largest, for the same node of parts, is pruned.
-A node of parts with one entry left is assigned whole, by its cached sum. Leaves with several
-are settled by integer distances to the entries left. All bounds are integers and pruning is strict, so the
-result is that of comparing everything, ties included, and does not depend on
-how the vectors are dealt to shards.
+parameters) and builds a tree of the same kind over each codebook's entries.
+The two trees are descended together: of a pair (node of parts, node of
+entries) the boxes give the least and the largest squared distance, and a pair
+whose least distance is beyond another pair's largest, for the same node of
+parts, is pruned. A node of parts with one entry left is assigned whole, by its
+cached sum. Leaves with several are settled by integer distances to the entries
+left. All bounds are integers and pruning is strict, so the result is that of
+comparing everything, ties included, and does not depend on how the vectors are
+dealt to shards.
 
 A task sends one sum per entry and component; Spark adds them up, and only the
 new codebooks reach the driver.
 
-A vector that is null or holds a null or non-finite component is dropped. Vectors
-shorter than the longest, or whose length ``parts`` does not divide, count as
-padded with zeros. Integers beyond 2**25 in size count as 2**25, so that sums
-stay within 64 bits. Null vec_ids come after all others in the choice of first
-entries, and rows that repeat a vec_id are rows each, in the order of their vectors. With fewer rows than
-``entries`` the codebooks are that much smaller; an empty table gives an empty result.
-Columns other than id, vector and label are ignored, whatever their names.
+A vector that is null or holds a null or non-finite component is dropped.
+Vectors shorter than the longest, or whose length ``parts`` does not divide,
+count as padded with zeros. Integers beyond 2**25 in size count as 2**25, so
+that sums stay within 64 bits. Null vec_ids come after all others in the choice
+of first entries, and rows that repeat a vec_id are rows each, in the order of
+their vectors. With fewer rows than ``entries`` the codebooks are that much
+smaller; an empty table gives an empty result. Columns other than id, vector
+and label are ignored, whatever their names.
 """
 
 from __future__ import annotations

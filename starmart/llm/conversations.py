@@ -1,13 +1,14 @@
 """Conversation repair by a run-length dynamic programme.
 
 A conversation's rows stand by turn, nulls first; rows of one turn by the
-SHA-256 of their role and text. A row's first fault counts: *blank* (nothing but white
-space), *duplicate* (role and text seen earlier in the conversation), *truncated* (the last
-character that is not white space is none of ``.!?``). The repair edits rows so
-that role initials read ``(s?(ua)+)?``: Keep costs 0, Rerole (to user or
-assistant) 1, Delete 2 and is required for blank and duplicate rows, Insert (an
-empty text of user or assistant, anywhere) 5; a truncated row that stays adds 5.
-The audit is the cheapest sequence of edits, of equally cheap ones the ASCII-least.
+SHA-256 of their role and text. A row's first fault counts: *blank* (nothing
+but white space), *duplicate* (role and text seen earlier in the conversation),
+*truncated* (the last character that is not white space is none of ``.!?``).
+The repair edits rows so that role initials read ``(s?(ua)+)?``: Keep costs 0,
+Rerole (to user or assistant) 1, Delete 2 and is required for blank and
+duplicate rows, Insert (an empty text of user or assistant, anywhere) 5; a
+truncated row that stays adds 5. The audit is the cheapest sequence of edits,
+of equally cheap ones the ASCII-least.
 
 Run-length DP. A row's symbol is its role initial (s, u, a or another) with its
 fault; equal consecutive symbols are one run. An edit takes the reader of the
@@ -18,20 +19,22 @@ from the end run by run; the audit is unrolled from the start, in blocks whose
 costs to go come from the same powers.
 
 Rows are sorted by range of (conversation, turn, digest), without their texts,
-so a conversation may lie in many partitions. One that lies in a single partition is
-repaired there. Of one that crosses partitions, each partition gives its piece's transition
-matrix; costs to go are folded over the pieces; every piece is unrolled for each state it
-may start in, and the pieces are chained. So no task holds the rows of a large conversation.
-What is of its size are the audit itself, one character a row, and the stream
-of its repaired text through one SHA-256, which has to read it from start to end.
-Duplicates are told by an aggregate and a join on (conversation, digest), which Spark
-can split.
+so a conversation may lie in many partitions. One that lies in a single
+partition is repaired there. Of one that crosses partitions, each partition
+gives its piece's transition matrix; costs to go are folded over the pieces;
+every piece is unrolled for each state it may start in, and the pieces are
+chained. So no task holds the rows of a large conversation. What is of its size
+are the audit itself, one character a row, and the stream of its repaired text
+through one SHA-256, which has to read it from start to end. Duplicates are
+told by an aggregate and a join on (conversation, digest), which Spark can
+split.
 
 Nulls in role and text count as one space. A null conversation id is a
-conversation of its own; turns that are null take no part in the gaps. Rows that
-repeat turn, role and text are duplicates of each other. A conversation without rows gives
-zeros, an empty audit and the digest of the empty string; an empty table gives
-an empty result. Columns other than the four are ignored, whatever their names.
+conversation of its own; turns that are null take no part in the gaps. Rows
+that repeat turn, role and text are duplicates of each other. A conversation
+without rows gives zeros, an empty audit and the digest of the empty string; an
+empty table gives an empty result. Columns other than the four are ignored,
+whatever their names.
 """
 
 from __future__ import annotations

@@ -2,14 +2,14 @@
 
 The standard library's parser streams a page as events. Events become lines: a
 block element or a line break begins a new one. Every line knows its text
-(character references decoded, white space as one space), how many tags and
-how much link text it has, and the element it stands in.
+(character references decoded, white space as one space), how many tags and how
+much link text it has, and the element it stands in.
 
 1. Lines of navigation, headers, footers, asides, menus, forms, scripts, styles
-   and the like are no candidates, nor those of elements whose class, id or role
-   names an advert, a notice, a sidebar, reader comments and so on (``HINTS``).
-   An element that wraps an article is none of these, unless it holds comments
-   or is an aside. The headings in an article's own header stay.
+   and the like are no candidates, nor those of elements whose class, id or
+   role names an advert, a notice, a sidebar, reader comments and so on
+   (``HINTS``). An element that wraps an article is none of these, unless it
+   holds comments or is an aside. The headings in an article's own header stay.
 2. A candidate's ratio is its text outside links over its tags. Ratios are
    smoothed with a Gaussian over neighbouring lines, and their logarithms fall
    into two clusters (two means in one dimension); the threshold between them
@@ -23,10 +23,10 @@ how much link text it has, and the element it stands in.
 
 A null or empty page, and one without text, gives an empty text. Text without
 any markup is one line and is kept. If names of classes leave no line at all,
-they are ignored. Unclosed and crossing tags, broken declarations and bytes that
-are not UTF-8 don't fail. Pages of any length go through whole, one at a time.
-Repeated rows each give a row; an empty table gives an empty result; columns
-other than id, url and html are ignored.
+they are ignored. Unclosed and crossing tags, broken declarations and bytes
+that are not UTF-8 don't fail. Pages of any length go through whole, one at a
+time. Repeated rows each give a row; an empty table gives an empty result;
+columns other than id, url and html are ignored.
 """
 
 from __future__ import annotations

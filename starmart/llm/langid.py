@@ -22,16 +22,17 @@ The models are fitted on a bounded sample: about ``sample_docs`` labelled texts
 per language, drawn of its distinct texts, of which a fifth calibrates;
 ``max_grams`` bounds a language's n-grams of the highest order (the most
 frequent ones stay; all orders derive from them). Every language that has a
-labelled text is learned (of fewer than five texts, all are trained on). Languages lie together in blocks of ``BLOCK``, whose
-arrays have a column per language, so the model's size is so many n-grams times
-the number of languages: it is collected and broadcast. Prediction covers every
-text, whole, and uses the text alone.
+labelled text is learned (of fewer than five texts, all are trained on).
+Languages lie together in blocks of ``BLOCK``, whose arrays have a column per
+language, so the model's size is so many n-grams times the number of languages:
+it is collected and broadcast. Prediction covers every text, whole, and uses
+the text alone.
 
 A null text, or one without a letter, gives ``und``, score 0, rejected. A null
-id counts as the empty string for the held-out split. Without any labelled
-text every prediction is ``und``. Equal cross-entropies go to the language
-first in code-point order. Repeated rows each give a row; other columns are
-ignored by ``identify`` and kept, whatever their names, by ``keep_identified``.
+id counts as the empty string for the held-out split. Without any labelled text
+every prediction is ``und``. Equal cross-entropies go to the language first in
+code-point order. Repeated rows each give a row; other columns are ignored by
+``identify`` and kept, whatever their names, by ``keep_identified``.
 """
 
 from __future__ import annotations

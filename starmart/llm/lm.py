@@ -12,29 +12,30 @@ in the network, whose size is fixed. A rare word's probability is its bucket's
 times the word's share of the bucket's occurrences in the corpus, so every word
 has its own. These shares are a Spark table of all distinct rare words, which
 grows with the corpus. Each bucket counts one occurrence more than the corpus
-has, which is the share of a word not in it, so a bucket's shares sum to one.
-A word that occurs once has the share of one that does not occur, so only words
+has, which is the share of a word not in it, so a bucket's shares sum to one. A
+word that occurs once has the share of one that does not occur, so only words
 that occur twice need to be found: those of the highest counts, ``FREQUENT`` at
 most, are broadcast with their shares; of the others a filter of fixed size is,
 and a word that it holds meets the table in a join. Words are told apart by
 64-bit hashes.
 
 Training covers every document once. Documents are dealt to ``rounds`` rounds,
-and within a round to learners of about ``LEARNER`` words, by hashes of id and text. In a
-round every learner starts from the same network, trains a copy in numpy over
-all words of its documents in the order of their hashes (Adagrad), and sends its
-weights with its number of words; Spark sums them piece by piece in the learners'
-order, and the weighted mean starts the next round. So the model depends on the
-documents only, not on how they are read, dealt to tasks or batched. The
-network's size is fixed by parameters, so it is collected and broadcast; what the
-learners send grows with the corpus.
+and within a round to learners of about ``LEARNER`` words, by hashes of id and
+text. In a round every learner starts from the same network, trains a copy in
+numpy over all words of its documents in the order of their hashes (Adagrad),
+and sends its weights with its number of words; Spark sums them piece by piece
+in the learners' order, and the weighted mean starts the next round. So the
+model depends on the documents only, not on how they are read, dealt to tasks
+or batched. The network's size is fixed by parameters, so it is collected and
+broadcast; what the learners send grows with the corpus.
 
 A null text, and a text without words, has no tokens, log-probability 0 and a
 null mean. A text of one word is predicted from its edges. Texts of any length
 go through in pieces of ``BATCH`` words with whole contexts. Without any words
-the network stays as it starts. Repeated rows each give a row (and train
-twice, in one learner where id and text repeat); columns other than id and text
-are ignored. A score may differ in the last digits of single precision by the texts that are scored beside it.
+the network stays as it starts. Repeated rows each give a row (and train twice,
+in one learner where id and text repeat); columns other than id and text are
+ignored. A score may differ in the last digits of single precision by the texts
+that are scored beside it.
 """
 
 from __future__ import annotations

@@ -10,12 +10,13 @@ ODD = [
 ]
 SCHEMA = T.StructType([
     T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()), T.StructField("lang", T.StringType()), T.StructField("source", T.StringType()),
-    *[T.StructField(c, T.IntegerType()) for c in ("digest", "row", "p", "passed", "keep_id", "class", "gram", "component", "n", "size", "ids", "slice")]])
+    *[T.StructField(c, T.IntegerType()) for c in ("digest", "row", "p", "passed", "keep_id", "class", "gram", "component", "n", "size", "ids", "slice",
+                                                       "u", "rate", "train", "batch", "word", "share", "bucket", "round", "learner", "mark", "drop", "line")]])
 
 
 def table(spark, rows):
     """Documents with more columns, of names that the operators use themselves."""
-    return spark.createDataFrame([(*r, *([0] * 12)) for r in rows], SCHEMA)
+    return spark.createDataFrame([(*r, *([0] * 24)) for r in rows], SCHEMA)
 
 
 @pytest.fixture(scope="session")
