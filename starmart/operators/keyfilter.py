@@ -1,13 +1,14 @@
 """Q1 kept up to date: uniqueness of a batch's keys against all that is loaded.
 
-Recounting a key over the whole fact per batch reads everything. A ``KeyFilter``
-keeps a Bloom filter of the loaded keys as a table of bitmaps, one row of 4 KB per cell
-block, cut by the key's hash: it grows with ``keys`` and is never gathered. A batch
-joins its keys to the blocks they fall in and tests one bit each; only keys
-whose bit is set are suspects. Suspects are confirmed against the loaded table
-itself, whose scan gets the intervals of their first key column as pushed filters
-and is left out when there are none. Keys that occur twice within the batch are found by its own
-aggregate. No duplicate is lost: a filter has no false negatives.
+Recounting a key over the whole fact per batch reads everything. A
+``KeyFilter`` keeps a Bloom filter of the loaded keys as a table of bitmaps,
+one row of 4 KB per cell block, cut by the key's hash: it grows with ``keys``
+and is never gathered. A batch joins its keys to the blocks they fall in and
+tests one bit each; only keys whose bit is set are suspects. Suspects are
+confirmed against the loaded table itself, whose scan gets the intervals of
+their first key column as pushed filters and is left out when there are none.
+Keys that occur twice within the batch are found by its own aggregate. No
+duplicate is lost: a filter has no false negatives.
 """
 
 from __future__ import annotations

@@ -3,12 +3,12 @@
 A ``FileTable`` is a folder of immutable parquet files and a log of which of
 them are live: ``log/version=N`` lists the files that version N adds and
 removes, and is written last, which is the commit. Readers open the live files
-of one version and are unaffected by later ones. ``update`` finds the files with a
-matching row by ``_metadata.file_path`` (a scan that reads the predicate's
-columns only, and skips files and row groups by their statistics), rewrites
-those, and commits; every other file stays as it is. The list of live files is
-the table's metadata, of the size of the listing Spark itself keeps on the driver to plan
-a scan. One writer at a time.
+of one version and are unaffected by later ones. ``update`` finds the files
+with a matching row by ``_metadata.file_path`` (a scan that reads the
+predicate's columns only, and skips files and row groups by their statistics),
+rewrites those, and commits; every other file stays as it is. The list of live
+files is the table's metadata, of the size of the listing Spark itself keeps on
+the driver to plan a scan. One writer at a time.
 """
 
 from __future__ import annotations

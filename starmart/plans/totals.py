@@ -1,14 +1,15 @@
 """D8 kept up to date: order totals as a table of upserts, merged on read.
 
-``refresh_order_totals`` recomputes every order. Here the first batch writes the
-total of every order that has items, and a later batch those of its staged orders only
-(an order whose items are all gone gets a NULL total); per order the latest
-batch wins. Items reach a batch with their whole order (``extract.children_of``), so
-an order's total is always that of all its items. ``fold`` writes the current totals as a
-new base, after which earlier batches are no longer read.
-
-Layout: ``order_totals/batch_seq=N``, and ``order_totals_base/batch_seq=N`` of every fold,
-written last; batches before the latest fold are not read.
+``refresh_order_totals`` recomputes every order. Here the first batch writes
+the total of every order that has items, and a later batch those of its staged
+orders only (an order whose items are all gone gets a NULL total); per order
+the latest batch wins. Items reach a batch with their whole order
+(``extract.children_of``), so an order's total is always that of all its items.
+``fold`` writes the current totals as a new base, after which earlier batches
+are no longer read.
+
+Layout: ``order_totals/batch_seq=N``, and ``order_totals_base/batch_seq=N`` of
+every fold, written last; batches before the latest fold are not read.
 """
 
 from __future__ import annotations

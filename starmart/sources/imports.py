@@ -4,13 +4,13 @@
 rows as parquet in the layout ``read_sources`` expects, and the others to one
 reject table: the raw line, which table it was meant for, and the first reason
 found. A line is rejected when it has another number of fields than the table,
-when a field is no value of its column's type, or when a NOT NULL column is empty: what
-the source database's own import refuses. Both sides come from one parse of each
-file, written once; nothing is collected.
+when a field is no value of its column's type, or when a NOT NULL column is
+empty: what the source database's own import refuses. Both sides come from one
+parse of each file, written once; nothing is collected.
 
-A field that is quoted may hold the delimiter and, doubled, quotes, but no line break:
-files are split into lines by the scan, so that large ones are read in parallel.
-An empty field is NULL.
+A field that is quoted may hold the delimiter and, doubled, quotes, but no line
+break: files are split into lines by the scan, so that large ones are read in
+parallel. An empty field is NULL.
 """
 
 from __future__ import annotations
