@@ -44,7 +44,7 @@ from pyspark.sql import functions as F
 from .common import batch_of, id_and_text, lean, mix, spans_hash, texts, with_id
 
 BLANK = "▁"
-GROUP_BYTES, REMEMBERED, PAIRS = 1 << 21, 1 << 19, 1 << 21
+GROUP_BYTES, REMEMBERED, PAIRS = 1 << 20, 1 << 19, 1 << 20
 _R = np.random.Generator(np.random.PCG64(404)).integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -127,7 +127,11 @@ class Pieces:
         """Whether merging leaves each pair of piece ids as it is; unknown characters (-1) never merge."""
         keys = (left.astype(np.int64) + 1 << 32) + right + 1
         u, inverse = np.unique(keys, return_inverse=True)
-        new = np.setdiff1d(u, self.pairs, assume_unique=True)
+        pos = np.searchsorted(self.pairs, u)
+        known = np.zeros(len(u), bool)
+        if len(self.pairs):
+            known = self.pairs[np.minimum(pos, len(self.pairs) - 1)] == u
+        new = u[~known]
         if len(new):
             passes = np.ones(len(new), bool)
             for i, k in enumerate(new.tolist()):
@@ -137,10 +141,9 @@ class Pieces:
             if len(self.pairs) + len(new) > PAIRS:  # a bound on memory
                 self.pairs, self.passing = np.empty(0, np.int64), np.empty(0, bool)
                 return self.stay_apart(left, right) if len(u) < PAIRS else np.array([self.stay_apart(left[i : i + 1], right[i : i + 1])[0] for i in range(len(left))])
-            keys = np.concatenate([self.pairs, new])
-            o = np.argsort(keys)
-            self.pairs, self.passing = keys[o], np.concatenate([self.passing, passes])[o]
-        return self.passing[np.searchsorted(self.pairs, u)][inverse]
+            self.pairs, self.passing = np.insert(self.pairs, pos[~known], new), np.insert(self.passing, pos[~known], passes)
+            pos = np.searchsorted(self.pairs, u)
+        return self.passing[pos][inverse]
 
 
 def load_pieces(path: str | None = None) -> Pieces:
@@ -280,8 +283,8 @@ class Encoder:
             a, z = starts[where[new]], ends[where[new]]
             ids, counts = [], []
             size, lo = np.cumsum(z - a), 0
-            while lo < len(new):  # some 200 kB of distinct units at a time
-                hi = max(lo + 1, int(np.searchsorted(size, (size[lo - 1] if lo else 0) + 200_000, "right")))
+            while lo < len(new):  # some 50 kB of distinct units at a time
+                hi = max(lo + 1, int(np.searchsorted(size, (size[lo - 1] if lo else 0) + 50_000, "right")))
                 i, c = lattice([raw[x:y].decode("utf-8", "surrogateescape") for x, y in zip(a[lo:hi].tolist(), z[lo:hi].tolist())], self.table)
                 ids.append(i)
                 counts.append(c)
@@ -290,10 +293,9 @@ class Encoder:
             at[new], n[new] = len(flat) + np.cumsum(counts) - counts, counts
             flat = np.concatenate([flat, *ids])
             if len(self.keys) + len(new) <= self.limit:
-                keys = np.concatenate([self.keys, u[new]])
-                o = np.argsort(keys)
-                self.keys, self.flat = keys[o], flat
-                self.at, self.n = np.concatenate([self.at, at[new]])[o], np.concatenate([self.n, n[new]])[o]
+                # both are in order: put the new ones between
+                self.keys, self.flat = np.insert(self.keys, pos[new], u[new]), flat
+                self.at, self.n = np.insert(self.at, pos[new], at[new]), np.insert(self.n, pos[new], n[new])
         per_unit = n[inverse]
         owner = np.searchsorted(first, starts, "right") - 1
         return flat[_ranges(at[inverse], per_unit)], np.bincount(owner, per_unit, len(rows)).astype(np.int64)
