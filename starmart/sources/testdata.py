@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from starmart.functions import money, shift_days
 from starmart.operators.keys import assign_surrogate_keys
-from starmart.session import session_key
+from starmart.session import kept_tables, session_key
 
 # Fixed values of the adapter (shared with the SQL oracle).
 AS_OF = "2001-09-01 00:00:00"
@@ -102,14 +102,13 @@ _KEYED: dict = {}
 
 
 def _memo(spark: SparkSession, sf_dir: str, name: str, build):
-    """Keyed adapter tables are fixed functions of the driver tables; they
-    are written once per session under the checkpoint directory and read
-    back from there by every later query."""
-    from starmart.session import materialize
-
+    """Keyed adapter tables are fixed functions of the driver tables; the
+    numbering writes them once per session under the checkpoint directory, and
+    every later query reads them back from there."""
     key = (session_key(spark), sf_dir, name)
     if key not in _KEYED:
-        _KEYED[key] = materialize(build(), keep=True)
+        with kept_tables():
+            _KEYED[key] = build()
     return _KEYED[key]
 
 
@@ -134,8 +133,8 @@ def _item_cols():
 def _keyed_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem")
     keyed = assign_surrogate_keys(li.select(*ITEM_NATURAL_KEY, "l_quantity", "l_extendedprice"),
-                                  ITEM_NATURAL_KEY, "order_item_id")
-    return keyed.select(F.col("order_item_id"), *_item_cols())
+                                  ITEM_NATURAL_KEY, "order_item_id", keep=_item_cols())
+    return keyed.select("order_item_id", "order_id", "product_id", "quantity", "price")
 
 
 def payments(spark: SparkSession, sf_dir: str) -> DataFrame:

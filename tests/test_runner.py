@@ -16,6 +16,8 @@ from starmart.operators.keys import assign_surrogate_keys
 from starmart.plans.batch import now_ts, run_batch, run_staged
 from starmart.plans.compaction import compact
 from starmart.plans.warehouse import TABLES, Warehouse
+from starmart.session import scratch_tables
+from starmart.sources import testdata as td
 from starmart.sources.oltp import csv_clean, csv_rejects, read_sources, read_table
 
 H = dt.timedelta(hours=1)
@@ -165,3 +167,41 @@ def test_reload_is_one_anti_join(spark):
     cands = schemas.empty(spark, schemas.FACT_CANDIDATES)
     p = not_yet_loaded(cands, facts)._jdf.queryExecution().optimizedPlan().toString()
     assert p.count("Join LeftAnti") <= 1 and "LeftSemi" not in p
+
+
+# ------------------------------------------------ bytes moved at scale
+def _optimized(df) -> str:
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_numbered_rows_are_shuffled_by_their_range_only(spark):
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(threshold)
+    spark.conf.set(threshold, "-1")  # as with rows beyond any threshold
+    try:
+        p = plan(assign_surrogate_keys(spark.range(0, 5000).select((F.col("id") * 3).alias("a"), F.col("id").alias("b")), ["a"], "k"))
+    finally:
+        spark.conf.set(threshold, before)
+    assert "BroadcastHashJoin" in p and "SortMergeJoin" not in p
+    assert not any("Exchange" in x and "_k1_of" in x and "hashpartitioning" in x for x in p.split("\n"))
+
+
+def test_numbering_writes_the_kept_columns_only(spark):
+    df = spark.range(0, 100).select((100 - F.col("id")).alias("a"), F.col("id").alias("b"), F.lit("x").alias("c"))
+    keyed = assign_surrogate_keys(df, ["a", "c"], "k", keep=[F.col("b").cast("int").alias("b")])
+    assert keyed.columns == ["b", "k"] and [tuple(r) for r in keyed.orderBy("k").limit(2).collect()] == [(99, 1), (98, 2)]
+    assert set(spark.read.parquet(*keyed.inputFiles()).columns) == {"b", "_k1_group", "_k1_place"}
+
+
+def test_keyed_items_are_written_once_and_outlive_the_batch(spark, tmp_root):
+    rows = [(o, p, 1, n, float(n), 10.0 * n, f"2000-01-0{n} 00:00:00") for o in (1, 2) for p in (5, 6) for n in (1, 2)]
+    spark.createDataFrame(rows, "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, ship string").select(
+        "*", F.col("ship").cast("timestamp_ntz").alias("l_shipdate")).drop("ship").write.parquet(f"{tmp_root}/lineitem.parquet")
+    with scratch_tables():
+        items = td.order_items(spark, tmp_root)
+    tables = {f.split("/tables/")[1].split("/")[0] for f in items.inputFiles()}
+    assert len(tables) == 1 and items.count() == 8
+    assert set(spark.read.parquet(*items.inputFiles()).columns) == {"order_id", "product_id", "quantity", "price", "_k1_group", "_k1_place"}
+    got = sorted(tuple(r) for r in items.select("order_item_id", "order_id", "product_id", "quantity", F.col("price").cast("double")).collect())
+    want = sorted((o, n, p, q, x) for o, p, _, n, q, x, _ in rows)
+    assert got == [(i, o, p, int(q), x) for i, (o, n, p, q, x) in enumerate(want, 1)]
