@@ -114,7 +114,7 @@ class Warehouse:
             df = df.repartition(files)
         seen = Observation()
         counts = [F.count(F.lit(1)).alias("rows"), *(F.count_if(c).alias(n) for n, c in (counting or {}).items())]
-        w = df.observe(seen, *counts).write.mode("overwrite")
+        w = df.observe(seen, *counts).write.mode("overwrite").option("compression", "zstd")
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.parquet(self.path(table, seq))

@@ -178,5 +178,6 @@ def conform(df, schema: T.StructType):
 
 
 def empty(spark, schema: T.StructType):
-    """A clone of a table with no rows (``CREATE TABLE ... LIKE``)."""
-    return spark.createDataFrame([], schema)
+    """A clone of a table with no rows (``CREATE TABLE ... LIKE``). The filter
+    tells the optimizer so: joins with it are left out, and nothing is shuffled for them."""
+    return spark.createDataFrame([], schema).where("false")

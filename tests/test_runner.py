@@ -205,3 +205,11 @@ def test_keyed_items_are_written_once_and_outlive_the_batch(spark, tmp_root):
     got = sorted(tuple(r) for r in items.select("order_item_id", "order_id", "product_id", "quantity", F.col("price").cast("double")).collect())
     want = sorted((o, n, p, q, x) for o, p, _, n, q, x, _ in rows)
     assert got == [(i, o, p, int(q), x) for i, (o, n, p, q, x) in enumerate(want, 1)]
+
+
+def test_first_batch_joins_nothing_with_empty_tables(spark):
+    facts = schemas.empty(spark, schemas.FACT_SALES).withColumn("sales_year", F.lit(2000))
+    cands = spark.range(3).select(F.col("id").alias("source_order_item_id"), F.lit(20200101).alias("date_key"))
+    for match_on in ("split", "combined"):
+        fresh = not_yet_loaded(cands, facts, match_on)
+        assert "Join" not in _optimized(fresh) and fresh.count() == 3
