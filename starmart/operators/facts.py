@@ -71,18 +71,18 @@ def fact_rejects(staged_items: DataFrame, staged_orders: DataFrame, dim_customer
 def not_yet_loaded(candidates: DataFrame, existing_fact: DataFrame, match_on: str = "split") -> DataFrame:
     """Candidates whose match key is not in the fact table.
 
-    One anti join. Where the date is part of the key, the existing fact is
-    cut to the batch's range of dates first (and of ``sales_year``, where the
+    One anti join. The existing fact is cut to the batch's range of every key
+    column first (and of ``sales_year``, where the date is part of the key and the
     fact is partitioned by it), so that partitions and row groups outside the
-    range are skipped.
+    range are skipped, and only facts within it are shuffled.
     """
     keys = MATCH_KEYS[match_on]
     existing = existing_fact
-    if "date_key" in keys:
-        ends = candidates.agg(F.min("date_key").alias("low"), F.max("date_key").alias("high"))
-        low, high = ends.select("low").scalar(), ends.select("high").scalar()
-        existing = existing.where(F.col("date_key").between(low, high))
-        if "sales_year" in existing_fact.columns:
+    ends = candidates.agg(*(f(k).alias(f"{end}_{k}") for k in keys for end, f in (("low", F.min), ("high", F.max))))
+    for k in keys:
+        low, high = ends.select(f"low_{k}").scalar(), ends.select(f"high_{k}").scalar()
+        existing = existing.where(F.col(k).between(low, high))
+        if k == "date_key" and "sales_year" in existing_fact.columns:
             existing = existing.where(F.col("sales_year").between(F.floor(low / 10000), F.floor(high / 10000)))
     return candidates.join(existing.select(*keys), keys, "left_anti").select(*candidates.columns)
 

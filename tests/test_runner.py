@@ -213,3 +213,14 @@ def test_first_batch_joins_nothing_with_empty_tables(spark):
     for match_on in ("split", "combined"):
         fresh = not_yet_loaded(cands, facts, match_on)
         assert "Join" not in _optimized(fresh) and fresh.count() == 3
+
+
+def test_reload_by_item_reads_the_batchs_items_only(spark, tmp_root):
+    spark.range(0, 1000).select(F.col("id").alias("source_order_item_id"), F.lit(20200101).alias("date_key")).write.parquet(f"{tmp_root}/facts")
+    facts = spark.read.parquet(f"{tmp_root}/facts")
+    cands = spark.createDataFrame([(998, 20200102), (1001, 20200102), (None, 20200102)], "source_order_item_id long, date_key int")
+    fresh = not_yet_loaded(cands, facts, "combined")
+    assert {r[0] for r in fresh.collect()} == {1001, None}
+    p = _optimized(fresh)
+    assert "source_order_item_id" in p and ">= scalar-subquery" in p and "<= scalar-subquery" in p
+    assert {r[0] for r in not_yet_loaded(cands.where("source_order_item_id IS NULL"), facts, "combined").collect()} == {None}
