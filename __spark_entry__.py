@@ -338,10 +338,13 @@ def q_check_decimals_all(spark, sf_dir):
 def q_money_exact(spark, sf_dir):
     """Exact sums, as text, and the declared type of every money column."""
     s, star = _src(spark, sf_dir), _star(spark, sf_dir)
-    parts = [df.agg(F.sum(c).cast("string").alias("total")).select(
-        F.lit(t).alias("table_name"), F.lit(c).alias("column_name"), F.lit(df.schema[c].dataType.simpleString()).alias("type"), "total")
-        for t, df, c in [("products", s["products"], "price"), ("orders", s["orders"], "total_amount"), ("order_items", s["order_items"], "price"),
-                         ("fact_sales", star.fact_sales, "unit_price"), ("fact_sales", star.fact_sales, "total_amount")]]
+    parts = []
+    for t, df, columns in [("products", s["products"], ["price"]), ("orders", s["orders"], ["total_amount"]), ("order_items", s["order_items"], ["price"]),
+                           ("fact_sales", star.fact_sales, ["unit_price", "total_amount"])]:
+        # all sums of a table from one pass over it
+        rows = [F.struct(F.lit(t).alias("table_name"), F.lit(c).alias("column_name"), F.lit(df.schema[c].dataType.simpleString()).alias("type"),
+                         F.col(c).alias("total")) for c in columns]
+        parts.append(df.agg(*(F.sum(c).cast("string").alias(c) for c in columns)).select(F.inline(F.array(*rows))))
     return reduce(DataFrame.unionByName, parts)
 
 

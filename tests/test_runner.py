@@ -224,3 +224,9 @@ def test_reload_by_item_reads_the_batchs_items_only(spark, tmp_root):
     p = _optimized(fresh)
     assert "source_order_item_id" in p and ">= scalar-subquery" in p and "<= scalar-subquery" in p
     assert {r[0] for r in not_yet_loaded(cands.where("source_order_item_id IS NULL"), facts, "combined").collect()} == {None}
+
+
+def test_money_sums_join_the_fact_once(spark):
+    # numbering an order's customer and product takes a join of its own each
+    p = _optimized(entry._QUERIES["money_exact"](spark, SF_SMALL))
+    assert p.count("l_returnflag") == 1
