@@ -16,7 +16,7 @@ from starmart.operators.keys import assign_surrogate_keys
 from starmart.plans.batch import now_ts, run_batch, run_staged
 from starmart.plans.compaction import compact
 from starmart.plans.warehouse import TABLES, Warehouse
-from starmart.session import scratch_tables
+from starmart.session import apply_conf, scratch_tables
 from starmart.sources import testdata as td
 from starmart.sources.oltp import csv_clean, csv_rejects, read_sources, read_table
 
@@ -230,3 +230,15 @@ def test_money_sums_join_the_fact_once(spark):
     # numbering an order's customer and product takes a join of its own each
     p = _optimized(entry._QUERIES["money_exact"](spark, SF_SMALL))
     assert p.count("l_returnflag") == 1
+
+
+def test_broadcast_threshold_is_lowered_never_raised(spark):
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(threshold)
+    try:
+        for given, kept in (("10485760b", str(1 << 20)), ("10MB", str(1 << 20)), ("256k", "256k"), ("-1", "-1")):
+            spark.conf.set(threshold, given)
+            apply_conf(spark)
+            assert spark.conf.get(threshold) == kept
+    finally:
+        spark.conf.set(threshold, before)
