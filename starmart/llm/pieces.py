@@ -82,7 +82,8 @@ class Pieces:
         self.runs: dict = {}
 
     def __getstate__(self):
-        return {k: v for k, v in self.__dict__.items() if k != "_encoder"} | {"runs": {}}
+        # the rows are for the driver; a worker needs what is derived from them
+        return {k: v for k, v in self.__dict__.items() if k not in ("_encoder", "rows")} | {"runs": {}}
 
     def run(self, piece: str) -> list[tuple[float, str, str]]:
         """The merges that make a piece: the score of each, and the first and
@@ -254,7 +255,7 @@ class Encoder:
     def __init__(self, table: Pieces, limit: int = REMEMBERED):
         self.table, self.limit = table, limit
         self.keys = np.empty(0, np.uint64)
-        self.at, self.n, self.flat = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int32)
+        self.at, self.n, self.flat = np.empty(0, np.int32), np.empty(0, np.int32), np.empty(0, np.int32)
 
     def group(self, rows: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """ids of the texts end to end, and each text's number."""

@@ -293,3 +293,16 @@ def test_round_trip(spark, odd, none, small, pieces_table):
     for _ in range(2):
         ids, n = encoder.group(raw)
         assert pieces.spell(pieces_table, ids, n) == raw
+
+
+def test_what_a_worker_remembers_is_bounded(pieces_table):
+    import pickle
+
+    sent = pickle.loads(pickle.dumps(pieces_table))
+    assert not hasattr(sent, "rows") and sent.spelling == pieces_table.spelling
+    encoder = pieces.Encoder(sent)
+    ids, n = encoder.group([b"some words, some more", "na\u00efve \u4f60\u597d".encode(), b""])
+    want, m = pieces.Encoder(pieces_table).group([b"some words, some more", "na\u00efve \u4f60\u597d".encode(), b""])
+    assert ids.tolist() == want.tolist() and n.tolist() == m.tolist()
+    per_unit = sum(x.itemsize for x in (encoder.keys, encoder.at, encoder.n))
+    assert per_unit <= 16 and per_unit * encoder.limit <= 8 << 20
