@@ -38,13 +38,14 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import batch_of, id_and_text, lean, mix, spans_hash, texts, with_id
 
 BLANK = "▁"
-GROUP_BYTES, REMEMBERED, PAIRS = 1 << 20, 1 << 19, 1 << 20
+GROUP_BYTES, UNIT_BYTES, REMEMBERED, PAIRS = 1 << 20, 50_000, 1 << 19, 1 << 20
 _R = np.random.Generator(np.random.PCG64(404)).integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -82,8 +83,8 @@ class Pieces:
         self.runs: dict = {}
 
     def __getstate__(self):
-        # the rows are for the driver; a worker needs what is derived from them
-        return {k: v for k, v in self.__dict__.items() if k not in ("_encoder", "rows")} | {"runs": {}}
+        # rows and spelled are for the driver; a worker needs what is derived from them
+        return {k: v for k, v in self.__dict__.items() if k not in ("_encoder", "rows", "spelled")} | {"runs": {}}
 
     def run(self, piece: str) -> list[tuple[float, str, str]]:
         """The merges that make a piece: the score of each, and the first and
@@ -187,14 +188,14 @@ def _ranges(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
 # -------------------------------------------------------- lattice in arrays
 def lattice(units: list[str], table: Pieces) -> tuple[np.ndarray, np.ndarray]:
     """Best paths of some units: ids end to end, and how many each unit has."""
-    lengths = np.array([len(u) for u in units], np.int64)
+    lengths = np.array([len(u) for u in units], np.int32)
     points = np.frombuffer("".join(units).encode("utf-32-le", "surrogatepass"), np.uint32)
     points = np.where(points == 32, ord(BLANK), points)
-    base = np.cumsum(lengths) - lengths  # of a unit's characters
-    unit = np.repeat(np.arange(len(units)), lengths)
+    base = np.cumsum(lengths, dtype=np.int32) - lengths  # of a unit's characters
+    unit = np.repeat(np.arange(len(units), dtype=np.int32), lengths)
     last = (base + lengths)[unit]  # one past the unit's end
     # 1, 2: explode substrings by length and join them with the pieces
-    found, h, start = [], np.zeros(len(points), np.uint64), np.arange(len(points))
+    found, h, start = [], np.zeros(len(points), np.uint64), np.arange(len(points), dtype=np.int32)
     for size in range(1, table.longest + 1):
         start = start[start + size <= last[start]]
         if not len(start):
@@ -207,9 +208,10 @@ def lattice(units: list[str], table: Pieces) -> tuple[np.ndarray, np.ndarray]:
         s = start[near[hit]]
         found.append((s, s + size, table.ids[pos[hit]], table.scores[pos[hit]]))
         if size == 1:
-            none = np.setdiff1d(np.arange(len(points)), s, assume_unique=True)
+            none = np.setdiff1d(np.arange(len(points), dtype=np.int32), s, assume_unique=True)
             found.append((none, none + 1, np.full(len(none), -1, np.int32), np.full(len(none), table.unknown)))
     s, e, piece, score = (np.concatenate(x) for x in zip(*found))
+    del found, h, last
     # 3: group by end within the unit; 4: fold
     owner = unit[s]
     depth = e - base[owner]
@@ -284,8 +286,8 @@ class Encoder:
             a, z = starts[where[new]], ends[where[new]]
             ids, counts = [], []
             size, lo = np.cumsum(z - a), 0
-            while lo < len(new):  # some 50 kB of distinct units at a time
-                hi = max(lo + 1, int(np.searchsorted(size, (size[lo - 1] if lo else 0) + 50_000, "right")))
+            while lo < len(new):  # a lattice takes some 160 bytes for each of its units' bytes
+                hi = max(lo + 1, int(np.searchsorted(size, (size[lo - 1] if lo else 0) + UNIT_BYTES, "right")))
                 i, c = lattice([raw[x:y].decode("utf-8", "surrogateescape") for x, y in zip(a[lo:hi].tolist(), z[lo:hi].tolist())], self.table)
                 ids.append(i)
                 counts.append(c)
@@ -302,22 +304,13 @@ class Encoder:
         return flat[_ranges(at[inverse], per_unit)], np.bincount(owner, per_unit, len(rows)).astype(np.int64)
 
 
-def _groups(rows: list[bytes], size: int):
-    lo, held = 0, 0
-    for i, t in enumerate(rows):
-        held += len(t)
-        if held >= size or i == len(rows) - 1:
-            yield lo, i + 1
-            lo, held = i + 1, 0
-
-
 def _encoded(batches, table: Pieces):
     """Row ids, piece ids end to end and their number per row, of groups of rows."""
     encoder = table.__dict__.setdefault("_encoder", Encoder(table))  # a worker's tasks share what it remembers
     for b in batches:
-        rows = texts(b.column(1))
-        for lo, hi in _groups(rows, GROUP_BYTES):
-            yield b.column(0).slice(lo, hi - lo), *encoder.group(rows[lo:hi])
+        i, text = b.columns
+        for lo, hi in _cuts(pc.binary_length(text).fill_null(0).to_numpy(), GROUP_BYTES):
+            yield i.slice(lo, hi - lo), *encoder.group(texts(text.slice(lo, hi - lo)))
 
 
 def encode(docs: DataFrame, table: Pieces, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

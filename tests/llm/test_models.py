@@ -306,3 +306,21 @@ def test_what_a_worker_remembers_is_bounded(pieces_table):
     assert ids.tolist() == want.tolist() and n.tolist() == m.tolist()
     per_unit = sum(x.itemsize for x in (encoder.keys, encoder.at, encoder.n))
     assert per_unit <= 16 and per_unit * encoder.limit <= 8 << 20
+
+
+def test_memory_of_a_worker_is_bounded(spark, small, pieces_table):
+    import pickle
+    import tracemalloc
+
+    assert pieces.round_trip(small, pieces_table).count() == small.count()
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")) <= 1 << 20
+    assert not hasattr(pickle.loads(pickle.dumps(pieces_table)), "spelled")
+    rng = random.Random(3)
+    words = [" " + "".join(rng.choices("etaoinshr", k=9)) for _ in range(5_000)]
+    want = pieces.lattice(words, pieces_table)  # from now on all pairs are known
+    tracemalloc.start()
+    got = pieces.lattice(words, pieces_table)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [x.tolist() for x in got] == [x.tolist() for x in want]
+    assert peak < 200 * sum(map(len, words))
